@@ -221,7 +221,9 @@ def rise_time(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     total minutes from each level's first crossing to the peak (G5: total
     minutes, not the minute field)."""
     keys = _keys(keys)
-    aggs = [F.max(value).alias("peak_value"), F.max_by(ts, value).alias("peak_time")]
+    # peak time: the latest reading among those with the maximum value
+    peak = F.max(F.struct(F.col(value).alias("v"), F.col(ts).alias("t")))
+    aggs = [peak.v.alias("peak_value"), peak.t.alias("peak_time")]
     for lv in levels:
         aggs.append(F.min(F.when(F.col(value) > lv, F.col(ts))).alias(f"first_above_{int(lv)}"))
     out = df.groupBy(*keys).agg(*aggs)
@@ -271,6 +273,11 @@ def gap_fill(df: DataFrame, keys: Sequence[str], ts: str, value: str, width: str
             .drop("p_v", "p_t", "n_v", "n_t"))
 
 
-def dedup_readings(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """TS-15: one reading per (key, time)."""
-    return df.dropDuplicates(_keys(keys) + [ts])
+def dedup_readings(df: DataFrame, keys: Sequence[str], ts: str, keep_min: str) -> DataFrame:
+    """TS-15: one reading per (key, time): the one with the smallest
+    ``keep_min`` (deterministic, unlike ``dropDuplicates``).  A grouped
+    ``min_by`` aggregates partially before the shuffle."""
+    grp = _keys(keys) + [ts]
+    rest = [c for c in df.columns if c not in grp]
+    kept = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(keep_min)).alias("__r")
+    return df.groupBy(*grp).agg(kept).select(*grp, "__r.*")

@@ -1,3 +1,4 @@
 """Imports every query module so that its ``@query`` registrations run."""
 
 from oreflow.plans import q_timeseries  # noqa: F401
+from oreflow.plans import q_timeseries2  # noqa: F401
