@@ -58,3 +58,12 @@ def sigma_class(z, warn: float = 2.0, crit: float = 3.0) -> Column:
     a = F.abs(_c(z))
     return (F.when(a > crit, F.lit("critical"))
             .when(a > warn, F.lit("warning")).otherwise(F.lit("normal")))
+
+
+def grade_class(tonnage, quality, high_t: float = 40.0, high_q: float = 0.03,
+                ordinary_t: float = 20.0) -> Column:
+    """SF-16: grade class from tonnage and a quality measure; thresholds are
+    parameters (high: enough tonnage and low impurity)."""
+    t, q = _c(tonnage), _c(quality)
+    return (F.when((t >= high_t) & (q <= high_q), F.lit("high"))
+            .when(t >= ordinary_t, F.lit("ordinary")).otherwise(F.lit("poor")))

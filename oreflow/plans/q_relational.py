@@ -212,14 +212,14 @@ def jn_lookup_customer_orders(spark, d):
 
 
 @query("jn_unnest_name_words", ops=("JN-18", "JN-19", "SF-12", "UD-05"), sql="""
-WITH w AS (SELECT list_filter(string_split(p_name, ' '), lambda x: length(x) >= 9) AS l FROM part)
+WITH w AS (SELECT list_filter(string_split(p_name, ' '), lambda x: length(x) >= 5) AS l FROM part)
 SELECT word, count(*) AS n FROM (
   SELECT unnest(CASE WHEN len(l) = 0 THEN [NULL::VARCHAR] ELSE l END) AS word FROM w)
 GROUP BY word
 """)
 def jn_unnest_name_words(spark, d):
     p = read(spark, d, "part")
-    longw = F.filter(F.split("p_name", " "), lambda x: F.length(x) >= 9)
+    longw = F.filter(F.split("p_name", " "), lambda x: F.length(x) >= 5)
     # outer unnest: parts without a long word still count once, as NULL
     return (p.select(F.explode_outer(longw).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
