@@ -206,7 +206,7 @@ def jn_lookup_customer_orders(spark, d):
     return j.select(
         "c_custkey", F.size(arr).cast("long").alias("n_orders"),
         F.size(F.filter(arr, lambda x: x["o_orderpriority"] == "1-URGENT")).cast("long").alias("n_urgent"),
-        F.element_at(arr, 1)["o_orderkey"].alias("first_order_key"),
+        F.try_element_at(arr, F.lit(1))["o_orderkey"].alias("first_order_key"),
         rh(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x["o_totalprice"]), 2).alias("total_value"),
         F.forall(arr, lambda x: x["o_totalprice"] > 50000).alias("all_big"))
 

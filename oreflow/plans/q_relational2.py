@@ -298,7 +298,7 @@ def sf_array_functions(spark, d):
                     lambda s: s["l_quantity"]).alias("q"))
     q = F.col("q")
     return a.select(
-        "l_orderkey", F.size(q).cast("bigint").alias("n_lines"), F.element_at(q, 1).alias("first_qty"),
+        "l_orderkey", F.size(q).cast("bigint").alias("n_lines"), F.try_element_at(q, F.lit(1)).alias("first_qty"),
         F.size(F.filter(q, lambda x: x > 25)).cast("bigint").alias("n_big"),
         rh(F.aggregate(F.transform(q, lambda x: x * 2), F.lit(0.0), lambda acc, x: acc + x), 2)
         .alias("double_sum"),
