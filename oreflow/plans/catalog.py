@@ -5,3 +5,4 @@ from oreflow.plans import q_timeseries2  # noqa: F401
 from oreflow.plans import q_relational  # noqa: F401
 from oreflow.plans import q_relational2  # noqa: F401
 from oreflow.plans import q_documents  # noqa: F401
+from oreflow.plans import q_quality  # noqa: F401

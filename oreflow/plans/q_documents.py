@@ -196,16 +196,16 @@ def doc_polymorphic_read(spark, d):
 
 
 @query("doc_extended_reference", ops=("DOC-11", "SNK-05"), sql="""
-SELECT CASE WHEN n.n_name = 'FRANCE' THEN 'FRANCE (EU)' ELSE n.n_name END AS nation_name,
-       count(*) AS n_docs, count(*) FILTER (WHERE n.n_name = 'FRANCE') AS n_affected
+SELECT CASE WHEN n.n_name = 'NATION_3' THEN 'NATION_3 (renamed)' ELSE n.n_name END AS nation_name,
+       count(*) AS n_docs, count(*) FILTER (WHERE n.n_name = 'NATION_3') AS n_affected
 FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey GROUP BY 1
 """)
 def doc_extended_reference(spark, d):
     docs = customer_docs(spark, d)
     s = docs.select(F.from_json("doc", "id bigint, nation struct<key:int,name:string>").alias("s"))
-    hit = F.col("s.nation.name") == "FRANCE"
+    hit = F.col("s.nation.name") == "NATION_3"
     # propagate the parent rename into every embedded copy (updateMany)
-    upd = s.select(F.when(hit, F.col("s").withField("nation.name", F.lit("FRANCE (EU)")))
+    upd = s.select(F.when(hit, F.col("s").withField("nation.name", F.lit("NATION_3 (renamed)")))
                    .otherwise(F.col("s")).alias("s"), hit.alias("affected"))
     return upd.groupBy(F.col("s.nation.name").alias("nation_name")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.count_if("affected").alias("n_affected"))
