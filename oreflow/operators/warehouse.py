@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import NumericType
 
 from oreflow.functions.hashing import row_hash, surrogate_key
 from oreflow.functions.timefn import calendar_parts
@@ -52,13 +53,19 @@ def add_surrogate_keys(new_rows: DataFrame, existing: DataFrame | None, business
     """WH-03: dense integer keys continuing after the current maximum,
     assigned in business-key order, so a reload assigns the same keys.
 
-    The numbering is a global ``row_number`` over the *new* keys only (a
-    dimension delta, bounded by the number of new members per load)."""
+    A single numeric business key is ranked distributedly (bucketed ranks);
+    composite keys use a ``row_number`` over the *new* members of this load
+    only.  ``hash_surrogate`` needs no ordering at all."""
     bk = _keys(business_keys)
-    base = (existing.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("m")).first()["m"]
-            if existing is not None else 0)
+    base = (existing.select(F.coalesce(F.max(key_col), F.lit(0))).scalar()
+            if existing is not None else F.lit(0))
+    if len(bk) == 1 and isinstance(new_rows.schema[bk[0]].dataType, NumericType):
+        # numeric business key: distributed ranking (bucketed, no single task)
+        from oreflow.operators.profile import global_average_rank
+        r = global_average_rank(new_rows, bk[0], "__rk")
+        return r.withColumn(key_col, (F.col("__rk").cast("long") + base).cast("long")).drop("__rk")
     w = Window.orderBy(*bk)
-    return new_rows.withColumn(key_col, (F.row_number().over(w) + F.lit(base)).cast("long"))
+    return new_rows.withColumn(key_col, (F.row_number().over(w) + base).cast("long"))
 
 
 def hash_surrogate(df: DataFrame, business_keys: Sequence[str], key_col: str) -> DataFrame:
@@ -111,33 +118,38 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     keys, tracked = _keys(keys), list(tracked)
     hcol = "__h"
     inc = incoming.withColumn(hcol, row_hash(*tracked))
+    extra = [c for c in incoming.columns if c not in keys and c not in ("change_ts", "change_seq")]
     if "change_ts" in inc.columns:
-        # several changes of one key in one batch: chain them in time order
-        w = Window.partitionBy(*keys).orderBy("change_ts")
+        # several changes of one key in one batch: chain them in time order;
+        # ``change_seq`` (optional) breaks ties of equal change times
+        order = ["change_ts"] + (["change_seq"] if "change_seq" in inc.columns else [])
+        w = Window.partitionBy(*keys).orderBy(*order)
         inc = (inc.withColumn("__prev_h", F.lag(hcol).over(w))
                .where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
-               .withColumn("__from", F.to_date("change_ts")).drop("__prev_h", "change_ts"))
+               .withColumn("__from", F.col("change_ts"))
+               .withColumn("__seq", F.col("change_seq") if "change_seq" in inc.columns else F.lit(0)))
     else:
-        inc = inc.withColumn("__from", load_date)
+        inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0))
+    end_type = current.schema[valid_to].dataType
     open_ = current.where(F.col(is_current))
     closed_hist = current.where(~F.col(is_current))
     cur_h = open_.select(*keys, row_hash(*tracked).alias("__cur_h"))
     # first incoming version per key is compared with the open version
-    w1 = Window.partitionBy(*keys).orderBy("__from")
+    w1 = Window.partitionBy(*keys).orderBy("__from", "__seq")
     inc = inc.withColumn("__rn", F.row_number().over(w1)).join(cur_h, keys, "left")
     changed = inc.where(F.col("__cur_h").isNull() | (F.col("__rn") > 1)
                         | (F.col(hcol) != F.col("__cur_h")))
     # new versions: valid until the next change of the same key, else open
-    w2 = Window.partitionBy(*keys).orderBy("__from")
-    new_versions = (changed.withColumn("__to", F.lead("__from").over(w2))
-                    .select(*keys, *[c for c in incoming.columns if c not in keys and c != "change_ts"],
-                            F.col("__from").alias(valid_from),
-                            F.coalesce(F.col("__to"), F.lit(OPEN_END).cast("date")).alias(valid_to),
+    new_versions = (changed.withColumn("__to", F.lead("__from").over(w1))
+                    .select(*keys, *extra,
+                            F.col("__from").cast(end_type).alias(valid_from),
+                            F.coalesce(F.col("__to").cast(end_type),
+                                       F.lit(OPEN_END).cast(end_type)).alias(valid_to),
                             F.col("__to").isNull().alias(is_current)))
     first_change = changed.groupBy(*keys).agg(F.min("__from").alias("__close_at"))
     # open versions of changed keys are closed at the first change date
     touched = open_.join(first_change, keys, "inner").withColumn(
-        valid_to, F.col("__close_at")).withColumn(is_current, F.lit(False)).drop("__close_at")
+        valid_to, F.col("__close_at").cast(end_type)).withColumn(is_current, F.lit(False)).drop("__close_at")
     untouched = open_.join(first_change, keys, "left_anti")
     cols = current.columns
     return (closed_hist.select(*cols).unionByName(untouched.select(*cols))
@@ -155,14 +167,17 @@ def scd1_overwrite(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def scd3_previous(current: DataFrame, incoming: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """WH-08 type 3: keep the previous value of ``col`` in ``prev_<col>``."""
+    """WH-08 type 3: keep the previous value of ``col`` in ``prev_<col>``;
+    keys new in ``incoming`` are added with no previous value."""
     keys = _keys(keys)
+    prev = f"prev_{col}"
+    cur = current if prev in current.columns else current.withColumn(
+        prev, F.lit(None).cast(current.schema[col].dataType))
     i = incoming.select(*keys, F.col(col).alias("__new"))
-    j = current.join(i, keys, "left")
-    changed = F.col("__new").isNotNull() & ~F.col("__new").eqNullSafe(F.col(col))
-    return (j.withColumn(f"prev_{col}", F.when(changed, F.col(col)).otherwise(
-        F.col(f"prev_{col}") if f"prev_{col}" in current.columns else F.lit(None).cast("string")))
-        .withColumn(col, F.when(changed, F.col("__new")).otherwise(F.col(col))).drop("__new"))
+    j = cur.join(i, keys, "full_outer")
+    changed = F.col(col).isNotNull() & F.col("__new").isNotNull() & (F.col("__new") != F.col(col))
+    return j.select(*keys, F.coalesce(F.col("__new"), F.col(col)).alias(col),
+                    F.when(changed, F.col(col)).otherwise(F.col(prev)).alias(prev))
 
 
 def current_version(dim: DataFrame, is_current: str = "is_current") -> DataFrame:
