@@ -7,3 +7,4 @@ from oreflow.plans import q_relational2  # noqa: F401
 from oreflow.plans import q_documents  # noqa: F401
 from oreflow.plans import q_quality  # noqa: F401
 from oreflow.plans import q_warehouse  # noqa: F401
+from oreflow.plans import q_graph  # noqa: F401
