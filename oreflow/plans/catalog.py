@@ -9,3 +9,4 @@ from oreflow.plans import q_quality  # noqa: F401
 from oreflow.plans import q_warehouse  # noqa: F401
 from oreflow.plans import q_graph  # noqa: F401
 from oreflow.plans import q_vectors_text  # noqa: F401
+from oreflow.plans import q_streaming  # noqa: F401
