@@ -60,3 +60,15 @@ def production(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     o = read(spark, sf_dir, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+
+
+def spread(df: DataFrame, factor: int = 1) -> DataFrame:
+    """Spread CPU-heavy per-row work (tokenising, parsing) over the cluster
+    when the input arrives in fewer splits than there are cores (e.g. one
+    large unsplittable file).  The partition count is known at planning
+    time; at scale the input already has far more splits than cores and
+    nothing is shuffled."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
