@@ -119,24 +119,27 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     hcol = "__h"
     inc = incoming.withColumn(hcol, row_hash(*tracked))
     extra = [c for c in incoming.columns if c not in keys and c not in ("change_ts", "change_seq")]
-    if "change_ts" in inc.columns:
-        # several changes of one key in one batch: chain them in time order;
-        # ``change_seq`` (optional) breaks ties of equal change times
-        order = ["change_ts"] + (["change_seq"] if "change_seq" in inc.columns else [])
-        w = Window.partitionBy(*keys).orderBy(*order)
-        inc = (inc.withColumn("__prev_h", F.lag(hcol).over(w))
-               .where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
-               .withColumn("__from", F.col("change_ts"))
-               .withColumn("__seq", F.col("change_seq") if "change_seq" in inc.columns else F.lit(0)))
-    else:
-        inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0))
     end_type = current.schema[valid_to].dataType
     open_ = current.where(F.col(is_current))
     closed_hist = current.where(~F.col(is_current))
-    cur_h = open_.select(*keys, row_hash(*tracked).alias("__cur_h"))
+    cur_h = open_.select(*keys, row_hash(*tracked).alias("__cur_h"),
+                         F.col(valid_from).alias("__cur_from"))
+    if "change_ts" in inc.columns:
+        # changes not newer than the open version are already applied (a
+        # replayed batch is a no-op); several changes of one key in one batch
+        # are chained in time order, ``change_seq`` breaking ties
+        inc = (inc.withColumn("__from", F.col("change_ts"))
+               .withColumn("__seq", F.col("change_seq") if "change_seq" in inc.columns else F.lit(0))
+               .join(cur_h, keys, "left")
+               .where(F.col("__cur_from").isNull() | (F.col("__from").cast(end_type) > F.col("__cur_from"))))
+        w = Window.partitionBy(*keys).orderBy("__from", "__seq")
+        inc = (inc.withColumn("__prev_h", F.lag(hcol).over(w))
+               .where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol))))
+    else:
+        inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0)).join(cur_h, keys, "left")
     # first incoming version per key is compared with the open version
     w1 = Window.partitionBy(*keys).orderBy("__from", "__seq")
-    inc = inc.withColumn("__rn", F.row_number().over(w1)).join(cur_h, keys, "left")
+    inc = inc.withColumn("__rn", F.row_number().over(w1))
     changed = inc.where(F.col("__cur_h").isNull() | (F.col("__rn") > 1)
                         | (F.col(hcol) != F.col("__cur_h")))
     # new versions: valid until the next change of the same key, else open
