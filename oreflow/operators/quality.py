@@ -260,8 +260,9 @@ def schema_violations(df: DataFrame, schema: dict, doc_col: str, id_col: str) ->
     violation of its own."""
     v = F.try_parse_json(F.col(doc_col))
     rules = compile_json_schema(schema, v)
+    # an unparsable document gets one violation, not one per rule
     arr = F.array(F.when(v.isNull(), F.lit("$:parse")),
-                  *[F.when(c, F.lit(n)) for n, c in rules])
+                  *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in rules])
     return (df.select(id_col, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("violation")))
 
 
@@ -275,7 +276,8 @@ def validate_documents(df: DataFrame, schema: dict, doc_col: str, id_col: str,
     ``violations``."""
     v = F.try_parse_json(F.col(doc_col))
     rules = compile_json_schema(schema, v)
-    arr = F.filter(F.array(F.when(v.isNull(), F.lit("$:parse")), *[F.when(c, F.lit(n)) for n, c in rules]),
+    arr = F.filter(F.array(F.when(v.isNull(), F.lit("$:parse")),
+                           *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in rules]),
                    lambda x: x.isNotNull())
     checked = F.lit(True) if level == "strict" else F.coalesce(previously_valid, F.lit(True)) \
         if previously_valid is not None else F.lit(True)
