@@ -101,3 +101,58 @@ def to_ntz(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def run_with_late_side_output(stream: DataFrame, ts: str, delay_s: int, out: str, keys: Sequence[str],
+                              future_s: int = 86400, trigger_available_now: bool = True,
+                              checkpoint: str | None = None):
+    """ST-09 / ST-11: drive ``stream`` and split every micro-batch into
+    on-time rows, late rows (event time older than the highest event time
+    of earlier batches minus ``delay_s``) and rows from the future (more
+    than ``future_s`` ahead of everything seen so far, including this
+    batch's on-time maximum); each goes to its own folder below ``out``.
+    Repeated events (same ``keys``) are dropped within the batch and against
+    the on-time rows already written inside the watermark delay (a stateful
+    streaming de-duplication would silently drop the late rows before they
+    reach the side output).  The watermark base is kept in ``out/_max`` so
+    a restarted driver resumes it.  Returns the query's checkpoint folder
+    (reuse it to continue)."""
+    spark = stream.sparkSession
+    ckpt = checkpoint or scratch_path(spark, "late-ckpt")
+    dedup = stream
+
+    def write_batch(df: DataFrame, batch_id: int) -> None:
+        from oreflow.streaming.operators import late_split
+        mpath = os.path.join(out, "_max")
+        try:
+            seen = spark.read.parquet(mpath).agg(F.max("m")).first()[0]
+        except Exception:  # noqa: BLE001 - first batch
+            seen = None
+        wm = F.lit(seen).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_s)) if seen else F.lit(None).cast("timestamp")
+        df = df.dropDuplicates(_keys(keys))
+        try:
+            recent = spark.read.parquet(os.path.join(out, "on_time"))
+            if seen:
+                recent = recent.where(F.col(ts) >= wm)
+            df = df.join(recent.select(*_keys(keys)), _keys(keys), "left_anti")
+        except Exception:  # noqa: BLE001 - nothing written yet
+            pass
+        on_time, late = late_split(df, ts, wm)
+        # the future guard is anchored on what was seen before plus the
+        # median arrival of this batch, so one bogus row cannot move it
+        anchor = seen or df.agg(F.percentile_approx(ts, 0.5)).first()[0]
+        fut = F.col(ts) > F.lit(anchor).cast("timestamp") + F.make_dt_interval(secs=F.lit(future_s))
+        base = os.path.join(out, "{}", f"_batch={batch_id}")
+        on_time.where(~fut).write.mode("overwrite").parquet(base.format("on_time"))
+        late.write.mode("overwrite").parquet(base.format("late"))
+        on_time.where(fut).write.mode("overwrite").parquet(base.format("future"))
+        new_max = on_time.where(~fut).agg(F.max(ts).alias("m"))
+        new_max.where(F.col("m").isNotNull()).write.mode("append").parquet(mpath)
+
+    w = dedup.writeStream.option("checkpointLocation", ckpt).foreachBatch(write_batch)
+    w = w.trigger(availableNow=True) if trigger_available_now else w
+    q = w.start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return ckpt
