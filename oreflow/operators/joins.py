@@ -92,19 +92,25 @@ def range_count(windows: DataFrame, events: DataFrame, keys: Sequence[str],
 
 
 def first_event_before(df: DataFrame, keys: Sequence[str], ts: str, is_first: Column,
-                       is_target: Column, ordered: bool = True,
+                       is_target: Column, mode: str = "first_any",
                        out: str = "first_ts") -> DataFrame:
-    """For every target row, the time of the first ``is_first`` row of its key
-    (JN-12).  With ``ordered`` only first-rows at or before the target count
-    and the latest of those is taken (as-of), in one sort per key.
-
-    Unordered variant: MIN(ts) of first-rows per key joined back, as the
-    reference query does.
-    """
+    """JN-12: for every target row (e.g. ALARM) the time of a 'first' event
+    (e.g. WARN) of the same key.
+
+    * ``first_any``: MIN(ts) of first-events per key, as the reference does
+      (the warning may even come after the alarm);
+    * ``first_before``: the same minimum, kept only when it is not after the
+      target (the ordered reading);
+    * ``latest_before``: the last first-event at or before the target (an
+      as-of join), one sort per key.
+    The first two are a grouped minimum joined back (no window)."""
     keys = _keys(keys)
-    if not ordered:
+    if mode in ("first_any", "first_before"):
         firsts = df.where(is_first).groupBy(*keys).agg(F.min(ts).alias(out))
-        return df.where(is_target).join(firsts, keys, "inner")
+        j = df.where(is_target).join(firsts, keys, "inner")
+        return j if mode == "first_any" else j.where(F.col(out) <= F.col(ts))
+    if mode != "latest_before":
+        raise ValueError(mode)
     w = (Window.partitionBy(*keys).orderBy(F.col(ts), F.col("__t"))
          .rowsBetween(Window.unboundedPreceding, 0))
     marked = df.withColumn("__t", is_target.cast("int")).withColumn(

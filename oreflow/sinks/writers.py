@@ -139,6 +139,14 @@ def refresh_rollup(spark: SparkSession, source: DataFrame, path: str, ts: str, k
     refresh window [now - start_offset, now - end_offset) and replace only
     their day partitions (dynamic overwrite).  Older buckets stay as
     materialised; the newest ``end_offset`` is left for the next run."""
+    roll = refresh_window_rollup(source, ts, keys, value, now, start_offset_s, end_offset_s, width)
+    overwrite(roll, path, ["day"], dynamic=True)
+
+
+def refresh_window_rollup(source: DataFrame, ts: str, keys: Sequence[str], value: str, now,
+                          start_offset_s: int, end_offset_s: int, width: str = "1 hour") -> DataFrame:
+    """SNK-08: the rollup rows a refresh recomputes: whole days from the day
+    of ``now - start_offset`` up to (excluding) ``now - end_offset``."""
     now_c = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
     lo = now_c - F.make_dt_interval(secs=F.lit(start_offset_s))
     hi = now_c - F.make_dt_interval(secs=F.lit(end_offset_s))
@@ -146,11 +154,10 @@ def refresh_rollup(spark: SparkSession, source: DataFrame, path: str, ts: str, k
     day_lo = F.date_trunc("day", lo).cast("timestamp_ntz")
     src = source.where((F.col(ts) >= day_lo) & (F.col(ts) < hi))
     b = F.window(F.col(ts), width).start
-    roll = (src.groupBy(b.alias("bucket"), *_keys(keys))
+    return (src.groupBy(b.alias("bucket"), *_keys(keys))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("sum_value"),
                  F.min(value).alias("min_value"), F.max(value).alias("max_value"))
             .withColumn("day", F.to_date("bucket")))
-    overwrite(roll, path, ["day"], dynamic=True)
 
 
 def retention(spark: SparkSession, path: str, partition_col: str, keep_from) -> None:
