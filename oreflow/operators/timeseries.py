@@ -89,23 +89,42 @@ def anomaly_counts_by_day(df: DataFrame, keys: Sequence[str], group_keys: Sequen
 
 # ------------------------------------------------------------ rolling windows
 def rolling_stats(df: DataFrame, keys: Sequence[str], ts: str, value: str, n: int,
-                  prefix: str = "ma", order_tiebreak: str | None = None) -> DataFrame:
+                  prefix: str = "ma", order_tiebreak: str | None = None,
+                  bucket_s: int | None = None) -> DataFrame:
     """WN-03: moving avg/min/max/std over the last ``n`` rows per key
-    (ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW)."""
-    order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
-    w = Window.partitionBy(*_keys(keys)).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return (df.withColumn(f"{prefix}_avg", F.avg(value).over(w))
-            .withColumn(f"{prefix}_min", F.min(value).over(w))
-            .withColumn(f"{prefix}_max", F.max(value).over(w))
-            .withColumn(f"{prefix}_std", F.stddev(value).over(w))
-            .withColumn(f"{prefix}_n", F.count(value).over(w)))
+    (ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW).  With ``bucket_s`` (and a
+    unique ``order_tiebreak``) the window runs per (key, time bucket) with
+    halo rows (``windows.bucketed_window``): exact, and a hot key is spread
+    over its buckets instead of one task."""
+    cols = {f"{prefix}_avg": lambda w: F.avg(value).over(w.rowsBetween(-(n - 1), 0)),
+            f"{prefix}_min": lambda w: F.min(value).over(w.rowsBetween(-(n - 1), 0)),
+            f"{prefix}_max": lambda w: F.max(value).over(w.rowsBetween(-(n - 1), 0)),
+            f"{prefix}_std": lambda w: F.stddev(value).over(w.rowsBetween(-(n - 1), 0)),
+            f"{prefix}_n": lambda w: F.count(value).over(w.rowsBetween(-(n - 1), 0))}
+    return _ordered(df, keys, ts, order_tiebreak, bucket_s, n - 1, 0, cols)
+
+
+def _ordered(df, keys, ts, tiebreak, bucket_s, preceding, following, cols):
+    """Apply window columns per key; bucketed by time when ``bucket_s`` is
+    given and the input is large enough for one key to overload a task."""
+    from oreflow.session import use_bucketed_windows
+    if bucket_s and tiebreak and use_bucketed_windows(df):
+        from oreflow.operators.windows import bucketed_window
+        return bucketed_window(df, _keys(keys), ts, tiebreak, bucket_s, preceding, following, cols)
+    order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
+    w = Window.partitionBy(*_keys(keys)).orderBy(*order)
+    out = df
+    for name, fn in cols.items():
+        out = out.withColumn(name, fn(w))
+    return out
 
 
 def rolling_zscore(df: DataFrame, keys: Sequence[str], ts: str, value: str,
-                   n: int = 144, k: float = 2.5, order_tiebreak: str | None = None) -> DataFrame:
+                   n: int = 144, k: float = 2.5, order_tiebreak: str | None = None,
+                   bucket_s: int | None = None) -> DataFrame:
     """TS-04 (first half): rows whose distance from the moving mean of the
     last ``n`` rows exceeds ``k`` moving deviations (std > 0)."""
-    r = rolling_stats(df, keys, ts, value, n, "roll", order_tiebreak)
+    r = rolling_stats(df, keys, ts, value, n, "roll", order_tiebreak, bucket_s)
     return (r.where((F.col("roll_std") > 0)
                     & (F.abs(F.col(value) - F.col("roll_avg")) > k * F.col("roll_std")))
             .withColumn("z_score", (F.col(value) - F.col("roll_avg")) / F.col("roll_std")))
@@ -123,14 +142,11 @@ def cumulative_stats(df: DataFrame, keys: Sequence[str], ts: str, value: str,
 
 
 def lag_delta(df: DataFrame, keys: Sequence[str], ts: str, value: str,
-              order_tiebreak: str | None = None) -> DataFrame:
+              order_tiebreak: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """WN-01/02: previous and next value, delta, and percent change
     (NULL when the previous value is 0)."""
-    order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
-    w = Window.partitionBy(*_keys(keys)).orderBy(*order)
-    prev = F.lag(value).over(w)
-    return (df.withColumn("prev_value", prev)
-            .withColumn("next_value", F.lead(value).over(w))
+    cols = {"prev_value": lambda w: F.lag(value).over(w), "next_value": lambda w: F.lead(value).over(w)}
+    return (_ordered(df, keys, ts, order_tiebreak, bucket_s, 1, 1, cols)
             .withColumn("delta", F.col(value) - F.col("prev_value"))
             .withColumn("pct_change", F.try_divide(F.col("delta") * 100.0,
                                                    F.nullif(F.col("prev_value"), F.lit(0.0)))))
@@ -205,12 +221,10 @@ def first_last_change(df: DataFrame, keys: Sequence[str], ts: str, value: str,
 
 
 def local_peaks(df: DataFrame, keys: Sequence[str], ts: str, value: str,
-                floor: float, order_tiebreak: str | None = None) -> DataFrame:
+                floor: float, order_tiebreak: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """TS-11: values higher than both neighbours and above ``floor``."""
-    order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
-    w = Window.partitionBy(*_keys(keys)).orderBy(*order)
-    return (df.withColumn("prev_value", F.lag(value).over(w))
-            .withColumn("next_value", F.lead(value).over(w))
+    cols = {"prev_value": lambda w: F.lag(value).over(w), "next_value": lambda w: F.lead(value).over(w)}
+    return (_ordered(df, keys, ts, order_tiebreak, bucket_s, 1, 1, cols)
             .where((F.col(value) > F.col("prev_value")) & (F.col(value) > F.col("next_value"))
                    & (F.col(value) > floor)))
 
@@ -235,12 +249,10 @@ def rise_time(df: DataFrame, keys: Sequence[str], ts: str, value: str,
 
 # ---------------------------------------------------------------- gap handling
 def gaps(df: DataFrame, keys: Sequence[str], ts: str, max_gap_s: float,
-         order_tiebreak: str | None = None) -> DataFrame:
+         order_tiebreak: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """TS-16 (detection): consecutive readings of a key further apart than
     ``max_gap_s`` seconds: gap start, gap end, gap seconds."""
-    order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
-    w = Window.partitionBy(*_keys(keys)).orderBy(*order)
-    d = df.withColumn("gap_start", F.lag(ts).over(w))
+    d = _ordered(df, keys, ts, order_tiebreak, bucket_s, 1, 0, {"gap_start": lambda w: F.lag(ts).over(w)})
     return (d.withColumn("gap_s", F.timestamp_diff("SECOND", F.col("gap_start"), F.col(ts)))
             .where(F.col("gap_s") > max_gap_s)
             .select(*_keys(keys), "gap_start", F.col(ts).alias("gap_end"), "gap_s"))

@@ -8,24 +8,113 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from oreflow.functions.timefn import epoch_seconds
+from oreflow.session import use_bucketed_windows
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def bucketed_window(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
+                    preceding: int, following: int, columns) -> DataFrame:
+    """Row-frame window computations partitioned by (key, time bucket)
+    instead of by key, with exact results.
+
+    ``columns`` maps output names to functions ``WindowSpec -> Column``; the
+    spec passed in is partitioned by the keys and the bucket and ordered by
+    (ts, tiebreak).  A frame may reach ``preceding`` rows back and
+    ``following`` rows ahead.  Each bucket therefore receives, besides its
+    own rows, the last rows of the buckets before it and the first rows of
+    the buckets after it that its frames can reach ("halo" rows); which
+    bucket needs which halo row follows from a per-key table of bucket row
+    counts (one row per bucket).  Results are kept for the own rows only.
+
+    Why: a window partitioned by key alone puts every row of a hot key (a
+    third of all rows, say) into one task; here the key is spread over its
+    time buckets and only bounded halos are copied."""
+    keys = list(keys)
+    order = [F.col(ts), F.col(tiebreak)]
+    b = F.floor(epoch_seconds(F.col(ts)) / F.lit(float(bucket_s))).cast("long")
+    d = df.withColumn("__b", b)
+    wb = Window.partitionBy(*keys, "__b")
+    d = (d.withColumn("__rs", F.row_number().over(wb.orderBy(*order)))
+         .withColumn("__re", F.row_number().over(wb.orderBy(*[o.desc() for o in order]))))
+    counts = d.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__cb", F.coalesce(F.sum("__n").over(wk), F.lit(0)))   # rows before bucket
+    per_key = counts.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.struct(F.col("__b").alias("b"), F.col("__cb").alias("cb"), F.col("__n").alias("n")))).alias("__arr"))
+    halos = []
+    edge = (F.col("__re") <= preceding) if preceding else F.lit(False)
+    edge = edge | ((F.col("__rs") <= following) if following else F.lit(False))
+    cand = d.where(edge).join(per_key, keys).join(counts.select(*keys, "__b", "__cb", "__n"), keys + ["__b"])
+    if preceding:
+        # a row r-th from the end of bucket j is inside the frame of bucket t > j
+        # while the rows between them number fewer than ``preceding``
+        lim = F.col("__cb") + F.col("__n") + F.lit(preceding) - F.col("__re")
+        tgt = F.filter("__arr", lambda x: (x["b"] > F.col("__b")) & (x["cb"] <= lim))
+        halos.append(cand.where(F.col("__re") <= preceding)
+                     .withColumn("__t", F.explode(F.transform(tgt, lambda x: x["b"]))))
+    if following:
+        lim = F.col("__cb") - F.lit(following) + F.col("__rs")
+        tgt = F.filter("__arr", lambda x: (x["b"] < F.col("__b")) & ((x["cb"] + x["n"]) >= lim))
+        halos.append(cand.where(F.col("__rs") <= following)
+                     .withColumn("__t", F.explode(F.transform(tgt, lambda x: x["b"]))))
+    base_cols = df.columns
+    own = d.select(*base_cols, F.col("__b").alias("__t"), F.lit(True).alias("__own"))
+    u = own
+    for h in halos:
+        u = u.unionByName(h.select(*base_cols, "__t", F.lit(False).alias("__own")))
+    spec = Window.partitionBy(*keys, "__t").orderBy(*order)
+    out = u
+    for name, fn in columns.items():
+        out = out.withColumn(name, fn(spec))
+    return out.where(F.col("__own")).drop("__t", "__own")
+
+
+def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
+                         value: str, out: str) -> DataFrame:
+    """Running sum of ``value`` per key in (ts, tiebreak) order, computed as
+    the sum of all earlier buckets (a prefix over one row per bucket) plus
+    the running sum inside the row's bucket: no window spans a whole key."""
+    keys = list(keys)
+    d = df.withColumn("__b", F.floor(epoch_seconds(F.col(ts)) / F.lit(float(bucket_s))).cast("long"))
+    per = d.groupBy(*keys, "__b").agg(F.sum(value).alias("__s"))
+    per = per.withColumn("__before", F.coalesce(F.sum("__s").over(
+        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.sum(value).over(Window.partitionBy(*keys, "__b").orderBy(ts, tiebreak)
+                               .rowsBetween(Window.unboundedPreceding, 0))
+    return (d.withColumn("__in", inside).join(per.select(*keys, "__b", "__before"), keys + ["__b"])
+            .withColumn(out, F.col("__before") + F.col("__in")).drop("__b", "__in", "__before"))
+
+
 def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
-                    order_tiebreak: str | None = None) -> DataFrame:
+                    order_tiebreak: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """WN-09 / ST-03 (batch): a new session starts when the time since the
     key's previous row exceeds ``gap_s``; session id = running sum of the
     start flags (ROWS frame, so ties in time do not merge).  One row per
     session: start, end (last event, not last event + gap), count,
     duration in whole seconds.  A gap of exactly ``gap_s`` stays in the
-    session."""
+    session.  With ``bucket_s`` (needs ``order_tiebreak``) the previous row
+    comes from a bucketed window and the session number from a bucketed
+    running sum, so a hot key is spread over its time buckets."""
     keys = _keys(keys)
+    gap = F.make_dt_interval(secs=F.lit(gap_s))
+    if bucket_s and order_tiebreak and use_bucketed_windows(df):
+        p = bucketed_window(df, keys, ts, order_tiebreak, bucket_s, 1, 0,
+                            {"__prev": lambda w: F.lag(ts).over(w)})
+        p = p.withColumn("__new", F.when(F.col("__prev").isNull() | (F.col(ts) - F.col("__prev") > gap), 1)
+                         .otherwise(0))
+        s = bucketed_running_sum(p, keys, ts, order_tiebreak, bucket_s, "__new", "session_no")
+        return s.groupBy(*keys, "session_no").agg(
+            F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
+            F.count(F.lit(1)).alias("n_events")).withColumn(
+            "duration_s", F.timestamp_diff("SECOND", F.col("session_start"), F.col("session_end")))
     order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)
     prev = F.lag(ts).over(w)
-    new = F.when(prev.isNull() | (F.col(ts) - prev > F.make_dt_interval(secs=F.lit(gap_s))), 1).otherwise(0)
+    new = F.when(prev.isNull() | (F.col(ts) - prev > gap), 1).otherwise(0)
     s = (df.withColumn("__new", new)
          .withColumn("session_no", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     return s.groupBy(*keys, "session_no").agg(
@@ -35,18 +124,27 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
 
 
 def ma_crossover(df: DataFrame, keys: Sequence[str], ts: str, value: str, fast: int, slow: int,
-                 order_tiebreak: str | None = None) -> DataFrame:
+                 order_tiebreak: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """WN-12: fast minus slow moving average (row frames); rows where the
     sign of the difference flips are crossings ('golden' up, 'death' down).
-    Both frames share one partitioning and ordering (one window sort)."""
+    Both frames share one partitioning and ordering (one window sort); with
+    ``bucket_s`` both passes run per (key, time bucket) with halos."""
     keys = _keys(keys)
+    flip = (F.col("prev_signal").isNotNull() & (F.signum("signal") != F.signum("prev_signal"))
+            & (F.col("signal") != 0) & (F.col("prev_signal") != 0))
+    if bucket_s and order_tiebreak and use_bucketed_windows(df):
+        m = bucketed_window(df, keys, ts, order_tiebreak, bucket_s, slow - 1, 0, {
+            "ma_fast": lambda w: F.avg(value).over(w.rowsBetween(-(fast - 1), 0)),
+            "ma_slow": lambda w: F.avg(value).over(w.rowsBetween(-(slow - 1), 0))})
+        m = m.withColumn("signal", F.col("ma_fast") - F.col("ma_slow"))
+        x = bucketed_window(m, keys, ts, order_tiebreak, bucket_s, 1, 0,
+                            {"prev_signal": lambda w: F.lag("signal").over(w)})
+        return x.where(flip).withColumn("cross_type", F.when(F.col("signal") > 0, "golden").otherwise("death"))
     order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)
     x = (df.withColumn("ma_fast", F.avg(value).over(w.rowsBetween(-(fast - 1), 0)))
          .withColumn("ma_slow", F.avg(value).over(w.rowsBetween(-(slow - 1), 0)))
          .withColumn("signal", F.col("ma_fast") - F.col("ma_slow"))
          .withColumn("prev_signal", F.lag("signal").over(w)))
-    flip = (F.col("prev_signal").isNotNull() & (F.signum("signal") != F.signum("prev_signal"))
-            & (F.col("signal") != 0) & (F.col("prev_signal") != 0))
     return x.where(flip).withColumn(
         "cross_type", F.when(F.col("signal") > 0, "golden").otherwise("death"))

@@ -51,7 +51,8 @@ FROM s GROUP BY ALL
 """)
 def wn_sessions_by_gap(spark, d):
     r = sensor_readings(spark, d)
-    return wn.sessions_by_gap(r, ["equipment_id"], "ts", gap_s=600, order_tiebreak="reading_id")
+    return wn.sessions_by_gap(r, ["equipment_id"], "ts", gap_s=600, order_tiebreak="reading_id",
+                              bucket_s=86400)
 
 
 @query("wn_peak_per_day", ops=("WN-07",), sql=f"""
@@ -84,7 +85,8 @@ FROM x WHERE prev_signal IS NOT NULL AND sign(signal) <> sign(prev_signal) AND s
 """)
 def wn_ma_crossover(spark, d):
     r = sensor_readings(spark, d)
-    x = wn.ma_crossover(r, KEYS, "ts", "value", fast=3, slow=8, order_tiebreak="reading_id")
+    x = wn.ma_crossover(r, KEYS, "ts", "value", fast=3, slow=8, order_tiebreak="reading_id",
+                        bucket_s=7 * 86400)
     return x.select("reading_id", *KEYS, rh("signal", 3).alias("signal"), "cross_type")
 
 
@@ -110,7 +112,8 @@ SELECT reading_id, {rnd("value - lag(value) OVER w", 2)} AS delta,
 FROM {R} WINDOW w AS (PARTITION BY equipment_id, sensor_type ORDER BY ts, reading_id)
 """)
 def wn_lag_pct_change(spark, d):
-    r = ts.lag_delta(sensor_readings(spark, d), KEYS, "ts", "value", order_tiebreak="reading_id")
+    r = ts.lag_delta(sensor_readings(spark, d), KEYS, "ts", "value", order_tiebreak="reading_id",
+                     bucket_s=7 * 86400)
     return r.select("reading_id", rh("delta", 2).alias("delta"), rh("pct_change", 2).alias("pct_change"),
                     "next_value")
 

@@ -116,8 +116,9 @@ WHERE a.roll_std > 0 AND abs(a.value - a.roll_avg) > 2.5 * a.roll_std
 """)
 def ts_rolling_zscore_alerts(spark, d):
     r = sensor_readings(spark, d)
+    # windows per (key, week) with halo rows: a hot sensor is spread over weeks
     anomalies = ts.rolling_zscore(r, KEYS, "ts", "value", n=24, k=2.5,
-                                  order_tiebreak="reading_id")
+                                  order_tiebreak="reading_id", bucket_s=7 * 86400)
     alerts = r.where(F.col("value") > 300).select(
         F.col("reading_id").alias("alert_id"), F.col("ts").alias("alert_time"), *KEYS)
     j = joins.interval_join(

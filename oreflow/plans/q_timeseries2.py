@@ -98,7 +98,7 @@ WHERE value > prev_value AND value > next_value AND value > 80
 """)
 def ts_local_peaks(spark, d):
     p = ts.local_peaks(sensor_readings(spark, d), KEYS, "ts", "value", 80.0,
-                       order_tiebreak="reading_id")
+                       order_tiebreak="reading_id", bucket_s=7 * 86400)
     return p.select("reading_id", *KEYS, "ts", "value", "prev_value", "next_value")
 
 
@@ -190,7 +190,8 @@ SELECT equipment_id, sensor_type, gap_start, ts AS gap_end,
 FROM l WHERE date_diff('microsecond', gap_start, ts) // 1000000 > 172800
 """)
 def ts_gaps(spark, d):
-    return ts.gaps(sensor_readings(spark, d), KEYS, "ts", 2 * 86400, order_tiebreak="reading_id")
+    return ts.gaps(sensor_readings(spark, d), KEYS, "ts", 2 * 86400, order_tiebreak="reading_id",
+                   bucket_s=7 * 86400)
 
 
 @query("ts_gap_fill", ops=("TS-16", "SRC-07", "WN-05"), sql=f"""
