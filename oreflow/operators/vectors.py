@@ -25,6 +25,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _check_query_count(queries: DataFrame) -> None:
+    """Query vectors are shipped to every task: their number must be bounded."""
+    n_q = queries.count()
+    if n_q > MAX_BROADCAST_QUERIES:
+        raise ValueError(f"{n_q} query vectors exceed the broadcast bound {MAX_BROADCAST_QUERIES}; "
+                         "split the query set into batches")
+
+
 # ------------------------------------------------------------ similarities
 def dot(a, b) -> Column:
     """VEC-03: inner product."""
@@ -62,9 +70,9 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
 
 
 # -------------------------------------------------------------- exact top-k
-def _partial_topk(q_ids: np.ndarray, q_mat: np.ndarray, k: int, metric: str, id_col: str, vec_col: str,
-                  label_filter: np.ndarray | None, label_col: str | None):
+def _partial_topk(bq, k: int, metric: str, id_col: str, vec_col: str, label_col: str | None):
     def run(batches):
+        q_ids, q_mat, label_filter = bq.value      # broadcast once per executor
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -107,17 +115,15 @@ def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     ``same_label`` restricts each query to corpus rows with its label (the
     metadata filter is applied before ranking).  Output: query_id, vec_id,
     score, rank (1 = best; ties by vec_id)."""
-    n_q = queries.count()
-    if n_q > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"{n_q} query vectors exceed the broadcast bound {MAX_BROADCAST_QUERIES}; "
-                         "split the query set")
+    _check_query_count(queries)
     qcols = [query_id, query_vec] + ([same_label] if same_label else [])
     qp = queries.select(*qcols).toPandas()
     q_ids = qp[query_id].to_numpy()
     q_mat = np.stack(qp[query_vec].to_numpy()).astype(np.float64) if len(qp) else np.zeros((0, 1))
     lab = qp[same_label].to_numpy() if same_label else None
     ccols = [id_col, vec_col] + ([same_label] if same_label else [])
-    fn = _partial_topk(q_ids, q_mat, k, metric, id_col, vec_col, lab, same_label)
+    bq = corpus.sparkSession.sparkContext.broadcast((q_ids, q_mat, lab))
+    fn = _partial_topk(bq, k, metric, id_col, vec_col, same_label)
     qtype = queries.schema[query_id].dataType.simpleString()
     itype = corpus.schema[id_col].dataType.simpleString()
     part = corpus.select(*ccols).mapInPandas(fn, f"query_id {qtype}, vec_id {itype}, score double")
@@ -152,6 +158,7 @@ def ivf_search(cells: DataFrame, cents: np.ndarray, queries: DataFrame, k: int,
                id_col: str = "vec_id", vec_col: str = "embedding", query_id: str = "query_id") -> DataFrame:
     """VEC-06: probe the ``nprobe`` cells nearest to each query, rank only
     the vectors in those cells (an equi join on cell id), keep top-k."""
+    _check_query_count(queries)
     qp = queries.select(query_id, vec_col).toPandas()
     qm = np.stack(qp[vec_col].to_numpy()).astype(np.float64)
     d = ((qm[:, None, :] - cents[None, :, :]) ** 2).sum(-1)
@@ -212,6 +219,7 @@ def pq_search(codes: DataFrame, books: list[np.ndarray], queries: DataFrame, k:
     """VEC-08: asymmetric distance computation: per query a lookup table of
     squared distances (sub-space x centroid), summed over the codes; partial
     top-k per partition, merged per query."""
+    _check_query_count(queries)
     qp = queries.select(query_id, vec_col).toPandas()
     qm = np.stack(qp[vec_col].to_numpy()).astype(np.float64)
     sub = books[0].shape[1]

@@ -148,3 +148,20 @@ def ma_crossover(df: DataFrame, keys: Sequence[str], ts: str, value: str, fast:
          .withColumn("prev_signal", F.lag("signal").over(w)))
     return x.where(flip).withColumn(
         "cross_type", F.when(F.col("signal") > 0, "golden").otherwise("death"))
+
+
+def prefix_max_before(df: DataFrame, order_col: str, value: str, out: str, fanout: int = 1024) -> DataFrame:
+    """Maximum of ``value`` over all rows with a smaller ``order_col``
+    (an exclusive prefix maximum), in two levels: rows are grouped into
+    blocks of ``fanout`` consecutive order values; the prefix over block
+    maxima is a window over one row per block, the rest is a window inside
+    each block.  No window spans the whole table."""
+    blk = F.floor(F.col(order_col) / F.lit(fanout)).cast("long")
+    d = df.withColumn("__blk", blk)
+    per_blk = d.groupBy("__blk").agg(F.max(value).alias("__bm"))
+    per_blk = per_blk.withColumn("__before_blk", F.max("__bm").over(
+        Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = F.max(value).over(Window.partitionBy("__blk").orderBy(order_col)
+                               .rowsBetween(Window.unboundedPreceding, -1))
+    j = d.withColumn("__in", inside).join(per_blk.select("__blk", "__before_blk"), "__blk")
+    return j.withColumn(out, F.greatest("__in", "__before_blk")).drop("__blk", "__in", "__before_blk")

@@ -186,7 +186,7 @@ def jn_above_average_orders(spark, d):
             .agg(F.count(F.lit(1)).alias("n_above_avg")))
 
 
-@query("jn_lookup_customer_orders", ops=("JN-17", "SF-12", "RP-14", "AG-06"), sql=f"""
+@query("jn_lookup_customer_orders", ops=("JN-17", "JN-15", "AG-18"), sql=f"""
 WITH g AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent,
                   arg_min(o_orderkey, {{'d': o_orderdate, 'k': o_orderkey}}) AS first_key,
                   sum(o_totalprice) AS total, bool_and(o_totalprice > 50000) AS all_big
@@ -197,18 +197,42 @@ SELECT c.c_custkey, coalesce(g.n, 0) AS n_orders, coalesce(g.n_urgent, 0) AS n_u
 FROM customer c LEFT JOIN g ON g.o_custkey = c.c_custkey
 """)
 def jn_lookup_customer_orders(spark, d):
+    # a customer may own any share of all orders: the per-parent summary is
+    # built with partial aggregates (no per-customer array), then left-joined
     c = read(spark, d, "customer").select("c_custkey")
     o = read(spark, d, "orders")
-    j = joins.lookup_array(c, o, "c_custkey", "o_custkey", "orders",
-                           ["o_orderdate", "o_orderkey", "o_totalprice", "o_orderpriority"],
-                           order_by="o_orderdate")
-    arr = F.col("orders")
+    g = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("u"),
+        F.min_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("first_order_key"),
+        F.sum("o_totalprice").alias("t"), F.bool_and(F.col("o_totalprice") > 50000).alias("b"))
+    j = c.join(g, c.c_custkey == g.o_custkey, "left")
+    return j.select("c_custkey", F.coalesce("n", F.lit(0)).alias("n_orders"),
+                    F.coalesce("u", F.lit(0)).alias("n_urgent"), "first_order_key",
+                    rh(F.coalesce("t", F.lit(0.0)), 2).alias("total_value"),
+                    F.coalesce("b", F.lit(True)).alias("all_big"))
+
+
+@query("jn_lookup_order_lines", ops=("JN-17", "SF-12"), sql=f"""
+WITH g AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_returnflag = 'R') AS n_ret,
+                  min({{'l': l_linenumber, 'q': l_quantity}}).q AS first_qty, sum(l_quantity) AS qty
+           FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey, coalesce(g.n, 0) AS n_lines, coalesce(g.n_ret, 0) AS n_returned,
+       g.first_qty AS first_line_qty, {rnd("coalesce(g.qty, 0)", 2)} AS total_qty
+FROM orders o LEFT JOIN g ON g.l_orderkey = o.o_orderkey
+""")
+def jn_lookup_order_lines(spark, d):
+    # $lookup with the array result: the children of one order (its lines)
+    # are bounded, so the array per parent is safe to build
+    o = read(spark, d, "orders").select("o_orderkey")
+    li = read(spark, d, "lineitem")
+    j = joins.lookup_array(o, li, "o_orderkey", "l_orderkey", "lines",
+                           ["l_linenumber", "l_quantity", "l_returnflag"], order_by="l_linenumber")
+    arr = F.col("lines")
     return j.select(
-        "c_custkey", F.size(arr).cast("long").alias("n_orders"),
-        F.size(F.filter(arr, lambda x: x["o_orderpriority"] == "1-URGENT")).cast("long").alias("n_urgent"),
-        F.try_element_at(arr, F.lit(1))["o_orderkey"].alias("first_order_key"),
-        rh(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x["o_totalprice"]), 2).alias("total_value"),
-        F.forall(arr, lambda x: x["o_totalprice"] > 50000).alias("all_big"))
+        "o_orderkey", F.size(arr).cast("long").alias("n_lines"),
+        F.size(F.filter(arr, lambda x: x["l_returnflag"] == "R")).cast("long").alias("n_returned"),
+        F.try_element_at(arr, F.lit(1))["l_quantity"].alias("first_line_qty"),
+        rh(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x["l_quantity"]), 2).alias("total_qty"))
 
 
 @query("jn_unnest_name_words", ops=("JN-18", "JN-19", "SF-12", "UD-05"), sql="""

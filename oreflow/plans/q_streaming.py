@@ -195,11 +195,11 @@ def _microbatches(spark, d, size: int = 1000):
     """The readings cut into ingestion micro-batches of ``size`` events (by
     arrival order = event id) with each batch's watermark base: the highest
     event time of all earlier batches (a prefix max over one row per batch)."""
+    from oreflow.operators.windows import prefix_max_before
     r = sensor_readings(spark, d).withColumn("batch", F.floor(F.col("reading_id") / size))
-    per = r.groupBy("batch").agg(F.max("ts").alias("batch_max"))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)  # one row per batch
-    per = per.withColumn("seen_max", F.max("batch_max").over(w))
-    return r.join(F.broadcast(per), "batch")
+    per = r.groupBy("batch").agg(F.max("ts").alias("batch_max"))          # one row per batch
+    per = prefix_max_before(per, "batch", "batch_max", "seen_max")
+    return r.join(per, "batch")
 
 
 @query("st_late_data", ops=("ST-09",), sql=f"""
