@@ -21,17 +21,21 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequence[float] = (),
-            accuracy: int = 10000) -> DataFrame:
+            accuracy: int = 10000, exact_distinct: bool = False) -> DataFrame:
     """PR-01: per column count, missing, distinct, min, max, mean, std,
     zeros, negatives (numeric), min/max/avg length (strings), and the
-    requested approximate quantiles.  Output: column, metric, value (double)."""
+    requested approximate quantiles.  Output: column, metric, value (double).
+
+    Distinct counts are HyperLogLog estimates by default: several exact
+    distinct aggregates in one pass make Spark expand every row once per
+    column; ``exact_distinct`` asks for exact values (small tables, tests)."""
     columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs, names = [F.count(F.lit(1)).alias("__rows")], []
     for c in columns:
         col = F.col(c)
         m = {"rows": F.count(F.lit(1)), "count": F.count(col), "missing": F.count_if(col.isNull()),
-             "distinct": F.count_distinct(col)}
+             "distinct": F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, 0.01)}
         if isinstance(types[c], NumericType):
             m.update({"min": F.min(col), "max": F.max(col), "mean": F.avg(col), "std": F.stddev(col),
                       "zeros": F.count_if(col == 0), "negatives": F.count_if(col < 0),
@@ -79,16 +83,18 @@ def global_average_rank(df: DataFrame, column: str, out: str, buckets: int = 64)
     b = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda x: x < F.col(column))) \
         if bounds else F.lit(0)
     d = df.withColumn("__b", b)
-    sizes = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    # everything below works on distinct (bucket, value) counts, so a value
+    # held by a third of all rows is one row here, not one task's worth
+    vc = d.groupBy("__b", column).agg(F.count(F.lit(1)).alias("__t"))
+    sizes = vc.groupBy("__b").agg(F.sum("__t").alias("__n"))
     offs = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(
         Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    w = Window.partitionBy("__b").orderBy(F.col(column))
-    ranked = (d.withColumn("__r", F.rank().over(w))
-              .withColumn("__t", F.count(F.lit(1)).over(Window.partitionBy("__b", column))))
+    within = F.coalesce(F.sum("__t").over(Window.partitionBy("__b").orderBy(column)
+                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # one row per bucket: broadcast bounded by ``buckets``
-    return (ranked.join(F.broadcast(offs), "__b")
-            .withColumn(out, F.col("__off") + F.col("__r") + (F.col("__t") - 1) / 2.0)
-            .drop("__b", "__off", "__r", "__t"))
+    ranks = (vc.withColumn("__before", within).join(F.broadcast(offs), "__b")
+             .select("__b", column, (F.col("__off") + F.col("__before") + (F.col("__t") + 1) / 2.0).alias(out)))
+    return d.join(ranks, ["__b", column]).drop("__b")
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -151,10 +157,13 @@ def alerts(prof: DataFrame, high_card: float = 0.9, skew: float | None = 1.0,
         "column", "a.alert", "a.value")
 
 
-def compare_groups(df: DataFrame, group_col: str, a_value, b_value, columns: Sequence[str]) -> DataFrame:
+def compare_groups(df: DataFrame, group_col: str, a_value, b_value, columns: Sequence[str],
+                   exact_distinct: bool = False) -> DataFrame:
     """PR-06: profile two subsets side by side and their differences."""
-    pa = profile(df.where(F.col(group_col) == a_value), columns).withColumnRenamed("value", "value_a")
-    pb = profile(df.where(F.col(group_col) == b_value), columns).withColumnRenamed("value", "value_b")
+    pa = profile(df.where(F.col(group_col) == a_value), columns, exact_distinct=exact_distinct) \
+        .withColumnRenamed("value", "value_a")
+    pb = profile(df.where(F.col(group_col) == b_value), columns, exact_distinct=exact_distinct) \
+        .withColumnRenamed("value", "value_b")
     return (pa.join(pb, ["column", "metric"], "full_outer")
             .withColumn("difference", F.col("value_b") - F.col("value_a")))
 

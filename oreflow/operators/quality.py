@@ -63,10 +63,6 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], parents: dict[str, DataFrame]
     for i, r in enumerate(row_rules):
         evaluated = F.count(F.lit(1)) if r.kind in ("not_null", "expr") else F.count(F.col(r.column))
         aggs += [evaluated.alias(f"__e{i}"), F.count_if(~row_ok(r)).alias(f"__u{i}")]
-    for i, r in enumerate(rules):
-        if r.kind == "unique":
-            aggs += [F.count(F.col(r.column)).alias(f"__ue{i}"),
-                     F.count_distinct(F.col(r.column)).alias(f"__ud{i}")]
     one = df.agg(*aggs)  # single pass, partial aggregation per partition
     parts = []
     for i, r in enumerate(row_rules):
@@ -75,9 +71,14 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], parents: dict[str, DataFrame]
                                 F.col(f"__e{i}").alias("evaluated"), F.col(f"__u{i}").alias("unexpected")))
     for i, r in enumerate(rules):
         if r.kind == "unique":
-            parts.append(one.select(F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"),
-                                    F.lit(r.column).alias("column"), F.col(f"__ue{i}").alias("evaluated"),
-                                    (F.col(f"__ue{i}") - F.col(f"__ud{i}")).alias("unexpected")))
+            # rows minus distinct keys, from a grouped count (partial counts
+            # per partition; no distinct-aggregate expansion)
+            per_key = df.where(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("__c"))
+            parts.append(per_key.agg(F.sum("__c").alias("evaluated"), F.count(F.lit(1)).alias("__d"))
+                         .select(F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"),
+                                 F.lit(r.column).alias("column"),
+                                 F.coalesce(F.col("evaluated"), F.lit(0)).cast("long").alias("evaluated"),
+                                 (F.coalesce(F.col("evaluated"), F.lit(0)) - F.col("__d")).cast("long").alias("unexpected")))
         elif r.kind == "row_count":
             lo, hi = r.params.get("min", 0), r.params.get("max")
             ok = F.col("__n") >= lo
