@@ -220,10 +220,19 @@ def expand_context(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return out
 
 
-def intervals(events: DataFrame, node: str, ts: str) -> DataFrame:
-    """GR-15: days between consecutive events of a node: avg, min, max."""
-    w = Window.partitionBy(node).orderBy(ts)
-    d = events.withColumn("__gap", F.datediff(F.col(ts), F.lag(ts).over(w)))
+def intervals(events: DataFrame, node: str, ts: str, tiebreak: str | None = None,
+              bucket_s: int | None = None) -> DataFrame:
+    """GR-15: days between consecutive events of a node: avg, min, max.
+    With ``tiebreak`` and ``bucket_s`` large inputs use the bucketed window
+    (a node with a third of all events is spread over its time buckets)."""
+    from oreflow.operators.windows import bucketed_window
+    from oreflow.session import use_bucketed_windows
+    if tiebreak and bucket_s and use_bucketed_windows(events):
+        d = bucketed_window(events, [node], ts, tiebreak, bucket_s, 1, 0, {"__prev": lambda w: F.lag(ts).over(w)})
+        d = d.withColumn("__gap", F.datediff(F.col(ts), F.col("__prev")))
+    else:
+        w = Window.partitionBy(node).orderBy(*([ts, tiebreak] if tiebreak else [ts]))
+        d = events.withColumn("__gap", F.datediff(F.col(ts), F.lag(ts).over(w)))
     return (d.where(F.col("__gap").isNotNull()).groupBy(node)
             .agg(F.avg("__gap").alias("avg_days"), F.min("__gap").alias("min_days"),
                  F.max("__gap").alias("max_days"), F.count(F.lit(1)).alias("n_intervals")))

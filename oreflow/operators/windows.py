@@ -165,3 +165,19 @@ def prefix_max_before(df: DataFrame, order_col: str, value: str, out: str, fanou
                                .rowsBetween(Window.unboundedPreceding, -1))
     j = d.withColumn("__in", inside).join(per_blk.select("__blk", "__before_blk"), "__blk")
     return j.withColumn(out, F.greatest("__in", "__before_blk")).drop("__blk", "__in", "__before_blk")
+
+
+def running_stats(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: str,
+                  bucket_s: int | None = None) -> DataFrame:
+    """WN-05 / WN-08: per key in (ts, tiebreak) order the running count
+    (= row number), running sum and running average.  For large inputs the
+    sums are a prefix over per-bucket totals plus a running sum inside the
+    bucket (no window over a whole key)."""
+    keys = list(keys)
+    if bucket_s and use_bucketed_windows(df):
+        d = bucketed_running_sum(df.withColumn("__one", F.lit(1)), keys, ts, tiebreak, bucket_s, "__one", "seq_no")
+        d = bucketed_running_sum(d, keys, ts, tiebreak, bucket_s, value, "running_sum").drop("__one")
+    else:
+        w = Window.partitionBy(*keys).orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+        d = df.withColumn("seq_no", F.count(F.lit(1)).over(w)).withColumn("running_sum", F.sum(value).over(w))
+    return d.withColumn("running_avg", F.col("running_sum") / F.col("seq_no"))

@@ -296,7 +296,7 @@ SELECT o_custkey, {rnd("avg(gap)", 3)} AS avg_days, CAST(min(gap) AS INTEGER) AS
 FROM x WHERE gap IS NOT NULL GROUP BY o_custkey
 """)
 def gr_event_intervals(spark, d):
-    iv = g.intervals(read(spark, d, "orders"), "o_custkey", "o_orderdate")
+    iv = g.intervals(read(spark, d, "orders"), "o_custkey", "o_orderdate", "o_orderkey", bucket_s=365 * 86400)
     return iv.select("o_custkey", rh("avg_days", 3).alias("avg_days"), "min_days", "max_days", "n_intervals")
 
 

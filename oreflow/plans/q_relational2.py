@@ -27,14 +27,10 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def wn_running_totals(spark, d):
-    o = read(spark, d, "orders")
-    w = (Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    return o.select("o_orderkey", "o_custkey",
-                    F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
-                    .alias("seq_no"),
-                    rh(F.sum("o_totalprice").over(w), 2).alias("running_value"),
-                    rh(F.avg("o_totalprice").over(w), 2).alias("running_avg"))
+    o = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    r = wn.running_stats(o, ["o_custkey"], "o_orderdate", "o_orderkey", "o_totalprice", bucket_s=365 * 86400)
+    return r.select("o_orderkey", "o_custkey", F.col("seq_no").cast("int").alias("seq_no"),
+                    rh("running_sum", 2).alias("running_value"), rh("running_avg", 2).alias("running_avg"))
 
 
 @query("wn_sessions_by_gap", ops=("WN-09", "ST-03"), bench=True, sql=f"""
