@@ -2,8 +2,8 @@
 
 A profile is a long table (column, metric, value) computed in one aggregate
 pass per table; quantiles use ``percentile_approx`` (bounded memory per
-group).  Ranks for Spearman correlation come from a range-partitioned sort,
-never from a window over the whole table in one task.
+group).  Ranks for Spearman correlation come from quantile buckets and
+distinct-value counts, never from a window over the whole table in one task.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequ
     aggs, names = [F.count(F.lit(1)).alias("__rows")], []
     for c in columns:
         col = F.col(c)
-        m = {"rows": F.count(F.lit(1)), "count": F.count(col), "missing": F.count_if(col.isNull()),
-             "distinct": F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col, 0.01)}
+        m = {"rows": F.count(F.lit(1)), "count": F.count(col), "missing": F.count_if(col.isNull())}
+        if not exact_distinct:
+            m["distinct"] = F.approx_count_distinct(col, 0.01)
         if isinstance(types[c], NumericType):
             m.update({"min": F.min(col), "max": F.max(col), "mean": F.avg(col), "std": F.stddev(col),
                       "zeros": F.count_if(col == 0), "negatives": F.count_if(col < 0),
@@ -50,6 +51,14 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequ
             aggs.append(e.cast("double").alias(alias))
             names.append((c, k, alias))
     wide = df.agg(*aggs)
+    if exact_distinct:
+        # exact distinct counts as separate scalar sub-queries: mixed into
+        # the main aggregate they would expand every row once per column
+        extra = []
+        for c in columns:
+            extra.append(df.select(F.count_distinct(c).cast("double")).scalar().alias(f"{c}__distinct"))
+            names.append((c, "distinct", f"{c}__distinct"))
+        wide = wide.select("*", *extra)
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("metric"),
                                          F.col(a).alias("value")) for c, k, a in names]))
     return wide.select(stack.alias("s")).select("s.*")
