@@ -186,7 +186,7 @@ def jn_above_average_orders(spark, d):
             .agg(F.count(F.lit(1)).alias("n_above_avg")))
 
 
-@query("jn_lookup_customer_orders", ops=("JN-17", "JN-15", "AG-18"), sql=f"""
+@query("jn_lookup_customer_orders", ops=("JN-17", "JN-15", "AG-18", "RP-14"), sql=f"""
 WITH g AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent,
                   arg_min(o_orderkey, {{'d': o_orderdate, 'k': o_orderkey}}) AS first_key,
                   sum(o_totalprice) AS total, bool_and(o_totalprice > 50000) AS all_big
