@@ -15,6 +15,7 @@ from oreflow.operators import etl, vault
 from oreflow.operators import warehouse as wh
 from oreflow.plans.registry import query
 from oreflow.plans.sqlfmt import rnd
+from oreflow.session import checkpoint_dir
 from oreflow.sources.tables import production, read
 
 CUT = "1998-01-01 00:00:00"
@@ -42,6 +43,10 @@ def scd2_two_batches(spark, d):
     ch = priority_changes(spark, d)
     dim1 = wh.scd2_apply(empty_scd2(spark), ch.where(F.col("change_ts") < _cut()),
                          ["c_custkey"], ["priority"], F.lit(None))
+    # the first load's dimension is a stored table for the second load:
+    # materialise it in the shared checkpoint folder (lineage cut)
+    checkpoint_dir(spark)
+    dim1 = dim1.checkpoint(eager=True)
     return wh.scd2_apply(dim1, ch.where(F.col("change_ts") >= _cut()),
                          ["c_custkey"], ["priority"], F.lit(None))
 
@@ -294,6 +299,8 @@ def customer_satellite(spark, d):
     sat1 = vault.satellite_load(None, vault.satellite_rows(
         cand.where(F.col("change_ts") < _cut()), "c_custkey", "customer_hk", ["priority"],
         F.col("change_ts"), "crm").drop("c_custkey"), "customer_hk")
+    checkpoint_dir(spark)
+    sat1 = sat1.checkpoint(eager=True)        # the stored satellite after load 1
     return vault.satellite_load(sat1, vault.satellite_rows(
         cand.where(F.col("change_ts") >= _cut()), "c_custkey", "customer_hk", ["priority"],
         F.col("change_ts"), "crm").drop("c_custkey"), "customer_hk")
