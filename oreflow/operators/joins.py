@@ -50,20 +50,21 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     cond = [lb[k] == rb[k] for k in keys] + [lb["__b"] == rb["__b"]]
     rng = ((lb[left_ts] >= rb[right_ts] - F.make_dt_interval(secs=F.lit(before_s)))
            & (lb[left_ts] <= rb[right_ts] + F.make_dt_interval(secs=F.lit(after_s))))
-    matched = lb.join(rb, cond + [rng], "inner")
     out_cols = [lb[c] for c in left.columns] + [rb[c] for c in right.columns if c not in keys]
-    inner = matched.select(*out_cols)
     if how == "inner":
-        return inner
+        return lb.join(rb, cond + [rng], "inner").select(*out_cols)
     if how != "left" or not left_id:
         raise ValueError("how must be 'inner', or 'left' with left_id")
-    # keep unmatched left rows once: anti join on the unique left id
-    hit = inner.select(left_id)
-    miss = left.join(hit, left_id, "left_anti")
-    for c in right.columns:
-        if c not in keys:
-            miss = miss.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-    return inner.unionByName(miss)
+    # one left-outer pass over the bucket copies; per left row keep its
+    # matches, or (no match in any of its buckets) exactly one row with NULL
+    # right columns.  The window groups one left row's few copies only.
+    rmark = rb.withColumn("__hit", F.lit(True))
+    j = lb.join(rmark, cond + [rng], "left")
+    w = Window.partitionBy(lb[left_id])
+    j = (j.select(*out_cols, lb["__b"].alias("__lb"), F.coalesce(rmark["__hit"], F.lit(False)).alias("__hit"))
+         .withColumn("__any", F.max("__hit").over(w)).withColumn("__first", F.min("__lb").over(w)))
+    return (j.where(F.col("__hit") | (~F.col("__any") & (F.col("__lb") == F.col("__first"))))
+            .drop("__lb", "__hit", "__any", "__first"))
 
 
 def range_count(windows: DataFrame, events: DataFrame, keys: Sequence[str],
