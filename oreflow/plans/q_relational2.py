@@ -266,10 +266,10 @@ SELECT l_orderkey, l_linenumber, {rnd("l_extendedprice / 3.0", 2)} AS r2, abs(l_
        greatest(l_discount, l_tax) AS gt, least(l_discount, l_tax) AS lt,
        {rnd("sin(l_quantity * pi() / 50) + cos(l_quantity * pi() / 50)", 6)} AS wave,
        CAST(l_quantity AS INTEGER) AS qty_int, TRY_CAST(l_returnflag AS INTEGER) AS bad_cast
-FROM lineitem WHERE l_quantity > 45
+FROM lineitem
 """)
 def sf_math_functions(spark, d):
-    li = read(spark, d, "lineitem").where(F.col("l_quantity") > 45)
+    li = read(spark, d, "lineitem")
     q = F.col("l_quantity")
     return li.select(
         "l_orderkey", "l_linenumber", rh(F.col("l_extendedprice") / 3.0, 2).alias("r2"),

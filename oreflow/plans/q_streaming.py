@@ -104,12 +104,12 @@ s AS (SELECT *, sum(is_new) OVER (PARTITION BY equipment_id ORDER BY ts, reading
 SELECT equipment_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS n_events FROM s GROUP BY equipment_id, sn
 """)
 def st_session_windows(spark, d):
-    # session windows support append (final sessions, after the watermark)
-    # or complete output; the job runs to the end of the available input,
-    # so the complete result is read once at the end
-    agg = so.session_windows(_stream(spark, d), ["equipment_id"], "ts", "10 minutes")
-    out = sc.run_changelog(agg, "st_session", "complete")
-    r = sc.to_ntz(sc.read_changelog(spark, out, ["session", "equipment_id"]))
+    # append mode: a session is emitted once, when the watermark passes it;
+    # the end-of-input marker closes the last sessions of the bounded replay
+    s = sc.with_end_marker(spark, _stream(spark, d))
+    agg = so.session_windows(s, ["equipment_id"], "ts", "10 minutes")
+    out = sc.run_changelog(agg, "st_session", "append")
+    r = sc.to_ntz(sc.read_changelog(spark, out)).where(F.col("equipment_id") != sc.END_MARKER_KEY)
     return r.select("equipment_id", "session_start", "last_event", "n_events")
 
 

@@ -156,3 +156,20 @@ def run_with_late_side_output(stream: DataFrame, ts: str, delay_s: int, out: str
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return ckpt
+
+
+END_MARKER_KEY = -1
+
+
+def with_end_marker(spark: SparkSession, stream: DataFrame, schema: str = EVENTS_SCHEMA) -> DataFrame:
+    """Union ``stream`` with a one-row end-of-input marker stream: a
+    far-future event of the dummy equipment ``END_MARKER_KEY``.  Replaying a
+    bounded landing folder, it moves the (global) watermark past every real
+    window or session, so append mode emits them all; outputs of the dummy
+    key are dropped by the caller.  Real feeds do not need it."""
+    marker_dir = scratch_path(spark, "end-marker")
+    spark.createDataFrame([(0, "9000-01-01 00:00:00", END_MARKER_KEY, "__end__", 0.0, "{}")],
+                          "event_id long, ts string, user_id long, event_type string, value double, props string") \
+        .selectExpr("event_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "user_id", "event_type", "value", "props") \
+        .write.parquet(marker_dir)
+    return stream.unionByName(event_stream(spark, marker_dir, schema))
