@@ -18,9 +18,33 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # streaming state lives in RocksDB on local disk (checkpointed), not on
+    # the JVM heap: per-key state of millions of keys survives
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at input / target size (AQE coalesces small
+    ones and splits skewed ones at runtime), never below twice the cores;
+    input splits are ``target_partition_bytes``; broadcasts stay under
+    64 MiB so every executor can hold a few at once."""
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str | None = None, app: str = "oreflow",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
