@@ -16,6 +16,7 @@ from pyspark.sql.types import NumericType
 
 from oreflow.functions.hashing import row_hash, surrogate_key
 from oreflow.functions.timefn import calendar_parts
+from oreflow.operators.timeseries import _ordered
 
 OPEN_END = "9999-12-31"
 
@@ -104,7 +105,8 @@ def junk_dimension(facts: DataFrame, attrs: Sequence[str], existing: DataFrame |
 # ----------------------------------------------------------------- SCD types
 def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], load_date: Column, valid_from: str = "effective_from",
-               valid_to: str = "effective_to", is_current: str = "is_current") -> DataFrame:
+               valid_to: str = "effective_to", is_current: str = "is_current",
+               bucket_s: int = 30 * 86400) -> DataFrame:
     """WH-07: set-based SCD type 2 (G13, G14).
 
     ``current`` holds all versions (with validity columns); ``incoming`` is
@@ -119,6 +121,9 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     hcol = "__h"
     inc = incoming.withColumn(hcol, row_hash(*tracked))
     extra = [c for c in incoming.columns if c not in keys and c not in ("change_ts", "change_seq")]
+    # a unique (change_ts, change_seq) order allows time-bucketed windows on
+    # large inputs (a key with a third of all changes is spread over buckets)
+    tiebreak = "__seq" if "change_seq" in incoming.columns else None
     end_type = current.schema[valid_to].dataType
     open_ = current.where(F.col(is_current))
     closed_hist = current.where(~F.col(is_current))
@@ -132,18 +137,21 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                .withColumn("__seq", F.col("change_seq") if "change_seq" in inc.columns else F.lit(0))
                .join(cur_h, keys, "left")
                .where(F.col("__cur_from").isNull() | (F.col("__from").cast(end_type) > F.col("__cur_from"))))
-        w = Window.partitionBy(*keys).orderBy("__from", "__seq")
-        inc = (inc.withColumn("__prev_h", F.lag(hcol).over(w))
-               .where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol))))
+        inc = _ordered(inc, keys, "__from", tiebreak, bucket_s, 1, 0,
+                       {"__prev_h": lambda w: F.lag(hcol).over(w)})
+        inc = inc.where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
     else:
         inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0)).join(cur_h, keys, "left")
-    # first incoming version per key is compared with the open version
-    w1 = Window.partitionBy(*keys).orderBy("__from", "__seq")
-    inc = inc.withColumn("__rn", F.row_number().over(w1))
-    changed = inc.where(F.col("__cur_h").isNull() | (F.col("__rn") > 1)
+    # the first incoming version per key (a grouped minimum, no window) is
+    # compared with the open version; later ones are changes by construction
+    first = inc.groupBy(*keys).agg(F.min(F.struct("__from", "__seq")).alias("__first"))
+    inc = inc.join(first, keys).withColumn("__is_first", F.struct("__from", "__seq") == F.col("__first"))
+    changed = inc.where(F.col("__cur_h").isNull() | ~F.col("__is_first")
                         | (F.col(hcol) != F.col("__cur_h")))
     # new versions: valid until the next change of the same key, else open
-    new_versions = (changed.withColumn("__to", F.lead("__from").over(w1))
+    changed = _ordered(changed, keys, "__from", tiebreak, bucket_s, 0, 1,
+                       {"__to": lambda w: F.lead("__from").over(w)})
+    new_versions = (changed
                     .select(*keys, *extra,
                             F.col("__from").cast(end_type).alias(valid_from),
                             F.coalesce(F.col("__to").cast(end_type),

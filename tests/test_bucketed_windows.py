@@ -72,3 +72,17 @@ def test_forced_bucketing_running_and_intervals(spark, sf_small):
             assert ok, (name, msg)
     finally:
         spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
+
+
+def test_forced_bucketing_scd2(spark, sf_small):
+    import __spark_entry__ as E
+    from oreflow.plans.verify import compare, duckdb_connection
+    from oreflow.session import WINDOW_BUCKET_THRESHOLD_KEY
+    con = duckdb_connection(sf_small)
+    spark.conf.set(WINDOW_BUCKET_THRESHOLD_KEY, "0")
+    try:
+        for name in ["wh_scd2_two_batches", "wh_point_in_time_join"]:
+            ok, msg = compare(spark, con, sf_small, E.queries()[name], E.oracle_sql()[name])
+            assert ok, (name, msg)
+    finally:
+        spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
