@@ -124,6 +124,8 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     # a unique (change_ts, change_seq) order allows time-bucketed windows on
     # large inputs (a key with a third of all changes is spread over buckets)
     tiebreak = "__seq" if "change_seq" in incoming.columns else None
+    from oreflow.session import use_bucketed_windows
+    large = bool(tiebreak) and use_bucketed_windows(incoming)      # decided on the raw extract
     end_type = current.schema[valid_to].dataType
     open_ = current.where(F.col(is_current))
     closed_hist = current.where(~F.col(is_current))
@@ -138,19 +140,23 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                .join(cur_h, keys, "left")
                .where(F.col("__cur_from").isNull() | (F.col("__from").cast(end_type) > F.col("__cur_from"))))
         inc = _ordered(inc, keys, "__from", tiebreak, bucket_s, 1, 0,
-                       {"__prev_h": lambda w: F.lag(hcol).over(w)})
+                       {"__prev_h": lambda w: F.lag(hcol).over(w)}, large)
         inc = inc.where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
     else:
         inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0)).join(cur_h, keys, "left")
     # the first incoming version per key (a grouped minimum, no window) is
     # compared with the open version; later ones are changes by construction
-    first = inc.groupBy(*keys).agg(F.min(F.struct("__from", "__seq")).alias("__first"))
-    inc = inc.join(first, keys).withColumn("__is_first", F.struct("__from", "__seq") == F.col("__first"))
+    if large:
+        first = inc.groupBy(*keys).agg(F.min(F.struct("__from", "__seq")).alias("__first"))
+        inc = inc.join(first, keys).withColumn("__is_first", F.struct("__from", "__seq") == F.col("__first"))
+    else:
+        w1 = Window.partitionBy(*keys).orderBy("__from", "__seq")
+        inc = inc.withColumn("__is_first", F.row_number().over(w1) == 1)
     changed = inc.where(F.col("__cur_h").isNull() | ~F.col("__is_first")
                         | (F.col(hcol) != F.col("__cur_h")))
     # new versions: valid until the next change of the same key, else open
     changed = _ordered(changed, keys, "__from", tiebreak, bucket_s, 0, 1,
-                       {"__to": lambda w: F.lead("__from").over(w)})
+                       {"__to": lambda w: F.lead("__from").over(w)}, large)
     new_versions = (changed
                     .select(*keys, *extra,
                             F.col("__from").cast(end_type).alias(valid_from),

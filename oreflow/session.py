@@ -94,10 +94,21 @@ WINDOW_BUCKET_THRESHOLD_DEFAULT = 1 << 30
 
 
 def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of a DataFrame (from file sizes and
-    statistics) — known at planning time, no job runs."""
+    """Size of the data a DataFrame reads: the sum of Catalyst's size
+    statistics of the plan's leaf relations (file sizes of the scanned
+    tables) — known at planning time, no job runs.  Leaves are used rather
+    than the root because Catalyst's default estimate of a join is the
+    product of its inputs; leaves without statistics (checkpoints) count 0."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+        leaves = plan.collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            size = int(str(leaves.apply(i).stats().sizeInBytes()))
+            if size < unknown:
+                total += size
+        return total
     except Exception:  # noqa: BLE001 - no estimate: assume large
         return 1 << 62
 
