@@ -16,7 +16,7 @@ from oreflow.operators import documents as doc
 from oreflow.operators import joins
 from oreflow.operators import normalize as nz
 from oreflow.operators import vectors as vx
-from oreflow.plans.q_documents import customer_docs, order_docs
+from oreflow.plans.q_documents import customer_docs
 from oreflow.plans.q_timeseries import KEYS, QF, R
 from oreflow.plans.q_warehouse import CUT, _cut, latest_priority, priority_changes
 from oreflow.plans.registry import query

@@ -10,7 +10,6 @@ lag) are expressed on the ingestion-ordered micro-batches of the table.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from oreflow.functions.classify import quality_flag
 from oreflow.functions.numeric import round_half_up as rh
