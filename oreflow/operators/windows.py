@@ -181,3 +181,27 @@ def running_stats(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, va
         w = Window.partitionBy(*keys).orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
         d = df.withColumn("seq_no", F.count(F.lit(1)).over(w)).withColumn("running_sum", F.sum(value).over(w))
     return d.withColumn("running_avg", F.col("running_sum") / F.col("seq_no"))
+
+
+def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, out: str, descending: bool = True) -> DataFrame:
+    """WN-11: SQL ``rank()`` of each row by ``value`` inside its key (ties
+    share the rank, gaps follow).  Large inputs use counts per distinct
+    (key, value): rank = 1 + rows of the key with a better value, a running
+    sum over the distinct values, joined back — so a key with a third of all
+    rows costs as many window rows as it has distinct values (readings of
+    fixed precision have a bounded number)."""
+    keys = list(keys)
+    if not use_bucketed_windows(df):
+        o = F.col(value).desc() if descending else F.col(value).asc()
+        return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(o)))
+    vc = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    o = F.col(value).desc() if descending else F.col(value).asc()
+    before = F.coalesce(F.sum("__c").over(Window.partitionBy(*keys).orderBy(o)
+                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = vc.select(*keys, value, (before + 1).cast("int").alias(out))
+    # NULL values rank after all others (ORDER BY ... DESC puts them last)
+    tot = vc.groupBy(*keys).agg(F.sum("__c").alias("__tot"))
+    with_rank = df.where(F.col(value).isNotNull()).join(ranks, keys + [value], "left")
+    null_rank = df.where(F.col(value).isNull()).join(tot, keys, "left").select(
+        *df.columns, (F.coalesce(F.col("__tot"), F.lit(0)) + 1).cast("int").alias(out))
+    return with_rank.unionByName(null_rank)

@@ -94,11 +94,12 @@ FROM events
 """)
 def wn_sequence_per_key(spark, d):
     r = sensor_readings(spark, d)
-    return r.select("reading_id", "equipment_id",
-                    F.row_number().over(Window.partitionBy("equipment_id").orderBy("ts", "reading_id"))
-                    .alias("seq_no"),
-                    F.rank().over(Window.partitionBy("equipment_id", "sensor_type")
-                                  .orderBy(F.col("value").desc())).alias("value_rank"))
+    # sequence number = running count (bucketed on large inputs); value rank
+    # from distinct (key, value) counts on large inputs
+    s = wn.running_stats(r.withColumn("__one", F.lit(1.0)), ["equipment_id"], "ts", "reading_id", "__one",
+                         bucket_s=7 * 86400)
+    s = wn.rank_by_value(s, ["equipment_id", "sensor_type"], "value", "value_rank")
+    return s.select("reading_id", "equipment_id", F.col("seq_no").cast("int").alias("seq_no"), "value_rank")
 
 
 @query("wn_lag_pct_change", ops=("WN-01", "WN-02", "SF-10"), sql=f"""

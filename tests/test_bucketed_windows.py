@@ -86,3 +86,16 @@ def test_forced_bucketing_scd2(spark, sf_small):
             assert ok, (name, msg)
     finally:
         spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
+
+
+def test_forced_large_path_ranks_and_sequences(spark, sf_small):
+    import __spark_entry__ as E
+    from oreflow.plans.verify import compare, duckdb_connection
+    from oreflow.session import WINDOW_BUCKET_THRESHOLD_KEY
+    con = duckdb_connection(sf_small)
+    spark.conf.set(WINDOW_BUCKET_THRESHOLD_KEY, "0")
+    try:
+        ok, msg = compare(spark, con, sf_small, E.queries()["wn_sequence_per_key"], E.oracle_sql()["wn_sequence_per_key"])
+        assert ok, msg
+    finally:
+        spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
