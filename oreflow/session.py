@@ -117,3 +117,34 @@ def use_bucketed_windows(df) -> bool:
     spark = df.sparkSession
     thr = int(spark.conf.get(WINDOW_BUCKET_THRESHOLD_KEY, str(WINDOW_BUCKET_THRESHOLD_DEFAULT)))
     return estimated_bytes(df) > thr
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``oreflow`` importable in the Python workers of this session
+    (what ``spark-submit --py-files`` does): zip the package once and
+    ``addPyFile`` it.  Functions used in Arrow/pandas tasks are pickled by
+    module reference, so workers must be able to import the package."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    import oreflow
+    pkg_dir = os.path.dirname(os.path.abspath(oreflow.__file__))
+    base = spark.conf.get("spark.checkpoint.dir", None) or ""
+    local_base = base[len("file:"):] if base.startswith("file:") else base
+    if not local_base.startswith("/"):
+        local_base = tempfile.gettempdir()   # staging file for distribution only
+    os.makedirs(local_base, exist_ok=True)
+    target = os.path.join(local_base, f"oreflow-pkg-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
