@@ -59,6 +59,7 @@ def build_session(master: str | None = None, app: str = "oreflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
