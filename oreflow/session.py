@@ -99,7 +99,8 @@ def estimated_bytes(df) -> int:
     statistics of the plan's leaf relations (file sizes of the scanned
     tables) — known at planning time, no job runs.  Leaves are used rather
     than the root because Catalyst's default estimate of a join is the
-    product of its inputs; leaves without statistics (checkpoints) count 0."""
+    product of its inputs.  Checkpoints keep the statistics of the plan they
+    materialised; leaves without any statistics count 0."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
         unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
