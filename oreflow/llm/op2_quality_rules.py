@@ -27,8 +27,8 @@ MIN_GROUP = 200
 # measure -> (least width of the fence below and above, in its unit; None: no limit on that side)
 MEASURES = {
     "symbol_pm": (None, 20),       # symbols per 1000 characters of words
-    "dup_line_pm": (None, 150),    # repeated lines per 1000 lines with a word
-    "repeat_pm": (None, 100),      # words in repeated 3-word windows per 1000 words
+    "dup_line_pm": (None, 350),    # repeated lines per 1000 lines with a word
+    "repeat_pm": (None, 450),      # words in repeated 3-word windows per 1000 words
     "word_cpm": (150, 150),        # characters per 100 words
 }
 _SYMBOL = np.zeros(256, bool)

@@ -89,7 +89,8 @@ class Flat:
         np.logical_not(space, out=space)
         starts = np.flatnonzero(space & before)
         ends = np.flatnonzero(space & after) + 1
-        return starts, ends, np.searchsorted(self.offs, starts, "right") - 1
+        first = np.searchsorted(starts, self.offs)
+        return starts, ends, np.repeat(np.arange(self.n), first[1:] - first[:-1])
 
     def per_text(self, mask: np.ndarray) -> np.ndarray:
         """Number of marked bytes of each text."""
@@ -141,10 +142,51 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text",
             at = to
 
 
-def first_of_run(sorted_keys: np.ndarray) -> np.ndarray:
-    m = np.ones(len(sorted_keys), bool)
-    m[1:] = sorted_keys[1:] != sorted_keys[:-1]
-    return m
+def count_equal(h: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, how often each occurs (or its weights' sum), and where it occurs once."""
+    order = np.argsort(h)
+    s = h[order]
+    first = np.ones(len(s), bool)
+    first[1:] = s[1:] != s[:-1]
+    at = np.flatnonzero(first)
+    n = np.diff(np.append(at, len(s))) if weight is None else np.add.reduceat(weight[order], at) if len(at) else weight[:0]
+    return s[at], n, order[at]
+
+
+class Lookup:
+    """Numbers 0.. of given distinct hashes; -1 for any other.  One probe of a
+    sparse table settles nearly every hash, a sorted search the rest."""
+
+    def __init__(self, keys: np.ndarray):
+        keys = np.asarray(keys, np.uint64)
+        self.bits = _U(max(12, int(len(keys)).bit_length() + 3))
+        size = 1 << int(self.bits)
+        self.slot = np.full(size, -1, np.int32)
+        at = self._at(keys)
+        self.slot[at[::-1]] = np.arange(len(keys) - 1, -1, -1)
+        self.keys = keys
+        lost = np.flatnonzero(self.slot[at] != np.arange(len(keys)))
+        lost = lost[np.argsort(keys[lost])]
+        self.lost_keys, self.lost_ids = keys[lost], lost
+        self.crowded = np.zeros(size, bool)
+        self.crowded[at[lost]] = True
+
+    def _at(self, h: np.ndarray) -> np.ndarray:
+        return (h >> (_U(64) - self.bits)).astype(np.int64)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(h), -1, np.int32)
+        at = self._at(h)
+        out = self.slot[at]
+        bad = (out >= 0) & (self.keys[out] != h)
+        out[bad] = -1
+        more = np.flatnonzero(bad & self.crowded[at])
+        if len(more):
+            i = np.minimum(np.searchsorted(self.lost_keys, h[more]), len(self.lost_keys) - 1)
+            ok = self.lost_keys[i] == h[more]
+            out[more[ok]] = self.lost_ids[i[ok]]
+        return out
 
 
 def unique_per_text(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
