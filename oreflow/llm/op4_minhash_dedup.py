@@ -169,12 +169,12 @@ class NearDuplicates:
             found.append(self.estimated(self._pairs(short, per, stuck), link_cut))
             if stuck:
                 break
-            star = self._stars(hot, per, far)
+            star, pivots = self._stars(hot, per, far)
             tested = self.exact(self.estimated(star.select("a", "b"), far_cut), far)
             tested = cut(star.join(tested, ["a", "b"]))
             stars.append(tested)
             safe = tested.where(F.col("linked") & (F.col("o") >= SAFE)).select(F.col("a").alias("node")) \
-                .union(tested.select(F.col("b").alias("node"))).distinct()
+                .union(pivots.where(F.col("lists") >= SAFE).select("node")).distinct()
             rest = per.where(F.col("hots") >= FEW).select("node").join(safe, "node", "left_anti")
             todo = todo.join(rest, "node", "left_semi")
         if not found:
@@ -214,13 +214,15 @@ class NearDuplicates:
         w = Window.partitionBy("node").orderBy("df", "v")
         return post.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= FEW)
 
-    def _stars(self, hot: DataFrame, per: DataFrame, far: int) -> DataFrame:
-        """(a, b, o): a class, the pivot of o of its long lists."""
+    def _stars(self, hot: DataFrame, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
+        """(a, b, o): a class, the pivot of o of its long lists; (node, lists): pivots and their lists."""
         h = hot.join(per, "node")
         top = h.groupBy("v").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("p")) \
             .select("v", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb"))
-        return cut(h.join(top, "v").where((F.col("node") != F.col("b")) & self._near(F.col("n"), F.col("nb"), far))
-                   .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o")))
+        top = cut(top)
+        star = h.join(top, "v").where((F.col("node") != F.col("b")) & self._near(F.col("n"), F.col("nb"), far)) \
+            .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"))
+        return cut(star), top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"))
 
     def _border(self, links: DataFrame, star: DataFrame, link_cut: float) -> DataFrame:
         """Links between a pivot's circle and its border, where they join components."""
