@@ -2,7 +2,7 @@
 
 A batch's texts lie one after the other in one byte buffer; words, lines and
 their 64-bit hashes come out of it as arrays, without a Python loop per word.
-Work goes in pieces of a few MB so a task's memory does not depend on the size
+Work goes in pieces of half a MB so a task's memory does not depend on the size
 of Arrow's batches.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
