@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bitmap import Bitmap, build
 from .common import cut, documents, free_name, id_key, key_id
 from .components import components
 from .textvec import _U, mix, pieces, shingle_sets
@@ -40,9 +41,10 @@ K = 32
 HOT = 24
 SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
+LIST_COST = 20  # pairs per class that a round of all pairs may cost
 SIGN = _U(1 << 63)
 
-_SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>"
+_SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>, brief array<int>"
 
 
 def _ordered(h: np.ndarray) -> np.ndarray:
@@ -64,23 +66,31 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
         to = np.zeros(f.n + 1, np.int64)
         np.cumsum(k, out=to[1:])
         at = np.repeat(off[:-1] - to[:-1], k) + np.arange(to[-1])
-        sk = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(_ordered(h[at])))
+        to = pa.array(to, pa.int32())
+        v = _ordered(h[at])
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), rows.column(1), pa.array(n.astype(np.int64)), pa.array(fps[0]), pa.array(fps[1]), sk],
-            names=["id", "th", "n", "fp1", "fp2", "sketch"])
+            [rows.column(0), rows.column(1), pa.array(n.astype(np.int64)), pa.array(fps[0]), pa.array(fps[1]),
+             pa.ListArray.from_arrays(to, pa.array(v)), pa.ListArray.from_arrays(to, pa.array((v >> 32).astype(np.int32)))],
+            names=["id", "th", "n", "fp1", "fp2", "sketch", "brief"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for rows, f in pieces(batches):
-        d, h = shingle_sets(f, words)
-        off = np.searchsorted(d, np.arange(f.n + 1))
-        raw = [h[a:b].tobytes() for a, b in zip(off[:-1], off[1:])]
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(raw, pa.binary())], names=["node", "full"])
+def _sets(batches: Iterator[pa.RecordBatch], words: int, some: Bitmap) -> Iterator[pa.RecordBatch]:
+    """Full sets of the texts whose ids may be wanted."""
+    for b in batches:
+        at = some(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        if not len(at):
+            continue
+        for rows, f in pieces([b.take(pa.array(at))]):
+            d, h = shingle_sets(f, words)
+            off = np.searchsorted(d, np.arange(f.n + 1))
+            raw = [h[a:b].tobytes() for a, b in zip(off[:-1], off[1:])]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(raw, pa.binary())],
+                                             names=["id", "th", "full"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = np.empty(b.num_rows, np.int64)
+        out, all_ = np.empty(b.num_rows, np.int64), np.empty(b.num_rows, np.int64)
         for j, (x, y) in enumerate(zip(b.column(2), b.column(3))):
             s = np.frombuffer(x.as_buffer(), np.uint64)
             t = np.frombuffer(y.as_buffer(), np.uint64)
@@ -89,7 +99,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = np.searchsorted(t, s)
             i[i == len(t)] = 0
             out[j] = (t[i] == s).sum() if len(t) else 0
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out)], names=["a", "b", "shared"])
+            all_[j] = len(s) + len(t) - out[j]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out), pa.array(all_)],
+                                         names=["a", "b", "shared", "united"])
 
 
 class NearDuplicates:
@@ -102,9 +114,10 @@ class NearDuplicates:
         w = words
         self.docs = cut(self.src.mapInArrow(lambda it: _sketches(it, w), _SKETCH))
         some = self.docs.where(F.col("n") > 0)
-        r = some.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "th", "sketch")).alias("x")) \
+        r = some.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "th", "sketch", "brief")).alias("x")) \
             .select("fp1", "fp2", "n", "x.*")
         self.r = cut(r.withColumn("node", F.monotonically_increasing_id()))
+        self.full: DataFrame | None = None
 
     # -- similarity of pairs (columns a, b of nodes) ---------------------------
 
@@ -114,33 +127,37 @@ class NearDuplicates:
 
     def estimated(self, pairs: DataFrame, least: float) -> DataFrame:
         """Pairs whose union sketch shows at least ``least`` of its values in both."""
-        sk = self.r.select("node", "sketch")
-        j = pairs.join(sk.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a") \
-            .join(sk.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
+        sk = self.r.select("node", "brief")
+        j = pairs.join(sk.select(F.col("node").alias("a"), F.col("brief").alias("sa")), "a") \
+            .join(sk.select(F.col("node").alias("b"), F.col("brief").alias("sb")), "b")
         union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K)
         both = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
         return j.where(both >= F.lit(least) * F.size(union)).select("a", "b")
 
+    def _full_sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, full) of ``nodes`` and all asked for before.  A scan of the texts
+        makes the new ones; a bounded filter keeps the others out of the shuffle."""
+        new = nodes if self.full is None else nodes.join(self.full.select("node"), "node", "left_anti")
+        need = cut(self.r.join(new, "node").select("node", "id", "th"))
+        if need.isEmpty():
+            return self.full if self.full is not None else need.select("node", F.lit(b"").alias("full"))
+        w, some = self.words, build(need.select("id"))
+        got = self.src.mapInArrow(lambda it: _sets(it, w, some), "id bigint, th bigint, full binary") \
+            .groupBy("id", "th").agg(F.first("full").alias("full")).join(need, ["id", "th"]).select("node", "full")
+        got = cut(got)
+        self.full = got if self.full is None else self.full.union(got)
+        return self.full
+
     def exact(self, pairs: DataFrame, percent: int) -> DataFrame:
         """(a, b, linked) of the pairs whose exact similarity reaches ``percent``."""
         pairs = cut(pairs)
         ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        need = self.r.join(ids, "node").select("node", F.col("id").alias("_i"), F.col("th").alias("_t"))
-        # repeated rows of one text: any of them will do
-        texts = self.src.join(need, (F.col("id") == F.col("_i")) & (F.col("th") == F.col("_t"))).select("node", "text") \
-            .dropDuplicates(["node"])
-        w = self.words
-        sets = texts.mapInArrow(lambda it: _sets(it, w), "node bigint, full binary")
-        sets = cut(sets)
+        sets = self._full_sets(ids)
         j = pairs.join(sets.select(F.col("node").alias("a"), F.col("full").alias("fa")), "a") \
             .join(sets.select(F.col("node").alias("b"), F.col("full").alias("fb")), "b")
-        s = j.select("a", "b", "fa", "fb").mapInArrow(_shared, "a bigint, b bigint, shared bigint")
-        n = self.r.select("node", "n")
-        s = s.join(n.select(F.col("node").alias("a"), F.col("n").alias("na")), "a") \
-            .join(n.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        union = F.col("na") + F.col("nb") - F.col("shared")
-        return cut(s.select("a", "b", (F.col("shared") * 100 >= union * self.percent).alias("linked"),
-                            (F.col("shared") * 100 >= union * percent).alias("near")).where("near").drop("near"))
+        s = j.select("a", "b", "fa", "fb").mapInArrow(_shared, "a bigint, b bigint, shared bigint, united bigint")
+        return cut(s.where(F.col("shared") * 100 >= F.col("united") * percent).select(
+            "a", "b", (F.col("shared") * 100 >= F.col("united") * self.percent).alias("linked")))
 
     # -- candidates ------------------------------------------------------------
 
@@ -154,18 +171,21 @@ class NearDuplicates:
         todo = self.r.select("node", "n", F.explode("sketch").alias("v"))
         found: list[DataFrame] = []
         stars: list[DataFrame] = []
-        size = None
+        size, nodes = None, self.r.count()
         while True:
             df = todo.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
             post = cut(todo.join(df, "v"))
             n = post.select("node").distinct().count()
             if not n:
                 break
-            stuck = size is not None and n > 0.95 * size
+            # all pairs of the few that are left, when that costs less than the lists so far or nothing else helps
+            short = self._shortest(post)
+            cost = short.groupBy("v").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") * F.col("c") / 2)).first()[0]
+            stuck = size is not None and (n > 0.95 * size or cost <= LIST_COST * nodes)
             size = n
             hot = post.where(F.col("df") > HOT)
             per = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"), F.sum(F.log2("df")).alias("weight"))
-            short = post.where(F.col("df") <= HOT) if not stuck else self._shortest(post)
+            short = short if stuck else post.where(F.col("df") <= HOT)
             found.append(self.estimated(self._pairs(short, per, stuck), link_cut))
             if stuck:
                 break
@@ -199,15 +219,19 @@ class NearDuplicates:
         j = x.join(y, F.col("x.v") == F.col("y.v")).where(
             (F.col("x.node") < F.col("y.node")) & self._near(F.col("x.n"), F.col("y.n"), self.percent))
         p = j.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
-            F.count(F.lit(1)).alias("o"), F.min(F.least("x.n", "y.n")).alias("m"))
+            F.count(F.lit(1)).alias("o"), F.max(F.greatest("x.n", "y.n")).alias("m"))
         if stuck:
             return p.select("a", "b")
         h = per.select("node", "hots")
         p = p.join(h.select(F.col("node").alias("a"), F.col("hots").alias("ha")), "a", "left") \
             .join(h.select(F.col("node").alias("b"), F.col("hots").alias("hb")), "b", "left")
-        most = F.greatest(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
-        # with at least 16 values in short lists, a linked pair shares 3 but for a chance of 1e-8
-        return p.where((F.col("o") >= 3) | (most > 8) | (F.col("m") < K)).select("a", "b")
+        # of the union's K smallest values a linked pair shares this many but for a chance below 1e-7
+        # (small sets: percent of all); at most the smaller number of long lists is not counted here
+        t = self.percent / 100
+        sure = max(1, int(K * t - 6.5 * (K * t * (1 - t)) ** 0.5))
+        least = F.when(F.col("m") < K, F.ceil(F.col("m") * F.lit(self.percent) / 100)).otherwise(sure)
+        long = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
+        return p.where(F.col("o") >= F.greatest(F.lit(1), least - long)).select("a", "b")
 
     def _shortest(self, post: DataFrame) -> DataFrame:
         from pyspark.sql import Window
