@@ -41,7 +41,7 @@ K = 32
 HOT = 24
 SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
-LIST_COST = 20  # pairs per class that a round of all pairs may cost
+LIST_COST = 4   # pairs per class that a round of all pairs may cost
 SIGN = _U(1 << 63)
 
 _SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>, brief array<int>"
@@ -149,7 +149,7 @@ class NearDuplicates:
         return self.full
 
     def exact(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """(a, b, linked) of the pairs whose exact similarity reaches ``percent``."""
+        """(a, b, shared, linked) of the pairs whose exact similarity reaches ``percent``."""
         pairs = cut(pairs)
         ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = self._full_sets(ids)
@@ -157,7 +157,7 @@ class NearDuplicates:
             .join(sets.select(F.col("node").alias("b"), F.col("full").alias("fb")), "b")
         s = j.select("a", "b", "fa", "fb").mapInArrow(_shared, "a bigint, b bigint, shared bigint, united bigint")
         return cut(s.where(F.col("shared") * 100 >= F.col("united") * percent).select(
-            "a", "b", (F.col("shared") * 100 >= F.col("united") * self.percent).alias("linked")))
+            "a", "b", "shared", (F.col("shared") * 100 >= F.col("united") * self.percent).alias("linked")))
 
     # -- candidates ------------------------------------------------------------
 
@@ -234,9 +234,15 @@ class NearDuplicates:
         return p.where(F.col("o") >= F.greatest(F.lit(1), least - long)).select("a", "b")
 
     def _shortest(self, post: DataFrame) -> DataFrame:
+        """Each class's shortest lists.  Of a set no larger than its sketch, so many
+        that two linked sets must share one (all but what may differ); else FEW."""
         from pyspark.sql import Window
         w = Window.partitionBy("node").orderBy("df", "v")
-        return post.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= FEW)
+        spare = F.col("n") - F.ceil(F.col("n") * F.lit(self.percent) / 100) + 1
+        # a list of one class is not in post: it takes its place among the shortest
+        alone = F.least(F.col("n"), F.lit(K)) - F.count(F.lit(1)).over(Window.partitionBy("node"))
+        most = F.when(F.col("n") <= K, spare).otherwise(FEW) - F.least(alone, F.lit(FEW - 4))
+        return post.withColumn("_r", F.row_number().over(w)).withColumn("_m", most).where(F.col("_r") <= F.col("_m"))
 
     def _stars(self, hot: DataFrame, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
         """(a, b, o): a class, the pivot of o of its long lists; (node, lists): pivots and their lists."""
@@ -252,13 +258,17 @@ class NearDuplicates:
         """Links between a pivot's circle and its border, where they join components."""
         comp = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         root = lambda name: comp.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
-        edge = star.where(~F.col("linked")).join(root("a"), "a", "left").join(root("b"), "b", "left") \
-            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(F.col("a").alias("x"), F.col("b").alias("p"))
-        circle = star.where("linked").select(F.col("a").alias("y"), F.col("b").alias("p"))
         n = self.r.select("node", "n")
-        pairs = edge.join(n.select(F.col("node").alias("x"), F.col("n").alias("nx")), "x").join(
-            circle.join(n.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y"), "p") \
-            .where((F.col("x") != F.col("y")) & self._near(F.col("nx"), F.col("ny"), self.percent)) \
+        edge = star.where(~F.col("linked")).join(root("a"), "a", "left").join(root("b"), "b", "left") \
+            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")) \
+            .select(F.col("a").alias("x"), F.col("b").alias("p"), F.col("shared").alias("ix")) \
+            .join(n.select(F.col("node").alias("x"), F.col("n").alias("nx")), "x")
+        circle = star.where("linked").select(F.col("a").alias("y"), F.col("b").alias("p"), F.col("shared").alias("iy")) \
+            .join(n.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y")
+        # x and y share at most what both share with p, and what both have besides
+        most = F.least("ix", "iy") + F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy"))
+        fits = most * 100 >= (F.col("nx") + F.col("ny") - most) * self.percent
+        pairs = edge.join(circle, "p").where((F.col("x") != F.col("y")) & fits) \
             .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         return self.exact(self.estimated(pairs, link_cut), self.percent).where("linked").select("a", "b")
 
