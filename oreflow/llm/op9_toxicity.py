@@ -28,7 +28,9 @@ from .common import cut, documents, fold, free_name, id_key, without
 from .textvec import _U, NOT_LETTER, Flat, Lookup, count_equal, mix, pieces, unique_per_text
 
 MAX_ROWS, MAX_STEMS = 20_000, 4096
-MIN_DOCS, MIN_LOG_ODDS = 4, 2.0
+# a mined stem stands in MIN_DOCS toxic texts, has these log odds, and a likelihood ratio
+# that chance would not reach once among all the stems tried
+MIN_DOCS, MIN_LOG_ODDS, SURE = 4, 2.0, 8.0
 THRESHOLD = 0.5
 # fixed list of the first voter
 LEXICON = ("idiot", "moron", "scum", "loser", "worthless", "pathetic", "clown", "trash", "disgusting", "stupid",
@@ -209,8 +211,8 @@ def training_sample(df: DataFrame, labels: DataFrame, label: str, max_rows: int)
 
 
 def mine_stems(sample: DataFrame, max_stems: int) -> Stems:
-    """The fixed list, then words and stems that stand in toxic training texts:
-    in MIN_DOCS of them at least, and with log odds of MIN_LOG_ODDS."""
+    """The fixed list, then words and stems that tell toxic training texts from
+    others, by MIN_DOCS, MIN_LOG_ODDS and SURE."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, f in pieces(batches):
             y = rows.column(1).to_numpy(zero_copy_only=False)
@@ -224,9 +226,14 @@ def mine_stems(sample: DataFrame, max_stems: int) -> Stems:
     n = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     odds = F.log((F.col("n1") + 0.5) / F.lit(n1 + 1.0)) - F.log((F.col("n0") + 0.5) / F.lit(n0 + 1.0))
-    got = lab.select("text", "y").mapInArrow(count, "h bigint, n1 bigint, n0 bigint") \
-        .groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")) \
-        .where(F.col("n1") >= MIN_DOCS).withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS) \
+    tried = cut(lab.select("text", "y").mapInArrow(count, "h bigint, n1 bigint, n0 bigint")
+                .groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") >= MIN_DOCS))
+    share = min(max(n1 / max(n1 + n0, 1), 1e-6), 1 - 1e-6)
+    seen = F.col("n1") + F.col("n0")
+    part = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (seen * F.lit(p)))).otherwise(0.0)
+    ratio = 2 * (part("n1", share) + part("n0", 1 - share))
+    enough = 2 * float(np.log(max(tried.count(), 1))) + SURE
+    got = tried.withColumn("odds", odds).where((F.col("odds") >= MIN_LOG_ODDS) & (ratio >= enough)) \
         .orderBy((F.col("odds") * F.col("n1")).desc(), "h").limit(max_stems).collect()
     fixed = lexicon_hashes()
     mined = np.array([r["h"] for r in got], np.int64).view(np.uint64)
