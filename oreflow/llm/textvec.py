@@ -30,6 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
+_BYTE_OTHER = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xA0761D6478BD642F))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
@@ -56,12 +57,13 @@ class Flat:
     def __init__(self, buf: np.ndarray, offs: np.ndarray):
         self.buf, self.offs, self.n = buf, offs, len(offs) - 1
 
-    def prefix(self, lower: bool = True) -> np.ndarray:
-        """Running polynomial sums; ``hashes`` reads any byte range from them."""
+    def prefix(self, lower: bool = True, other: bool = False) -> np.ndarray:
+        """Running polynomial sums; ``hashes`` reads any byte range from them.
+        ``other`` gives sums of a second, independent hash (case kept)."""
         p, _ = _pow(len(self.buf))
         s = np.empty(len(self.buf) + 1, np.uint64)
         s[0] = 0
-        x = (_BYTE_LOWER if lower else _BYTE)[self.buf]
+        x = (_BYTE_OTHER if other else _BYTE_LOWER if lower else _BYTE)[self.buf]
         x *= p[:len(x)]
         np.cumsum(x, out=s[1:])
         return s
