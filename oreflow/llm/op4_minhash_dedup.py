@@ -41,7 +41,8 @@ K = 32
 HOT = 24
 SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
-LIST_COST = 4   # pairs per class that a round of all pairs may cost
+BLOCK = 100_000  # shingles on one side of a block
+LIST_COST = 4    # pairs per class that a round of all pairs may cost
 SIGN = _U(1 << 63)
 
 _SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>, brief array<int>"
@@ -104,6 +105,30 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "shared", "united"])
 
 
+def _meet(xs: pa.Table, ys: pa.Table, percent: int) -> pa.Table:
+    """For each set of ``xs`` the first set of ``ys`` that it is linked with, if any."""
+    out: list[tuple[int, int]] = []
+    sets = [np.frombuffer(y.as_buffer(), np.uint64) for y in ys.column("full_y").combine_chunks()] if ys.num_rows else []
+    if sets:
+        sizes = np.array([len(y) for y in sets])
+        value, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(value, kind="stable")
+        value, of = value[order], of[order]
+        names = ys.column("node_y").to_pylist()
+        for node, raw in zip(xs.column("node").to_pylist(), (v for c in xs.column("full").chunks for v in c)):
+            x = np.frombuffer(raw.as_buffer(), np.uint64)
+            a, b = np.searchsorted(value, x, "left"), np.searchsorted(value, x, "right")
+            n = b - a
+            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared = np.bincount(of[at], minlength=len(sets))
+            hit = np.flatnonzero(shared * 100 >= (len(x) + sizes - shared) * percent)
+            if len(hit) and names[hit[0]] != node:
+                out.append((node, names[hit[0]]))
+            elif len(hit) > 1:
+                out.append((node, names[hit[1]]))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
 class NearDuplicates:
     """One run over a table; ``r`` holds the classes: node, id, th, n, sketch."""
 
@@ -210,7 +235,7 @@ class NearDuplicates:
             star = star.unionByName(s)
         star = cut(star)
         links = cut(links.union(star.where("linked").select("a", "b")))
-        return links.union(self._border(links, star, link_cut))
+        return links.union(self._border(links, star))
 
     def _pairs(self, short: DataFrame, per: DataFrame, stuck: bool) -> DataFrame:
         """Distinct pairs of short lists' members whose sizes and overlaps allow a link."""
@@ -254,23 +279,30 @@ class NearDuplicates:
             .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"))
         return cut(star), top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"))
 
-    def _border(self, links: DataFrame, star: DataFrame, link_cut: float) -> DataFrame:
-        """Links between a pivot's circle and its border, where they join components."""
+    def _border(self, links: DataFrame, star: DataFrame) -> DataFrame:
+        """Links between a pivot's border and its circle, where they join components.
+
+        The circle is one component, so one link for each class of the border is enough."""
         comp = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         root = lambda name: comp.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
         n = self.r.select("node", "n")
         edge = star.where(~F.col("linked")).join(root("a"), "a", "left").join(root("b"), "b", "left") \
-            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")) \
-            .select(F.col("a").alias("x"), F.col("b").alias("p"), F.col("shared").alias("ix")) \
-            .join(n.select(F.col("node").alias("x"), F.col("n").alias("nx")), "x")
-        circle = star.where("linked").select(F.col("a").alias("y"), F.col("b").alias("p"), F.col("shared").alias("iy")) \
-            .join(n.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y")
-        # x and y share at most what both share with p, and what both have besides
-        most = F.least("ix", "iy") + F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy"))
-        fits = most * 100 >= (F.col("nx") + F.col("ny") - most) * self.percent
-        pairs = edge.join(circle, "p").where((F.col("x") != F.col("y")) & fits) \
-            .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        return self.exact(self.estimated(pairs, link_cut), self.percent).where("linked").select("a", "b")
+            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(F.col("a").alias("node"), F.col("b").alias("p"))
+        circle = star.where("linked").select(F.col("a").alias("node"), F.col("b").alias("p")).join(edge.select("p").distinct(), "p")
+        edge, circle = (cut(x.join(n, "node")) for x in (edge, circle))
+        sets = self._full_sets(edge.select("node").union(circle.select("node")).distinct())
+        # a pivot's border and circle meet block by block: each block holds about BLOCK shingles
+        blocks = lambda x, name: x.groupBy("p").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias(name))
+        count = blocks(edge, "nx").join(blocks(circle, "ny"), "p")
+        own = lambda m: F.pmod(F.xxhash64("node"), F.col(m)).cast("int")
+        every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+        full = sets.join(edge.select("node").union(circle.select("node")).distinct(), "node")
+        xs = edge.join(full, "node").join(count, "p").select("p", own("nx").alias("i"), every("ny").alias("j"), "node", "full")
+        ys = circle.join(full, "node").join(count, "p").select("p", every("nx").alias("i"), own("ny").alias("j"), "node", "full")
+        percent = self.percent
+        ys = ys.toDF("p_y", "i_y", "j_y", "node_y", "full_y")
+        return xs.groupBy("p", "i", "j").cogroup(ys.groupBy("p_y", "i_y", "j_y")).applyInArrow(
+            lambda x, y: _meet(x, y, percent), "a bigint, b bigint")
 
     def classes(self) -> DataFrame:
         """One row per input row: id, th, n_shingles, component (smallest id that can be reached)."""
