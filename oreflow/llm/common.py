@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.session import checkpoint_dir
+from oreflow.session import checkpoint_dir, scratch_path
 
 # Stands for a NULL id while rows are compared; ids of documents are not negative.
 NULL_ID = -(1 << 63)
@@ -48,3 +48,25 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns that an operator is about to add."""
     low = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
+
+
+class Tables:
+    """Intermediate tables as Parquet in the shared folder: smaller than a
+    checkpoint, and dropped as soon as what they lead to is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        self.paths.clear()
