@@ -19,8 +19,8 @@ Jaccard similarity reaches the threshold.
    cutoffs are so low that a linked pair is lost with a chance below 1e-6.
 5. The full sets of what is left give the exact similarity.
 
-Nothing is capped: when rounds stop shrinking, all pairs on the remaining
-classes' shortest lists are compared.
+Nothing is capped: when rounds stop shrinking, or few are left, the members of
+the remaining classes' shortest lists are compared with each other, block by block.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ HOT = 24
 SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
 BLOCK = 100_000  # shingles on one side of a block
-LIST_COST = 4    # pairs per class that a round of all pairs may cost
+LIST_COST = 100  # pairs per class that comparing whole lists may cost
 SIGN = _U(1 << 63)
 
 _SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>, brief array<int>"
@@ -105,28 +105,63 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "shared", "united"])
 
 
+class Block:
+    """Some sets, indexed by their values."""
+
+    def __init__(self, nodes: pa.ChunkedArray, full: pa.ChunkedArray):
+        self.nodes = nodes.to_numpy()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for c in full.chunks for v in c]
+        self.sizes = np.array([len(v) for v in sets], np.int64)
+        value = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(value, kind="stable")
+        self.value, self.of = value[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def linked(self, x: np.ndarray, percent: int) -> np.ndarray:
+        """Numbers of the sets that ``x`` is linked with."""
+        a, b = np.searchsorted(self.value, x, "left"), np.searchsorted(self.value, x, "right")
+        n = b - a
+        at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(self.of[at], minlength=len(self.sizes))
+        return np.flatnonzero(shared * 100 >= (len(x) + self.sizes - shared) * percent)
+
+
+def _each(t: pa.Table, nodes: int, full: int) -> Iterator[tuple[int, np.ndarray]]:
+    for node, raw in zip(t.column(nodes).to_pylist(), (v for c in t.column(full).chunks for v in c)):
+        yield node, np.frombuffer(raw.as_buffer(), np.uint64)
+
+
+def _links_table(out: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
 def _meet(xs: pa.Table, ys: pa.Table, percent: int) -> pa.Table:
     """For each set of ``xs`` the first set of ``ys`` that it is linked with, if any."""
     out: list[tuple[int, int]] = []
-    sets = [np.frombuffer(y.as_buffer(), np.uint64) for y in ys.column("full_y").combine_chunks()] if ys.num_rows else []
-    if sets:
-        sizes = np.array([len(y) for y in sets])
-        value, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        order = np.argsort(value, kind="stable")
-        value, of = value[order], of[order]
-        names = ys.column("node_y").to_pylist()
-        for node, raw in zip(xs.column("node").to_pylist(), (v for c in xs.column("full").chunks for v in c)):
-            x = np.frombuffer(raw.as_buffer(), np.uint64)
-            a, b = np.searchsorted(value, x, "left"), np.searchsorted(value, x, "right")
-            n = b - a
-            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            shared = np.bincount(of[at], minlength=len(sets))
-            hit = np.flatnonzero(shared * 100 >= (len(x) + sizes - shared) * percent)
-            if len(hit) and names[hit[0]] != node:
-                out.append((node, names[hit[0]]))
-            elif len(hit) > 1:
-                out.append((node, names[hit[1]]))
-    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+    if ys.num_rows:
+        block = Block(ys.column("node_y"), ys.column("full_y"))
+        for node, x in _each(xs, 3, 4):
+            hit = block.nodes[block.linked(x, percent)]
+            hit = hit[hit != node]
+            if len(hit):
+                out.append((node, int(hit[0])))
+    return _links_table(out)
+
+
+def _join_all(xs: pa.Table, ys: pa.Table, percent: int) -> pa.Table:
+    """Links between ``xs`` and ``ys`` that join all they link."""
+    out: list[tuple[int, int]] = []
+    if ys.num_rows and xs.num_rows:
+        block = Block(ys.column("node_y"), ys.column("full_y"))
+        label = np.arange(ys.num_rows)
+        for node, x in _each(xs, 3, 4):
+            hit = block.linked(x, percent)
+            hit = hit[block.nodes[hit] != node]
+            if len(hit):
+                # one link for each part not yet joined, and they are one part from now on
+                parts, first = np.unique(label[hit], return_index=True)
+                out += [(node, int(block.nodes[hit[i]])) for i in first]
+                label[np.isin(label, parts)] = parts[0]
+    return _links_table(out)
 
 
 class NearDuplicates:
@@ -196,7 +231,7 @@ class NearDuplicates:
         todo = self.r.select("node", "n", F.explode("sketch").alias("v"))
         found: list[DataFrame] = []
         stars: list[DataFrame] = []
-        size, nodes = None, self.r.count()
+        size, nodes, forest = None, self.r.count(), None
         while True:
             df = todo.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
             post = cut(todo.join(df, "v"))
@@ -206,14 +241,14 @@ class NearDuplicates:
             # all pairs of the few that are left, when that costs less than the lists so far or nothing else helps
             short = self._shortest(post)
             cost = short.groupBy("v").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") * F.col("c") / 2)).first()[0]
-            stuck = size is not None and (n > 0.95 * size or cost <= LIST_COST * nodes)
+            stuck = size is not None and (n > 0.7 * size or cost <= LIST_COST * nodes)
             size = n
             hot = post.where(F.col("df") > HOT)
             per = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"), F.sum(F.log2("df")).alias("weight"))
-            short = short if stuck else post.where(F.col("df") <= HOT)
-            found.append(self.estimated(self._pairs(short, per, stuck), link_cut))
             if stuck:
+                forest = self._all_pairs(short)
                 break
+            found.append(self.estimated(self._pairs(post.where(F.col("df") <= HOT), per), link_cut))
             star, pivots = self._stars(hot, per, far)
             tested = self.exact(self.estimated(star.select("a", "b"), far_cut), far)
             tested = cut(star.join(tested, ["a", "b"]))
@@ -228,8 +263,8 @@ class NearDuplicates:
         for f in found[1:]:
             pairs = pairs.union(f)
         links = self.exact(pairs.distinct(), self.percent).where("linked").select("a", "b")
-        if not stars:
-            return links
+        if forest is not None:
+            links = links.union(forest)
         star = stars[0]
         for s in stars[1:]:
             star = star.unionByName(s)
@@ -237,7 +272,7 @@ class NearDuplicates:
         links = cut(links.union(star.where("linked").select("a", "b")))
         return links.union(self._border(links, star))
 
-    def _pairs(self, short: DataFrame, per: DataFrame, stuck: bool) -> DataFrame:
+    def _pairs(self, short: DataFrame, per: DataFrame) -> DataFrame:
         """Distinct pairs of short lists' members whose sizes and overlaps allow a link."""
         s = short.select("v", "node", "n")
         x, y = s.alias("x"), s.alias("y")
@@ -245,8 +280,6 @@ class NearDuplicates:
             (F.col("x.node") < F.col("y.node")) & self._near(F.col("x.n"), F.col("y.n"), self.percent))
         p = j.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
             F.count(F.lit(1)).alias("o"), F.max(F.greatest("x.n", "y.n")).alias("m"))
-        if stuck:
-            return p.select("a", "b")
         h = per.select("node", "hots")
         p = p.join(h.select(F.col("node").alias("a"), F.col("hots").alias("ha")), "a", "left") \
             .join(h.select(F.col("node").alias("b"), F.col("hots").alias("hb")), "b", "left")
@@ -279,6 +312,20 @@ class NearDuplicates:
             .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"))
         return cut(star), top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"))
 
+    def _all_pairs(self, lists: DataFrame) -> DataFrame:
+        """Links that join what is linked within each list, found block by block."""
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        count = lists.groupBy("v").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+        full = self._full_sets(lists.select("node").distinct())
+        x = cut(lists.select("v", "node").join(count, "v").withColumn("own", own)).join(full, "node")
+        lower, upper = F.sequence(F.lit(0), F.col("own")), F.sequence(F.col("own"), F.col("blocks") - 1)
+        xs = x.select("v", F.col("own").alias("i"), F.explode(upper).alias("j"), "node", "full")
+        ys = x.select("v", F.explode(lower).alias("i"), F.col("own").alias("j"), "node", "full") \
+            .toDF("v_y", "i_y", "j_y", "node_y", "full_y")
+        percent = self.percent
+        return cut(xs.groupBy("v", "i", "j").cogroup(ys.groupBy("v_y", "i_y", "j_y")).applyInArrow(
+            lambda x, y: _join_all(x, y, percent), "a bigint, b bigint"))
+
     def _border(self, links: DataFrame, star: DataFrame) -> DataFrame:
         """Links between a pivot's border and its circle, where they join components.
 
