@@ -11,7 +11,14 @@ from oreflow.session import checkpoint_dir, scratch_path
 NULL_ID = -(1 << 63)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table; rows of text go to Python a thousand at a time unless the
+    session says otherwise, so long texts don't fill an executor's memory."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
