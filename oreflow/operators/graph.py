@@ -172,23 +172,24 @@ def bfs_levels(edges: DataFrame, sources: DataFrame, max_hops: int | None = None
     return visited.where(F.col("hops") > 0)
 
 
-def weighted_shortest(edges: DataFrame, sources: DataFrame, weight: str, max_rounds: int = 64,
-                      checkpoint_every: int = 3) -> DataFrame:
+def weighted_shortest(edges: DataFrame, sources: DataFrame, weight: str) -> DataFrame:
     """GR-07: minimum total weight from each source to every reachable node
-    by iterative relaxation (Bellman-Ford on DataFrames), until no distance
-    improves.  Non-negative weights assumed."""
-    e = edges.select("src", "dst", F.col(weight).cast("double").alias("__w"))
+    by relaxation (Bellman-Ford on DataFrames): each round follows only the
+    distances that the last one improved, until none improves.  Non-negative
+    weights assumed.  The edges are written once, not derived in every round."""
+    e = _cut(edges.groupBy("src", "dst").agg(F.min(F.col(weight).cast("double")).alias("__w")), 1, 1)
     dist = sources.select(F.col("id").alias("start"), F.col("id").alias("node"), F.lit(0.0).alias("dist"))
-    for r in range(1, max_rounds + 1):
-        cand = (dist.join(e, dist["node"] == e["src"])
-                .select("start", F.col("dst").alias("node"), (F.col("dist") + F.col("__w")).alias("dist")))
-        new = dist.unionByName(cand).groupBy("start", "node").agg(F.min("dist").alias("dist"))
-        new = _cut(new, r, 1)
-        improved = (new.join(dist.withColumnRenamed("dist", "__old"), ["start", "node"], "left")
-                    .where(F.col("__old").isNull() | (F.col("dist") < F.col("__old"))))
-        dist = new
-        if improved.isEmpty():
+    frontier = dist
+    while True:
+        cand = (frontier.join(e, frontier["node"] == e["src"])
+                .select("start", F.col("dst").alias("node"), (F.col("dist") + F.col("__w")).alias("dist"))
+                .groupBy("start", "node").agg(F.min("dist").alias("dist")))
+        better = cand.join(dist.withColumnRenamed("dist", "__old"), ["start", "node"], "left") \
+            .where(F.col("__old").isNull() | (F.col("dist") < F.col("__old"))).drop("__old")
+        frontier = _cut(better, 1, 1)
+        if frontier.isEmpty():
             break
+        dist = _cut(dist.unionByName(frontier).groupBy("start", "node").agg(F.min("dist").alias("dist")), 1, 1)
     return dist.where(F.col("start") != F.col("node"))
 
 
@@ -223,11 +224,9 @@ def expand_context(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
 def intervals(events: DataFrame, node: str, ts: str, tiebreak: str | None = None,
               bucket_s: int | None = None) -> DataFrame:
     """GR-15: days between consecutive events of a node: avg, min, max.
-    With ``tiebreak`` and ``bucket_s`` large inputs use the bucketed window
-    (a node with a third of all events is spread over its time buckets)."""
+    With ``tiebreak`` and ``bucket_s`` the window is bucketed by time (a node with a third of all events is spread over its time buckets)."""
     from oreflow.operators.windows import bucketed_window
-    from oreflow.session import use_bucketed_windows
-    if tiebreak and bucket_s and use_bucketed_windows(events):
+    if tiebreak and bucket_s:
         d = bucketed_window(events, [node], ts, tiebreak, bucket_s, 1, 0, {"__prev": lambda w: F.lag(ts).over(w)})
         d = d.withColumn("__gap", F.datediff(F.col(ts), F.col("__prev")))
     else:

@@ -104,14 +104,10 @@ def rolling_stats(df: DataFrame, keys: Sequence[str], ts: str, value: str, n: in
     return _ordered(df, keys, ts, order_tiebreak, bucket_s, n - 1, 0, cols)
 
 
-def _ordered(df, keys, ts, tiebreak, bucket_s, preceding, following, cols, large: bool | None = None):
-    """Apply window columns per key; bucketed by time when ``bucket_s`` is
-    given and the input is large enough for one key to overload a task
-    (``large`` overrides the size check, e.g. decided on a raw input)."""
-    from oreflow.session import use_bucketed_windows
-    if large is None:
-        large = bool(bucket_s and tiebreak) and use_bucketed_windows(df)
-    if bucket_s and tiebreak and large:
+def _ordered(df, keys, ts, tiebreak, bucket_s, preceding, following, cols):
+    """Apply window columns per key, spread over time buckets when ``bucket_s``
+    and a ``tiebreak`` are given, whatever the size."""
+    if bucket_s and tiebreak:
         from oreflow.operators.windows import bucketed_window
         return bucketed_window(df, _keys(keys), ts, tiebreak, bucket_s, preceding, following, cols)
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])

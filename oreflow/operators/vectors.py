@@ -234,9 +234,11 @@ def pq_search(codes: DataFrame, books: list[np.ndarray], queries: DataFrame, k:
             c = np.stack(pdf["codes"].to_numpy())  # (n, m)
             dist = tab[:, np.arange(c.shape[1])[None, :], c].sum(-1)  # (q, n)
             kk = min(k, dist.shape[1])
-            order = np.argsort(dist, axis=1, kind="stable")[:, :kk]
+            ids = pdf[id_col].to_numpy()
+            # ties go to the smaller id, whatever the order of the rows
+            order = np.stack([np.lexsort((ids, row)) for row in dist])[:, :kk]
             rq = np.repeat(np.arange(len(q_ids)), kk)
-            yield pd.DataFrame({"query_id": q_ids[rq], id_col: pdf[id_col].to_numpy()[order.reshape(-1)],
+            yield pd.DataFrame({"query_id": q_ids[rq], id_col: ids[order.reshape(-1)],
                                 "score": dist[rq, order.reshape(-1)]})
     qtype = queries.schema[query_id].dataType.simpleString()
     itype = codes.schema[id_col].dataType.simpleString()

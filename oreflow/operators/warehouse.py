@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType
 from oreflow.functions.hashing import row_hash, surrogate_key
 from oreflow.functions.timefn import calendar_parts
 from oreflow.operators.timeseries import _ordered
+from oreflow.operators.windows import null_safe_join
 
 OPEN_END = "9999-12-31"
 
@@ -61,10 +62,16 @@ def add_surrogate_keys(new_rows: DataFrame, existing: DataFrame | None, business
     base = (existing.select(F.coalesce(F.max(key_col), F.lit(0))).scalar()
             if existing is not None else F.lit(0))
     if len(bk) == 1 and isinstance(new_rows.schema[bk[0]].dataType, NumericType):
-        # numeric business key: distributed ranking (bucketed, no single task)
+        # numeric business key: distributed ranking (bucketed, no single task);
+        # the NULL member comes first, rows that repeat a key are one member
         from oreflow.operators.profile import global_average_rank
-        r = global_average_rank(new_rows, bk[0], "__rk")
-        return r.withColumn(key_col, (F.col("__rk").cast("long") + base).cast("long")).drop("__rk")
+        k = bk[0]
+        members = new_rows.select(k).where(F.col(k).isNotNull()).distinct()
+        unknown = new_rows.select(F.max(F.col(k).isNull().cast("int"))).scalar()
+        ranks = global_average_rank(members, k, "__rk").select(F.col(k).alias("__k"), "__rk")
+        j = new_rows.join(ranks, F.col(k) == F.col("__k"), "left")
+        rank = F.coalesce(F.col("__rk").cast("long") + unknown, F.lit(1))
+        return j.withColumn(key_col, (rank + base).cast("long")).drop("__rk", "__k")
     w = Window.orderBy(*bk)
     return new_rows.withColumn(key_col, (F.row_number().over(w) + base).cast("long"))
 
@@ -121,11 +128,9 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     hcol = "__h"
     inc = incoming.withColumn(hcol, row_hash(*tracked))
     extra = [c for c in incoming.columns if c not in keys and c not in ("change_ts", "change_seq")]
-    # a unique (change_ts, change_seq) order allows time-bucketed windows on
-    # large inputs (a key with a third of all changes is spread over buckets)
+    # a unique (change_ts, change_seq) order allows time-bucketed windows (a
+    # key with a third of all changes is spread over buckets)
     tiebreak = "__seq" if "change_seq" in incoming.columns else None
-    from oreflow.session import use_bucketed_windows
-    large = bool(tiebreak) and use_bucketed_windows(incoming)      # decided on the raw extract
     end_type = current.schema[valid_to].dataType
     open_ = current.where(F.col(is_current))
     closed_hist = current.where(~F.col(is_current))
@@ -140,23 +145,20 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                .join(cur_h, keys, "left")
                .where(F.col("__cur_from").isNull() | (F.col("__from").cast(end_type) > F.col("__cur_from"))))
         inc = _ordered(inc, keys, "__from", tiebreak, bucket_s, 1, 0,
-                       {"__prev_h": lambda w: F.lag(hcol).over(w)}, large)
+                       {"__prev_h": lambda w: F.lag(hcol).over(w)})
         inc = inc.where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
     else:
         inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0)).join(cur_h, keys, "left")
     # the first incoming version per key (a grouped minimum, no window) is
     # compared with the open version; later ones are changes by construction
-    if large:
-        first = inc.groupBy(*keys).agg(F.min(F.struct("__from", "__seq")).alias("__first"))
-        inc = inc.join(first, keys).withColumn("__is_first", F.struct("__from", "__seq") == F.col("__first"))
-    else:
-        w1 = Window.partitionBy(*keys).orderBy("__from", "__seq")
-        inc = inc.withColumn("__is_first", F.row_number().over(w1) == 1)
+    place = F.struct("__from", "__seq", hcol)
+    first = inc.groupBy(*keys).agg(F.min(place).alias("__first"))
+    inc = null_safe_join(inc, first, keys).withColumn("__is_first", place == F.col("__first"))
     changed = inc.where(F.col("__cur_h").isNull() | ~F.col("__is_first")
                         | (F.col(hcol) != F.col("__cur_h")))
     # new versions: valid until the next change of the same key, else open
     changed = _ordered(changed, keys, "__from", tiebreak, bucket_s, 0, 1,
-                       {"__to": lambda w: F.lead("__from").over(w)}, large)
+                       {"__to": lambda w: F.lead("__from").over(w)})
     new_versions = (changed
                     .select(*keys, *extra,
                             F.col("__from").cast(end_type).alias(valid_from),

@@ -9,13 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from oreflow.functions.timefn import epoch_seconds
-from oreflow.session import use_bucketed_windows
 
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+# bucket of rows without a time: they sort before all others, as in a plain window
+NO_TIME = -(1 << 62)
+
+
+def time_bucket(ts: str, bucket_s: int):
+    return F.coalesce(F.floor(epoch_seconds(F.col(ts)) / F.lit(float(bucket_s))).cast("long"), F.lit(NO_TIME))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys come from ``left``."""
+    other = {k: f"__r_{k}" for k in keys}
+    right = right.withColumnsRenamed(other)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(other[k]))
+    return left.join(right, cond, how).drop(*other.values())
+
+
 def bucketed_window(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
                     preceding: int, following: int, columns) -> DataFrame:
     """Row-frame window computations partitioned by (key, time bucket)
@@ -35,8 +52,7 @@ def bucketed_window(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     time buckets and only bounded halos are copied."""
     keys = list(keys)
     order = [F.col(ts), F.col(tiebreak)]
-    b = F.floor(epoch_seconds(F.col(ts)) / F.lit(float(bucket_s))).cast("long")
-    d = df.withColumn("__b", b)
+    d = df.withColumn("__b", time_bucket(ts, bucket_s))
     wb = Window.partitionBy(*keys, "__b")
     d = (d.withColumn("__rs", F.row_number().over(wb.orderBy(*order)))
          .withColumn("__re", F.row_number().over(wb.orderBy(*[o.desc() for o in order]))))
@@ -48,7 +64,8 @@ def bucketed_window(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     halos = []
     edge = (F.col("__re") <= preceding) if preceding else F.lit(False)
     edge = edge | ((F.col("__rs") <= following) if following else F.lit(False))
-    cand = d.where(edge).join(per_key, keys).join(counts.select(*keys, "__b", "__cb", "__n"), keys + ["__b"])
+    cand = null_safe_join(d.where(edge), per_key, keys)
+    cand = null_safe_join(cand, counts.select(*keys, "__b", "__cb", "__n"), keys + ["__b"])
     if preceding:
         # a row r-th from the end of bucket j is inside the frame of bucket t > j
         # while the rows between them number fewer than ``preceding``
@@ -79,14 +96,15 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak:
     the sum of all earlier buckets (a prefix over one row per bucket) plus
     the running sum inside the row's bucket: no window spans a whole key."""
     keys = list(keys)
-    d = df.withColumn("__b", F.floor(epoch_seconds(F.col(ts)) / F.lit(float(bucket_s))).cast("long"))
+    d = df.withColumn("__b", time_bucket(ts, bucket_s))
     per = d.groupBy(*keys, "__b").agg(F.sum(value).alias("__s"))
-    per = per.withColumn("__before", F.coalesce(F.sum("__s").over(
-        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    per = per.withColumn("__before", F.sum("__s").over(
+        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))
     inside = F.sum(value).over(Window.partitionBy(*keys, "__b").orderBy(ts, tiebreak)
                                .rowsBetween(Window.unboundedPreceding, 0))
-    return (d.withColumn("__in", inside).join(per.select(*keys, "__b", "__before"), keys + ["__b"])
-            .withColumn(out, F.col("__before") + F.col("__in")).drop("__b", "__in", "__before"))
+    j = null_safe_join(d.withColumn("__in", inside), per.select(*keys, "__b", "__before"), keys + ["__b"])
+    total = F.coalesce(F.col("__before") + F.col("__in"), F.col("__before"), F.col("__in"))
+    return j.withColumn(out, total).drop("__b", "__in", "__before")
 
 
 def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
@@ -101,7 +119,7 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
     running sum, so a hot key is spread over its time buckets."""
     keys = _keys(keys)
     gap = F.make_dt_interval(secs=F.lit(gap_s))
-    if bucket_s and order_tiebreak and use_bucketed_windows(df):
+    if bucket_s and order_tiebreak:
         p = bucketed_window(df, keys, ts, order_tiebreak, bucket_s, 1, 0,
                             {"__prev": lambda w: F.lag(ts).over(w)})
         p = p.withColumn("__new", F.when(F.col("__prev").isNull() | (F.col(ts) - F.col("__prev") > gap), 1)
@@ -132,7 +150,7 @@ def ma_crossover(df: DataFrame, keys: Sequence[str], ts: str, value: str, fast:
     keys = _keys(keys)
     flip = (F.col("prev_signal").isNotNull() & (F.signum("signal") != F.signum("prev_signal"))
             & (F.col("signal") != 0) & (F.col("prev_signal") != 0))
-    if bucket_s and order_tiebreak and use_bucketed_windows(df):
+    if bucket_s and order_tiebreak:
         m = bucketed_window(df, keys, ts, order_tiebreak, bucket_s, slow - 1, 0, {
             "ma_fast": lambda w: F.avg(value).over(w.rowsBetween(-(fast - 1), 0)),
             "ma_slow": lambda w: F.avg(value).over(w.rowsBetween(-(slow - 1), 0))})
@@ -170,11 +188,11 @@ def prefix_max_before(df: DataFrame, order_col: str, value: str, out: str, fanou
 def running_stats(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: str,
                   bucket_s: int | None = None) -> DataFrame:
     """WN-05 / WN-08: per key in (ts, tiebreak) order the running count
-    (= row number), running sum and running average.  For large inputs the
+    (= row number), running sum and running average.  With ``bucket_s`` the
     sums are a prefix over per-bucket totals plus a running sum inside the
     bucket (no window over a whole key)."""
     keys = list(keys)
-    if bucket_s and use_bucketed_windows(df):
+    if bucket_s:
         d = bucketed_running_sum(df.withColumn("__one", F.lit(1)), keys, ts, tiebreak, bucket_s, "__one", "seq_no")
         d = bucketed_running_sum(d, keys, ts, tiebreak, bucket_s, value, "running_sum").drop("__one")
     else:
@@ -185,23 +203,15 @@ def running_stats(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, va
 
 def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, out: str, descending: bool = True) -> DataFrame:
     """WN-11: SQL ``rank()`` of each row by ``value`` inside its key (ties
-    share the rank, gaps follow).  Large inputs use counts per distinct
-    (key, value): rank = 1 + rows of the key with a better value, a running
-    sum over the distinct values, joined back — so a key with a third of all
-    rows costs as many window rows as it has distinct values (readings of
-    fixed precision have a bounded number)."""
+    share the rank, gaps follow; NULL keys are one key, NULL values sort as in
+    ORDER BY).  Rank = 1 + rows of the key with a better value: a running sum
+    over the distinct values, joined back, so a key with a third of all rows
+    costs as many window rows as it has distinct values (readings of fixed
+    precision have a bounded number)."""
     keys = list(keys)
-    if not use_bucketed_windows(df):
-        o = F.col(value).desc() if descending else F.col(value).asc()
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(o)))
-    vc = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    vc = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
     o = F.col(value).desc() if descending else F.col(value).asc()
     before = F.coalesce(F.sum("__c").over(Window.partitionBy(*keys).orderBy(o)
                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranks = vc.select(*keys, value, (before + 1).cast("int").alias(out))
-    # NULL values rank after all others (ORDER BY ... DESC puts them last)
-    tot = vc.groupBy(*keys).agg(F.sum("__c").alias("__tot"))
-    with_rank = df.where(F.col(value).isNotNull()).join(ranks, keys + [value], "left")
-    null_rank = df.where(F.col(value).isNull()).join(tot, keys, "left").select(
-        *df.columns, (F.coalesce(F.col("__tot"), F.lit(0)) + 1).cast("int").alias(out))
-    return with_rank.unionByName(null_rank)
+    return null_safe_join(df, ranks, keys + [value])

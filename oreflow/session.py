@@ -67,12 +67,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (unit tests on one machine) a private folder is
-    created and registered.
+    Only in local mode (one machine, as in tests) may it be unset: a private
+    folder is created and registered then.  On a cluster that is an error, as
+    other executors could not read such a folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not d and (master.startswith("local-cluster") or not master.startswith("local")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="oreflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -87,40 +91,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-# Inputs larger than this (Catalyst's size estimate) use time-bucketed
-# windows for per-key ordered computations; smaller inputs cannot overload
-# one task even if a single key holds all rows.
-WINDOW_BUCKET_THRESHOLD_KEY = "oreflow.window.bucketThresholdBytes"
-WINDOW_BUCKET_THRESHOLD_DEFAULT = 1 << 30
-
-
-def estimated_bytes(df) -> int:
-    """Size of the data a DataFrame reads: the sum of Catalyst's size
-    statistics of the plan's leaf relations (file sizes of the scanned
-    tables) — known at planning time, no job runs.  Leaves are used rather
-    than the root because Catalyst's default estimate of a join is the
-    product of its inputs.  Checkpoints keep the statistics of the plan they
-    materialised; leaves without any statistics count 0."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
-        leaves = plan.collectLeaves()
-        total = 0
-        for i in range(leaves.size()):
-            size = int(str(leaves.apply(i).stats().sizeInBytes()))
-            if size < unknown:
-                total += size
-        return total
-    except Exception:  # noqa: BLE001 - no estimate: assume large
-        return 1 << 62
-
-
-def use_bucketed_windows(df) -> bool:
-    spark = df.sparkSession
-    thr = int(spark.conf.get(WINDOW_BUCKET_THRESHOLD_KEY, str(WINDOW_BUCKET_THRESHOLD_DEFAULT)))
-    return estimated_bytes(df) > thr
-
-
 _SHIPPED: set = set()
 
 

@@ -112,41 +112,43 @@ def unacknowledged(alerts: DataFrame, acks: DataFrame, keys: Sequence[str], aler
 
 def ack_timer(alerts_and_acks: DataFrame, keys: Sequence[str], ts: str, kind: str, timeout_s: int = 600,
               watermark: str = "30 minutes") -> DataFrame:
-    """ST-07 (stream form): per key an event-time timer: a 'critical' event
-    arms it at ts + timeout, an 'ack' event disarms it, a fired timer emits
-    an emergency.  Timers fire once the watermark passes their time."""
+    """ST-07 (stream form): per key event-time timers: each 'critical' event
+    arms one at ts + timeout, an 'ack' event within that time disarms it, a
+    fired timer emits an emergency.  Timers fire once the watermark passes
+    their time; one already passed fires at once."""
     keys = _keys(keys)
     d = alerts_and_acks.withWatermark(ts, watermark).select(*keys, ts, kind)
     key_fields = [f for f in d.schema.fields if f.name in keys]
     out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in key_fields]
                            + ["alert_time timestamp", "deadline timestamp"])
 
+    wait = timeout_s * 1_000_000
+
     def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            armed = state.get[0]
-            state.remove()
-            yield pd.DataFrame([(*key, pd.Timestamp(armed, unit="us"),
-                                 pd.Timestamp(armed + timeout_s * 1_000_000, unit="us"))],
-                               columns=keys + ["alert_time", "deadline"])
-            return
-        armed = state.get[0] if state.exists else None
-        pdf = _frames(pdfs, [ts, kind])
-        for t, k in sorted(zip(pdf[ts], pdf[kind]), key=lambda x: x[0]):
-            us = int(pd.Timestamp(t).value // 1000)
-            if k == "critical" and armed is None:
-                armed = us
-            elif k == "ack" and armed is not None and us <= armed + timeout_s * 1_000_000:
-                armed = None
-        if armed is None:
-            if state.exists:
-                state.remove()
-        else:
+        """State: times (us) of the alarms that wait for an answer, oldest first."""
+        armed = list(state.get[0]) if state.exists else []
+        if not state.hasTimedOut:
+            pdf = _frames(pdfs, [ts, kind])
+            for t, k in sorted(zip(pdf[ts], pdf[kind]), key=lambda x: x[0]):
+                us = int(pd.Timestamp(t).value // 1000)
+                if k == "critical":
+                    armed.append(us)
+                elif k == "ack":
+                    armed = [a for a in armed if not a <= us <= a + wait]
+        armed.sort()
+        now = state.getCurrentWatermarkMs() * 1000
+        due = [a for a in armed if a + wait <= now]
+        armed = [a for a in armed if a + wait > now]
+        if armed:
             state.update((armed,))
-            state.setTimeoutTimestamp(armed // 1000 + timeout_s * 1000)
-        yield pd.DataFrame(columns=keys + ["alert_time", "deadline"])
+            state.setTimeoutTimestamp((armed[0] + wait) // 1000 + 1)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame([(*key, pd.Timestamp(a, unit="us"), pd.Timestamp(a + wait, unit="us")) for a in due],
+                           columns=keys + ["alert_time", "deadline"])
 
     return d.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "armed long", "append", GroupStateTimeout.EventTimeTimeout)
+        fn, out_schema, "armed array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------ stateful stats

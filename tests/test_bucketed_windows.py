@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from oreflow.operators.windows import bucketed_window
+from oreflow.operators.windows import bucketed_window, rank_by_value, running_stats, sessions_by_gap
 
 
 @pytest.fixture(scope="module")
@@ -43,59 +43,54 @@ def test_matches_plain_window(data, bucket_s):
     assert rows(got) == rows(want)
 
 
-def test_forced_bucketing_keeps_query_results(spark, sf_small):
-    """With the size threshold at 0 every ordered operator takes the
-    bucketed path; the registered queries must still match their oracles."""
-    import __spark_entry__ as E
-    from oreflow.plans.verify import compare, duckdb_connection
-    from oreflow.session import WINDOW_BUCKET_THRESHOLD_KEY
-    con = duckdb_connection(sf_small)
-    spark.conf.set(WINDOW_BUCKET_THRESHOLD_KEY, "0")
-    try:
-        for name in ["ts_rolling_zscore_alerts", "ts_local_peaks", "ts_gaps", "wn_sessions_by_gap",
-                     "wn_lag_pct_change", "wn_ma_crossover"]:
-            ok, msg = compare(spark, con, sf_small, E.queries()[name], E.oracle_sql()[name])
-            assert ok, (name, msg)
-    finally:
-        spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
-
-
-def test_forced_bucketing_running_and_intervals(spark, sf_small):
-    import __spark_entry__ as E
-    from oreflow.plans.verify import compare, duckdb_connection
-    from oreflow.session import WINDOW_BUCKET_THRESHOLD_KEY
-    con = duckdb_connection(sf_small)
-    spark.conf.set(WINDOW_BUCKET_THRESHOLD_KEY, "0")
-    try:
-        for name in ["wn_running_totals", "gr_event_intervals"]:
-            ok, msg = compare(spark, con, sf_small, E.queries()[name], E.oracle_sql()[name])
-            assert ok, (name, msg)
-    finally:
-        spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
-
-
-def test_forced_bucketing_scd2(spark, sf_small):
-    import __spark_entry__ as E
-    from oreflow.plans.verify import compare, duckdb_connection
-    from oreflow.session import WINDOW_BUCKET_THRESHOLD_KEY
-    con = duckdb_connection(sf_small)
-    spark.conf.set(WINDOW_BUCKET_THRESHOLD_KEY, "0")
-    try:
-        for name in ["wh_scd2_two_batches", "wh_point_in_time_join"]:
-            ok, msg = compare(spark, con, sf_small, E.queries()[name], E.oracle_sql()[name])
-            assert ok, (name, msg)
-    finally:
-        spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
-
-
-def test_forced_large_path_ranks_and_sequences(spark, sf_small):
-    import __spark_entry__ as E
-    from oreflow.plans.verify import compare, duckdb_connection
-    from oreflow.session import WINDOW_BUCKET_THRESHOLD_KEY
-    con = duckdb_connection(sf_small)
-    spark.conf.set(WINDOW_BUCKET_THRESHOLD_KEY, "0")
-    try:
-        ok, msg = compare(spark, con, sf_small, E.queries()["wn_sequence_per_key"], E.oracle_sql()["wn_sequence_per_key"])
-        assert ok, msg
-    finally:
-        spark.conf.unset(WINDOW_BUCKET_THRESHOLD_KEY)
+@pytest.fixture(scope="module")
+def hard(spark):
+    """NULL keys, NULL times, ties, and one key with a third of all rows."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, base + dt.timedelta(minutes=7 * i), i, float(i % 5)) for i in range(40)]
+    rows += [(None, base + dt.timedelta(hours=i), 100 + i, float(i)) for i in range(20)]
+    rows += [(2 + i % 3, base + dt.timedelta(days=i % 4), 200 + i, 1.0) for i in range(40)]
+    rows += [(1, None, 300, 9.0), (None, None, 301, 8.0), (None, None, 302, None), (7, None, 303, 7.0)]
+    return spark.createDataFrame(rows, "k int, ts timestamp_ntz, rid int, v double")
+
+
+def _rows(df, *cols):
+    return sorted(map(str, df.select(*cols).collect()))
+
+
+def test_null_keys_and_times_keep_their_rows(hard):
+    w = Window.partitionBy("k").orderBy("ts", "rid")
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = hard.select("rid", F.count(F.lit(1)).over(up).alias("seq_no"), F.sum("v").over(up).alias("running_sum"))
+    got = running_stats(hard, ["k"], "ts", "rid", "v", bucket_s=3600)
+    assert _rows(got, "rid", "seq_no", "running_sum") == _rows(want, "rid", "seq_no", "running_sum")
+    lagged = bucketed_window(hard, ["k"], "ts", "rid", 3600, 1, 0, {"prev": lambda s: F.lag("v").over(s)})
+    assert _rows(lagged, "rid", "prev") == _rows(hard.select("rid", F.lag("v").over(w).alias("prev")), "rid", "prev")
+
+
+def test_sessions_with_null_keys_and_times(hard):
+    got = sessions_by_gap(hard, ["k"], "ts", 600, "rid", 3600)
+    want = sessions_by_gap(hard, ["k"], "ts", 600, "rid")
+    cols = ["k", "session_no", "session_start", "n_events"]
+    assert _rows(got, *cols) == _rows(want, *cols)
+    assert got.agg(F.sum("n_events")).first()[0] == hard.count()
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_by_value_with_nulls(hard, descending):
+    o = F.col("v").desc() if descending else F.col("v").asc()
+    want = hard.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(o)))
+    assert _rows(rank_by_value(hard, ["k"], "v", "r", descending), "rid", "r") == _rows(want, "rid", "r")
+
+
+def test_surrogate_keys_with_null_member(spark):
+    from oreflow.operators.warehouse import add_surrogate_keys
+    rows = spark.createDataFrame([(1,), (2,), (None,), (5,)], "bk int")
+    assert sorted(r.sk for r in add_surrogate_keys(rows, None, ["bk"], "sk").collect()) == [1, 2, 3, 4]
+
+
+def test_shortest_path_over_a_long_chain(spark):
+    from oreflow.operators.graph import weighted_shortest
+    e = spark.range(70).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1.5).alias("w"))
+    got = weighted_shortest(e, spark.range(1).select("id"), "w")
+    assert got.count() == 70 and got.agg(F.max("dist")).first()[0] == 105.0

@@ -1,21 +1,6 @@
-"""Size estimates that drive the large-input paths, and cluster sizing."""
+"""Cluster sizing."""
 
-from oreflow.session import estimated_bytes, scale_conf, use_bucketed_windows
-from oreflow.sources.tables import production, read
-
-
-def test_estimate_sums_leaves_and_ignores_join_products(spark, sf_small):
-    li, o = read(spark, sf_small, "lineitem"), read(spark, sf_small, "orders")
-    a, b = estimated_bytes(li), estimated_bytes(o)
-    assert 0 < a and 0 < b
-    assert estimated_bytes(production(spark, sf_small)) == a + b       # not a * b
-    assert not use_bucketed_windows(production(spark, sf_small))
-
-
-def test_checkpoint_keeps_its_source_estimate(spark, sf_small):
-    n = read(spark, sf_small, "nation")
-    c = n.checkpoint(eager=True)
-    assert 0 < estimated_bytes(c) <= 10 * estimated_bytes(n)
+from oreflow.session import scale_conf
 
 
 def test_scale_conf_for_100_tb():
