@@ -42,7 +42,7 @@ HOT = 24
 SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
 BLOCK = 100_000  # shingles on one side of a block
-LIST_COST = 100  # pairs per class that comparing whole lists may cost
+LIST_COST = 4    # pairs per class that comparing whole lists one by one may cost
 SIGN = _U(1 << 63)
 
 _SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>, brief array<int>"
@@ -241,10 +241,14 @@ class NearDuplicates:
             # all pairs of the few that are left, when that costs less than the lists so far or nothing else helps
             short = self._shortest(post)
             cost = short.groupBy("v").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") * F.col("c") / 2)).first()[0]
-            stuck = size is not None and (n > 0.7 * size or cost <= LIST_COST * nodes)
+            cheap = size is not None and cost <= LIST_COST * nodes
+            stuck = size is not None and n > 0.7 * size
             size = n
             hot = post.where(F.col("df") > HOT)
             per = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"), F.sum(F.log2("df")).alias("weight"))
+            if cheap:
+                found.append(self.estimated(self._pairs(short), link_cut))
+                break
             if stuck:
                 forest = self._all_pairs(short)
                 break
@@ -272,14 +276,17 @@ class NearDuplicates:
         links = cut(links.union(star.where("linked").select("a", "b")))
         return links.union(self._border(links, star))
 
-    def _pairs(self, short: DataFrame, per: DataFrame) -> DataFrame:
-        """Distinct pairs of short lists' members whose sizes and overlaps allow a link."""
+    def _pairs(self, short: DataFrame, per: DataFrame | None = None) -> DataFrame:
+        """Distinct pairs of short lists' members whose sizes (and, given the
+        number of long lists of each, overlaps) allow a link."""
         s = short.select("v", "node", "n")
         x, y = s.alias("x"), s.alias("y")
         j = x.join(y, F.col("x.v") == F.col("y.v")).where(
             (F.col("x.node") < F.col("y.node")) & self._near(F.col("x.n"), F.col("y.n"), self.percent))
         p = j.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
             F.count(F.lit(1)).alias("o"), F.max(F.greatest("x.n", "y.n")).alias("m"))
+        if per is None:
+            return p.select("a", "b")
         h = per.select("node", "hots")
         p = p.join(h.select(F.col("node").alias("a"), F.col("hots").alias("ha")), "a", "left") \
             .join(h.select(F.col("node").alias("b"), F.col("hots").alias("hb")), "b", "left")
