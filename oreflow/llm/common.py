@@ -62,18 +62,18 @@ class Tables:
     checkpoint, and dropped as soon as what they lead to is written."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.paths = spark, {}
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         df.write.option("compression", "zstd").parquet(path)
-        self.paths.append(path)
+        self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
+    def drop(self, *names: str) -> None:
+        """Delete tables, all without names."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for p in self.paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
+        for n in names or list(self.paths):
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(n))
             path.getFileSystem(conf).delete(path, True)
-        self.paths.clear()
