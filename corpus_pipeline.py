@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents, without
+from oreflow.llm.common import documents, free_name
 from oreflow.llm.op1_packing import pack
 from oreflow.llm.op4_minhash_dedup import drop_near_duplicates
 from oreflow.llm.op6_decontamination import decontaminate
@@ -23,10 +23,15 @@ from oreflow.session import scratch_path
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not predicted toxic."""
-    own = without(docs, ["held_out", "score", "predicted"])
-    scored = toxicity(own, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where(F.col("predicted") == 0).select(*own.columns)
+    """Documents not predicted toxic.  Columns that share a name with the
+    operator's own stand aside meanwhile."""
+    aside, own = {}, docs
+    for c in docs.columns:
+        if c.lower() in ("held_out", "score", "predicted"):
+            aside[c] = free_name(own, f"_{c}")
+            own = own.withColumnRenamed(c, aside[c])
+    scored = toxicity(own, spark.read.parquet(f"{sf_dir}/labels.parquet")).where(F.col("predicted") == 0)
+    return scored.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

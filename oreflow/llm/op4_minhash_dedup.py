@@ -260,7 +260,7 @@ class NearDuplicates:
             safe = tested.where(F.col("linked") & (F.col("o") >= SAFE)).select(F.col("a").alias("node")) \
                 .union(pivots.where(F.col("lists") >= SAFE).select("node")).distinct()
             rest = per.where(F.col("hots") >= FEW).select("node").join(safe, "node", "left_anti")
-            todo = todo.join(rest, "node", "left_semi")
+            todo = cut(todo.join(rest, "node", "left_semi"))
         if not found:
             return self.r.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         pairs = found[0]
