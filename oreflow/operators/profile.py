@@ -28,7 +28,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequ
 
     Distinct counts are HyperLogLog estimates by default: several exact
     distinct aggregates in one pass make Spark expand every row once per
-    column; ``exact_distinct`` asks for exact values (small tables, tests)."""
+    column; ``exact_distinct`` asks for exact values, of quantiles too (from
+    counts per value, see ``exact_quantiles``)."""
     columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs, names = [F.count(F.lit(1)).alias("__rows")], []
@@ -41,7 +42,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequ
             m.update({"min": F.min(col), "max": F.max(col), "mean": F.avg(col), "std": F.stddev(col),
                       "zeros": F.count_if(col == 0), "negatives": F.count_if(col < 0),
                       "skewness": F.skewness(col)})
-            for q in quantiles:
+            for q in quantiles if not exact_distinct else ():
                 m[f"p{int(q * 100)}"] = F.percentile_approx(col, q, accuracy)
         elif isinstance(types[c], StringType):
             m.update({"min_length": F.min(F.length(col)), "max_length": F.max(F.length(col)),
@@ -58,6 +59,12 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequ
         for c in columns:
             extra.append(df.select(F.count_distinct(c).cast("double")).scalar().alias(f"{c}__distinct"))
             names.append((c, "distinct", f"{c}__distinct"))
+            if quantiles and isinstance(types[c], NumericType):
+                found = exact_quantiles(df, c, quantiles)
+                for q in quantiles:
+                    value = found.where(F.col("q") == float(q)).select(F.max("value").cast("double"))
+                    extra.append(value.scalar().alias(f"{c}__p{int(q * 100)}"))
+                    names.append((c, f"p{int(q * 100)}", f"{c}__p{int(q * 100)}"))
         wide = wide.select("*", *extra)
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("metric"),
                                          F.col(a).alias("value")) for c, k, a in names]))
@@ -106,6 +113,38 @@ def global_average_rank(df: DataFrame, column: str, out: str, buckets: int = 64)
     return d.join(ranks, ["__b", column]).drop("__b")
 
 
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], keys: Sequence[str] = (),
+                    buckets: int = 64) -> DataFrame:
+    """Exact discrete quantiles, per group of ``keys`` if given: the smallest
+    value that at least q·n of the group's non-NULL values do not exceed.
+    Output: keys, q, value.
+
+    Works on counts per distinct value, ordered inside ranges of values whose
+    boundaries (approximate quantiles) are fetched once, so neither a group's
+    rows nor its distinct values meet in one task."""
+    keys = list(keys)
+    d = df.where(F.col(column).isNotNull())
+    bounds = d.agg(F.percentile_approx(column, [i / buckets for i in range(1, buckets)], 10000)).first()[0] or []
+    b = F.size(F.filter(F.array(*[F.lit(x) for x in sorted(set(bounds))]), lambda x: x < F.col(column))) \
+        if bounds else F.lit(0)
+    vc = d.groupBy(*keys, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("__t")) \
+        .withColumn(column, F.col("value")).withColumn("__b", b)
+    group = Window.partitionBy(*[F.col(f"__k{i}") for i in range(len(keys))])
+    ranges = vc.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__rb")) \
+        .agg(F.sum("__t").alias("__n")) \
+        .withColumn("__off", F.sum("__n").over(group.orderBy("__rb").rowsBetween(Window.unboundedPreceding, -1))) \
+        .withColumn("__all", F.sum("__n").over(group))
+    same = F.col("__b") == F.col("__rb")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    upto = F.sum("__t").over(Window.partitionBy(*keys, "__b").orderBy("value")
+                             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    r = vc.withColumn("__upto", upto).join(ranges, same).withColumn("__upto", F.col("__upto") + F.coalesce("__off", F.lit(0)))
+    r = r.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in probs])))
+    rank = F.greatest(F.lit(1), F.ceil(F.round(F.col("q") * F.col("__all"), 6)))
+    return r.where((F.col("__upto") >= rank) & (F.col("__upto") - F.col("__t") < rank)).select(*keys, "q", "value")
+
+
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """PR-03: Spearman correlation = Pearson correlation of average ranks
     (rows with a NULL in either column are left out)."""
@@ -177,10 +216,9 @@ def compare_groups(df: DataFrame, group_col: str, a_value, b_value, columns: Seq
             .withColumn("difference", F.col("value_b") - F.col("value_a")))
 
 
-def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, accuracy: int = 1000000) -> DataFrame:
-    """PR-08: rows outside [q1 - k·IQR, q3 + k·IQR] (quartiles approximate
-    with the given accuracy; exact when accuracy exceeds the row count)."""
-    q = df.agg(F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q"))
-    q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()
+def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
+    """PR-08: rows outside [q1 - k·IQR, q3 + k·IQR], by exact quartiles."""
+    q = exact_quantiles(df, column, [0.25, 0.75])
+    q1, q3 = (q.where(F.col("q") == p).select(F.max("value")).scalar() for p in (0.25, 0.75))
     iqr = q3 - q1
     return df.where((F.col(column) < q1 - k * iqr) | (F.col(column) > q3 + k * iqr))

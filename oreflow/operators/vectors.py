@@ -2,10 +2,10 @@
 
 Similarity functions are JVM-side higher-order functions.  Exact top-k for
 a set of query vectors never builds a query x corpus join: the query set is
-size-checked, broadcast once, and every corpus partition computes its
-distances to all queries with numpy (Arrow batches via ``mapInPandas``) and
-keeps only its k best per query; a final grouped top-k merges the partial
-lists (k x partitions rows per query).
+broadcast in slices of a checked size, and every corpus task computes its
+distances to a slice with numpy (Arrow batches via ``mapInPandas``), block by
+block, and keeps only its k best per query over all its batches; a final
+grouped top-k merges the partial lists (k x tasks rows per query).
 """
 
 from __future__ import annotations
@@ -18,19 +18,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-MAX_BROADCAST_QUERIES = 100_000
+QUERY_BYTES = 64 << 20  # of query data in one broadcast; more queries take more slices
+SCORES = 4 << 20        # distances that a task holds at a time
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _check_query_count(queries: DataFrame) -> None:
-    """Query vectors are shipped to every task: their number must be bounded."""
-    n_q = queries.count()
-    if n_q > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"{n_q} query vectors exceed the broadcast bound {MAX_BROADCAST_QUERIES}; "
-                         "split the query set into batches")
+def _query_slices(queries: DataFrame, query_id: str, vec: str, per_query: int | None = None, *others: str):
+    """The query set as pandas frames of about QUERY_BYTES (``per_query`` bytes
+    each, by default those of the vector), one after another.  A query without
+    a vector has no neighbours; no queries give no slices."""
+    q = queries.where(F.col(vec).isNotNull()).select(query_id, vec, *others)
+    each = F.lit(per_query) if per_query else F.size(vec) * 8
+    size = q.agg(F.sum(each.cast("long"))).first()[0] or 0
+    n = -(-size // QUERY_BYTES)
+    for i in range(n):
+        part = (q if n == 1 else q.where(F.pmod(F.xxhash64(query_id), F.lit(n)) == i)).toPandas()
+        if len(part):
+            yield part
+
+
+def _keep_best(k: int, q: np.ndarray, ids: np.ndarray, key: np.ndarray):
+    """Of flat candidates each query's k with the smallest key (ties: smallest id)."""
+    order = np.lexsort((ids, key, q))
+    q, ids, key = q[order], ids[order], key[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < k
+    return q[keep], ids[keep], key[keep]
+
+
+def _running_topk(batches, k: int, n_queries: int, id_col: str, distances):
+    """(query number, id, key) of the k best over all batches of a task.
+    ``distances(pdf)`` gives a function of a range of queries to their keys
+    (smaller is better; infinite: no candidate)."""
+    best = None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        ids, keys_of = pdf[id_col].to_numpy(), distances(pdf)
+        step, kk = max(1, SCORES // len(ids)), min(k, len(ids))
+        parts = [] if best is None else [best]
+        for lo in range(0, n_queries, step):
+            key = keys_of(slice(lo, min(lo + step, n_queries)))
+            worst = np.partition(key, kk - 1, axis=1)[:, kk - 1]
+            row, col = np.nonzero((key <= worst[:, None]) & np.isfinite(key))
+            parts.append(_keep_best(k, row + lo, ids[col], key[row, col]))
+        best = _keep_best(k, *(np.concatenate(x) for x in zip(*parts)))
+    return best
+
+
+def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
+    out = parts[0] if parts else empty
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 # ------------------------------------------------------------ similarities
@@ -73,38 +115,28 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
 def _partial_topk(bq, k: int, metric: str, id_col: str, vec_col: str, label_col: str | None):
     def run(batches):
         q_ids, q_mat, label_filter = bq.value      # broadcast once per executor
-        for pdf in batches:
-            if pdf.empty:
-                continue
+
+        def distances(pdf):
             corpus = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            ids = pdf[id_col].to_numpy()
-            if metric == "cosine":
-                cn = np.linalg.norm(corpus, axis=1)
-                qn = np.linalg.norm(q_mat, axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    s = (q_mat @ corpus.T) / np.outer(qn, cn)
-                s = np.where(np.isfinite(s), s, -np.inf)
-                better_high = True
-            elif metric == "dot":
-                s, better_high = q_mat @ corpus.T, True
-            else:  # l2 via |q|^2 + |c|^2 - 2 q.c: memory O(queries x batch)
-                sq = (q_mat ** 2).sum(1)[:, None] + (corpus ** 2).sum(1)[None, :] - 2.0 * (q_mat @ corpus.T)
-                s = np.sqrt(np.maximum(sq, 0.0))
-                better_high = False
-            if label_filter is not None:
-                labs = pdf[label_col].to_numpy()
-                mask = label_filter[:, None] == labs[None, :]
-                s = np.where(mask, s, -np.inf if better_high else np.inf)
-            key = -s if better_high else s
-            kk = min(k, key.shape[1])
-            # k best per query, ties broken by corpus id
-            order = np.lexsort((np.broadcast_to(ids, key.shape), key), axis=1)[:, :kk]
-            rows_q = np.repeat(q_ids, kk)
-            sel = order.reshape(-1)
-            rq = np.repeat(np.arange(len(q_ids)), kk)
-            score = s[rq, sel]
-            ok = np.isfinite(score)
-            yield pd.DataFrame({"query_id": rows_q[ok], "vec_id": ids[sel][ok], "score": score[ok]})
+            labels = pdf[label_col].to_numpy() if label_col else None
+
+            def keys_of(part: slice):
+                q = q_mat[part]
+                if metric == "cosine":
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        s = (q @ corpus.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(corpus, axis=1))
+                    key = np.where(np.isfinite(s), -s, np.inf)
+                elif metric == "dot":
+                    key = -(q @ corpus.T)
+                else:  # l2 via |q|^2 + |c|^2 - 2 q.c
+                    key = np.sqrt(np.maximum((q ** 2).sum(1)[:, None] + (corpus ** 2).sum(1)[None, :]
+                                             - 2.0 * (q @ corpus.T), 0.0))
+                return key if labels is None else np.where(label_filter[part, None] == labels[None, :], key, np.inf)
+            return keys_of
+        best = _running_topk(batches, k, len(q_ids), id_col, distances)
+        if best is not None:
+            q, ids, key = best
+            yield pd.DataFrame({"query_id": q_ids[q], "vec_id": ids, "score": key if metric == "l2" else -key})
     return run
 
 
@@ -115,18 +147,19 @@ def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     ``same_label`` restricts each query to corpus rows with its label (the
     metadata filter is applied before ranking).  Output: query_id, vec_id,
     score, rank (1 = best; ties by vec_id)."""
-    _check_query_count(queries)
-    qcols = [query_id, query_vec] + ([same_label] if same_label else [])
-    qp = queries.select(*qcols).toPandas()
-    q_ids = qp[query_id].to_numpy()
-    q_mat = np.stack(qp[query_vec].to_numpy()).astype(np.float64) if len(qp) else np.zeros((0, 1))
-    lab = qp[same_label].to_numpy() if same_label else None
-    ccols = [id_col, vec_col] + ([same_label] if same_label else [])
-    bq = corpus.sparkSession.sparkContext.broadcast((q_ids, q_mat, lab))
-    fn = _partial_topk(bq, k, metric, id_col, vec_col, same_label)
+    others = [same_label] if same_label else []
     qtype = queries.schema[query_id].dataType.simpleString()
     itype = corpus.schema[id_col].dataType.simpleString()
-    part = corpus.select(*ccols).mapInPandas(fn, f"query_id {qtype}, vec_id {itype}, score double")
+    schema = f"query_id {qtype}, vec_id {itype}, score double"
+    spark = corpus.sparkSession
+    rows = corpus.where(F.col(vec_col).isNotNull()).select(id_col, vec_col, *others)
+    parts = []
+    for qp in _query_slices(queries, query_id, query_vec, None, *others):
+        bq = spark.sparkContext.broadcast((
+            qp[query_id].to_numpy(), np.stack(qp[query_vec].to_numpy()).astype(np.float64),
+            qp[same_label].to_numpy() if same_label else None))
+        parts.append(rows.mapInPandas(_partial_topk(bq, k, metric, id_col, vec_col, same_label), schema))
+    part = _union(parts, spark.createDataFrame([], schema))
     asc = metric == "l2"
     w = Window.partitionBy("query_id").orderBy(F.col("score").asc() if asc else F.col("score").desc(),
                                                F.col("vec_id"))
@@ -158,18 +191,20 @@ def ivf_search(cells: DataFrame, cents: np.ndarray, queries: DataFrame, k: int,
                id_col: str = "vec_id", vec_col: str = "embedding", query_id: str = "query_id") -> DataFrame:
     """VEC-06: probe the ``nprobe`` cells nearest to each query, rank only
     the vectors in those cells (an equi join on cell id), keep top-k."""
-    _check_query_count(queries)
-    qp = queries.select(query_id, vec_col).toPandas()
-    qm = np.stack(qp[vec_col].to_numpy()).astype(np.float64)
-    d = ((qm[:, None, :] - cents[None, :, :]) ** 2).sum(-1)
-    probe = np.argsort(d, axis=1)[:, :nprobe]
-    pairs = [(qid, int(c)) for qid, row in zip(qp[query_id].tolist(), probe) for c in row]
-    spark = cells.sparkSession
+    def nearest(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            q = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
+            d = np.stack([((q - c) ** 2).sum(1) for c in cents], axis=1)
+            probe = np.argsort(d, axis=1, kind="stable")[:, :nprobe]
+            yield pd.DataFrame({query_id: np.repeat(pdf[query_id].to_numpy(), probe.shape[1]),
+                                "cell": probe.reshape(-1).astype(np.int32),
+                                "__q": list(np.repeat(q, probe.shape[1], axis=0))})
     qtype = queries.schema[query_id].dataType.simpleString()
-    probes = spark.createDataFrame(pairs, f"{query_id} {qtype}, cell int")
-    qv = queries.select(query_id, F.col(vec_col).alias("__q"))
-    cand = (cells.select(id_col, vec_col, "cell").join(F.broadcast(probes), "cell")
-            .join(F.broadcast(qv), query_id))
+    probes = queries.where(F.col(vec_col).isNotNull()).select(query_id, vec_col) \
+        .mapInPandas(nearest, f"{query_id} {qtype}, cell int, __q array<double>")
+    cand = cells.select(id_col, vec_col, "cell").join(probes, "cell")
     scored = cand.select(query_id, id_col, cosine(vec_col, "__q").alias("score"))
     w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(id_col))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -219,30 +254,31 @@ def pq_search(codes: DataFrame, books: list[np.ndarray], queries: DataFrame, k:
     """VEC-08: asymmetric distance computation: per query a lookup table of
     squared distances (sub-space x centroid), summed over the codes; partial
     top-k per partition, merged per query."""
-    _check_query_count(queries)
-    qp = queries.select(query_id, vec_col).toPandas()
-    qm = np.stack(qp[vec_col].to_numpy()).astype(np.float64)
     sub = books[0].shape[1]
-    tables = np.stack([((qm[:, j * sub:(j + 1) * sub][:, None, :] - b[None, :, :]) ** 2).sum(-1)
-                       for j, b in enumerate(books)], axis=1)  # (q, m, ks)
-    sc = codes.sparkSession.sparkContext
-    bt = sc.broadcast((qp[query_id].to_numpy(), tables))
-
-    def run(batches):
-        q_ids, tab = bt.value
-        for pdf in batches:
-            c = np.stack(pdf["codes"].to_numpy())  # (n, m)
-            dist = tab[:, np.arange(c.shape[1])[None, :], c].sum(-1)  # (q, n)
-            kk = min(k, dist.shape[1])
-            ids = pdf[id_col].to_numpy()
-            # ties go to the smaller id, whatever the order of the rows
-            order = np.stack([np.lexsort((ids, row)) for row in dist])[:, :kk]
-            rq = np.repeat(np.arange(len(q_ids)), kk)
-            yield pd.DataFrame({"query_id": q_ids[rq], id_col: ids[order.reshape(-1)],
-                                "score": dist[rq, order.reshape(-1)]})
+    spark = codes.sparkSession
+
+    def search(bt):
+        def run(batches):
+            q_ids, tab = bt.value
+
+            def distances(pdf):
+                c = np.stack(pdf["codes"].to_numpy())  # (n, m)
+                return lambda part: sum(tab[part, j][:, c[:, j]] for j in range(c.shape[1]))
+            best = _running_topk(batches, k, len(q_ids), id_col, distances)
+            if best is not None:
+                yield pd.DataFrame({"query_id": q_ids[best[0]], id_col: best[1], "score": best[2]})
+        return run
     qtype = queries.schema[query_id].dataType.simpleString()
     itype = codes.schema[id_col].dataType.simpleString()
-    part = codes.mapInPandas(run, f"query_id {qtype}, {id_col} {itype}, score double")
+    schema = f"query_id {qtype}, {id_col} {itype}, score double"
+    parts = []
+    for qp in _query_slices(queries, query_id, vec_col, 8 * sum(len(b) for b in books)):
+        qm = np.stack(qp[vec_col].to_numpy()).astype(np.float64)
+        tables = np.stack([((qm[:, j * sub:(j + 1) * sub][:, None, :] - b[None, :, :]) ** 2).sum(-1)
+                           for j, b in enumerate(books)], axis=1)  # (q, m, ks)
+        bt = spark.sparkContext.broadcast((qp[query_id].to_numpy(), tables))
+        parts.append(codes.mapInPandas(search(bt), schema))
+    part = _union(parts, spark.createDataFrame([], schema))
     w = Window.partitionBy("query_id").orderBy("score", id_col)
     return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -292,7 +292,7 @@ SELECT 'l_returnflag', m.metric, m.value FROM (
 """)
 def pr_profile_columns(spark, d):
     p = pr.profile(read(spark, d, "lineitem"), ["l_quantity", "l_returnflag"], quantiles=[0.5, 0.9],
-                   accuracy=1_000_000, exact_distinct=True)
+                   exact_distinct=True)
     return p.where(~F.col("metric").isin("skewness", "rows")).select(
         "column", "metric", F.when(F.col("metric").isin("mean", "std", "mean_length"), rh("value", 6))
         .otherwise(F.col("value")).alias("value"))
@@ -406,7 +406,7 @@ def pr_profile_query(spark, d):
     # JDBC source reads the same way through sources.files.read_jdbc)
     q = production(spark, d).groupBy("o_orderkey", "o_orderpriority").agg(
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
-    p = pr.profile(q.select("revenue"), ["revenue"], quantiles=[0.5], accuracy=1_000_000, exact_distinct=True)
+    p = pr.profile(q.select("revenue"), ["revenue"], quantiles=[0.5], exact_distinct=True)
     return p.where(F.col("metric").isin("count", "mean", "max", "p50")).select(
         "column", "metric", F.when(F.col("metric") == "count", F.col("value"))
         .otherwise(rh("value", 4)).alias("value"))

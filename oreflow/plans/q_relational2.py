@@ -224,9 +224,9 @@ def sf_string_functions(spark, d):
 
 
 @query("sf_row_hash", ops=("SF-04", "ETL-01", "G4"), sql="""
-SELECT s_suppkey, md5(concat_ws('|', coalesce(trim(CAST(s_suppkey AS VARCHAR)), '\\N'),
-                                coalesce(trim(s_name), '\\N'),
-                                coalesce(trim(CAST(s_nationkey AS VARCHAR)), '\\N'))) AS row_hash
+SELECT s_suppkey, md5(concat_ws('|', coalesce(length(CAST(s_suppkey AS VARCHAR)) || ':' || s_suppkey, '~'),
+                                coalesce(length(s_name) || ':' || s_name, '~'),
+                                coalesce(length(CAST(s_nationkey AS VARCHAR)) || ':' || s_nationkey, '~'))) AS row_hash
 FROM supplier
 """)
 def sf_row_hash(spark, d):

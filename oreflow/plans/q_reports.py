@@ -1,8 +1,8 @@
 """Registered business reports and sink transformations.
 
-The sink queries return the table content a write would produce (the write
-itself is exercised by the tests); the reports compose the operators the
-way the reference's report scripts do, on the test bindings.
+The sink queries write tables below the shared scratch folder through the
+sinks and return what a read of them gives; the reports compose the operators
+on the test bindings.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from oreflow.plans.q_timeseries import KEYS, QF, R
 from oreflow.plans.q_warehouse import CUT, _cut, latest_priority, priority_changes
 from oreflow.plans.registry import query
 from oreflow.plans.sqlfmt import rnd
+from oreflow.session import scratch_path
 from oreflow.sinks import writers as w
 from oreflow.sources.tables import production, read, sensor_readings
 
@@ -31,14 +32,45 @@ SELECT o_custkey AS c_custkey, arg_max(o_orderpriority, {'d': o_orderdate, 'k':
 FROM orders GROUP BY o_custkey
 """)
 def snk_merge_latest(spark, d):
-    ch = priority_changes(spark, d)
-    b1 = ch.where(F.col("change_ts") < _cut())
-    target = b1.groupBy("c_custkey").agg(F.max_by(F.struct("priority", "change_ts", "change_seq"),
-                                                   F.struct("change_ts", "change_seq")).alias("r")).select(
-        "c_custkey", "r.*")
-    merged = w.merge_latest(target, ch.where(F.col("change_ts") >= _cut()), ["c_custkey"],
-                            F.struct("change_ts", "change_seq"))
-    return merged.select("c_custkey", "priority")
+    ch = priority_changes(spark, d).select("c_custkey", "priority", "change_ts", "change_seq")
+    path, newest = scratch_path(spark, "snk-upsert"), F.struct("change_ts", "change_seq")
+    w.upsert(spark, ch.where(F.col("change_ts") < _cut()), path, ["c_custkey"], newest)
+    w.upsert(spark, ch.where(F.col("change_ts") >= _cut()), path, ["c_custkey"], newest)
+    return spark.read.parquet(path).select("c_custkey", "priority")
+
+
+@query("snk_upsert_moving_partition", ops=("SNK-04",), sql="""
+SELECT priority, count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_keys
+FROM (SELECT o_custkey AS k, arg_max(o_orderpriority, {'d': o_orderdate, 'k': o_orderkey}) AS priority
+      FROM orders GROUP BY o_custkey) GROUP BY priority
+""")
+def snk_upsert_moving_partition(spark, d):
+    """A key whose partition column changes leaves its old partition."""
+    ch = priority_changes(spark, d).select("c_custkey", "priority", "change_ts", "change_seq")
+    path, newest = scratch_path(spark, "snk-upsert-part"), F.struct("change_ts", "change_seq")
+    for part in (ch.where(F.col("change_ts") < _cut()), ch.where(F.col("change_ts") >= _cut())):
+        w.upsert(spark, part, path, ["c_custkey"], newest, partition_by=["priority"])
+    return spark.read.parquet(path).groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("sum_keys"))
+
+
+@query("snk_load_append_update", ops=("SNK-01", "SNK-02", "SNK-05"), sql=f"""
+SELECT o_orderstatus, o_orderpriority, CASE WHEN o_totalprice > 200000 THEN 'large' END AS size_class, count(*) AS n
+FROM (SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN 'OPEN' ELSE o_orderstatus END AS o_orderstatus) FROM orders)
+GROUP BY ALL
+""")
+def snk_load_append_update(spark, d):
+    """Truncate-and-load (twice: the second load replaces the first), append, update in place."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    path = scratch_path(spark, "snk-load")
+    w.overwrite(o, path)
+    w.overwrite(o.where(F.col("o_orderdate") < _cut()), path)
+    w.append(o.where(F.col("o_orderdate") >= _cut()), path)
+    w.append(o.where(F.col("o_orderdate").isNull()), path)
+    w.update_table(spark, path, {"o_orderstatus": F.lit("OPEN")}, F.col("o_orderstatus") == "P")
+    w.update_table(spark, path, {"size_class": F.lit("large")}, F.col("o_totalprice") > 200000)
+    return spark.read.parquet(path).groupBy("o_orderstatus", "o_orderpriority", "size_class").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("snk_delete_where", ops=("SNK-06",), sql="""
@@ -46,10 +78,10 @@ SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders
 WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW') GROUP BY ALL
 """)
 def snk_delete_where(spark, d):
-    o = read(spark, d, "orders")
-    kept = o.where(~F.coalesce((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"),
-                               F.lit(False)))
-    return kept.groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "snk-delete")
+    w.overwrite(read(spark, d, "orders"), path)
+    w.delete_where(spark, path, (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"))
+    return spark.read.parquet(path).groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("snk_time_chunks", ops=("SNK-07",), sql="""
@@ -60,11 +92,14 @@ SELECT '7 days', CAST(CAST(time_bucket(INTERVAL 7 DAY, l_shipdate, TIMESTAMP '19
 """)
 def snk_time_chunks(spark, d):
     li = read(spark, d, "lineitem")
-    m = li.groupBy(w.chunk_column("l_shipdate", "month").alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
-    wk = li.groupBy(w.chunk_column("l_shipdate", "7 days").cast("string").alias("chunk")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return (m.select(F.lit("month").alias("chunk_type"), "chunk", "n")
-            .unionByName(wk.select(F.lit("7 days").alias("chunk_type"), "chunk", "n")))
+    out = None
+    for chunk in ("month", "7 days"):
+        path = scratch_path(spark, "snk-chunks")
+        w.write_time_partitioned(li.select("l_orderkey", "l_shipdate"), path, "l_shipdate", chunk)
+        n = spark.read.parquet(path).groupBy(F.col("chunk").cast("string").alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
+        n = n.select(F.lit(chunk).alias("chunk_type"), "chunk", "n")
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 @query("snk_refresh_window", ops=("SNK-08", "TS-17"), sql=f"""
@@ -90,12 +125,13 @@ UNION ALL SELECT 'hourly_rollup', count(*) FROM (SELECT DISTINCT b, event_type F
 """)
 def snk_retention_tiers(spark, d):
     e = read(spark, d, "events")
-    cut = e.select(F.max("ts") - F.expr("INTERVAL 7 DAYS")).scalar()
-    raw = e.where(F.col("ts") >= cut)
-    roll = (e.where(F.col("ts") < cut).groupBy(F.window("ts", "1 hour").start.alias("bucket"), "event_type")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value")))
+    cut = e.agg((F.max("ts") - F.expr("INTERVAL 7 DAYS")).alias("c")).first()["c"]
+    raw, roll = scratch_path(spark, "snk-raw"), scratch_path(spark, "snk-rollup")
+    w.overwrite(e.where(F.col("ts").isNotNull()), raw)
+    w.tiered_retention(spark, raw, roll, "ts", ["event_type"], "value", cut)
+    w.tiered_retention(spark, raw, roll, "ts", ["event_type"], "value", cut)   # a repeat changes nothing
     from oreflow.operators.aggregates import count_report
-    return count_report({"raw_kept": raw, "hourly_rollup": roll}).select(
+    return count_report({"raw_kept": spark.read.parquet(raw), "hourly_rollup": spark.read.parquet(roll)}).select(
         F.col("table_name").alias("tier"), "n_rows")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.numeric import round_half_up as rh
 from oreflow.operators import text as tx
+from oreflow.operators import profile as pr
 from oreflow.operators import vectors as vx
 from oreflow.plans.registry import query
 from oreflow.plans.sqlfmt import rnd
@@ -282,9 +283,10 @@ FROM m GROUP BY role
 def tx_interaction_analytics(spark, d):
     m = read(spark, d, "conversations").select("role", tx.token_count("text").alias("tok"))
     rate = F.create_map(*[x for k, v in ROLE_RATES.items() for x in (F.lit(k), F.lit(v))])[F.col("role")]
-    g = m.groupBy("role").agg(F.count(F.lit(1)).alias("n_messages"), F.sum("tok").alias("tokens"),
-                              F.percentile_approx("tok", 0.5, 1_000_000).alias("p50_tokens"),
-                              F.percentile_approx("tok", 0.9, 1_000_000).alias("p90_tokens"))
+    g = m.groupBy("role").agg(F.count(F.lit(1)).alias("n_messages"), F.sum("tok").alias("tokens"))
+    q = pr.exact_quantiles(m, "tok", [0.5, 0.9], ["role"]).groupBy(F.col("role").alias("__r")).agg(
+        F.max_by("value", "q").alias("p90_tokens"), F.min_by("value", "q").alias("p50_tokens"))
+    g = g.join(q, F.col("role").eqNullSafe(F.col("__r")), "left").drop("__r")
     return g.withColumn("cost", rh(F.col("tokens") / 1000.0 * rate, 4))
 
 

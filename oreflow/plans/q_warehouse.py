@@ -179,7 +179,7 @@ ORDER_HASH_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "
 
 
 def _md5_sql(cols):
-    parts = ", ".join(f"coalesce(trim(CAST({c} AS VARCHAR)), '\\N')" for c in cols)
+    parts = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in cols)
     return f"md5(concat_ws('|', {parts}))"
 
 
@@ -262,7 +262,8 @@ def etl_load_log_health(spark, d):
 
 
 def _hk_sql(col):
-    return f"md5(upper(trim(coalesce(CAST({col} AS VARCHAR), '\\N'))))"
+    key = f"upper(trim(CAST({col} AS VARCHAR)))"
+    return f"md5(coalesce(length({key}) || ':' || {key}, '~'))"
 
 
 @query("dv_hubs_links", ops=("DV-01", "DV-02", "SNK-03"), sql=f"""
@@ -309,11 +310,11 @@ def customer_satellite(spark, d):
 @query("dv_satellite_history", ops=("DV-03", "DV-06"), sql=f"""
 WITH ch AS (SELECT {_hk_sql("o_custkey")} AS customer_hk, o_orderpriority AS priority, o_orderdate AS ts,
                    o_orderkey AS seq FROM orders),
-l AS (SELECT *, lag(priority) OVER (PARTITION BY customer_hk ORDER BY ts, md5(coalesce(trim(priority), '\\N'))) AS prev
+l AS (SELECT *, lag(priority) OVER (PARTITION BY customer_hk ORDER BY ts, {_md5_sql(['priority'])}) AS prev
       FROM (SELECT DISTINCT customer_hk, priority, ts FROM ch)),
 v AS (SELECT * FROM l WHERE prev IS NULL OR prev <> priority)
 SELECT customer_hk, priority, ts AS load_dts,
-       coalesce(lead(ts) OVER (PARTITION BY customer_hk ORDER BY ts, md5(coalesce(trim(priority), '\\N'))),
+       coalesce(lead(ts) OVER (PARTITION BY customer_hk ORDER BY ts, {_md5_sql(['priority'])}),
                 TIMESTAMP '{OPEN_END_TS}') AS load_end_dts
 FROM v
 """)
@@ -323,7 +324,7 @@ def dv_satellite_history(spark, d):
 
 
 @query("dv_current_state_report", ops=("DV-04", "DV-05", "JN-20", "JN-02"), sql=f"""
-WITH cur AS (SELECT o_custkey AS k, arg_max(o_orderpriority, {{'d': o_orderdate, 'h': md5(coalesce(trim(o_orderpriority), '\\N'))}}) AS priority
+WITH cur AS (SELECT o_custkey AS k, arg_max(o_orderpriority, {{'d': o_orderdate, 'h': {_md5_sql(['o_orderpriority'])}}}) AS priority
              FROM orders GROUP BY 1)
 SELECT cur.priority AS current_priority, count(*) AS n_lines,
        {rnd("sum(l.l_extendedprice * (1 - l.l_discount))", 2)} AS revenue

@@ -81,16 +81,27 @@ def merge_latest(target: DataFrame, changes: DataFrame, keys: Sequence[str], ord
 
 def upsert(spark: SparkSession, changes: DataFrame, path: str, keys: Sequence[str], order: Column,
            partition_by: Sequence[str] | None = None) -> None:
-    """SNK-04 upsert: rewrite of the touched table (or only its touched
-    partitions when ``partition_by`` is given)."""
+    """SNK-04 upsert: rewrite of the table, or with ``partition_by`` of the
+    partitions that hold one of the keys now or will.  The first load is
+    merged too: it keeps one row per key."""
+    keys = _keys(keys)
     if not exists(spark, path):
-        overwrite(changes, path, partition_by)
+        overwrite(merge_latest(changes.limit(0), changes, keys, order), path, partition_by)
         return
-    target = spark.read.parquet(path)
-    if partition_by:
-        touched = changes.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
-    _rewrite(spark, merge_latest(target, changes, keys, order), path, partition_by, bool(partition_by))
+    whole = spark.read.parquet(path)
+    if not partition_by:
+        _rewrite(spark, merge_latest(whole, changes, keys, order), path, None, False)
+        return
+    parts = list(partition_by)
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    held = whole.alias("t").join(changes.select(*keys).distinct().alias("c"), same, "left_semi").select(*parts)
+    touched = held.union(changes.select(*parts)).distinct()
+    merged = merge_latest(whole.join(touched, parts, "left_semi"), changes, keys, order)
+    # a partition that all its rows leave is not replaced by a dynamic overwrite
+    if touched.join(merged.select(*parts).distinct(), parts, "left_anti").isEmpty():
+        _rewrite(spark, merged, path, parts, True)
+    else:
+        _rewrite(spark, whole.join(touched, parts, "left_anti").unionByName(merged), path, parts, False)
 
 
 def predicate_update(df: DataFrame, assignments: Mapping[str, Column], predicate: Column) -> DataFrame:

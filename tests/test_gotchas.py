@@ -45,6 +45,12 @@ def test_g4_null_marker_keeps_positions(spark):
     assert k[0] != k[1]
 
 
+def test_hash_input_cannot_be_shifted(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a", "~"), ("a", None), ("a", " "), ("a", ""), ("1:a", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(row_hash("x", "y").alias("h")).distinct().count() == len(rows)
+
+
 def test_g5_total_minutes_not_minute_field(spark):
     df = spark.createDataFrame([(ts("2024-01-01 08:00:00"), ts("2024-01-01 10:05:30"))], "a timestamp_ntz, b timestamp_ntz")
     assert df.select(timefn.minutes_between("a", "b")).first()[0] == pytest.approx(125.5)

@@ -158,3 +158,15 @@ def test_histogram_and_iqr(spark):
     h = {r.bin: r.n for r in pr.histogram(df, "v", 10).collect()}
     assert sum(h.values()) == 11 and h[9] == 1
     assert [r.v for r in pr.iqr_outliers(df, "v").collect()] == [100.0]
+
+
+def test_exact_quantiles_per_group(spark):
+    import math
+    import random
+    rnd = random.Random(3)
+    rows = [(g, rnd.choice([None, rnd.randrange(300), 7])) for g in ["a", "b", None] for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = {(r.g, r.q): r.value for r in pr.exact_quantiles(df, "v", [0.0, 0.25, 0.7, 1.0], ["g"], buckets=8).collect()}
+    for g in ("a", "b", None):
+        v = sorted(x for h, x in rows if h == g and x is not None)
+        assert all(got[(g, q)] == v[max(1, math.ceil(round(q * len(v), 6))) - 1] for q in (0.0, 0.25, 0.7, 1.0))

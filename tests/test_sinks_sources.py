@@ -33,6 +33,17 @@ def test_upsert_last_write_wins_partitioned(spark, scratch):
     assert got == {1: "new", 2: "keep", 3: "other", 4: "add"}
 
 
+def test_upsert_first_load_and_key_that_moves(spark, scratch):
+    p, cols = os.path.join(scratch, "um"), "k int, day string, v string, ver int"
+    first = [(1, "d1", "old", 1), (1, "d1", "new", 2), (2, "d2", "x", 1), (None, "d3", "n", 1)]
+    w.upsert(spark, spark.createDataFrame(first, cols), p, ["k"], F.col("ver"), partition_by=["day"])
+    assert {(r.k, r.v) for r in spark.read.parquet(p).collect()} == {(1, "new"), (2, "x"), (None, "n")}
+    ch = [(2, "d1", "moved", 2), (None, "d1", "m", 2)]
+    w.upsert(spark, spark.createDataFrame(ch, cols), p, ["k"], F.col("ver"), partition_by=["day"])
+    got = [(r.k, r.day, r.v) for r in spark.read.parquet(p).collect()]
+    assert sorted(got, key=str) == sorted([(1, "d1", "new"), (2, "d1", "moved"), (None, "d1", "m")], key=str)
+
+
 def test_update_and_delete(spark, scratch):
     p = os.path.join(scratch, "ud")
     w.overwrite(spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, None, 30)], "k int, t string, n int"), p)

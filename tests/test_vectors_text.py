@@ -39,6 +39,29 @@ def test_exact_topk_matches_numpy(spark):
             assert [v for _, v in sorted(got[qi])] == list(np.argsort(s, kind="stable")[:3])
 
 
+def test_exact_topk_slices_blocks_ties_and_nulls(spark, monkeypatch):
+    c = spark.createDataFrame([(i, [1.0, 0.0]) for i in (9, 8, 7, 1, 2, 3)] + [(0, None)], "vec_id int, embedding array<double>")
+    q = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(40)] + [(99, None)], "query_id int, embedding array<double>")
+    monkeypatch.setattr(vx, "QUERY_BYTES", 100)
+    for metric in ("cosine", "l2", "dot"):
+        got = {(r.query_id, r.vec_id, r["rank"]) for r in vx.exact_topk(c, q, 2, metric).collect()}
+        assert got == {(i, v, v) for i in range(40) for v in (1, 2)}
+    assert vx.exact_topk(c, q.limit(0), 2).count() == 0
+
+
+def test_running_topk_over_batches_equals_sorting():
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(1)
+    n, nq, k = 500, 7, 5
+    x, ids, qs = rng.integers(0, 9, n).astype(float), rng.permutation(n), rng.integers(0, 9, nq).astype(float)
+    frames = [pd.DataFrame({"id": ids[i:i + 60], "x": x[i:i + 60]}) for i in range(0, n, 60)]
+    q, got, key = vx._running_topk(frames, k, nq, "id", lambda f: lambda p: np.abs(qs[p, None] - f["x"].to_numpy()[None, :]))
+    for j in range(nq):
+        d = np.abs(qs[j] - x)
+        assert list(got[q == j]) == list(ids[np.lexsort((ids, d))[:k]])
+
+
 def test_rrf_item_in_one_list(spark):
     a = spark.createDataFrame([(1, "d1", 1), (1, "d2", 2)], "query_id int, doc_id string, rank int")
     b = spark.createDataFrame([(1, "d2", 1)], "query_id int, doc_id string, rank int")
