@@ -15,6 +15,7 @@ from pyspark.sql import Window
 from pyspark.sql.types import NumericType
 
 from oreflow.functions.hashing import row_hash, surrogate_key
+from oreflow.session import checkpoint_dir
 from oreflow.functions.timefn import calendar_parts
 from oreflow.operators.timeseries import _ordered
 from oreflow.operators.windows import null_safe_join
@@ -147,6 +148,9 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
         inc = _ordered(inc, keys, "__from", tiebreak, bucket_s, 1, 0,
                        {"__prev_h": lambda w: F.lag(hcol).over(w)})
         inc = inc.where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
+        # written once: what follows reads it several times
+        checkpoint_dir(inc.sparkSession)
+        inc = inc.checkpoint()
     else:
         inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0)).join(cur_h, keys, "left")
     # the first incoming version per key (a grouped minimum, no window) is
@@ -159,6 +163,8 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     # new versions: valid until the next change of the same key, else open
     changed = _ordered(changed, keys, "__from", tiebreak, bucket_s, 0, 1,
                        {"__to": lambda w: F.lead("__from").over(w)})
+    checkpoint_dir(changed.sparkSession)
+    changed = changed.checkpoint()
     new_versions = (changed
                     .select(*keys, *extra,
                             F.col("__from").cast(end_type).alias(valid_from),

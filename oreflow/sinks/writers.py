@@ -136,8 +136,9 @@ def chunk_column(ts: str, chunk: str) -> Column:
 def write_time_partitioned(df: DataFrame, path: str, ts: str, chunk: str = "7 days",
                            mode: str = "append") -> None:
     """SNK-07: derived chunk column + partitionBy; filters on the chunk
-    column prune whole folders."""
-    d = df.withColumn("chunk", chunk_column(ts, chunk))
+    column prune whole folders.  Rows are dealt by chunk first, so a chunk gets
+    few files, and one with many rows is split over several tasks."""
+    d = df.withColumn("chunk", chunk_column(ts, chunk)).hint("rebalance", F.col("chunk"))
     if mode == "append":
         append(d, path, ["chunk"])
     else:
