@@ -225,9 +225,9 @@ def intervals(events: DataFrame, node: str, ts: str, tiebreak: str | None = None
               bucket_s: int | None = None) -> DataFrame:
     """GR-15: days between consecutive events of a node: avg, min, max.
     With ``tiebreak`` and ``bucket_s`` the window is bucketed by time (a node with a third of all events is spread over its time buckets)."""
-    from oreflow.operators.windows import bucketed_window
+    from oreflow.operators.windows import bucketed_neighbour
     if tiebreak and bucket_s:
-        d = bucketed_window(events, [node], ts, tiebreak, bucket_s, 1, 0, {"__prev": lambda w: F.lag(ts).over(w)})
+        d = bucketed_neighbour(events, [node], ts, tiebreak, bucket_s, ts, "__prev")
         d = d.withColumn("__gap", F.datediff(F.col(ts), F.col("__prev")))
     else:
         w = Window.partitionBy(node).orderBy(*([ts, tiebreak] if tiebreak else [ts]))

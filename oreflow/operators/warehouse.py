@@ -17,8 +17,7 @@ from pyspark.sql.types import NumericType
 from oreflow.functions.hashing import row_hash, surrogate_key
 from oreflow.session import checkpoint_dir
 from oreflow.functions.timefn import calendar_parts
-from oreflow.operators.timeseries import _ordered
-from oreflow.operators.windows import null_safe_join
+from oreflow.operators.windows import bucketed_neighbour, null_safe_join
 
 OPEN_END = "9999-12-31"
 
@@ -129,9 +128,8 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     hcol = "__h"
     inc = incoming.withColumn(hcol, row_hash(*tracked))
     extra = [c for c in incoming.columns if c not in keys and c not in ("change_ts", "change_seq")]
-    # a unique (change_ts, change_seq) order allows time-bucketed windows (a
-    # key with a third of all changes is spread over buckets)
-    tiebreak = "__seq" if "change_seq" in incoming.columns else None
+    # neighbours come from time buckets: a key with a third of all changes is
+    # spread over them
     end_type = current.schema[valid_to].dataType
     open_ = current.where(F.col(is_current))
     closed_hist = current.where(~F.col(is_current))
@@ -145,8 +143,7 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                .withColumn("__seq", F.col("change_seq") if "change_seq" in inc.columns else F.lit(0))
                .join(cur_h, keys, "left")
                .where(F.col("__cur_from").isNull() | (F.col("__from").cast(end_type) > F.col("__cur_from"))))
-        inc = _ordered(inc, keys, "__from", tiebreak, bucket_s, 1, 0,
-                       {"__prev_h": lambda w: F.lag(hcol).over(w)})
+        inc = bucketed_neighbour(inc, keys, "__from", "__seq", bucket_s, hcol, "__prev_h")
         inc = inc.where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
         # written once: what follows reads it several times
         checkpoint_dir(inc.sparkSession)
@@ -161,8 +158,8 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     changed = inc.where(F.col("__cur_h").isNull() | ~F.col("__is_first")
                         | (F.col(hcol) != F.col("__cur_h")))
     # new versions: valid until the next change of the same key, else open
-    changed = _ordered(changed, keys, "__from", tiebreak, bucket_s, 0, 1,
-                       {"__to": lambda w: F.lead("__from").over(w)})
+    changed = bucketed_neighbour(changed.withColumn("__at", F.col("__from").cast("timestamp_ntz")), keys, "__at",
+                                 "__seq", bucket_s, "__from", "__to", following=True).drop("__at")
     checkpoint_dir(changed.sparkSession)
     changed = changed.checkpoint()
     new_versions = (changed

@@ -90,6 +90,23 @@ def bucketed_window(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     return out.where(F.col("__own")).drop("__t", "__own")
 
 
+def bucketed_neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
+                       value: str, out: str, following: bool = False) -> DataFrame:
+    """``value`` of the key's previous row (``following``: next row) in
+    (ts, tiebreak) order: from the row's own time bucket, or for the first
+    (last) row of a bucket from the edge of the nearest bucket that has rows,
+    found in a table of one row per (key, bucket).  The same rows as LAG/LEAD
+    over the key, without a window that spans a key."""
+    keys = list(keys)
+    near, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+    d = df.withColumn("__b", time_bucket(ts, bucket_s))
+    per = d.groupBy(*keys, "__b").agg(edge(F.struct(F.col(value).alias("v")), F.struct(ts, tiebreak)).alias("__e"))
+    per = per.withColumn("__far", near("__e").over(Window.partitionBy(*keys).orderBy("__b")))
+    inside = near(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(*keys, "__b").orderBy(ts, tiebreak))
+    j = null_safe_join(d.withColumn("__in", inside), per.select(*keys, "__b", "__far"), keys + ["__b"])
+    return j.withColumn(out, F.coalesce("__in", "__far")["v"]).drop("__b", "__in", "__far")
+
+
 def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
                          value: str, out: str) -> DataFrame:
     """Running sum of ``value`` per key in (ts, tiebreak) order, computed as
@@ -120,8 +137,7 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
     keys = _keys(keys)
     gap = F.make_dt_interval(secs=F.lit(gap_s))
     if bucket_s and order_tiebreak:
-        p = bucketed_window(df, keys, ts, order_tiebreak, bucket_s, 1, 0,
-                            {"__prev": lambda w: F.lag(ts).over(w)})
+        p = bucketed_neighbour(df, keys, ts, order_tiebreak, bucket_s, ts, "__prev")
         p = p.withColumn("__new", F.when(F.col("__prev").isNull() | (F.col(ts) - F.col("__prev") > gap), 1)
                          .otherwise(0))
         s = bucketed_running_sum(p, keys, ts, order_tiebreak, bucket_s, "__new", "session_no")
@@ -155,8 +171,7 @@ def ma_crossover(df: DataFrame, keys: Sequence[str], ts: str, value: str, fast:
             "ma_fast": lambda w: F.avg(value).over(w.rowsBetween(-(fast - 1), 0)),
             "ma_slow": lambda w: F.avg(value).over(w.rowsBetween(-(slow - 1), 0))})
         m = m.withColumn("signal", F.col("ma_fast") - F.col("ma_slow"))
-        x = bucketed_window(m, keys, ts, order_tiebreak, bucket_s, 1, 0,
-                            {"prev_signal": lambda w: F.lag("signal").over(w)})
+        x = bucketed_neighbour(m, keys, ts, order_tiebreak, bucket_s, "signal", "prev_signal")
         return x.where(flip).withColumn("cross_type", F.when(F.col("signal") > 0, "golden").otherwise("death"))
     order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from oreflow.operators.windows import bucketed_window, rank_by_value, running_stats, sessions_by_gap
+from oreflow.operators.windows import bucketed_neighbour, bucketed_window, rank_by_value, running_stats, sessions_by_gap
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +68,16 @@ def test_null_keys_and_times_keep_their_rows(hard):
     assert _rows(lagged, "rid", "prev") == _rows(hard.select("rid", F.lag("v").over(w).alias("prev")), "rid", "prev")
 
 
+@pytest.mark.parametrize("bucket_s", [60, 3600, 10 ** 9])
+@pytest.mark.parametrize("following", [False, True])
+def test_neighbour_equals_plain_window(hard, bucket_s, following):
+    w = Window.partitionBy("k").orderBy("ts", "rid")
+    want = hard.withColumn("x", (F.lead if following else F.lag)("v").over(w))
+    got = bucketed_neighbour(hard, ["k"], "ts", "rid", bucket_s, "v", "x", following)
+    rows = lambda d: sorted(map(str, d.select("k", "ts", "rid", "x").collect()))
+    assert rows(got) == rows(want)
+
+
 def test_sessions_with_null_keys_and_times(hard):
     got = sessions_by_gap(hard, ["k"], "ts", 600, "rid", 3600)
     want = sessions_by_gap(hard, ["k"], "ts", 600, "rid")
