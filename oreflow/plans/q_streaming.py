@@ -229,7 +229,7 @@ FROM l GROUP BY sensor_type
 def st_lag_metrics(spark, d):
     # ingestion time of a reading = the close of its micro-batch
     m = _microbatches(spark, d).withColumn("ingest_ts", F.col("batch_max"))
-    lm = so.lag_metrics(m, "ts", "ingest_ts", ["sensor_type"], accuracy=1_000_000)
+    lm = so.lag_metrics(m, "ts", "ingest_ts", ["sensor_type"])
     return lm.select("sensor_type", rh("avg_lag_s", 3).alias("avg_lag_s"), "max_lag_s", "p95_lag_s")
 
 
