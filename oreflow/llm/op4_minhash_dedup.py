@@ -14,13 +14,16 @@ Jaccard similarity reaches the threshold.
    what is linked with a member of a pivot's circle (distance up to 1-t) lies
    within 2(1-t) of the pivot.  So only classes in that border, and only those
    not yet in the pivot's component, are compared with the circle.  Classes that
-   have few short lists and no pivot nearby form the next round's input.
+   have few short lists and no pivot nearby form the next round's input.  Sets
+   no larger than their sketch count exactly: they go on until their short lists,
+   or those of a linked pivot, outnumber the values a linked set may lack.
 4. The union sketch of a pair estimates its similarity; far pairs go.  The
    cutoffs are so low that a linked pair is lost with a chance below 1e-6.
 5. The full sets of what is left give the exact similarity.
 
 Nothing is capped: when rounds stop shrinking, or few are left, the members of
-the remaining classes' shortest lists are compared with each other, block by block.
+the remaining classes' shortest lists are compared with each other, by size and
+block by block.
 """
 
 from __future__ import annotations
@@ -153,7 +156,7 @@ def _join_all(xs: pa.Table, ys: pa.Table, percent: int) -> pa.Table:
     if ys.num_rows and xs.num_rows:
         block = Block(ys.column("node_y"), ys.column("full_y"))
         label = np.arange(ys.num_rows)
-        for node, x in _each(xs, 3, 4):
+        for node, x in _each(xs, 5, 6):
             hit = block.linked(x, percent)
             hit = hit[block.nodes[hit] != node]
             if len(hit):
@@ -221,6 +224,14 @@ class NearDuplicates:
 
     # -- candidates ------------------------------------------------------------
 
+    def _need(self, n: Column) -> Column:
+        """Of a set of n <= K values, so many that any linked set's sketch holds one:
+        one more than a linked set may lack or, being larger, keep out of its sketch."""
+        lacked = n - F.ceil(n * F.lit(self.percent) / 100)
+        larger = F.floor(n * 100 / F.lit(self.percent))
+        unkept = F.floor((n + larger) * 100 / F.lit(100 + self.percent)) - K
+        return F.greatest(lacked, unkept) + 1
+
     def links(self) -> DataFrame:
         """All links (a, b) between classes that components need."""
         t = self.percent / 100
@@ -228,7 +239,11 @@ class NearDuplicates:
         far = max(2 * self.percent - 100, 0)                       # similarity at the border's end
         b = max(far / 100, 0.05)
         far_cut = max(b - 4.5 * (b * (1 - b) / K) ** 0.5, 0.05)
-        todo = self.r.select("node", "n", F.explode("sketch").alias("v"))
+        # smaller sets are linked with no set but their equals
+        todo = self.r.where(F.col("n") * 100 >= (F.col("n") + 1) * self.percent) \
+            .select("node", "n", F.explode("sketch").alias("v"))
+        small, need = F.col("n") <= K, self._need(F.col("n"))
+        surely = F.when(small, need).otherwise(SAFE)
         found: list[DataFrame] = []
         stars: list[DataFrame] = []
         size, nodes, forest = None, self.r.count(), None
@@ -245,7 +260,8 @@ class NearDuplicates:
             stuck = size is not None and n > 0.7 * size
             size = n
             hot = post.where(F.col("df") > HOT)
-            per = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"), F.sum(F.log2("df")).alias("weight"))
+            per = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"), F.sum(F.log2("df")).alias("weight"),
+                                          F.first("n").alias("n"))
             if cheap:
                 found.append(self.estimated(self._pairs(short), link_cut))
                 break
@@ -257,9 +273,10 @@ class NearDuplicates:
             tested = self.exact(self.estimated(star.select("a", "b"), far_cut), far)
             tested = cut(star.join(tested, ["a", "b"]))
             stars.append(tested)
-            safe = tested.where(F.col("linked") & (F.col("o") >= SAFE)).select(F.col("a").alias("node")) \
-                .union(pivots.where(F.col("lists") >= SAFE).select("node")).distinct()
-            rest = per.where(F.col("hots") >= FEW).select("node").join(safe, "node", "left_anti")
+            safe = tested.where(F.col("linked") & (F.col("o") >= surely)).select(F.col("a").alias("node")) \
+                .union(pivots.where(F.col("lists") >= surely).select("node")).distinct()
+            rest = per.where(F.when(small, F.col("n") - F.col("hots") < need).otherwise(F.col("hots") >= FEW)) \
+                .select("node").join(safe, "node", "left_anti")
             todo = cut(todo.join(rest, "node", "left_semi"))
         if not found:
             return self.r.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
@@ -303,35 +320,51 @@ class NearDuplicates:
         that two linked sets must share one (all but what may differ); else FEW."""
         from pyspark.sql import Window
         w = Window.partitionBy("node").orderBy("df", "v")
-        spare = F.col("n") - F.ceil(F.col("n") * F.lit(self.percent) / 100) + 1
         # a list of one class is not in post: it takes its place among the shortest
         alone = F.least(F.col("n"), F.lit(K)) - F.count(F.lit(1)).over(Window.partitionBy("node"))
-        most = F.when(F.col("n") <= K, spare).otherwise(FEW) - F.least(alone, F.lit(FEW - 4))
+        most = F.when(F.col("n") <= K, self._need(F.col("n"))).otherwise(FEW) - F.least(alone, F.lit(FEW - 4))
         return post.withColumn("_r", F.row_number().over(w)).withColumn("_m", most).where(F.col("_r") <= F.col("_m"))
 
     def _stars(self, hot: DataFrame, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
-        """(a, b, o): a class, the pivot of o of its long lists; (node, lists): pivots and their lists."""
-        h = hot.join(per, "node")
+        """(a, b, o, n): a class, the pivot of o of its long lists, the class's size;
+        (node, lists, n): pivots, their lists and size."""
+        h = hot.join(per.drop("n"), "node")
         top = h.groupBy("v").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("p")) \
             .select("v", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb"))
         top = cut(top)
         star = h.join(top, "v").where((F.col("node") != F.col("b")) & self._near(F.col("n"), F.col("nb"), far)) \
-            .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"))
-        return cut(star), top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"))
+            .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"), F.first("n").alias("n"))
+        return cut(star), top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"), F.first("nb").alias("n"))
 
     def _all_pairs(self, lists: DataFrame) -> DataFrame:
-        """Links that join what is linked within each list, found block by block."""
+        """Links that join what is linked within each list, found block by block.
+
+        Sizes fall into bands so wide that linked sets lie in one band or in two
+        neighbouring ones: a list's band meets itself and the next, nothing else."""
+        # a hair below one band for the largest ratio of sizes, so rounding can't part linked sets
+        width = float(-np.log(self.percent / 100)) / 0.999
+        band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)) if width > 0 else F.col("n")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        count = lists.groupBy("v").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+        banded = lists.select("v", "node", "n", band.cast("long").alias("band"))
+        count = banded.groupBy("v", "band").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
         full = self._full_sets(lists.select("node").distinct())
-        x = cut(lists.select("v", "node").join(count, "v").withColumn("own", own)).join(full, "node")
-        lower, upper = F.sequence(F.lit(0), F.col("own")), F.sequence(F.col("own"), F.col("blocks") - 1)
-        xs = x.select("v", F.col("own").alias("i"), F.explode(upper).alias("j"), "node", "full")
-        ys = x.select("v", F.explode(lower).alias("i"), F.col("own").alias("j"), "node", "full") \
-            .toDF("v_y", "i_y", "j_y", "node_y", "full_y")
+        x = cut(banded.join(count, ["v", "band"]).withColumn("own", own).join(
+            count.select("v", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above")), ["v", "band"], "left").join(
+            count.select("v", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below")), ["v", "band"], "left")) \
+            .join(full, "node")
+        last = F.col("blocks") - 1
+        lower, upper = F.sequence(F.lit(0), F.col("own")), F.sequence(F.col("own"), last)
+        every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+        # up: 0 a band against itself, 1 against the next
+        xs = x.select("v", "band", F.lit(0).alias("up"), F.col("own").alias("i"), F.explode(upper).alias("j"), "node", "full") \
+            .union(x.where("above is not null").select("v", "band", F.lit(1), "own", F.explode(every("above")), "node", "full"))
+        ys = x.select("v", "band", F.lit(0).alias("up"), F.explode(lower).alias("i"), F.col("own").alias("j"), "node", "full") \
+            .union(x.where("below is not null").select("v", F.col("band") - 1, F.lit(1), F.explode(every("below")), "own",
+                                                       "node", "full")) \
+            .toDF("v_y", "band_y", "up_y", "i_y", "j_y", "node_y", "full_y")
         percent = self.percent
-        return cut(xs.groupBy("v", "i", "j").cogroup(ys.groupBy("v_y", "i_y", "j_y")).applyInArrow(
-            lambda x, y: _join_all(x, y, percent), "a bigint, b bigint"))
+        return cut(xs.groupBy("v", "band", "up", "i", "j").cogroup(ys.groupBy("v_y", "band_y", "up_y", "i_y", "j_y"))
+                   .applyInArrow(lambda x, y: _join_all(x, y, percent), "a bigint, b bigint"))
 
     def _border(self, links: DataFrame, star: DataFrame) -> DataFrame:
         """Links between a pivot's border and its circle, where they join components.

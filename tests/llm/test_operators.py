@@ -178,6 +178,51 @@ def test_near_duplicates(docs, texts, none, n):
     assert near_duplicates(none).count() == 0 and drop_near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_short_texts_of_frequent_words(spark):
+    common = ["a", "b", "c", "d", "e"]
+    rows = [(i, " ".join(common + [f"w{i}x{k}" for k in range(24)]), "en", "s0") for i in range(2, 302)]
+    rows += [(0, "a b c d", "en", "s0"), (1, "a b c d e", "en", "s0")]
+    got = {r.doc_id: r.component_id for r in near_duplicates(make(spark, rows), words=1).collect()}
+    assert got == {i: (0 if i < 2 else i) for i in range(302)}
+
+
+@pytest.mark.parametrize("seed,vocabulary", [(1, 24), (2, 40)])
+def test_near_duplicates_of_short_texts_match_brute_force(spark, seed, vocabulary):
+    rnd = random.Random(seed)
+    vocab = [f"v{i}" for i in range(vocabulary)]
+    rows = [(i, " ".join(rnd.sample(vocab, rnd.randint(1, 20))), "en", "s0") for i in range(400)]
+    for i in range(400, 500):                     # one word more or less than an earlier text
+        w = rows[rnd.randrange(400)][1].split()
+        rows.append((i, " ".join(w[:-1] if rnd.random() < 0.5 and len(w) > 1 else [*w, rnd.choice(vocab)]), "en", "s0"))
+    want = brute_components(rows, 1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(make(spark, rows), words=1).collect()}
+    assert got == want
+
+
+def test_all_pairs_of_one_list_meet_across_sizes(spark, monkeypatch):
+    """The last resort alone, in many small blocks."""
+    from oreflow.llm import op4_minhash_dedup as op4
+    monkeypatch.setattr(op4, "BLOCK", 150)
+    rnd = random.Random(5)
+    rows = []
+    for i in range(60):
+        base = [f"g{i % 6}n{k}" for k in range(3 + i % 12)]
+        rows.append((i, " ".join(["all", *base, *([f"x{i}"] if rnd.random() < 0.5 else [])]), "en", "s0"))
+    run = op4.NearDuplicates(make(spark, rows), 1, 80)
+    v = run.r.select("node", "id", "n", F.explode("sketch").alias("v"))
+    hot = v.groupBy("v").count().orderBy(F.desc("count")).first()["v"]
+    links = run._all_pairs(v.where(F.col("v") == hot).select("v", "node", "n"))
+    comp = {r.node: r.root for r in op4.components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).collect()}
+    node = {r.node: r.id for r in run.r.select("node", "id").collect()}
+    got, want = defaultdict(set), brute_components(rows, 1)
+    for n, i in node.items():
+        got[comp.get(n, n)].add(i)
+    parts = defaultdict(set)
+    for i in node.values():
+        parts[want[i][1]].add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, parts.values()))
+
+
 def test_suffix_dedup(docs, texts, none):
     got = {r.doc_id: r for r in suffix_dedup(docs).collect()}
     seen = set()
