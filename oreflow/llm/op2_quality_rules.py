@@ -4,9 +4,12 @@ Every document gets exact counts; four whole-number measures go into sketches
 per (lang, source).  A sketch is a histogram over bins that keep a number's top
 seven bits (relative error below 1/64), so sketches of partitions, sources and
 languages merge by adding counts, and equal inputs give equal thresholds.  A
-group's limits are its quartiles spread by ``FENCE`` quartile distances; groups
-with few documents use the merged sketch of their language, or of all.  The
-limits join back to the documents, and a document outside any of them goes.
+group's limits are its quartiles spread by ``FENCE`` quartile distances (one unit
+of the measure at least).  Of repetition most texts have none and ordinary ones
+some, so its quartiles say nothing: there the limit is no lower than the group's
+upper quantile.  Groups with few documents use the merged sketch of their
+language, or of all.  The limits join back to the documents, and a document
+outside any of them goes.
 """
 
 from __future__ import annotations
@@ -24,16 +27,18 @@ from .textvec import _U, SPACE, Flat, mix, pieces, unique_per_text, windows
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 FENCE = 3
 MIN_GROUP = 200
-# measure -> (least width of the fence below and above, in its unit; None: no limit on that side)
+UNIT = 1        # least width of a fence, in the measure's own unit
+# measure -> (whether it has a lower limit; percent of a group's documents that the upper one spares at least)
 MEASURES = {
-    "symbol_pm": (None, 20),       # symbols per 1000 characters of words
-    "dup_line_pm": (None, 350),    # repeated lines per 1000 lines with a word
-    "repeat_pm": (None, 450),      # words in repeated 3-word windows per 1000 words
-    "word_cpm": (150, 150),        # characters per 100 words
+    "symbol_pm": (False, 75),      # symbols per 1000 characters of words
+    "dup_line_pm": (False, 99),    # repeated lines per 1000 lines with a word
+    "repeat_pm": (False, 99),      # words in repeated 3-word windows per 1000 words
+    "word_cpm": (True, 75),        # characters per 100 words
 }
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
+QUANTILES = ("q1", "q3", "top")
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -114,10 +119,13 @@ def with_measures(df: DataFrame) -> DataFrame:
     })
 
 
+def _width(v: Column) -> Column:
+    return F.pow(F.lit(2), F.greatest(F.length(F.bin(v)) - 7, F.lit(0))).cast("long")
+
+
 def bin_of(v: Column) -> Column:
     """Lower edge of a number's bin: its top seven bits."""
-    unit = F.pow(F.lit(2), F.greatest(F.length(F.bin(v)) - 7, F.lit(0))).cast("long")
-    return v - F.pmod(v, unit)
+    return v - F.pmod(v, _width(v))
 
 
 def sketch(df: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
@@ -128,16 +136,19 @@ def sketch(df: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
 
 
 def quartiles(sk: DataFrame, by: list[str]) -> DataFrame:
-    """Per group and measure: count, lower and upper quartile (bin edges).
+    """Per group and measure: count, lower and upper quartile (bin edges), and the
+    last number of the bin that holds the measure's upper quantile.
 
     A sketch has a few hundred bins at most, so a group's window is small."""
     w = Window.partitionBy(*by, "measure")
     run = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = sk.withColumns({"cum": F.sum("n").over(run), "total": F.sum("n").over(w)})
+    spared = F.coalesce(*[F.when(F.col("measure") == m, F.lit(top)) for m, (_, top) in MEASURES.items()])
     return c.groupBy(*by, "measure").agg(
         F.max("total").alias("total"),
         F.min(F.when(F.col("cum") * 4 >= F.col("total"), F.col("bin"))).alias("q1"),
-        F.min(F.when(F.col("cum") * 4 >= F.col("total") * 3, F.col("bin"))).alias("q3"))
+        F.min(F.when(F.col("cum") * 4 >= F.col("total") * 3, F.col("bin"))).alias("q3"),
+        F.min(F.when(F.col("cum") * 100 >= F.col("total") * spared, F.col("bin") + _width(F.col("bin")) - 1)).alias("top"))
 
 
 def thresholds(sk: DataFrame) -> DataFrame:
@@ -149,9 +160,9 @@ def thresholds(sk: DataFrame) -> DataFrame:
     lang = sk.groupBy("lang", "measure", "bin").agg(F.sum("n").alias("n"))
     every = sk.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
     g = quartiles(sk, ["lang", "source"])
-    ql = quartiles(lang, ["lang"]).select(F.col("lang").alias("l2"), F.col("measure").alias("m2"),
-                                          F.col("total").alias("t2"), F.col("q1").alias("q1_2"), F.col("q3").alias("q3_2"))
-    qa = quartiles(every, []).select(F.col("measure").alias("m3"), F.col("q1").alias("q1_3"), F.col("q3").alias("q3_3"))
+    ql = quartiles(lang, ["lang"]).select(F.col("lang").alias("l2"), F.col("measure").alias("m2"), F.col("total").alias("t2"),
+                                          *[F.col(q).alias(f"{q}_2") for q in QUANTILES])
+    qa = quartiles(every, []).select(F.col("measure").alias("m3"), *[F.col(q).alias(f"{q}_3") for q in QUANTILES])
     # qa has one row per measure, whatever the data
     j = g.join(ql, F.col("lang").eqNullSafe(F.col("l2")) & (F.col("measure") == F.col("m2"))) \
         .join(F.broadcast(qa), F.col("measure") == F.col("m3"))
@@ -159,14 +170,14 @@ def thresholds(sk: DataFrame) -> DataFrame:
     def pick(q: str) -> Column:
         return F.when(F.col("total") >= MIN_GROUP, F.col(q)).when(F.col("t2") >= MIN_GROUP, F.col(f"{q}_2")) \
             .otherwise(F.col(f"{q}_3"))
-    j = j.select("lang", "source", "measure", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    j = j.select("lang", "source", "measure", *[pick(q).alias(q) for q in QUANTILES])
     out = []
-    for m, (lo, hi) in MEASURES.items():
+    for m, (lo, _) in MEASURES.items():
         mine = F.col("measure") == m
-        spread = FENCE * (F.col("q3") - F.col("q1"))
-        if lo is not None:
-            out.append(F.max(F.when(mine, F.col("q1") - F.greatest(spread, F.lit(lo)))).alias(f"{m}_lo"))
-        out.append(F.max(F.when(mine, F.col("q3") + F.greatest(spread, F.lit(hi)))).alias(f"{m}_hi"))
+        spread = F.greatest(FENCE * (F.col("q3") - F.col("q1")), F.lit(UNIT))
+        if lo:
+            out.append(F.max(F.when(mine, F.col("q1") - spread)).alias(f"{m}_lo"))
+        out.append(F.max(F.when(mine, F.greatest(F.col("q3") + spread, F.col("top")))).alias(f"{m}_hi"))
     return j.groupBy("lang", "source").agg(*out)
 
 
@@ -185,7 +196,7 @@ def quality_rules(df: DataFrame) -> DataFrame:
     ok = ~F.col("base_failed")
     for m, (lo, _) in MEASURES.items():
         ok = ok & (F.col(m) <= F.col(f"{m}_hi"))
-        if lo is not None:
+        if lo:
             ok = ok & (F.col(m) >= F.col(f"{m}_lo"))
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     F.coalesce(ok, F.lit(False)).alias("kept"), "lang", "source", *MEASURES)

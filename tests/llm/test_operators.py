@@ -126,6 +126,31 @@ def test_quality_counts(docs, texts, none):
     assert quality_rules(none).count() == 0
 
 
+def test_quality_limits_follow_the_source(spark):
+    """Two sources, equal measures, different verdicts: lines repeated by one text
+    in ten of "forum", by none of "news"; symbols common in "code" alone."""
+    rnd = random.Random(3)
+
+    def text(repeated=0, symbols=0):
+        lines = [" ".join("".join(rnd.choices("abcdefghij", k=5)) for _ in range(10)) for _ in range(10)]
+        lines[10 - repeated:] = [lines[0]] * repeated
+        w = "\n".join(lines).split(" ")
+        for k in range(symbols):
+            w[5 * k + 1] = "$" + w[5 * k + 1][1:]
+        return " ".join(w)
+    rows = []
+    for src in ("forum", "news", "code"):
+        for k in range(300):
+            rows.append((len(rows), text(2 if src == "forum" and k % 10 == 0 else 0, k % 8 if src == "code" else 0), "en", src))
+    cases = [(1000 + k, text(2), "en", src) for k, src in enumerate(("forum", "news"))]
+    cases += [(1002 + k, text(0, 7), "en", src) for k, src in enumerate(("code", "news"))]
+    got = {r.doc_id: r for r in quality_rules(make(spark, rows + cases)).collect()}
+    assert not any(got[i].base_failed for i in range(1000, 1004))
+    for m in ("dup_line_pm", "symbol_pm"):
+        assert got[1000][m] == got[1001][m] and got[1002][m] == got[1003][m]
+    assert [got[i].kept for i in range(1000, 1004)] == [True, False, True, False]
+
+
 def test_lm_base_score(docs, texts, none):
     import math
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
