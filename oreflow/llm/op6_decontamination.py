@@ -1,17 +1,23 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A mask keeps WEIGHT of a window's tokens and ignores the others, so a window
-whose ignored tokens were substituted still hashes alike.  All masks slide over
-the benchmark's items and over every text; a filter of bounded size passes the
-text windows that may hit, which are joined with the items' windows.  Around
-each hit text and item are laid side by side: the document is contaminated if
-some OVERLAP consecutive tokens that take in the hit's first token agree in
-AGREE percent of places.
+A document is contaminated if some window of OVERLAP consecutive tokens of an
+item (all of a shorter one) agrees with the text in AGREE percent of places;
+items of fewer than WHOLE tokens must be there whole.
+
+A mask keeps some of a window's tokens and ignores the others, so a window whose
+ignored tokens were substituted still hashes alike.  A window that may lack e
+tokens is split into equal parts; the masks keep every choice of all parts but e,
+so whichever tokens were substituted, one mask hits.  All masks slide over every
+text; a filter of bounded size passes the text windows that may hit, which are
+joined with the items' windows.  Around each hit text and item are laid side by
+side and all windows counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -22,23 +28,40 @@ from .bitmap import Bitmap, build
 from .common import cut, documents, free_name, id_key, key_id
 from .textvec import _U, Flat, mix, pieces
 
-# 1: token kept, 0: token ignored; WEIGHT tokens kept by each
-MASKS = ("1111111", "1101011011", "11100100010011", "10110011101")
-WEIGHT = 7
-SPAN = max(map(len, MASKS))
 OVERLAP = 16
 AGREE = 80
+WHOLE = 7
+MOST_MASKS = 6   # of one length of window
+
+
+def least(w: int) -> int:
+    """Places of a window of ``w`` tokens that must agree."""
+    return w if w < WHOLE else -(-AGREE * w // 100)
+
 
+def masks(w: int) -> tuple[int, list[str]]:
+    """Length of a part, and masks (1: token kept, 0: ignored): at some multiple of
+    that length, one keeps only tokens that agree in any window of ``w`` tokens with
+    ``least(w)`` that do.  Of the ways to part it, that which keeps most tokens."""
+    e = w - least(w)
+    ways = [(size * (w // size - e), -comb(w // size - 1, e), size) for size in range(1, w + 1)
+            if w // size > e and comb(w // size - 1, e) <= MOST_MASKS]
+    size = max(ways)[2]
+    parts = w // size
+    # masks slide, so each starts with a part that it keeps
+    kept = [(0, *c) for c in combinations(range(1, parts), parts - e - 1)]
+    return size, ["".join(("1" if k in c else "0") * size for k in range(c[-1] + 1)) for c in kept]
 
-def seeds(doc: np.ndarray, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+def seeds(doc: np.ndarray, h: np.ndarray, some: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per mask: first tokens of all windows within one text, and their hashes."""
-    for m, mask in enumerate(MASKS):
+    for mask in some:
         n = len(h) - len(mask) + 1
         if n <= 0:
             yield np.zeros(0, np.int64), np.zeros(0, np.uint64)
             continue
         at = np.flatnonzero(doc[:n] == doc[len(mask) - 1:])
-        x = np.full(len(at), _U(m + 1))
+        x = np.full(len(at), _U(int(mask, 2)))
         for j, keep in enumerate(mask):
             if keep == "1":
                 x = x * _U(0xD6E8FEB86659FD93) + h[at + j]
@@ -64,7 +87,11 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, it, at = [], [], []
         for item, w in zip(b.column(0).to_pylist(), b.column(1)):
             h = np.frombuffer(w.as_buffer(), np.uint64)
-            for p, x in seeds(np.zeros(len(h), np.int64), h):
+            w = min(OVERLAP, len(h))
+            size, some = masks(w)
+            for p, x in seeds(np.zeros(len(h), np.int64), h, some):
+                if len(h) == w:       # one window: parts lie at multiples of their size
+                    p, x = p[p % size == 0], x[p % size == 0]
                 hs.append(x)
                 at.append(p)
                 it.append(np.full(len(p), item, np.int64))
@@ -73,23 +100,24 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["h", "item", "q"])
 
 
-def _regions(batches: Iterator[pa.RecordBatch], some: Bitmap) -> Iterator[pa.RecordBatch]:
+def _regions(batches: Iterator[pa.RecordBatch], some: Bitmap, kinds: list[str]) -> Iterator[pa.RecordBatch]:
     """Stretches of a text around windows that may hit: their tokens' hashes, and
     each such window's first token (counted from the stretch's start) and hash."""
     for rows, f in pieces(batches):
         doc, h = tokens(f)
         at, hs = [], []
-        for p, x in seeds(doc, h):
+        for p, x in seeds(doc, h, kinds):
             ok = some(x)
             at.append(p[ok])
             hs.append(x[ok])
-        at, hs = np.concatenate(at), np.concatenate(hs)
+        at = np.concatenate([np.zeros(0, np.int64), *at])
+        hs = np.concatenate([np.zeros(0, np.uint64), *hs])
         order = np.argsort(at, kind="stable")
         at, hs = at[order], hs[order]
         first = np.searchsorted(doc, np.arange(f.n + 1))
         d = doc[at] if len(at) else at
         lo = np.maximum(at - OVERLAP, first[d])
-        hi = np.minimum(at + max(OVERLAP, SPAN), first[d + 1])
+        hi = np.minimum(at + OVERLAP, first[d + 1])
         new = np.ones(len(at), bool)
         new[1:] = (d[1:] != d[:-1]) | (lo[1:] > hi[:-1])
         start = np.flatnonzero(new)
@@ -105,9 +133,8 @@ def _regions(batches: Iterator[pa.RecordBatch], some: Bitmap) -> Iterator[pa.Rec
             names=["id", "words", "p", "h"])
 
 
-def overlap(text: np.ndarray, item: np.ndarray, diag: int, hits: np.ndarray) -> int:
-    """Most places that agree in a window of min(OVERLAP, item) tokens which takes
-    in one of ``hits`` (places in the item); 0 if fewer than AGREE percent do."""
+def overlap(text: np.ndarray, item: np.ndarray, diag: int) -> int:
+    """Most places that agree in a window of min(OVERLAP, item) tokens; 0 if too few do."""
     n = len(item)
     w = min(OVERLAP, n)
     at = np.arange(n) + diag
@@ -115,19 +142,14 @@ def overlap(text: np.ndarray, item: np.ndarray, diag: int, hits: np.ndarray) ->
     same = np.zeros(n, np.int64)
     same[ok] = text[at[ok]] == item[ok]
     c = np.concatenate([[0], np.cumsum(same)])
-    best = c[w:] - c[:-w]
-    s = np.arange(n - w + 1)
-    near = np.zeros(len(s), bool)
-    for q in hits:
-        near |= (s <= q) & (q < s + w)
-    m = int(best[near].max()) if near.any() else 0
-    return m if m * 100 >= AGREE * w else 0
+    m = int((c[w:] - c[:-w]).max())
+    return m if m >= least(w) else 0
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = [overlap(np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(i.as_buffer(), np.uint64), d, q)
-               for t, i, d, q in zip(b.column(2), b.column(3), b.column(4).to_pylist(), b.column(5).to_pylist())]
+        out = [overlap(np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(i.as_buffer(), np.uint64), d)
+               for t, i, d in zip(b.column(2), b.column(3), b.column(4).to_pylist())]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int64())], names=["id", "item", "agree"])
 
 
@@ -136,26 +158,27 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``benchmark`` (item_id, text): how many items of distinct words, the smallest
     item_id and the most places that agree.
 
-    NULL and empty texts, and items of fewer than WEIGHT words, take no part; a
-    NULL item_id counts as the smallest.  Items of equal words are one item; rows
+    NULL, empty and wordless texts and items take no part; items of fewer than
+    WHOLE words must be there word by word; a NULL item_id counts as the smallest.  Items of equal words are one item; rows
     with one id share their findings.  An empty table gives no rows."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     items = benchmark.select(id_key("item_id").alias("item"), text.alias("text")) \
         .mapInArrow(_items, "item bigint, words binary").groupBy("words").agg(F.min("item").alias("item"))
     # an item_id may stand for several texts: each gets a number of its own
-    items = cut(items.where(F.octet_length("words") >= 8 * WEIGHT).withColumn("number", F.monotonically_increasing_id()))
+    items = cut(items.where(F.octet_length("words") > 0).withColumn("number", F.monotonically_increasing_id()))
     seed = cut(items.select("number", "words").mapInArrow(_item_seeds, "h bigint, item bigint, q bigint"))
     some = build(seed.select("h"))
+    # lengths of windows: OVERLAP at most
+    sizes = items.select(F.least(F.octet_length("words") / 8, F.lit(OVERLAP)).cast("int").alias("w")).distinct().collect()
+    kinds = sorted({m for r in sizes for m in masks(r["w"])[1]})
     src = df.select(id_key().alias("id"), text.alias("text"))
-    regions = src.mapInArrow(lambda it: _regions(it, some), "id bigint, words binary, p array<bigint>, h array<bigint>")
+    regions = src.mapInArrow(lambda it: _regions(it, some, kinds), "id bigint, words binary, p array<bigint>, h array<bigint>")
     regions = cut(regions.withColumn("region", F.monotonically_increasing_id()))
     at = regions.select("region", F.explode(F.arrays_zip("p", "h")).alias("x")).select("region", "x.p", "x.h")
-    hits = at.join(seed, "h").groupBy("region", "item", (F.col("p") - F.col("q")).alias("diag")) \
-        .agg(F.collect_set("q").alias("qs"))     # places in one item: bounded by its length
+    hits = at.join(seed, "h").select("region", "item", (F.col("p") - F.col("q")).alias("diag")).distinct()
     j = hits.join(regions.select("region", "id", F.col("words").alias("text")), "region") \
         .join(items.select(F.col("number").alias("item"), F.col("words").alias("item_words"), F.col("item").alias("item_id")), "item")
-    good = j.select("id", "item_id", "text", "item_words", "diag", "qs", "item") \
-        .select("id", F.struct("item", "item_id").alias("item"), "text", "item_words", "diag", "qs") \
+    good = j.select("id", F.struct("item", "item_id").alias("item"), "text", "item_words", "diag") \
         .mapInArrow(_verify, "id bigint, item struct<item: bigint, item_id: bigint>, agree bigint").where(F.col("agree") > 0)
     best = good.groupBy("id", "item").agg(F.max("agree").alias("agree"))
     return best.groupBy("id").agg(F.count(F.lit(1)).alias("n_items"), F.min("item.item_id").alias("first_item"),
@@ -179,6 +202,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("best", F.lit(0)).cast("long").alias("best"))
 
 
+# The oracle's own seeds and least length: it finds what they hit, the operator all.
+MASKS = ("1111111", "1101011011", "11100100010011", "10110011101")
+WEIGHT = 7
+
+
 def _key_sql(w: str, mask: str, m: int) -> str:
     return f"'{m} ' || " + " || ' ' || ".join(f"{w}[i + {j + 1}]" for j, k in enumerate(mask) if k == "1")
 

@@ -286,6 +286,36 @@ def test_decontamination_bears_substitutions(spark, docs, none):
     assert decontaminate(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_every_tolerated_pattern_is_hit():
+    from itertools import combinations
+
+    from oreflow.llm.op6_decontamination import OVERLAP, least, masks
+    for w in range(1, OVERLAP + 1):
+        size, some = masks(w)
+        kept = [{s + j for j, c in enumerate(m) if c == "1"} for m in some for s in range(0, w - len(m) + 1, size)]
+        for gone in combinations(range(w), w - least(w)):
+            assert any(k.isdisjoint(gone) for k in kept), (w, gone)
+
+
+def test_decontamination_finds_all_that_its_rule_accepts(spark):
+    """Items of 1 to 20 words with random substitutions against the rule itself."""
+    rnd = random.Random(9)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (1, 4, 6, 7, 8, 9, 10, 12, 13, 15, 16, 20)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id bigint, text string")
+    rows, want = [], {}
+    for n, item in items.items():
+        for _ in range(30):
+            gone = rnd.sample(range(n), rnd.randint(0, min(n, 4)))
+            text = [f"sub{k}" if k in gone else w for k, w in enumerate(item)]
+            rows.append((len(rows), " ".join(["before", *text, "behind"]), "en", "s0"))
+            w = min(16, n)
+            best = max(sum(k not in gone for k in range(s, s + w)) for s in range(n - w + 1))
+            if best == w or (n >= 7 and best * 100 >= 80 * w):
+                want[len(rows) - 1] = (n, best)
+    got = {r.id: (r.first_item, r.best) for r in contaminated(make(spark, rows), bench).collect()}
+    assert got == want
+
+
 def test_line_dedup_edges(spark, none):
     rows = [(i, f"own {i}\n header \n\nlast {i}", "en", "s0") for i in range(10)] + [(20, None, "en", "s0"), (21, "", None, None)]
     got = {r.doc_id: r for r in line_dedup(make(spark, rows), counts=("n_lines", "n_chars"), min_pages=5).collect()}
