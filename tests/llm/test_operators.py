@@ -168,6 +168,19 @@ def test_lm_base_score(docs, texts, none):
     assert lm_scores(none).count() == 0
 
 
+@pytest.mark.parametrize("v,own,classes,vectors", [(100, 64, 32, 2048), (2_560_000, 200, 100, 6400)])
+def test_lm_grows_with_the_vocabulary(v, own, classes, vectors):
+    import numpy as np
+
+    from oreflow.llm.op3_lm_scoring import ENDINGS, Units, Vocabulary
+    h = np.arange(1, 7001, dtype=np.uint64)
+    vocab = Vocabulary(h, np.ones(7000, np.int64), np.zeros(7000, np.int64), 7000, v)
+    units = Units(vocab, np.arange(ENDINGS) % classes)
+    _, unit, ctx = units(np.append(h, np.uint64(9999)), np.append(np.zeros(7000, np.int64), classes - 1))
+    assert units.n_own == own and unit.max() == own + classes - 1
+    assert len(set(ctx.tolist())) == vectors + 2 and units.contexts(ctx, np.arange(7001)).max() == vectors + classes
+
+
 def brute_components(texts, n):
     sets = {}
     for i, t, _, _ in texts:
