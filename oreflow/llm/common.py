@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreflow.session import checkpoint_dir, scratch_path
 
@@ -57,6 +58,11 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+def wider(df: DataFrame, columns: str) -> StructType:
+    """The schema of ``df`` with further columns, given as DDL."""
+    return StructType(df.schema.fields + StructType.fromDDL(columns).fields)
+
+
 class Tables:
     """Intermediate tables as Parquet in the shared folder: smaller than a
     checkpoint, and dropped as soon as what they lead to is written."""
