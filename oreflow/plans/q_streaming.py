@@ -1,10 +1,10 @@
 """Registered streaming queries.
 
-Each one runs a Structured Streaming job over the telemetry landing folder
-(the ``events`` parquet) with ``trigger(availableNow=True)`` into a
+Each one runs a Structured Streaming job over a landing folder that the
+``events`` table is delivered to out of order, in three micro-batches
+(``core.land_out_of_order``), with ``trigger(availableNow=True)`` into a
 changelog sink below the shared checkpoint folder, then returns the final
-result table.  Operators whose result is defined per micro-batch (late data,
-lag) are expressed on the ingestion-ordered micro-batches of the table.
+result table.  Results equal those of the whole table in the order of time.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from oreflow.functions.numeric import round_half_up as rh
 from oreflow.plans.q_timeseries import KEYS, R
 from oreflow.plans.registry import query
 from oreflow.plans.sqlfmt import rnd
+from oreflow.session import scratch_path
 from oreflow.sources.tables import read, sensor_readings
 from oreflow.streaming import core as sc
 from oreflow.streaming import operators as so
@@ -61,7 +62,21 @@ def rules_df(spark):
 
 
 def _stream(spark, d):
-    return sc.event_stream(spark, sc.stream_table_dir(d, "events"))
+    """The readings as they arrive: out of order, in several micro-batches."""
+    return sc.arrivals(spark, sc.land_out_of_order(spark, d))
+
+
+def _landed_sql(faulty: bool) -> str:
+    """The landing of ``sc.land_out_of_order``: readings with time of arrival and delivery."""
+    lag = f"(event_id % {sc.LAG_STEPS}) * {sc.LAG_STEP_H}"
+    lag = f"CASE WHEN event_id % 50 = 7 THEN 288 ELSE {lag} END" if faulty else lag
+    ts = "CASE WHEN event_id % 97 = 3 THEN ts + INTERVAL 10 DAYS ELSE ts END" if faulty else "ts"
+    return f"""landed AS (
+  SELECT event_id AS reading_id, user_id AS equipment_id, event_type AS sensor_type, value, {ts} AS ts,
+         ts + to_hours(CAST({lag} AS BIGINT)) AS arrived FROM events),
+deliveries AS (
+  SELECT *, least(floor((epoch_us(arrived) - min(epoch_us(arrived)) OVER ()) * {sc.DROPS}.0
+                        / (max(epoch_us(arrived)) OVER () - min(epoch_us(arrived)) OVER ())), {sc.DROPS - 1}) AS delivery FROM landed)"""
 
 
 @query("st_tumbling_windows", ops=("ST-01", "ST-13", "TS-17", "G11", "SRC-08"), sql=f"""
@@ -72,7 +87,7 @@ FROM {R} WHERE value <= 300 GROUP BY ALL
 """)
 def st_tumbling_windows(spark, d):
     s = _stream(spark, d).where(quality_flag("value") != "bad")  # good + suspect (G11)
-    agg = so.window_aggregates(s, KEYS, "ts", "value", "5 minutes")
+    agg = so.window_aggregates(s, KEYS, "ts", "value", "5 minutes", watermark=sc.DELAY)
     out = sc.run_changelog(agg, "st_tumbling", "update")
     r = sc.to_ntz(sc.read_changelog(spark, out, ["window", *KEYS]))
     return r.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *KEYS,
@@ -87,7 +102,7 @@ WITH w AS (SELECT sensor_type, value, unnest(generate_series(time_bucket(INTERVA
 SELECT ws AS window_start, sensor_type, count(*) AS n, {rnd("avg(value)", 4)} AS avg_value FROM w GROUP BY ALL
 """)
 def st_sliding_windows(spark, d):
-    agg = so.window_aggregates(_stream(spark, d), ["sensor_type"], "ts", "value", "10 minutes", "1 minute")
+    agg = so.window_aggregates(_stream(spark, d), ["sensor_type"], "ts", "value", "10 minutes", "1 minute", sc.DELAY)
     out = sc.run_changelog(agg, "st_sliding", "update")
     r = sc.to_ntz(sc.read_changelog(spark, out, ["window", "sensor_type"]))
     return r.select(F.col("window.start").alias("window_start"), "sensor_type", "n",
@@ -103,13 +118,9 @@ s AS (SELECT *, sum(is_new) OVER (PARTITION BY equipment_id ORDER BY ts, reading
 SELECT equipment_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS n_events FROM s GROUP BY equipment_id, sn
 """)
 def st_session_windows(spark, d):
-    # append mode: a session is emitted once, when the watermark passes it;
-    # the end-of-input marker closes the last sessions of the bounded replay
-    s = sc.with_end_marker(spark, _stream(spark, d))
-    agg = so.session_windows(s, ["equipment_id"], "ts", "10 minutes")
-    out = sc.run_changelog(agg, "st_session", "append")
-    r = sc.to_ntz(sc.read_changelog(spark, out)).where(F.col("equipment_id") != sc.END_MARKER_KEY)
-    return r.select("equipment_id", "session_start", "last_event", "n_events")
+    agg = so.session_windows(_stream(spark, d), ["equipment_id"], "ts", 600, sc.DELAY)
+    out = sc.run_changelog(agg, "st_session")
+    return sc.to_ntz(sc.read_changelog(spark, out, ["equipment_id", "session_start"]))
 
 
 @query("st_threshold_alerts", ops=("ST-04", "JN-09", "SF-14"), sql=f"""
@@ -145,9 +156,9 @@ SELECT equipment_id, ts, reading_id, CAST(n AS INTEGER) AS n_in_window FROM w WH
 """)
 def st_escalation(spark, d):
     a = so.threshold_alerts(_stream(spark, d), rules_df(spark), "sensor_type", "value")
-    e = so.escalate_bursts(a, ["equipment_id"], "ts", "reading_id", "warning", 900, 3)
-    out = sc.run_changelog(e, "st_escalation", "append")
-    return sc.to_ntz(sc.read_changelog(spark, out, schema="equipment_id long, ts timestamp, reading_id long, n_in_window int"))
+    e = so.escalate_bursts(a, ["equipment_id"], "ts", "reading_id", "warning", 900, 3, sc.DELAY)
+    out = sc.run_changelog(e, "st_escalation")
+    return sc.to_ntz(sc.read_changelog(spark, out, ["reading_id"]).select("equipment_id", "ts", "reading_id", "n_in_window"))
 
 
 @query("st_unacknowledged_critical", ops=("ST-07", "TS-24"), sql=f"""
@@ -168,15 +179,19 @@ def st_unacknowledged_critical(spark, d):
     return so.unacknowledged(crit, acks, KEYS, "ts", "ack_ts", 600)
 
 
-@query("st_ack_timer", ops=("ST-07",))
+# the watermark that fires the last timers comes from the rows before the last (empty) micro-batch
+@query("st_ack_timer", ops=("ST-07",), sql=f"""
+WITH crit AS (SELECT * FROM {R} WHERE value > 300), acks AS (SELECT * FROM {R} WHERE value <= 200)
+SELECT c.equipment_id, c.sensor_type, c.ts AS alert_time, c.ts + INTERVAL '10 minutes' AS deadline FROM crit c
+WHERE c.ts + INTERVAL '10 minutes' < (SELECT max(ts) FROM {R} WHERE value > 300 OR value <= 200) - INTERVAL '{sc.DELAY}'
+  AND NOT EXISTS (SELECT 1 FROM acks k WHERE k.equipment_id = c.equipment_id AND k.sensor_type = c.sensor_type
+                  AND k.ts >= c.ts AND k.ts <= c.ts + INTERVAL '10 minutes')
+""")
 def st_ack_timer(spark, d):
-    s = _stream(spark, d)
-    kind = (F.when(F.col("value") > 300, "critical").when(F.col("value") <= 200, "ack"))
-    ev = s.withColumn("kind", kind).where(F.col("kind").isNotNull())
-    t = so.ack_timer(ev, KEYS, "ts", "kind", 600)
-    out = sc.run_changelog(t, "st_ack_timer", "append")
-    return sc.to_ntz(sc.read_changelog(spark, out, schema="equipment_id long, sensor_type string, "
-                                                          "alert_time timestamp, deadline timestamp"))
+    kind = F.when(F.col("value") > 300, "critical").when(F.col("value") <= 200, "ack")
+    t = so.ack_timer(_stream(spark, d).withColumn("kind", kind), KEYS, "ts", "kind", 600, sc.DELAY)
+    out = sc.run_changelog(t, "st_ack_timer")
+    return sc.to_ntz(sc.read_changelog(spark, out))
 
 
 @query("st_moving_stats", ops=("ST-08", "WN-03"), sql=f"""
@@ -184,64 +199,69 @@ SELECT reading_id, {rnd("avg(value) OVER w", 4)} AS ma, {rnd("stddev_samp(value)
 FROM {R} WINDOW w AS (PARTITION BY equipment_id, sensor_type ORDER BY ts, reading_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
 """)
 def st_moving_stats(spark, d):
-    m = so.moving_stats(_stream(spark, d), KEYS, "ts", "reading_id", "value", 5)
-    out = sc.run_changelog(m, "st_moving", "append")
-    r = sc.read_changelog(spark, out)
+    m = so.moving_stats(_stream(spark, d), KEYS, "ts", "reading_id", "value", 5, sc.DELAY)
+    out = sc.run_changelog(m, "st_moving")
+    r = sc.read_changelog(spark, out, ["reading_id"])
     return r.select("reading_id", rh("ma", 4).alias("ma"), rh("mstd", 4).alias("mstd"))
 
 
-def _microbatches(spark, d, size: int = 1000):
-    """The readings cut into ingestion micro-batches of ``size`` events (by
-    arrival order = event id) with each batch's watermark base: the highest
-    event time of all earlier batches (a prefix max over one row per batch)."""
-    from oreflow.operators.windows import prefix_max_before
-    r = sensor_readings(spark, d).withColumn("batch", F.floor(F.col("reading_id") / size))
-    per = r.groupBy("batch").agg(F.max("ts").alias("batch_max"))          # one row per batch
-    per = prefix_max_before(per, "batch", "batch_max", "seen_max")
-    return r.join(per, "batch")
-
-
-@query("st_late_data", ops=("ST-09",), sql=f"""
-WITH r AS (SELECT *, reading_id // 1000 AS batch FROM {R}),
-p AS (SELECT batch, max(ts) AS batch_max FROM r GROUP BY batch),
-q AS (SELECT batch, batch_max, max(batch_max) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen_max FROM p)
-SELECT CASE WHEN r.ts > q.batch_max + INTERVAL '24 hours' THEN 'future'
-            WHEN r.ts < q.seen_max - INTERVAL '30 minutes' THEN 'late' ELSE 'on_time' END AS arrival, count(*) AS n
-FROM r JOIN q USING (batch) GROUP BY 1
+@query("st_late_data", ops=("ST-09", "ST-11"), sql=f"""
+WITH {_landed_sql(True)},
+timely AS (SELECT *, ts > arrived + INTERVAL 24 HOURS AS ahead FROM deliveries),
+tops AS (SELECT delivery, max(ts) FILTER (WHERE NOT ahead) AS top FROM timely GROUP BY delivery),
+seen AS (SELECT delivery, max(top) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM tops)
+SELECT reading_id, ts, CASE WHEN ahead THEN 'future' WHEN ts < before - INTERVAL '{sc.DELAY}' THEN 'late' ELSE 'on_time' END AS arrival
+FROM timely JOIN seen USING (delivery)
 """)
 def st_late_data(spark, d):
-    m = _microbatches(spark, d)
-    wm = F.col("seen_max") - F.expr("INTERVAL 30 MINUTES")
-    on_time, late = so.late_split(m, "ts", wm)
-    fut = F.col("ts") > F.col("batch_max") + F.expr("INTERVAL 24 HOURS")
-    cls = F.when(fut, "future").otherwise("on_time")
-    return (on_time.withColumn("arrival", cls).unionByName(late.withColumn("arrival", F.lit("late")))
-            .groupBy("arrival").agg(F.count(F.lit(1)).alias("n")))
+    out = scratch_path(spark, "st-late")
+    s = sc.arrivals(spark, sc.land_out_of_order(spark, d, faulty=True))
+    sc.run_with_late_side_output(s, "ts", 48 * 3600, out, ["reading_id"], arrived="arrived")
+    parts = [spark.read.parquet(f"{out}/{x}").select("reading_id", "ts", F.lit(x).alias("arrival"))
+             for x in ("on_time", "late", "future")]
+    return sc.to_ntz(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+# rows are held against the watermark that was in force in the micro-batch before theirs
+@query("st_late_rows_dropped", ops=("ST-08", "ST-09"), sql=f"""
+WITH {_landed_sql(True)},
+rows AS (SELECT * FROM deliveries UNION ALL SELECT * FROM deliveries WHERE reading_id % 40 = 5),
+tops AS (SELECT delivery, max(ts) AS top FROM rows GROUP BY delivery),
+seen AS (SELECT delivery, max(top) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS before FROM tops)
+SELECT count(*) FILTER (WHERE ts < before - INTERVAL '{sc.DELAY}') AS n_late,
+       count(*) FILTER (WHERE before IS NULL OR ts >= before - INTERVAL '{sc.DELAY}') AS n_taken
+FROM rows JOIN seen USING (delivery)
+""")
+def st_late_rows_dropped(spark, d):
+    """What the engine drops behind the watermark is counted, and nothing else is lost."""
+    s = sc.arrivals(spark, sc.land_out_of_order(spark, d, faulty=True))
+    out = sc.run_changelog(so.session_windows(s, ["equipment_id"], "ts", 600, sc.DELAY), "st_dropped")
+    n = sc.read_changelog(spark, out, ["equipment_id", "session_start"]).agg(F.sum("n_events").alias("n_taken"))
+    return n.select(F.lit(out.late_rows).cast("long").alias("n_late"), "n_taken")
 
 
 @query("st_lag_metrics", ops=("ST-10",), sql=f"""
-WITH r AS (SELECT *, reading_id // 1000 AS batch FROM {R}),
-p AS (SELECT batch, max(ts) AS closed FROM r GROUP BY batch),
-l AS (SELECT sensor_type, date_diff('microsecond', ts, closed) // 1000000 AS lag FROM r JOIN p USING (batch))
+WITH {_landed_sql(True)},
+l AS (SELECT sensor_type, date_diff('microsecond', ts, arrived) // 1000000 AS lag FROM deliveries)
 SELECT sensor_type, {rnd("avg(lag)", 3)} AS avg_lag_s, max(lag) AS max_lag_s, quantile_disc(lag, 0.95) AS p95_lag_s
 FROM l GROUP BY sensor_type
 """)
 def st_lag_metrics(spark, d):
-    # ingestion time of a reading = the close of its micro-batch
-    m = _microbatches(spark, d).withColumn("ingest_ts", F.col("batch_max"))
-    lm = so.lag_metrics(m, "ts", "ingest_ts", ["sensor_type"])
+    # the landing's own time of arrival; repeated rows count once
+    s = sc.arrivals(spark, sc.land_out_of_order(spark, d, faulty=True))
+    out = sc.run_changelog(s.select("reading_id", "sensor_type", "ts", "arrived"), "st_lag", "append")
+    lm = so.lag_metrics(sc.read_changelog(spark, out).distinct(), "ts", "arrived", ["sensor_type"])
     return lm.select("sensor_type", rh("avg_lag_s", 3).alias("avg_lag_s"), "max_lag_s", "p95_lag_s")
 
 
 @query("st_stream_dedup", ops=("ST-11", "TS-15"), sql=f"""
-SELECT equipment_id, count(DISTINCT time_bucket(INTERVAL '1 minute', ts)) AS n_minutes FROM {R} GROUP BY equipment_id
+SELECT DISTINCT equipment_id, time_bucket(INTERVAL '1 minute', ts) AS minute FROM {R}
 """)
 def st_stream_dedup(spark, d):
     s = _stream(spark, d).withColumn("minute", F.date_trunc("minute", "ts"))
-    dd = so.dedup_within_watermark(s, ["equipment_id", "minute"], "ts")
+    dd = so.dedup_within_watermark(s, ["equipment_id", "minute"], "ts", sc.DELAY)
     out = sc.run_changelog(dd.select("equipment_id", "minute"), "st_dedup", "append")
-    r = sc.read_changelog(spark, out)
-    return r.groupBy("equipment_id").agg(F.count(F.lit(1)).alias("n_minutes"))
+    return sc.to_ntz(sc.read_changelog(spark, out))
 
 
 @query("st_stream_interval_join", ops=("ST-12", "JN-10"), sql=f"""
@@ -253,10 +273,10 @@ SELECT a.reading_id AS anomaly_id, b.reading_id AS alert_id FROM a JOIN b
 def st_stream_interval_join(spark, d):
     a = _stream(spark, d).where(F.col("value") > 250)
     b = _stream(spark, d).where(F.col("value") > 300)
-    j = so.interval_join_streams(a, b, KEYS, "ts", "ts", "30 minutes")
+    j = so.interval_join_streams(a, b, KEYS, "ts", "ts", "30 minutes", sc.DELAY)
     out = sc.run_changelog(j.select(F.col("l.reading_id").alias("anomaly_id"), F.col("r.reading_id").alias("alert_id")),
                            "st_join", "append")
-    return sc.read_changelog(spark, out, schema="anomaly_id long, alert_id long")
+    return sc.read_changelog(spark, out)
 
 
 @query("st_speed_layer_fact", ops=("ST-14", "JN-11", "JN-20"), sql=f"""
@@ -268,7 +288,7 @@ FROM h LEFT JOIN customer c ON c.c_custkey = h.equipment_id
 """)
 def st_speed_layer_fact(spark, d):
     s = _stream(spark, d)
-    agg = (s.withWatermark("ts", "30 minutes").groupBy(F.window("ts", "1 hour").alias("window"), "equipment_id")
+    agg = (s.withWatermark("ts", sc.DELAY).groupBy(F.window("ts", "1 hour").alias("window"), "equipment_id")
            .agg(F.count(F.lit(1)).alias("n_readings"), F.sum("value").alias("sum_value"),
                 F.count_if(F.col("value") > 300).alias("n_alarms")))
     out = sc.run_changelog(agg, "st_speed", "update")
@@ -309,10 +329,10 @@ FROM t WHERE previous_state IS NOT NULL
 """)
 def st_state_tracking(spark, d):
     s = _stream(spark, d).withColumn("state", quality_flag("value"))
-    t = so.state_transitions(s, ["equipment_id"], "ts", "reading_id", "state")
-    out = sc.run_changelog(t, "st_state", "append")
-    return sc.to_ntz(sc.read_changelog(spark, out, schema="equipment_id long, ts timestamp, previous_state string, "
-                                                          "new_state string, seconds_in_previous long"))
+    t = so.state_transitions(s, ["equipment_id"], "ts", "reading_id", "state", sc.DELAY)
+    out = sc.run_changelog(t, "st_state")
+    return sc.to_ntz(sc.read_changelog(spark, out, ["reading_id"]).select(
+        "equipment_id", "ts", "previous_state", "new_state", "seconds_in_previous"))
 
 
 @query("st_chained_windows", ops=("ST-17", "TS-23", "AG-13"), sql=f"""
@@ -323,7 +343,7 @@ FROM {R} GROUP BY ALL
 def st_chained_windows(spark, d):
     # the 5-minute partials come from the streaming job; the hourly rollup
     # recombines sums and counts, so stream and batch averages agree (TS-23)
-    five = so.window_aggregates(_stream(spark, d), ["sensor_type"], "ts", "value", "5 minutes")
+    five = so.window_aggregates(_stream(spark, d), ["sensor_type"], "ts", "value", "5 minutes", watermark=sc.DELAY)
     out = sc.run_changelog(five, "st_five", "update")
     partial = sc.read_changelog(spark, out, ["window", "sensor_type"])
     h = sc.to_ntz(so.chained_rollup(partial, ["sensor_type"], "1 hour"))

@@ -91,6 +91,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)
+
+
 _SHIPPED: set = set()
 
 

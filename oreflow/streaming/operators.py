@@ -1,28 +1,21 @@
-"""Streaming operators (ST-01..ST-17).  All accept batch or streaming
-DataFrames unless they say otherwise; stateful ones keep per-key state in
-the state store (checkpointed), bounded by the watermark or by N values."""
+"""Streaming operators (ST-01..ST-17).  Windows, joins and filters accept batch
+or streaming DataFrames; those of ``stateful`` take streams and keep per-key
+state in the state store (checkpointed), bounded by the watermark."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+
+from oreflow.streaming.stateful import AckTimer, Bursts, MovingStats, Sessions, Transitions, run_processor
 
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _frames(pdfs, columns=None) -> pd.DataFrame:
-    frames = list(pdfs)
-    if frames:
-        return pd.concat(frames, ignore_index=True)
-    return pd.DataFrame(columns=columns or [])
-
-
 # ------------------------------------------------------------------ windows
 def window_aggregates(df: DataFrame, keys: Sequence[str], ts: str, value: str, width: str,
                       slide: str | None = None, watermark: str | None = "30 minutes") -> DataFrame:
@@ -36,13 +29,16 @@ def window_aggregates(df: DataFrame, keys: Sequence[str], ts: str, value: str, w
         F.min(value).alias("min_value"), F.max(value).alias("max_value"), F.stddev(value).alias("std_value"))
 
 
-def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap: str,
-                    watermark: str | None = "30 minutes") -> DataFrame:
-    """ST-03: gap sessions per key (a streaming session window needs a
-    grouping key, G21); reports the last event time (not last + gap)."""
-    d = df.withWatermark(ts, watermark) if watermark else df
-    return d.groupBy(F.session_window(F.col(ts), gap).alias("session"), *_keys(keys)).agg(
-        F.min(ts).alias("session_start"), F.max(ts).alias("last_event"), F.count(F.lit(1)).alias("n_events"))
+def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
+                    watermark: str = "30 minutes") -> DataFrame:
+    """ST-03: gap sessions per key: session_start, last_event (not last + gap),
+    n_events; a gap of exactly ``gap_s`` stays in the session.  Update rows by
+    (keys, session_start): a session that a row in between has joined to an
+    earlier one comes again with ``deleted``."""
+    d = run_processor(df, _keys(keys), ts, watermark, {}, Sessions(int(gap_s * 1_000_000)),
+                      "start bigint, last bigint, n_events bigint, deleted boolean")
+    return d.select(*_keys(keys), F.timestamp_micros("start").alias("session_start"),
+                    F.timestamp_micros("last").alias("last_event"), "n_events", "deleted")
 
 
 def chained_rollup(five_min: DataFrame, keys: Sequence[str], width: str = "1 hour") -> DataFrame:
@@ -65,37 +61,15 @@ def threshold_alerts(events: DataFrame, rules: DataFrame, type_col: str, value:
 
 
 def escalate_bursts(alerts: DataFrame, keys: Sequence[str], ts: str, id_col: str, level: str = "warning",
-                    window_s: int = 900, min_count: int = 3) -> DataFrame:
+                    window_s: int = 900, min_count: int = 3, watermark: str = "30 minutes") -> DataFrame:
     """ST-06: a ``level`` alert escalates to critical when it is at least the
     ``min_count``-th such alert of its key within ``window_s`` seconds
-    (inclusive).  Stateful per key: the state holds only the alert times of
-    the last ``window_s`` seconds, so it stays bounded; works on batch and
-    stream (``applyInPandasWithState``)."""
-    keys = _keys(keys)
-    src = alerts.where(F.col("alert_level") == level).select(*keys, ts, id_col)
-    key_fields = [f for f in src.schema.fields if f.name in keys]
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in key_fields]
-                           + [f"{ts} timestamp", f"{id_col} {src.schema[id_col].dataType.simpleString()}",
-                              "n_in_window int"])
-    win_us = window_s * 1_000_000
-
-    def fn(key, pdfs, state):
-        times = list(state.get[0]) if state.exists else []
-        rows = []
-        pdf = _frames(pdfs)
-        if len(pdf):
-            pdf = pdf.sort_values([ts, id_col])
-            for t, rid in zip(pdf[ts], pdf[id_col]):
-                us = int(pd.Timestamp(t).value // 1000)
-                times = [x for x in times if x >= us - win_us] + [us]
-                if len(times) >= min_count:
-                    rows.append((*key, t, rid, len(times)))
-        state.update((times,))
-        cols = keys + [ts, id_col, "n_in_window"]
-        yield pd.DataFrame(rows, columns=cols) if rows else pd.DataFrame(columns=cols)
-
-    return src.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "times array<long>", "append", GroupStateTimeout.NoTimeout)
+    (inclusive).  Update rows by ``id_col``: an alert that arrives later but
+    happened earlier raises the counts of those after it."""
+    src = alerts.where(F.col("alert_level") == level)
+    d = run_processor(src, _keys(keys), ts, watermark, {"id": F.col(id_col), "x": F.lit(0.0)},
+                      Bursts(window_s * 1_000_000, min_count), "us bigint, id bigint, n_in_window int")
+    return d.select(*_keys(keys), F.timestamp_micros("us").alias(ts), F.col("id").alias(id_col), "n_in_window")
 
 
 def unacknowledged(alerts: DataFrame, acks: DataFrame, keys: Sequence[str], alert_ts: str, ack_ts: str,
@@ -113,100 +87,41 @@ def unacknowledged(alerts: DataFrame, acks: DataFrame, keys: Sequence[str], aler
 def ack_timer(alerts_and_acks: DataFrame, keys: Sequence[str], ts: str, kind: str, timeout_s: int = 600,
               watermark: str = "30 minutes") -> DataFrame:
     """ST-07 (stream form): per key event-time timers: each 'critical' event
-    arms one at ts + timeout, an 'ack' event within that time disarms it, a
-    fired timer emits an emergency.  Timers fire once the watermark passes
-    their time; one already passed fires at once."""
-    keys = _keys(keys)
-    d = alerts_and_acks.withWatermark(ts, watermark).select(*keys, ts, kind)
-    key_fields = [f for f in d.schema.fields if f.name in keys]
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in key_fields]
-                           + ["alert_time timestamp", "deadline timestamp"])
-
-    wait = timeout_s * 1_000_000
-
-    def fn(key, pdfs, state):
-        """State: times (us) of the alarms that wait for an answer, oldest first."""
-        armed = list(state.get[0]) if state.exists else []
-        if not state.hasTimedOut:
-            pdf = _frames(pdfs, [ts, kind])
-            for t, k in sorted(zip(pdf[ts], pdf[kind]), key=lambda x: x[0]):
-                us = int(pd.Timestamp(t).value // 1000)
-                if k == "critical":
-                    armed.append(us)
-                elif k == "ack":
-                    armed = [a for a in armed if not a <= us <= a + wait]
-        armed.sort()
-        now = state.getCurrentWatermarkMs() * 1000
-        due = [a for a in armed if a + wait <= now]
-        armed = [a for a in armed if a + wait > now]
-        if armed:
-            state.update((armed,))
-            state.setTimeoutTimestamp((armed[0] + wait) // 1000 + 1)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame([(*key, pd.Timestamp(a, unit="us"), pd.Timestamp(a + wait, unit="us")) for a in due],
-                           columns=keys + ["alert_time", "deadline"])
-
-    return d.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "armed array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
+    arms one at ts + timeout, an 'ack' event within that time disarms it (also
+    one that arrived before the alarm), a fired timer emits an emergency, once.
+    Timers fire when the watermark has passed their time."""
+    src = alerts_and_acks.where(F.col(kind).isin("critical", "ack"))
+    d = run_processor(src, _keys(keys), ts, watermark, {"alarm": F.col(kind) == "critical"},
+                      AckTimer(timeout_s * 1_000_000), "alert_us bigint, deadline_us bigint")
+    return d.select(*_keys(keys), F.timestamp_micros("alert_us").alias("alert_time"),
+                    F.timestamp_micros("deadline_us").alias("deadline"))
 
 
 # ------------------------------------------------------------ stateful stats
-def moving_stats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, value: str, n: int) -> DataFrame:
-    """ST-08: moving average / sample std over each key's last ``n``
-    readings and the z-score of the reading against the previous ones'
-    statistics window (analytic row frames are not allowed on streams, so
-    the last n-1 values are kept as state)."""
-    keys = _keys(keys)
-    src = df.select(*keys, ts, id_col, value)
-    key_fields = [f for f in src.schema.fields if f.name in keys]
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in key_fields]
-                           + [f"{id_col} {src.schema[id_col].dataType.simpleString()}", f"{ts} timestamp",
-                              f"{value} double", "ma double", "mstd double"])
-
-    def fn(key, pdfs, state):
-        hist = list(state.get[0]) if state.exists else []
-        pdf = _frames(pdfs, [ts, id_col, value]).sort_values([ts, id_col])
-        rows = []
-        for rid, t, v in zip(pdf[id_col], pdf[ts], pdf[value]):
-            hist = (hist + [float(v)])[-n:]
-            s = pd.Series(hist)
-            rows.append((*key, rid, t, float(v), float(s.mean()),
-                         float(s.std(ddof=1)) if len(hist) > 1 else None))
-        state.update((hist[-(n - 1):] if n > 1 else [],))
-        yield pd.DataFrame(rows, columns=keys + [id_col, ts, value, "ma", "mstd"])
-
-    return src.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "hist array<double>", "append", GroupStateTimeout.NoTimeout)
-
-
-def state_transitions(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, state_col: str) -> DataFrame:
-    """ST-16: equipment state tracking: one row per change of ``state_col``
-    per key with previous state, new state and seconds spent in the
-    previous state.  State: (current state, since)."""
-    keys = _keys(keys)
-    src = df.select(*keys, ts, id_col, state_col)
-    key_fields = [f for f in src.schema.fields if f.name in keys]
-    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in key_fields]
-                           + [f"{ts} timestamp", "previous_state string", "new_state string",
-                              "seconds_in_previous long"])
-
-    def fn(key, pdfs, state):
-        cur, since = (state.get[0], state.get[1]) if state.exists else (None, None)
-        pdf = _frames(pdfs, [ts, id_col, state_col]).sort_values([ts, id_col])
-        rows = []
-        for t, s in zip(pdf[ts], pdf[state_col]):
-            us = int(pd.Timestamp(t).value // 1000)
-            if cur is None:
-                cur, since = s, us
-            elif s != cur:
-                rows.append((*key, t, cur, s, (us - since) // 1_000_000))
-                cur, since = s, us
-        state.update((cur, since))
-        yield pd.DataFrame(rows, columns=keys + [ts, "previous_state", "new_state", "seconds_in_previous"])
-
-    return src.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "cur string, since long", "append", GroupStateTimeout.NoTimeout)
+def moving_stats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, value: str, n: int,
+                 watermark: str = "30 minutes") -> DataFrame:
+    """ST-08: moving average / sample std over each key's last ``n`` readings in
+    the order of event time (analytic row frames are not allowed on streams).
+    Update rows by ``id_col``: a reading that arrives late moves the windows of
+    those after it.  NULL values count for nothing."""
+    d = run_processor(df, _keys(keys), ts, watermark, {"id": F.col(id_col), "x": F.col(value).cast("double")},
+                      MovingStats(n), "id bigint, us bigint, value double, ma double, mstd double")
+    return d.select(*_keys(keys), F.col("id").alias(id_col), F.timestamp_micros("us").alias(ts),
+                    F.col("value").alias(value), "ma", "mstd")
+
+
+def state_transitions(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, state_col: str,
+                      watermark: str = "30 minutes") -> DataFrame:
+    """ST-16: equipment state tracking: one row per change of ``state_col`` per
+    key with previous state, new state and whole seconds spent in the previous.
+    Update rows by ``id_col``; a change undone by a row that arrived later comes
+    again with ``deleted``.  Rows without a state are left out."""
+    src = df.where(F.col(state_col).isNotNull())
+    d = run_processor(src, _keys(keys), ts, watermark, {"id": F.col(id_col), "x": F.col(state_col).cast("string")},
+                      Transitions(), "id bigint, us bigint, previous_state string, new_state string, "
+                                     "seconds_in_previous bigint, deleted boolean")
+    return d.select(*_keys(keys), F.col("id").alias(id_col), F.timestamp_micros("us").alias(ts), "previous_state",
+                    "new_state", "seconds_in_previous", "deleted")
 
 
 # --------------------------------------------------------------- other ops
