@@ -147,12 +147,59 @@ def var_length_paths(edges: DataFrame, sources: DataFrame, max_hops: int, min_ho
     return found
 
 
+def paths_between(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int, min_hops: int = 1,
+                  weight: str | None = None, avoid: Sequence | None = None) -> DataFrame:
+    """GR-05 / GR-08: all simple paths of min_hops..max_hops edges from one of the
+    ``sources`` to one of the ``targets`` (ids).  Columns: start, end, path, hops,
+    total.  ``avoid`` removes nodes before the search.
+
+    Half paths grow from both ends and meet on their middle node: a path of L
+    edges is one of ceil(L / 2) edges from a source and one of floor(L / 2) edges
+    back from a target that share no other node.  So no more than half the hops
+    are ever listed without an end in sight."""
+    e = edges
+    if avoid:
+        e = e.where(~F.col("src").isin(list(avoid)) & ~F.col("dst").isin(list(avoid)))
+        sources, targets = (x.where(~F.col("id").isin(list(avoid))) for x in (sources, targets))
+    w = (F.col(weight) if weight else F.lit(1)).cast("double")
+    e = _cut(e.select("src", "dst", w.alias("w")), 1, 1)
+    back = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
+    ahead, behind = {0: _points(sources)}, {0: _points(targets)}
+    found = None
+    for n in range(1, max_hops + 1):
+        f, b = (n + 1) // 2, n // 2
+        for half, hops, by in ((ahead, f, e), (behind, b, back)):
+            if hops not in half:
+                half[hops] = _cut(_longer(half[hops - 1], by, "w"), 1, 1)
+        if n < min_hops:
+            continue
+        y = behind[b].select(F.col("start").alias("y_start"), F.col("end").alias("y_end"), F.col("path").alias("y_path"),
+                             F.col("total").alias("y_total"))
+        rest = F.slice(F.reverse("y_path"), 2, b) if b else F.array().cast(ahead[f].schema["path"].dataType)
+        j = ahead[f].join(y, F.col("end") == F.col("y_end")).where(~F.arrays_overlap("path", rest) if b else F.lit(True))
+        step = j.select("start", F.col("y_start").alias("end"), F.concat("path", rest).alias("path"), F.lit(n).alias("hops"),
+                        (F.col("total") + F.col("y_total")).alias("total"))
+        found = step if found is None else found.unionByName(step)
+    return found
+
+
+def _points(ids: DataFrame) -> DataFrame:
+    return ids.select(F.col("id").alias("start"), F.col("id").alias("end"), F.array("id").alias("path"), F.lit(0.0).alias("total")).distinct()
+
+
+def _longer(paths: DataFrame, e: DataFrame, weight: str) -> DataFrame:
+    """Simple paths with one more edge."""
+    return paths.join(e, F.col("end") == F.col("src")).where(~F.array_contains("path", F.col("dst"))) \
+        .select("start", F.col("dst").alias("end"), F.array_append("path", F.col("dst")).alias("path"),
+                (F.col("total") + F.col(weight)).alias("total"))
+
+
 def bfs_levels(edges: DataFrame, sources: DataFrame, max_hops: int | None = None,
                checkpoint_every: int = 3) -> DataFrame:
     """GR-06: unweighted shortest distance (hops) from each source to every
     reachable node; a frontier expansion that drops already visited
     (source, node) pairs, ending on an empty frontier."""
-    e = edges.select("src", "dst").distinct()
+    e = _cut(edges.select("src", "dst").distinct(), 1, 1)     # not derived again in every round
     visited = sources.select(F.col("id").alias("start"), F.col("id").alias("node"), F.lit(0).alias("hops"))
     frontier = visited
     h = 0
@@ -194,13 +241,22 @@ def weighted_shortest(edges: DataFrame, sources: DataFrame, weight: str) -> Data
 
 
 def impact_set(edges: DataFrame, target, max_hops: int) -> DataFrame:
-    """GR-09: every node that reaches ``target`` by a simple path, with each
-    distinct path length (not only the minimum): reverse the edges and
-    enumerate paths from the target."""
-    rev = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    src = edges.sparkSession.range(1).select(F.lit(target).alias("id"))
-    p = var_length_paths(rev, src, max_hops)
-    return p.select(F.col("end").alias("node"), F.col("hops").alias("length")).distinct()
+    """GR-09: every node from which ``target`` can be reached, with each number
+    of steps up to ``max_hops`` that takes it there without passing the target
+    before.  Rounds over sets of (node, length): no path is listed, and a round
+    is no larger than the number of nodes."""
+    rev = _cut(edges.select(F.col("dst").alias("at"), F.col("src").alias("node"))
+               .where(F.col("src") != F.lit(target)).distinct(), 1, 1)
+    frontier = rev.where(F.col("at") == F.lit(target)).select("node")
+    found = None
+    for n in range(1, max_hops + 1):
+        level = frontier.withColumn("length", F.lit(n))
+        found = level if found is None else found.unionByName(level)
+        if n < max_hops:
+            frontier = _cut(frontier.withColumnRenamed("node", "at").join(rev, "at").select("node").distinct(), 1, 1)
+            if frontier.isEmpty():
+                break
+    return found
 
 
 def expand_context(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:

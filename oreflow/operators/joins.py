@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from oreflow.functions.timefn import epoch_seconds
+from oreflow.operators.windows import bucketed_last
 
 
 def _keys(keys) -> list[str]:
@@ -94,7 +95,7 @@ def range_count(windows: DataFrame, events: DataFrame, keys: Sequence[str],
 
 def first_event_before(df: DataFrame, keys: Sequence[str], ts: str, is_first: Column,
                        is_target: Column, mode: str = "first_any",
-                       out: str = "first_ts") -> DataFrame:
+                       out: str = "first_ts", bucket_s: int = 7 * 86400) -> DataFrame:
     """JN-12: for every target row (e.g. ALARM) the time of a 'first' event
     (e.g. WARN) of the same key.
 
@@ -103,7 +104,7 @@ def first_event_before(df: DataFrame, keys: Sequence[str], ts: str, is_first: Co
     * ``first_before``: the same minimum, kept only when it is not after the
       target (the ordered reading);
     * ``latest_before``: the last first-event at or before the target (an
-      as-of join), one sort per key.
+      as-of join), carried over the key's time buckets.
     The first two are a grouped minimum joined back (no window)."""
     keys = _keys(keys)
     if mode in ("first_any", "first_before"):
@@ -112,25 +113,43 @@ def first_event_before(df: DataFrame, keys: Sequence[str], ts: str, is_first: Co
         return j if mode == "first_any" else j.where(F.col(out) <= F.col(ts))
     if mode != "latest_before":
         raise ValueError(mode)
-    w = (Window.partitionBy(*keys).orderBy(F.col(ts), F.col("__t"))
-         .rowsBetween(Window.unboundedPreceding, 0))
-    marked = df.withColumn("__t", is_target.cast("int")).withColumn(
-        "__f", F.when(is_first, F.col(ts)))
-    return (marked.withColumn(out, F.last("__f", ignorenulls=True).over(w))
-            .where(is_target & F.col(out).isNotNull()).drop("__t", "__f"))
+    # a first event of the same time counts as before
+    marked = df.where(is_first | is_target).withColumn("__t", F.coalesce(is_target, F.lit(False)).cast("int"))
+    return (bucketed_last(marked, keys, ts, ["__t"], bucket_s, F.when(is_first, F.col(ts)), out)
+            .where(is_target & F.col(out).isNotNull()).drop("__t"))
 
 
 def point_in_time_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str],
                        fact_ts: str, valid_from: str, valid_to: str,
-                       how: str = "left") -> DataFrame:
-    """Attach the dimension version valid at the fact's time (JN-21):
-    ``valid_from <= fact_ts < valid_to``; versions do not overlap, so the
-    equi join on the business key plus the residual range filter yields at
-    most one partner."""
+                       how: str = "left", bucket_s: int = 30 * 86400) -> DataFrame:
+    """Attach the dimension version valid at the fact's time (JN-20, JN-21):
+    ``valid_from <= fact_ts < valid_to``; versions of a key do not overlap.
+
+    A segmented scan: facts and the starts of versions lie together by (key,
+    time bucket), and the last version before a fact is its candidate; what
+    holds at a bucket's beginning comes from a table of bucket edges.  A key with
+    a third of all facts is spread over its buckets, and no fact meets more than
+    one version.  NULL keys and facts without a time match nothing."""
     keys = _keys(keys)
-    cond = [fact[k] == dim[k] for k in keys] + [
-        fact[fact_ts] >= dim[valid_from], fact[fact_ts] < dim[valid_to]]
-    return fact.join(dim, cond, how).drop(*[dim[k] for k in keys])
+    at = lambda c: F.col(c).cast("timestamp_ntz")
+    version = [c for c in dim.columns if c not in keys]
+    f = fact.select(*keys, at(fact_ts).alias("__ts"), F.struct(*[F.col(c) for c in fact.columns]).alias("__f"),
+                    F.lit(1).alias("__k"), F.lit(None).cast("timestamp_ntz").alias("__to"))
+    v = dim.where(F.col(valid_from).isNotNull()).select(
+        *keys, at(valid_from).alias("__ts"), F.lit(0).alias("__k"), at(valid_to).alias("__to"),
+        F.struct(at(valid_to).alias("until"), F.struct(*[F.col(c) for c in version]).alias("row")).alias("__d"))
+    u = f.unionByName(v, allowMissingColumns=True)
+    j = bucketed_last(u, keys, "__ts", ["__k", "__to"], bucket_s, F.col("__d"), "__hit").where(F.col("__f").isNotNull())
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    hit = known & (F.col("__ts") < F.col("__hit.until"))
+    if how == "inner":
+        j = j.where(hit)
+    elif how != "left":
+        raise ValueError("how must be 'inner' or 'left'")
+    return j.select(*[F.col(f"__f.{c}").alias(c) for c in fact.columns],
+                    *[F.when(hit, F.col(f"__hit.row.{c}")).alias(c) for c in version])
 
 
 def lookup_array(parent: DataFrame, child: DataFrame, parent_key: str,

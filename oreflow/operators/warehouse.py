@@ -12,12 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
-from pyspark.sql.types import NumericType
 
 from oreflow.functions.hashing import row_hash, surrogate_key
-from oreflow.session import checkpoint_dir
 from oreflow.functions.timefn import calendar_parts
-from oreflow.operators.windows import bucketed_neighbour, null_safe_join
+from oreflow.operators.numbering import dense_numbers
+from oreflow.operators.windows import null_safe_join, time_bucket
 
 OPEN_END = "9999-12-31"
 
@@ -55,25 +54,15 @@ def add_surrogate_keys(new_rows: DataFrame, existing: DataFrame | None, business
     """WH-03: dense integer keys continuing after the current maximum,
     assigned in business-key order, so a reload assigns the same keys.
 
-    A single numeric business key is ranked distributedly (bucketed ranks);
-    composite keys use a ``row_number`` over the *new* members of this load
-    only.  ``hash_surrogate`` needs no ordering at all."""
+    Members are numbered by ranges of the key (``numbering.dense_numbers``): any
+    number and type of key columns, no window over the table.  Rows that repeat
+    a key are one member; NULL comes first.  ``hash_surrogate`` needs no
+    ordering at all."""
     bk = _keys(business_keys)
-    base = (existing.select(F.coalesce(F.max(key_col), F.lit(0))).scalar()
-            if existing is not None else F.lit(0))
-    if len(bk) == 1 and isinstance(new_rows.schema[bk[0]].dataType, NumericType):
-        # numeric business key: distributed ranking (bucketed, no single task);
-        # the NULL member comes first, rows that repeat a key are one member
-        from oreflow.operators.profile import global_average_rank
-        k = bk[0]
-        members = new_rows.select(k).where(F.col(k).isNotNull()).distinct()
-        unknown = new_rows.select(F.max(F.col(k).isNull().cast("int"))).scalar()
-        ranks = global_average_rank(members, k, "__rk").select(F.col(k).alias("__k"), "__rk")
-        j = new_rows.join(ranks, F.col(k) == F.col("__k"), "left")
-        rank = F.coalesce(F.col("__rk").cast("long") + unknown, F.lit(1))
-        return j.withColumn(key_col, (rank + base).cast("long")).drop("__rk", "__k")
-    w = Window.orderBy(*bk)
-    return new_rows.withColumn(key_col, (F.row_number().over(w) + base).cast("long"))
+    base = existing.agg(F.coalesce(F.max(key_col), F.lit(0))).first()[0] if existing is not None else 0
+    numbered = dense_numbers(new_rows.select(*bk).distinct(), bk, "__no")
+    j = numbered if new_rows.columns == bk else null_safe_join(new_rows, numbered, bk)
+    return j.withColumn(key_col, (F.col("__no") + F.lit(base)).cast("long")).drop("__no")
 
 
 def hash_surrogate(df: DataFrame, business_keys: Sequence[str], key_col: str) -> DataFrame:
@@ -113,69 +102,87 @@ def junk_dimension(facts: DataFrame, attrs: Sequence[str], existing: DataFrame |
 def scd2_apply(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], load_date: Column, valid_from: str = "effective_from",
                valid_to: str = "effective_to", is_current: str = "is_current",
-               bucket_s: int = 30 * 86400) -> DataFrame:
+               bucket_s: int = 30 * 86400, history: DataFrame | None = None) -> DataFrame:
     """WH-07: set-based SCD type 2 (G13, G14).
 
     ``current`` holds all versions (with validity columns); ``incoming`` is
     the extract (business key + attributes), possibly with several rows per
-    key ordered by a ``change_ts`` column if present.  Only ``tracked``
-    columns decide whether a new version opens.  Validity is half-open
-    ``[from, to)``; an open version ends at 9999-12-31.  Keys missing from
-    the extract keep their versions (deletes are a separate decision).
+    key ordered by ``change_ts`` (``change_seq`` breaks ties) if present.  Only
+    ``tracked`` columns decide whether a new version opens.  Validity is
+    half-open ``[from, to)``; an open version ends at 9999-12-31.  Keys missing
+    from the extract keep their versions (deletes are a separate decision).
+
+    Changes may come late: a version is spliced in where it belongs and what
+    held before ends there.  Versions that ended before a key's first change are
+    not touched; those after it and the changes are put in order, statements
+    that repeat the one before them go, and each of the rest lasts to the next.
+    A version table has forgotten the statements that changed nothing; given
+    the earlier change records as ``history``, those after a key's first late
+    change are read again, and the result is that of loading in order.  A batch
+    that is repeated changes nothing.  Changes without a time are left out.
     Returns the complete new dimension table.
     """
     keys, tracked = _keys(keys), list(tracked)
-    hcol = "__h"
-    inc = incoming.withColumn(hcol, row_hash(*tracked))
-    extra = [c for c in incoming.columns if c not in keys and c not in ("change_ts", "change_seq")]
-    # neighbours come from time buckets: a key with a third of all changes is
-    # spread over them
     end_type = current.schema[valid_to].dataType
-    open_ = current.where(F.col(is_current))
-    closed_hist = current.where(~F.col(is_current))
-    cur_h = open_.select(*keys, row_hash(*tracked).alias("__cur_h"),
-                         F.col(valid_from).alias("__cur_from"))
-    if "change_ts" in inc.columns:
-        # changes not newer than the open version are already applied (a
-        # replayed batch is a no-op); several changes of one key in one batch
-        # are chained in time order, ``change_seq`` breaking ties
-        inc = (inc.withColumn("__from", F.col("change_ts"))
-               .withColumn("__seq", F.col("change_seq") if "change_seq" in inc.columns else F.lit(0))
-               .join(cur_h, keys, "left")
-               .where(F.col("__cur_from").isNull() | (F.col("__from").cast(end_type) > F.col("__cur_from"))))
-        inc = bucketed_neighbour(inc, keys, "__from", "__seq", bucket_s, hcol, "__prev_h")
-        inc = inc.where(F.col("__prev_h").isNull() | (F.col("__prev_h") != F.col(hcol)))
-        # written once: what follows reads it several times
-        checkpoint_dir(inc.sparkSession)
-        inc = inc.checkpoint()
-    else:
-        inc = inc.withColumn("__from", load_date).withColumn("__seq", F.lit(0)).join(cur_h, keys, "left")
-    # the first incoming version per key (a grouped minimum, no window) is
-    # compared with the open version; later ones are changes by construction
-    place = F.struct("__from", "__seq", hcol)
-    first = inc.groupBy(*keys).agg(F.min(place).alias("__first"))
-    inc = null_safe_join(inc, first, keys).withColumn("__is_first", place == F.col("__first"))
-    changed = inc.where(F.col("__cur_h").isNull() | ~F.col("__is_first")
-                        | (F.col(hcol) != F.col("__cur_h")))
-    # new versions: valid until the next change of the same key, else open
-    changed = bucketed_neighbour(changed.withColumn("__at", F.col("__from").cast("timestamp_ntz")), keys, "__at",
-                                 "__seq", bucket_s, "__from", "__to", following=True).drop("__at")
-    checkpoint_dir(changed.sparkSession)
-    changed = changed.checkpoint()
-    new_versions = (changed
-                    .select(*keys, *extra,
-                            F.col("__from").cast(end_type).alias(valid_from),
-                            F.coalesce(F.col("__to").cast(end_type),
-                                       F.lit(OPEN_END).cast(end_type)).alias(valid_to),
-                            F.col("__to").isNull().alias(is_current)))
-    first_change = changed.groupBy(*keys).agg(F.min("__from").alias("__close_at"))
-    # open versions of changed keys are closed at the first change date
-    touched = open_.join(first_change, keys, "inner").withColumn(
-        valid_to, F.col("__close_at").cast(end_type)).withColumn(is_current, F.lit(False)).drop("__close_at")
-    untouched = open_.join(first_change, keys, "left_anti")
-    cols = current.columns
-    return (closed_hist.select(*cols).unionByName(untouched.select(*cols))
-            .unionByName(touched.select(*cols)).unionByName(new_versions.select(*cols)))
+    attrs = [c for c in current.columns if c not in (*keys, valid_from, valid_to, is_current)]
+
+    def statements(df: DataFrame) -> DataFrame:
+        at = F.col("change_ts") if "change_ts" in df.columns else load_date
+        seq = F.col("change_seq").cast("long") if "change_seq" in df.columns else F.lit(0).cast("long")
+        own = [F.col(c) if c in df.columns else F.lit(None).cast(current.schema[c].dataType).alias(c) for c in attrs]
+        return df.select(*keys, *own, row_hash(*tracked).alias("__h"), at.cast(end_type).alias("__from"),
+                         F.lit(None).cast(end_type).alias("__to"), F.lit(1).alias("__kind"), seq.alias("__seq")) \
+            .where(F.col("__from").isNotNull())
+
+    inc = statements(incoming)
+    first = inc.groupBy(*keys).agg(F.min("__from").alias("__first"))
+    cur = null_safe_join(current, first, keys, "left")
+    # what a key had before its first change stays as it is
+    ended = (F.col(valid_to) < F.col("__first")) | ((F.col(valid_to) == F.col("__first")) & (F.col(valid_from) < F.col(valid_to)))
+    untouched = cur.where(F.col("__first").isNull() | ended).select(*current.columns)
+    touched = cur.where(~ended).select(*keys, *attrs, row_hash(*tracked).alias("__h"), F.col(valid_from).alias("__from"),
+                                       F.col(valid_to).alias("__to"), F.lit(0).alias("__kind"), F.lit(0).cast("long").alias("__seq"))
+    u = touched.unionByName(inc).withColumn("__again", F.lit(False))
+    if history is not None:
+        again = null_safe_join(statements(history), first, keys).where(F.col("__from") >= F.col("__first")).drop("__first")
+        u = u.unionByName(again.withColumn("__again", F.lit(True)))
+    return untouched.unionByName(_versions(u, keys, attrs, valid_from, valid_to, is_current, bucket_s).select(*current.columns))
+
+
+def _versions(u: DataFrame, keys: list[str], attrs: list[str], valid_from: str, valid_to: str, is_current: str,
+              bucket_s: int) -> DataFrame:
+    """Versions of the statements of each key.  Neighbours come from time buckets
+    and a table of their edges: no window spans a key."""
+    end_type = u.schema["__to"].dataType
+    u = u.withColumn("__b", time_bucket("__from", bucket_s))
+    part = Window.partitionBy(*keys, "__b")
+    place = ["__from", "__kind", "__to", "__seq", "__h"]
+    w = part.orderBy(*place)
+    # a statement that begins a stored version has been applied before; where its own
+    # record is read again, that stands for the version (it knows its place among others)
+    peers = part.orderBy("__from").rangeBetween(Window.currentRow, Window.currentRow)
+    hashes = lambda which: F.collect_set(F.when(which, F.col("__h"))).over(peers)
+    u = u.withColumn("__stored", hashes(F.col("__kind") == 0)).withColumn("__read", hashes(F.col("__again")))
+    u = u.where(F.when(F.col("__kind") == 0, ~F.array_contains("__read", F.col("__h")))
+                .otherwise((F.size("__read") > 0) | ~F.array_contains("__stored", F.col("__h")))).drop("__stored", "__read")
+    u = u.withColumn("__prev", F.lag("__h").over(w)).withColumn("__inner", F.row_number().over(w) > 1)
+    u = u.withColumn("__change", F.col("__inner") & (F.col("__h") != F.col("__prev")))
+    u = u.withColumn("__next", F.first(F.when(F.col("__change"), F.col("__from")), ignorenulls=True).over(
+        w.rowsBetween(1, Window.unboundedFollowing)))
+    per = u.groupBy(*keys, "__b").agg(
+        F.min_by(F.struct(F.col("__h").alias("h"), F.col("__from").alias("at")), F.struct(*place)).alias("__e"),
+        F.max_by("__h", F.struct(*place)).alias("__last"),
+        F.min(F.when(F.col("__change"), F.col("__from"))).alias("__inside"))
+    wk = Window.partitionBy(*keys).orderBy("__b")
+    per = per.withColumn("__before", F.lag("__last").over(wk))
+    per = per.withColumn("__opens", F.col("__before").isNull() | (F.col("__before") != F.col("__e.h")))
+    per = per.withColumn("__far", F.first(F.when(F.col("__opens"), F.col("__e.at")).otherwise(F.col("__inside")), ignorenulls=True)
+                         .over(wk.rowsBetween(1, Window.unboundedFollowing)))
+    j = null_safe_join(u, per.select(*keys, "__b", "__opens", "__far"), keys + ["__b"])
+    j = j.where(F.col("__change") | (~F.col("__inner") & F.col("__opens")))
+    until = F.least(F.col("__to"), F.coalesce("__next", "__far", F.lit(OPEN_END).cast(end_type)))
+    return j.select(*keys, *attrs, F.col("__from").alias(valid_from), until.alias(valid_to),
+                    (until == F.lit(OPEN_END).cast(end_type)).alias(is_current))
 
 
 def scd1_overwrite(current: DataFrame, incoming: DataFrame, keys: Sequence[str],

@@ -52,76 +52,96 @@ def bucketed_window(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     time buckets and only bounded halos are copied."""
     keys = list(keys)
     order = [F.col(ts), F.col(tiebreak)]
+    base_cols = df.columns
     d = df.withColumn("__b", time_bucket(ts, bucket_s))
-    wb = Window.partitionBy(*keys, "__b")
-    d = (d.withColumn("__rs", F.row_number().over(wb.orderBy(*order)))
-         .withColumn("__re", F.row_number().over(wb.orderBy(*[o.desc() for o in order]))))
+    own = d.select(*base_cols, F.col("__b").alias("__t"), F.lit(True).alias("__own"))
+    # per bucket: rows before it, and the buckets near enough to lend it rows (each has
+    # a row at least, so no more of them than the frame reaches)
+    wk = Window.partitionBy(*keys).orderBy("__b")
     counts = d.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("__cb", F.coalesce(F.sum("__n").over(wk), F.lit(0)))   # rows before bucket
-    per_key = counts.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.struct(F.col("__b").alias("b"), F.col("__cb").alias("cb"), F.col("__n").alias("n")))).alias("__arr"))
-    halos = []
-    edge = (F.col("__re") <= preceding) if preceding else F.lit(False)
-    edge = edge | ((F.col("__rs") <= following) if following else F.lit(False))
-    cand = null_safe_join(d.where(edge), per_key, keys)
-    cand = null_safe_join(cand, counts.select(*keys, "__b", "__cb", "__n"), keys + ["__b"])
+    counts = counts.withColumn("__cb", F.coalesce(F.sum("__n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    bucket = F.struct(F.col("__b").alias("b"), F.col("__cb").alias("cb"), F.col("__n").alias("n"))
+    near = []
     if preceding:
-        # a row r-th from the end of bucket j is inside the frame of bucket t > j
-        # while the rows between them number fewer than ``preceding``
-        lim = F.col("__cb") + F.col("__n") + F.lit(preceding) - F.col("__re")
-        tgt = F.filter("__arr", lambda x: (x["b"] > F.col("__b")) & (x["cb"] <= lim))
-        halos.append(cand.where(F.col("__re") <= preceding)
-                     .withColumn("__t", F.explode(F.transform(tgt, lambda x: x["b"]))))
+        short = lambda x: F.lit(preceding) - (F.col("__cb") - x["cb"] - x["n"])
+        counts = counts.withColumn("__before", F.collect_list(bucket).over(wk.rowsBetween(-preceding, -1)))
+        near.append(F.transform(F.filter("__before", lambda x: short(x) > 0),
+                                lambda x: F.struct(x["b"].alias("b"), (x["n"] - short(x)).alias("lo"), x["n"].alias("hi"))))
     if following:
-        lim = F.col("__cb") - F.lit(following) + F.col("__rs")
-        tgt = F.filter("__arr", lambda x: (x["b"] < F.col("__b")) & ((x["cb"] + x["n"]) >= lim))
-        halos.append(cand.where(F.col("__rs") <= following)
-                     .withColumn("__t", F.explode(F.transform(tgt, lambda x: x["b"]))))
-    base_cols = df.columns
-    own = d.select(*base_cols, F.col("__b").alias("__t"), F.lit(True).alias("__own"))
-    u = own
-    for h in halos:
-        u = u.unionByName(h.select(*base_cols, "__t", F.lit(False).alias("__own")))
+        more = lambda x: F.lit(following) - (x["cb"] - F.col("__cb") - F.col("__n"))
+        counts = counts.withColumn("__after", F.collect_list(bucket).over(wk.rowsBetween(1, following)))
+        near.append(F.transform(F.filter("__after", lambda x: more(x) > 0),
+                                lambda x: F.struct(x["b"].alias("b"), F.lit(0).cast("long").alias("lo"), more(x).alias("hi"))))
+    lend = counts.withColumn("__near", F.concat(*near)).select(*keys, F.col("__b").alias("__t"), F.explode("__near").alias("x")) \
+        .select(*keys, F.col("x.b").alias("__b"), "__t", F.col("x.lo").alias("__lo"), F.col("x.hi").alias("__hi"))
+    numbered = d.withColumn("__rs", F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(*order)))
+    halo = null_safe_join(numbered, lend, keys + ["__b"]).where((F.col("__rs") > F.col("__lo")) & (F.col("__rs") <= F.col("__hi")))
+    out = own.unionByName(halo.select(*base_cols, "__t", F.lit(False).alias("__own")))
     spec = Window.partitionBy(*keys, "__t").orderBy(*order)
-    out = u
     for name, fn in columns.items():
         out = out.withColumn(name, fn(spec))
     return out.where(F.col("__own")).drop("__t", "__own")
 
 
+def _with_edges(d: DataFrame, edges: DataFrame, first: bool) -> tuple[DataFrame, str]:
+    """Rows with one more row per (key, bucket) that brings what other buckets
+    know: the first (else the last) of its bucket by the column returned."""
+    rows = d.withColumn("__side", F.lit(0)).unionByName(
+        edges.withColumn("__side", F.lit(-1 if first else 1)), allowMissingColumns=True)
+    return rows, "__side"
+
+
 def bucketed_neighbour(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
                        value: str, out: str, following: bool = False) -> DataFrame:
     """``value`` of the key's previous row (``following``: next row) in
     (ts, tiebreak) order: from the row's own time bucket, or for the first
     (last) row of a bucket from the edge of the nearest bucket that has rows,
     found in a table of one row per (key, bucket).  The same rows as LAG/LEAD
-    over the key, without a window that spans a key."""
+    over the key, without a window that spans a key; rows are shuffled once."""
     keys = list(keys)
     near, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
-    d = df.withColumn("__b", time_bucket(ts, bucket_s))
-    per = d.groupBy(*keys, "__b").agg(edge(F.struct(F.col(value).alias("v")), F.struct(ts, tiebreak)).alias("__e"))
-    per = per.withColumn("__far", near("__e").over(Window.partitionBy(*keys).orderBy("__b")))
-    inside = near(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(*keys, "__b").orderBy(ts, tiebreak))
-    j = null_safe_join(d.withColumn("__in", inside), per.select(*keys, "__b", "__far"), keys + ["__b"])
-    return j.withColumn(out, F.coalesce("__in", "__far")["v"]).drop("__b", "__in", "__far")
+    d = df.withColumn("__b", time_bucket(ts, bucket_s)).withColumn("__v", F.struct(F.col(value).alias("v")))
+    per = d.groupBy(*keys, "__b").agg(edge("__v", F.struct(ts, tiebreak)).alias("__e"))
+    per = per.withColumn("__v", near("__e").over(Window.partitionBy(*keys).orderBy("__b"))) \
+        .where(F.col("__v").isNotNull()).select(*keys, "__b", "__v")
+    rows, side = _with_edges(d, per, not following)
+    got = near("__v").over(Window.partitionBy(*keys, "__b").orderBy(side, ts, tiebreak))
+    return rows.withColumn(out, got["v"]).where(F.col(side) == 0).drop("__b", "__v", side)
 
 
 def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, bucket_s: int,
                          value: str, out: str) -> DataFrame:
-    """Running sum of ``value`` per key in (ts, tiebreak) order, computed as
-    the sum of all earlier buckets (a prefix over one row per bucket) plus
-    the running sum inside the row's bucket: no window spans a whole key."""
+    """Running sum of ``value`` per key in (ts, tiebreak) order: each bucket
+    begins with the sum of all earlier ones (a prefix over one row per bucket),
+    so no window spans a whole key; rows are shuffled once."""
     keys = list(keys)
-    d = df.withColumn("__b", time_bucket(ts, bucket_s))
-    per = d.groupBy(*keys, "__b").agg(F.sum(value).alias("__s"))
-    per = per.withColumn("__before", F.sum("__s").over(
-        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))
-    inside = F.sum(value).over(Window.partitionBy(*keys, "__b").orderBy(ts, tiebreak)
-                               .rowsBetween(Window.unboundedPreceding, 0))
-    j = null_safe_join(d.withColumn("__in", inside), per.select(*keys, "__b", "__before"), keys + ["__b"])
-    total = F.coalesce(F.col("__before") + F.col("__in"), F.col("__before"), F.col("__in"))
-    return j.withColumn(out, total).drop("__b", "__in", "__before")
+    d = df.withColumn("__b", time_bucket(ts, bucket_s)).withColumn("__v", F.col(value))
+    per = d.groupBy(*keys, "__b").agg(F.sum("__v").alias("__s"))
+    per = per.withColumn("__v", F.sum("__s").over(
+        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))) \
+        .where(F.col("__v").isNotNull()).select(*keys, "__b", "__v")
+    rows, side = _with_edges(d, per, True)
+    total = F.sum("__v").over(Window.partitionBy(*keys, "__b").orderBy(side, ts, tiebreak)
+                              .rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn(out, total).where(F.col(side) == 0).drop("__b", "__v", side)
+
+
+def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], bucket_s: int,
+                  value, out: str) -> DataFrame:
+    """The last value that is not NULL of the key's rows up to each row, in
+    (ts, *order*) order: a segmented scan.  Each bucket begins with what the
+    buckets before it carried (from a table of one row per bucket)."""
+    keys, order = list(keys), list(order)
+    d = df.withColumn("__b", time_bucket(ts, bucket_s)).withColumn("__v", value)
+    place = F.when(F.col("__v").isNotNull(), F.struct(ts, *order))
+    per = d.groupBy(*keys, "__b").agg(F.max_by("__v", place).alias("__e"))
+    per = per.withColumn("__v", F.last("__e", ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))) \
+        .where(F.col("__v").isNotNull()).select(*keys, "__b", "__v")
+    rows, side = _with_edges(d, per, True)
+    got = F.last("__v", ignorenulls=True).over(Window.partitionBy(*keys, "__b").orderBy(side, ts, *order)
+                                               .rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn(out, got).where(F.col(side) == 0).drop("__b", "__v", side)
 
 
 def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
@@ -131,20 +151,12 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
     start flags (ROWS frame, so ties in time do not merge).  One row per
     session: start, end (last event, not last event + gap), count,
     duration in whole seconds.  A gap of exactly ``gap_s`` stays in the
-    session.  With ``bucket_s`` (needs ``order_tiebreak``) the previous row
-    comes from a bucketed window and the session number from a bucketed
-    running sum, so a hot key is spread over its time buckets."""
+    session.  With ``bucket_s`` (needs ``order_tiebreak``) sessions are cut at
+    bucket borders and joined again, so a hot key is spread over its buckets."""
     keys = _keys(keys)
     gap = F.make_dt_interval(secs=F.lit(gap_s))
     if bucket_s and order_tiebreak:
-        p = bucketed_neighbour(df, keys, ts, order_tiebreak, bucket_s, ts, "__prev")
-        p = p.withColumn("__new", F.when(F.col("__prev").isNull() | (F.col(ts) - F.col("__prev") > gap), 1)
-                         .otherwise(0))
-        s = bucketed_running_sum(p, keys, ts, order_tiebreak, bucket_s, "__new", "session_no")
-        return s.groupBy(*keys, "session_no").agg(
-            F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
-            F.count(F.lit(1)).alias("n_events")).withColumn(
-            "duration_s", F.timestamp_diff("SECOND", F.col("session_start"), F.col("session_end")))
+        return _sessions_by_bucket(df, keys, ts, gap, order_tiebreak, bucket_s)
     order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)
     prev = F.lag(ts).over(w)
@@ -157,6 +169,27 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_s: float,
         "duration_s", F.timestamp_diff("SECOND", F.col("session_start"), F.col("session_end")))
 
 
+def _sessions_by_bucket(df: DataFrame, keys: list[str], ts: str, gap, tiebreak: str, bucket_s: int) -> DataFrame:
+    """Pieces of sessions inside each (key, bucket) first; the bucket table (first
+    and last time, breaks inside) tells which pieces go on over a border."""
+    d = df.select(*keys, ts, tiebreak).withColumn("__b", time_bucket(ts, bucket_s))
+    w = Window.partitionBy(*keys, "__b").orderBy(ts, tiebreak)
+    prev = F.lag(ts).over(w)
+    breaks = (F.row_number().over(w) > 1) & (prev.isNull() | (F.col(ts) - prev > gap))
+    d = d.withColumn("__new", F.when(breaks, 1).otherwise(0)) \
+        .withColumn("__seq", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = d.groupBy(*keys, "__b", "__seq").agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"), F.count(F.lit(1)).alias("__n"))
+    wk = Window.partitionBy(*keys).orderBy("__b")
+    per = pieces.groupBy(*keys, "__b").agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"), F.max("__seq").alias("__seq"))
+    last = F.lag("__hi").over(wk)
+    per = per.withColumn("__first", F.when(last.isNull() | (F.col("__lo") - last > gap), 1).otherwise(0))
+    per = per.withColumn("__no", F.sum(F.col("__first") + F.col("__seq")).over(wk.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__seq"))
+    s = null_safe_join(pieces, per.select(*keys, "__b", "__no"), keys + ["__b"])
+    return s.groupBy(*keys, (F.col("__no") + F.col("__seq")).alias("session_no")).agg(
+        F.min("__lo").alias("session_start"), F.max("__hi").alias("session_end"), F.sum("__n").alias("n_events")).withColumn(
+        "duration_s", F.timestamp_diff("SECOND", F.col("session_start"), F.col("session_end")))
+
+
 def ma_crossover(df: DataFrame, keys: Sequence[str], ts: str, value: str, fast: int, slow: int,
                  order_tiebreak: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """WN-12: fast minus slow moving average (row frames); rows where the

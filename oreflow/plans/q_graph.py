@@ -135,13 +135,14 @@ p(start_, end_, path, hops, total) AS (
   SELECT src, dst, [src, dst], 1, w FROM routes WHERE src = 'N:0'
   UNION ALL
   SELECT p.start_, r.dst, list_append(p.path, r.dst), p.hops + 1, p.total + r.w
-  FROM p JOIN routes r ON r.src = p.end_ WHERE NOT list_contains(p.path, r.dst) AND p.hops < 4)
+  FROM p JOIN routes r ON r.src = p.end_ WHERE NOT list_contains(p.path, r.dst) AND p.end_ <> 'N:3' AND p.hops < 5)
 SELECT start_ AS start, end_ AS "end", array_to_string(path, '>') AS path, CAST(hops AS INTEGER) AS hops, total FROM p
+WHERE end_ = 'N:3'
 """)
 def gr_var_length_paths(spark, d):
-    routes = trade_routes(spark, d)
-    src = routes.sparkSession.createDataFrame([("N:0",)], "id string")
-    p = g.var_length_paths(routes, src, max_hops=4, weight="weight")
+    # every route of one to five hops from one place to another
+    ids = lambda x: spark.createDataFrame([(x,)], "id string")
+    p = g.paths_between(trade_routes(spark, d), ids("N:0"), ids("N:3"), max_hops=5, weight="weight")
     return p.select("start", "end", F.array_join("path", ">").alias("path"), "hops", "total")
 
 
@@ -178,31 +179,35 @@ def gr_weighted_shortest(spark, d):
 @query("gr_paths_avoiding", ops=("GR-08",), sql=f"""
 WITH RECURSIVE {ROUTES_SQL},
 r2 AS (SELECT * FROM routes WHERE src <> 'N:9' AND dst <> 'N:9'),
-p(end_, path, hops) AS (
-  SELECT dst, ['N:0', dst], 1 FROM r2 WHERE src = 'N:0'
+p(end_, path, hops, total) AS (
+  SELECT dst, ['N:0', dst], 1, w FROM r2 WHERE src = 'N:0'
   UNION ALL
-  SELECT r.dst, list_append(p.path, r.dst), p.hops + 1
-  FROM p JOIN r2 r ON r.src = p.end_ WHERE NOT list_contains(p.path, r.dst) AND p.hops < 4)
-SELECT array_to_string(path, '>') AS path, CAST(hops AS INTEGER) AS hops FROM p
+  SELECT r.dst, list_append(p.path, r.dst), p.hops + 1, p.total + r.w
+  FROM p JOIN r2 r ON r.src = p.end_ WHERE NOT list_contains(p.path, r.dst) AND p.end_ <> 'N:3' AND p.hops < 6)
+SELECT CAST(hops AS INTEGER) AS hops, path[-2] AS last_stop, count(*) AS n_routes, min(total) AS shortest,
+       sum(total) AS all_distances, min(array_to_string(path, '>')) AS first_route, max(array_to_string(path, '>')) AS last_route
+FROM p WHERE end_ = 'N:3' GROUP BY ALL
 """)
 def gr_paths_avoiding(spark, d):
-    routes = trade_routes(spark, d)
-    src = routes.sparkSession.createDataFrame([("N:0",)], "id string")
-    p = g.var_length_paths(routes, src, max_hops=4, avoid=["N:9"])
-    return p.select(F.array_join("path", ">").alias("path"), "hops")
+    # routes of one to six hops that do without a node: millions, so summed up by length and last stop
+    ids = lambda x: spark.createDataFrame([(x,)], "id string")
+    p = g.paths_between(trade_routes(spark, d), ids("N:0"), ids("N:3"), max_hops=6, weight="weight", avoid=["N:9"])
+    route = F.array_join("path", ">")
+    return p.groupBy("hops", F.element_at("path", -2).alias("last_stop")).agg(
+        F.count(F.lit(1)).alias("n_routes"), F.min("total").alias("shortest"), F.sum("total").alias("all_distances"),
+        F.min(route).alias("first_route"), F.max(route).alias("last_route"))
 
 
 @query("gr_impact_set", ops=("GR-09",), sql=f"""
 WITH RECURSIVE {ROUTES_SQL},
-p(end_, path, hops) AS (
-  SELECT src, ['N:9', src], 1 FROM routes WHERE dst = 'N:9'
-  UNION ALL
-  SELECT r.src, list_append(p.path, r.src), p.hops + 1
-  FROM p JOIN routes r ON r.dst = p.end_ WHERE NOT list_contains(p.path, r.src) AND p.hops < 4)
-SELECT DISTINCT end_ AS node, CAST(hops AS INTEGER) AS length FROM p
+p(end_, hops) AS (
+  SELECT src, 1 FROM routes WHERE dst = 'N:9'
+  UNION
+  SELECT r.src, p.hops + 1 FROM p JOIN routes r ON r.dst = p.end_ WHERE r.src <> 'N:9' AND p.hops < 6)
+SELECT end_ AS node, CAST(hops AS INTEGER) AS length FROM p
 """)
 def gr_impact_set(spark, d):
-    return g.impact_set(trade_routes(spark, d), "N:9", max_hops=4)
+    return g.impact_set(trade_routes(spark, d), "N:9", max_hops=6)
 
 
 @query("gr_unconnected_parts", ops=("GR-10", "JN-14"), sql="""

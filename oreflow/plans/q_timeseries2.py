@@ -9,6 +9,7 @@ from oreflow.functions.classify import quality_flag
 from oreflow.functions.numeric import round_half_up as rh
 from oreflow.functions.timefn import minutes_between, time_bucket
 from oreflow.operators import timeseries as ts
+from oreflow.operators.windows import bucketed_neighbour
 from oreflow.plans.q_timeseries import KEYS, QF, R
 from oreflow.plans.registry import query
 from oreflow.plans.sqlfmt import rnd
@@ -348,9 +349,10 @@ FROM a GROUP BY ALL
 """)
 def ts_alarm_kpis(spark, d):
     r = sensor_readings(spark, d)
-    w = Window.partitionBy(*KEYS).orderBy("ts", "reading_id")
-    a = (r.withColumn("next_ts", F.lead("ts").over(w)).withColumn("next_value", F.lead("value").over(w))
-         .where(F.col("value") > 300))
+    # the next reading comes from time buckets and their edges: no window spans a sensor
+    nxt = r.withColumn("after", F.struct("ts", "value"))
+    nxt = bucketed_neighbour(nxt, KEYS, "ts", "reading_id", 7 * 86400, "after", "after", following=True)
+    a = nxt.where(F.col("value") > 300).withColumns({"next_ts": F.col("after.ts"), "next_value": F.col("after.value")})
     return a.groupBy(F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n_alarms"),
         rh(F.avg(minutes_between("ts", "next_ts")), 2).alias("mean_reaction_min"),

@@ -68,6 +68,21 @@ def wh_scd2_two_batches(spark, d):
                                              "is_current")
 
 
+@query("wh_scd2_late_batch", ops=("WH-07", "G13"), sql=SCD2_SQL)
+def wh_scd2_late_batch(spark, d):
+    """A tenth of the first load's changes arrive after the second load: the
+    result is that of loading in order."""
+    ch = priority_changes(spark, d)
+    late = (F.col("change_ts") < _cut()) & (F.col("change_seq") % 10 == 3)
+    b1, b2 = ch.where((F.col("change_ts") < _cut()) & ~late), ch.where(F.col("change_ts") >= _cut())
+    checkpoint_dir(spark)
+    dim = empty_scd2(spark)
+    for b in (b1, b2):
+        dim = wh.scd2_apply(dim, b, ["c_custkey"], ["priority"], F.lit(None)).checkpoint()
+    return wh.scd2_apply(dim, ch.where(late), ["c_custkey"], ["priority"], F.lit(None), history=b1.unionByName(b2)) \
+        .select("c_custkey", "priority", "effective_from", "effective_to", "is_current")
+
+
 @query("wh_point_in_time_join", ops=("JN-21", "JN-20"), sql=f"""
 WITH dim AS ({SCD2_SQL})
 SELECT dim.priority AS priority_at_ship, count(*) AS n_lines,
