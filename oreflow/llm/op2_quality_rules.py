@@ -62,24 +62,23 @@ def repeat_words(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc[cover], minlength=n)
 
 
-def line_counts(f: Flat, raw: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def line_counts(f: Flat, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per text: lines that have a word, and those of them equal to an earlier one."""
     s, e, d = f.lines()
     c = np.zeros(len(in_word) + 1, np.int64)
     np.cumsum(in_word, out=c[1:])
     full = c[e] > c[s]
     s, e, d = s[full], e[full], d[full]
-    ud, _ = unique_per_text(d, Flat.hashes(raw, s, e))
+    ud, _ = unique_per_text(d, f.range_hashes(s, e, lower=False))
     n = np.bincount(d, minlength=f.n)
     return n, n - np.bincount(ud, minlength=f.n)
 
 
 def text_stats(f: Flat) -> dict[str, np.ndarray]:
     starts, ends, doc = f.words()
-    raw = f.prefix(lower=False)
-    h = Flat.hashes(raw, starts, ends)
+    h = f.range_hashes(starts, ends, lower=False)
     in_word = ~SPACE[f.buf]
-    lines, dups = line_counts(f, raw, in_word)
+    lines, dups = line_counts(f, in_word)
     return {
         "n_words": np.bincount(doc, minlength=f.n),
         "word_chars": f.per_text(in_word & ((f.buf & 0xC0) != 0x80)),

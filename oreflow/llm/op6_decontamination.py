@@ -70,7 +70,7 @@ def seeds(doc: np.ndarray, h: np.ndarray, some: list[str]) -> Iterator[tuple[np.
 
 def tokens(f: Flat) -> tuple[np.ndarray, np.ndarray]:
     s, e, doc = f.words()
-    return doc, Flat.hashes(f.prefix(), s, e)
+    return doc, f.range_hashes(s, e)
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

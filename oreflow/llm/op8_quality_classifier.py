@@ -44,12 +44,11 @@ _DIGIT[48:58] = True
 def features(f: Flat) -> np.ndarray:
     """Transformed statistics of each text; an empty text has all shares 0."""
     starts, ends, doc = f.words()
-    raw = f.prefix(lower=False)
-    h = Flat.hashes(raw, starts, ends)
+    h = f.range_hashes(starts, ends, lower=False)
     in_word = ~SPACE[f.buf]
     n = np.bincount(doc, minlength=f.n)
     chars = f.per_text(in_word & ((f.buf & 0xC0) != 0x80))
-    lines, dups = line_counts(f, raw, in_word)
+    lines, dups = line_counts(f, in_word)
     twice = np.zeros(len(h), bool)
     twice[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
     ud, _ = unique_per_text(doc, h)

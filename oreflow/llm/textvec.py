@@ -39,6 +39,9 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 
+# masks of the first 0 .. 8 bytes of a little-endian block
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -58,8 +61,9 @@ class Flat:
         self.buf, self.offs, self.n = buf, offs, len(offs) - 1
 
     def prefix(self, lower: bool = True, other: bool = False) -> np.ndarray:
-        """Running polynomial sums; ``hashes`` reads any byte range from them.
-        ``other`` gives sums of a second, independent hash (case kept)."""
+        """Running polynomial sums; ``hashes`` reads any byte range from them (windows
+        of bounded length only: long patterned ranges can meet; see ``range_hashes``).
+        ``other`` gives sums of a second hash (case kept)."""
         p, _ = _pow(len(self.buf))
         s = np.empty(len(self.buf) + 1, np.uint64)
         s[0] = 0
@@ -68,6 +72,35 @@ class Flat:
         np.cumsum(x, out=s[1:])
         return s
 
+    def range_hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+        """Hashes of byte ranges, eight bytes at a time: each block goes through the
+        finaliser together with what came before, in two lanes of their own
+        constants.  Ranges of up to eight bytes that are equally long never
+        collide; no sum or polynomial is there to be met by a pattern of bytes."""
+        n = (ends - starts).astype(np.int64)
+        buf = _LOWER[self.buf] if lower else self.buf
+        padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+        a = mix(n.astype(np.uint64) * _U(0x9FB21C651E98DF25) + _U(0x1F83D9ABFB41BD6B))
+        b = np.zeros(0, np.uint64)
+        left, at, rows = n, starts.astype(np.int64), None
+        short = np.minimum(left, 8)
+        a = mix(a ^ (eight[at] & _KEEP[short]))
+        rows = np.flatnonzero(left > 8)
+        if len(rows):
+            # the second lane starts from the first block, with another constant
+            b = mix((eight[at[rows]] + _U(0xC2B2AE3D27D4EB4F)) * _U(0xD6E8FEB86659FD93))
+            h, left, at, live = a[rows], left[rows] - 8, at[rows] + 8, np.arange(len(rows))
+            while len(live):
+                block = eight[at[live]] & _KEEP[np.minimum(left[live], 8)]
+                h[live] = mix(h[live] ^ block)
+                b[live] = mix((b[live] + block) * _U(0xD6E8FEB86659FD93) + _U(1))
+                left[live] -= 8
+                at[live] += 8
+                live = live[left[live] > 0]
+            a[rows] = mix(h ^ (b * _U(0x2545F4914F6CDD1D)))
+        return a
+
     @staticmethod
     def hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         _, inv = _pow(len(prefix) - 1)
@@ -217,7 +250,7 @@ def shingle_sets(f: Flat, n: int) -> tuple[np.ndarray, np.ndarray]:
     number and hash, sorted.  A text with 1 to n-1 words has its whole word
     sequence as its only shingle; one without words has none."""
     starts, ends, doc = f.words()
-    h = Flat.hashes(f.prefix(), starts, ends)
+    h = f.range_hashes(starts, ends)
     at, x = windows(doc, h, n)
     count = np.bincount(doc, minlength=f.n)
     sd, sx = doc[at], x
