@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -68,18 +70,30 @@ class Tables:
     checkpoint, and dropped as soon as what they lead to is written."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
+        self.spark, self.paths, self.made = spark, {}, 0
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str | None = None) -> DataFrame:
+        self.made += 1
+        name = name or f"table{self.made}"
         path = scratch_path(self.spark, name)
         df.write.option("compression", "zstd").parquet(path)
         self.paths[name] = path
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out.table = name
+        return out
 
-    def drop(self, *names: str) -> None:
+    def drop(self, *names: str | DataFrame | None) -> None:
         """Delete tables, all without names."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for n in names or list(self.paths):
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(n))
-            path.getFileSystem(conf).delete(path, True)
+            path = self.paths.pop(getattr(n, "table", n), None)
+            if path:
+                path = jvm.org.apache.hadoop.fs.Path(path)
+                path.getFileSystem(conf).delete(path, True)
+
+    def sweep(self) -> None:
+        """Let Spark delete the shuffle files of jobs that are over: it does so when
+        the driver's garbage is collected, which many short rounds never cause."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Tables
 
 
 def _state(e: DataFrame) -> tuple:
@@ -19,7 +19,8 @@ def components(links: DataFrame) -> DataFrame:
     node's neighbours are only ever reduced to their minimum, never gathered."""
     e = links.where(F.col("u") != F.col("v")) \
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = cut(e)
+    tables = Tables(links.sparkSession)
+    e = tables(e)
     before = _state(e)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -31,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                       F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")) \
             .select("x.u", "x.v").where(F.col("u") != F.col("v")).distinct()
-        e = cut(small)
+        old, e = e, tables(small)
+        tables.drop(old)
         now = _state(e)
         if now == before:
             break

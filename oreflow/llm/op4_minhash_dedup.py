@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bitmap import Bitmap, build
-from .common import cut, documents, free_name, id_key, key_id
+from .common import Tables, documents, free_name, id_key, key_id
 from .components import components
 from .textvec import _U, mix, pieces, shingle_sets
 
@@ -172,14 +172,15 @@ class NearDuplicates:
 
     def __init__(self, df: DataFrame, words: int, percent: int):
         self.words, self.percent = words, percent
+        self.cut = Tables(df.sparkSession)
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         self.src = df.select(id_key().alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
         w = words
-        self.docs = cut(self.src.mapInArrow(lambda it: _sketches(it, w), _SKETCH))
+        self.docs = self.cut(self.src.mapInArrow(lambda it: _sketches(it, w), _SKETCH))
         some = self.docs.where(F.col("n") > 0)
         r = some.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "th", "sketch", "brief")).alias("x")) \
             .select("fp1", "fp2", "n", "x.*")
-        self.r = cut(r.withColumn("node", F.monotonically_increasing_id()))
+        self.r = self.cut(r.withColumn("node", F.monotonically_increasing_id()))
         self.full: DataFrame | None = None
 
     # -- similarity of pairs (columns a, b of nodes) ---------------------------
@@ -201,26 +202,29 @@ class NearDuplicates:
         """(node, full) of ``nodes`` and all asked for before.  A scan of the texts
         makes the new ones; a bounded filter keeps the others out of the shuffle."""
         new = nodes if self.full is None else nodes.join(self.full.select("node"), "node", "left_anti")
-        need = cut(self.r.join(new, "node").select("node", "id", "th"))
+        need = self.cut(self.r.join(new, "node").select("node", "id", "th"))
         if need.isEmpty():
             return self.full if self.full is not None else need.select("node", F.lit(b"").alias("full"))
         w, some = self.words, build(need.select("id"))
         got = self.src.mapInArrow(lambda it: _sets(it, w, some), "id bigint, th bigint, full binary") \
             .groupBy("id", "th").agg(F.first("full").alias("full")).join(need, ["id", "th"]).select("node", "full")
-        got = cut(got)
+        got = self.cut(got)
+        self.cut.drop(need)
         self.full = got if self.full is None else self.full.union(got)
         return self.full
 
     def exact(self, pairs: DataFrame, percent: int) -> DataFrame:
         """(a, b, shared, linked) of the pairs whose exact similarity reaches ``percent``."""
-        pairs = cut(pairs)
+        pairs = self.cut(pairs)
         ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = self._full_sets(ids)
         j = pairs.join(sets.select(F.col("node").alias("a"), F.col("full").alias("fa")), "a") \
             .join(sets.select(F.col("node").alias("b"), F.col("full").alias("fb")), "b")
         s = j.select("a", "b", "fa", "fb").mapInArrow(_shared, "a bigint, b bigint, shared bigint, united bigint")
-        return cut(s.where(F.col("shared") * 100 >= F.col("united") * percent).select(
+        out = self.cut(s.where(F.col("shared") * 100 >= F.col("united") * percent).select(
             "a", "b", "shared", (F.col("shared") * 100 >= F.col("united") * self.percent).alias("linked")))
+        self.cut.drop(pairs)
+        return out
 
     # -- candidates ------------------------------------------------------------
 
@@ -247,9 +251,11 @@ class NearDuplicates:
         found: list[DataFrame] = []
         stars: list[DataFrame] = []
         size, nodes, forest = None, self.r.count(), None
+        cut = self.cut
         while True:
             df = todo.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
             post = cut(todo.join(df, "v"))
+            cut.drop(todo)
             n = post.select("node").distinct().count()
             if not n:
                 break
@@ -259,39 +265,48 @@ class NearDuplicates:
             cheap = size is not None and cost <= LIST_COST * nodes
             stuck = size is not None and n > 0.7 * size
             size = n
-            hot = post.where(F.col("df") > HOT)
-            per = hot.groupBy("node").agg(F.count(F.lit(1)).alias("hots"), F.sum(F.log2("df")).alias("weight"),
-                                          F.first("n").alias("n"))
             if cheap:
-                found.append(self.estimated(self._pairs(short), link_cut))
+                found.append(cut(self.estimated(self._pairs(short), link_cut)))
                 break
             if stuck:
                 forest = self._all_pairs(short)
                 break
-            found.append(self.estimated(self._pairs(post.where(F.col("df") <= HOT), per), link_cut))
-            star, pivots = self._stars(hot, per, far)
-            tested = self.exact(self.estimated(star.select("a", "b"), far_cut), far)
-            tested = cut(star.join(tested, ["a", "b"]))
+            # a row per class: its long lists, the longest first, and what they weigh together
+            per = post.where(F.col("df") > HOT).groupBy("node").agg(
+                F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "v")), asc=False).alias("lists")) \
+                .withColumn("hots", F.size("lists")) \
+                .withColumn("weight", F.aggregate("lists", F.lit(0.0), lambda s, x: s + F.log2(x["df"])))
+            per = cut(per)
+            found.append(cut(self.estimated(self._pairs(post.where(F.col("df") <= HOT), per), link_cut)))
+            star, pivots = self._stars(per, far)
+            near = self.exact(self.estimated(star.select("a", "b"), far_cut), far)
+            tested = cut(star.join(near, ["a", "b"]))
             stars.append(tested)
             safe = tested.where(F.col("linked") & (F.col("o") >= surely)).select(F.col("a").alias("node")) \
                 .union(pivots.where(F.col("lists") >= surely).select("node")).distinct()
             rest = per.where(F.when(small, F.col("n") - F.col("hots") < need).otherwise(F.col("hots") >= FEW)) \
                 .select("node").join(safe, "node", "left_anti")
-            todo = cut(todo.join(rest, "node", "left_semi"))
+            todo = cut(post.select("node", "n", "v").join(rest, "node", "left_semi"))
+            cut.drop(post, per, star, near, pivots)
+            cut.sweep()
+        cut.drop(post)
         if not found:
             return self.r.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         pairs = found[0]
         for f in found[1:]:
             pairs = pairs.union(f)
-        links = self.exact(pairs.distinct(), self.percent).where("linked").select("a", "b")
+        linked = self.exact(pairs.distinct(), self.percent)
+        cut.drop(*found)
+        links = linked.where("linked").select("a", "b")
         if forest is not None:
             links = links.union(forest)
         star = stars[0]
         for s in stars[1:]:
             star = star.unionByName(s)
-        star = cut(star)
         links = cut(links.union(star.where("linked").select("a", "b")))
-        return links.union(self._border(links, star))
+        cut.drop(linked, forest)
+        cut.sweep()
+        return cut(links.union(self._border(links, star)))
 
     def _pairs(self, short: DataFrame, per: DataFrame | None = None) -> DataFrame:
         """Distinct pairs of short lists' members whose sizes (and, given the
@@ -325,16 +340,24 @@ class NearDuplicates:
         most = F.when(F.col("n") <= K, self._need(F.col("n"))).otherwise(FEW) - F.least(alone, F.lit(FEW - 4))
         return post.withColumn("_r", F.row_number().over(w)).withColumn("_m", most).where(F.col("_r") <= F.col("_m"))
 
-    def _stars(self, hot: DataFrame, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
+    def _stars(self, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
         """(a, b, o, n): a class, the pivot of o of its long lists, the class's size;
-        (node, lists, n): pivots, their lists and size."""
-        h = hot.join(per.drop("n"), "node")
-        top = h.groupBy("v").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("p")) \
-            .select("v", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb"))
-        top = cut(top)
+        (node, lists, n): pivots, their lists and size.
+
+        A class meets the pivots of its FEW longest lists: in a group of copies
+        these are the lists that most of the group hold.  A set that its sketch (or
+        that of a linked set) holds whole meets those of all its long lists."""
+        whole = F.col("n") * self.percent <= K * 100
+        lists = F.when(whole, F.col("lists")).otherwise(F.slice("lists", 1, FEW))
+        h = per.select("node", "n", "weight", F.explode(lists).alias("x")).select("node", "n", "weight", F.col("x.v").alias("v"))
+        top = self.cut(h.groupBy("v").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("p"))
+                       .select("v", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb")))
         star = h.join(top, "v").where((F.col("node") != F.col("b")) & self._near(F.col("n"), F.col("nb"), far)) \
             .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"), F.first("n").alias("n"))
-        return cut(star), top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"), F.first("nb").alias("n"))
+        star = self.cut(star)
+        pivots = self.cut(top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"), F.first("nb").alias("n")))
+        self.cut.drop(top)
+        return star, pivots
 
     def _all_pairs(self, lists: DataFrame) -> DataFrame:
         """Links that join what is linked within each list, found block by block.
@@ -348,10 +371,10 @@ class NearDuplicates:
         banded = lists.select("v", "node", "n", band.cast("long").alias("band"))
         count = banded.groupBy("v", "band").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
         full = self._full_sets(lists.select("node").distinct())
-        x = cut(banded.join(count, ["v", "band"]).withColumn("own", own).join(
+        x = self.cut(banded.join(count, ["v", "band"]).withColumn("own", own).join(
             count.select("v", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above")), ["v", "band"], "left").join(
-            count.select("v", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below")), ["v", "band"], "left")) \
-            .join(full, "node")
+            count.select("v", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below")), ["v", "band"], "left"))
+        placed, x = x, x.join(full, "node")
         last = F.col("blocks") - 1
         lower, upper = F.sequence(F.lit(0), F.col("own")), F.sequence(F.col("own"), last)
         every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
@@ -363,8 +386,10 @@ class NearDuplicates:
                                                        "node", "full")) \
             .toDF("v_y", "band_y", "up_y", "i_y", "j_y", "node_y", "full_y")
         percent = self.percent
-        return cut(xs.groupBy("v", "band", "up", "i", "j").cogroup(ys.groupBy("v_y", "band_y", "up_y", "i_y", "j_y"))
-                   .applyInArrow(lambda x, y: _join_all(x, y, percent), "a bigint, b bigint"))
+        out = self.cut(xs.groupBy("v", "band", "up", "i", "j").cogroup(ys.groupBy("v_y", "band_y", "up_y", "i_y", "j_y"))
+                       .applyInArrow(lambda x, y: _join_all(x, y, percent), "a bigint, b bigint"))
+        self.cut.drop(placed)
+        return out
 
     def _border(self, links: DataFrame, star: DataFrame) -> DataFrame:
         """Links between a pivot's border and its circle, where they join components.
@@ -376,7 +401,7 @@ class NearDuplicates:
         edge = star.where(~F.col("linked")).join(root("a"), "a", "left").join(root("b"), "b", "left") \
             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(F.col("a").alias("node"), F.col("b").alias("p"))
         circle = star.where("linked").select(F.col("a").alias("node"), F.col("b").alias("p")).join(edge.select("p").distinct(), "p")
-        edge, circle = (cut(x.join(n, "node")) for x in (edge, circle))
+        edge, circle = (self.cut(x.join(n, "node")) for x in (edge, circle))
         sets = self._full_sets(edge.select("node").union(circle.select("node")).distinct())
         # a pivot's border and circle meet block by block: each block holds about BLOCK shingles
         blocks = lambda x, name: x.groupBy("p").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias(name))
@@ -394,7 +419,12 @@ class NearDuplicates:
     def classes(self) -> DataFrame:
         """One row per input row: id, th, n_shingles, component (smallest id that can be reached)."""
         links = self.links()
+        keep = {getattr(x, "table", None) for x in (self.docs, self.r, links)}
+        for t in [t for t in self.cut.paths if t not in keep]:
+            self.cut.drop(t)
         comp = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        self.cut.drop(links)
+        self.cut.sweep()
         r = self.r.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
         low = r.groupBy("root").agg(F.min("id").alias("component"))
         r = r.join(low, "root").select(F.col("fp1").alias("_1"), F.col("fp2").alias("_2"), F.col("n").alias("_n"), "component")
