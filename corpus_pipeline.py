@@ -13,13 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import documents, free_name
+from oreflow.llm.common import Tables, documents, free_name
 from oreflow.llm.op1_packing import pack
 from oreflow.llm.op4_minhash_dedup import drop_near_duplicates
 from oreflow.llm.op6_decontamination import decontaminate
 from oreflow.llm.op7_line_dedup import line_dedup
 from oreflow.llm.op9_toxicity import toxicity
-from oreflow.session import scratch_path
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,9 +69,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, tables = documents(spark, sf_dir), Tables(spark)
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, tables(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        tables.drop(before)
+        tables.sweep()
     return STAGES[-1][1](spark, docs, sf_dir)
