@@ -36,7 +36,7 @@ def snk_merge_latest(spark, d):
     path, newest = scratch_path(spark, "snk-upsert"), F.struct("change_ts", "change_seq")
     w.upsert(spark, ch.where(F.col("change_ts") < _cut()), path, ["c_custkey"], newest)
     w.upsert(spark, ch.where(F.col("change_ts") >= _cut()), path, ["c_custkey"], newest)
-    return spark.read.parquet(path).select("c_custkey", "priority")
+    return w.table(spark, path).select("c_custkey", "priority")
 
 
 @query("snk_upsert_moving_partition", ops=("SNK-04",), sql="""
@@ -50,7 +50,7 @@ def snk_upsert_moving_partition(spark, d):
     path, newest = scratch_path(spark, "snk-upsert-part"), F.struct("change_ts", "change_seq")
     for part in (ch.where(F.col("change_ts") < _cut()), ch.where(F.col("change_ts") >= _cut())):
         w.upsert(spark, part, path, ["c_custkey"], newest, partition_by=["priority"])
-    return spark.read.parquet(path).groupBy("priority").agg(
+    return w.table(spark, path).groupBy("priority").agg(
         F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("sum_keys"))
 
 
@@ -69,7 +69,7 @@ def snk_load_append_update(spark, d):
     w.append(o.where(F.col("o_orderdate").isNull()), path)
     w.update_table(spark, path, {"o_orderstatus": F.lit("OPEN")}, F.col("o_orderstatus") == "P")
     w.update_table(spark, path, {"size_class": F.lit("large")}, F.col("o_totalprice") > 200000)
-    return spark.read.parquet(path).groupBy("o_orderstatus", "o_orderpriority", "size_class").agg(
+    return w.table(spark, path).groupBy("o_orderstatus", "o_orderpriority", "size_class").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -81,7 +81,7 @@ def snk_delete_where(spark, d):
     path = scratch_path(spark, "snk-delete")
     w.overwrite(read(spark, d, "orders"), path)
     w.delete_where(spark, path, (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"))
-    return spark.read.parquet(path).groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return w.table(spark, path).groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("snk_time_chunks", ops=("SNK-07",), sql="""
@@ -96,7 +96,7 @@ def snk_time_chunks(spark, d):
     for chunk in ("month", "7 days"):
         path = scratch_path(spark, "snk-chunks")
         w.write_time_partitioned(li.select("l_orderkey", "l_shipdate"), path, "l_shipdate", chunk)
-        n = spark.read.parquet(path).groupBy(F.col("chunk").cast("string").alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
+        n = w.table(spark, path).groupBy(F.col("chunk").cast("string").alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
         n = n.select(F.lit(chunk).alias("chunk_type"), "chunk", "n")
         out = n if out is None else out.unionByName(n)
     return out
@@ -131,7 +131,7 @@ def snk_retention_tiers(spark, d):
     w.tiered_retention(spark, raw, roll, "ts", ["event_type"], "value", cut)
     w.tiered_retention(spark, raw, roll, "ts", ["event_type"], "value", cut)   # a repeat changes nothing
     from oreflow.operators.aggregates import count_report
-    return count_report({"raw_kept": spark.read.parquet(raw), "hourly_rollup": spark.read.parquet(roll)}).select(
+    return count_report({"raw_kept": w.table(spark, raw), "hourly_rollup": w.table(spark, roll)}).select(
         F.col("table_name").alias("tier"), "n_rows")
 
 
