@@ -1,43 +1,70 @@
 """Vector search operators on ``array<float>`` columns.
 
 Similarity functions are JVM-side higher-order functions.  Exact top-k for
-a set of query vectors never builds a query x corpus join: the query set is
-broadcast in slices of a checked size, and every corpus task computes its
-distances to a slice with numpy (Arrow batches via ``mapInPandas``), block by
-block, and keeps only its k best per query over all its batches; a final
-grouped top-k merges the partial lists (k x tasks rows per query).
+a set of query vectors never pairs vectors by rows: blocks of queries are joined
+with blocks of the corpus, a task computes a block's distances with numpy and
+keeps only its k best per query; a final grouped top-k merges the partial lists
+(k x tasks rows per query).  No vector passes through the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-QUERY_BYTES = 64 << 20  # of query data in one broadcast; more queries take more slices
-SCORES = 4 << 20        # distances that a task holds at a time
+from oreflow.session import checkpoint_dir, scratch_path
+
+QUERY_BYTES = 1 << 20   # of vectors in one query block
+ROWS = 4096             # vectors in one corpus block, at most
+HELD = 1 << 20          # candidates that a task keeps before it gives them out
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _query_slices(queries: DataFrame, query_id: str, vec: str, per_query: int | None = None, *others: str):
-    """The query set as pandas frames of about QUERY_BYTES (``per_query`` bytes
-    each, by default those of the vector), one after another.  A query without
-    a vector has no neighbours; no queries give no slices."""
-    q = queries.where(F.col(vec).isNotNull()).select(query_id, vec, *others)
-    each = F.lit(per_query) if per_query else F.size(vec) * 8
-    size = q.agg(F.sum(each.cast("long"))).first()[0] or 0
-    n = -(-size // QUERY_BYTES)
-    for i in range(n):
-        part = (q if n == 1 else q.where(F.pmod(F.xxhash64(query_id), F.lit(n)) == i)).toPandas()
-        if len(part):
-            yield part
+def _matrix(col: pa.Array) -> np.ndarray:
+    """Rows of equally long lists as a matrix."""
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(col), -1) if len(col) else flat.reshape(0, 0)
+
+
+def _packed(batches, first: int) -> Iterator[pa.RecordBatch]:
+    """Batches (id, vector, other columns; ``first`` columns of the block's number
+    before them) as one row each: ids, their vectors' bytes, the others as lists."""
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            part = b.slice(at, ROWS)
+            cols = [part.column(i) for i in range(first, part.num_columns)]
+            raw = np.ascontiguousarray(_matrix(cols[1]), np.float64 if pa.types.is_floating(cols[1].type.value_type) else np.int32).tobytes()
+            lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in (cols[0], *cols[2:])]
+            block = [pa.array([part.column(0)[0].as_py()], pa.int32())] if first else []
+            yield pa.RecordBatch.from_arrays([*block, lists[0], pa.array([raw], pa.binary()), *lists[1:]],
+                                             names=[*(["qb"] if first else []), "ids", "mat", *[f"l{i}" for i in range(len(cols) - 2)]])
+
+
+def _blocks(df: DataFrame, id_col: str, vec: str, others: Sequence[str], block: bool = False) -> DataFrame:
+    """Rows (ids, mat, others) of many vectors each; of one ``qb`` if ``block``."""
+    kinds = {c: df.schema[c].dataType.simpleString() for c in (id_col, *others)}
+    schema = ("qb int, " if block else "") + f"ids array<{kinds[id_col]}>, mat binary" + \
+        "".join(f", l{i} array<{kinds[c]}>" for i, c in enumerate(others))
+    cols = (["qb"] if block else []) + [id_col, vec, *others]
+    if block:
+        # a block's queries lie in one partition, next to each other
+        df = df.repartition("qb").sortWithinPartitions("qb")
+
+        def runs(batches):
+            for b in batches:
+                q = b.column(0).to_numpy()
+                edges = [0, *(np.flatnonzero(q[1:] != q[:-1]) + 1).tolist(), len(q)]
+                yield from (b.slice(x, y - x) for x, y in zip(edges, edges[1:]) if y > x)
+        return df.select(*cols).mapInArrow(lambda it: _packed(runs(it), 1), schema)
+    return df.select(*cols).mapInArrow(lambda it: _packed(it, 0), schema)
 
 
 def _keep_best(k: int, q: np.ndarray, ids: np.ndarray, key: np.ndarray):
@@ -48,31 +75,58 @@ def _keep_best(k: int, q: np.ndarray, ids: np.ndarray, key: np.ndarray):
     return q[keep], ids[keep], key[keep]
 
 
-def _running_topk(batches, k: int, n_queries: int, id_col: str, distances):
-    """(query number, id, key) of the k best over all batches of a task.
-    ``distances(pdf)`` gives a function of a range of queries to their keys
-    (smaller is better; infinite: no candidate)."""
-    best = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        ids, keys_of = pdf[id_col].to_numpy(), distances(pdf)
-        step, kk = max(1, SCORES // len(ids)), min(k, len(ids))
-        parts = [] if best is None else [best]
-        for lo in range(0, n_queries, step):
-            key = keys_of(slice(lo, min(lo + step, n_queries)))
-            worst = np.partition(key, kk - 1, axis=1)[:, kk - 1]
-            row, col = np.nonzero((key <= worst[:, None]) & np.isfinite(key))
-            parts.append(_keep_best(k, row + lo, ids[col], key[row, col]))
-        best = _keep_best(k, *(np.concatenate(x) for x in zip(*parts)))
-    return best
-
-
-def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
-    out = parts[0] if parts else empty
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+def _topk(corpus: DataFrame, queries: DataFrame, k: int, keys_of, id_type: str, query_type: str) -> DataFrame:
+    """(query_id, id, key): candidates that hold each query's k smallest keys.
+
+    Blocks of queries meet blocks of the corpus in tasks: Spark joins them on the
+    query block's number (it broadcasts the queries when they are few, and
+    shuffles blocks when not).  ``keys_of(queries' matrix, corpus's matrix,
+    queries' others, corpus's others)`` gives the keys; a task keeps each query's
+    k best over the blocks that it sees."""
+    n = queries.agg(F.max("qb")).first()[0]
+    if n is None:
+        return corpus.sparkSession.createDataFrame([], f"query_id {query_type}, id {id_type}, key double")
+    q = queries.withColumnsRenamed({c: f"q_{c}" for c in queries.columns if c != "qb"})
+    pairs = corpus.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n)))).join(q, "qb")
+    own = [c for c in corpus.columns if c.startswith("l")]
+    cols = ["q_ids", "q_mat", "ids", "mat", *[f"q_{c}" for c in own], *own]
+
+    def run(batches):
+        held: dict = {}
+        size = 0
+
+        def out():
+            for ids, (row, vid, key) in held.values():
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(vid), pa.array(key)], names=["query_id", "id", "key"])
+        for b in batches:
+            for i in range(b.num_rows):
+                q_ids, ids = b.column(0)[i].values, b.column(2)[i].values.to_numpy(zero_copy_only=False)
+                q_mat, mat = (np.frombuffer(b.column(j)[i].as_buffer(), np.float64 if j == 1 or not own_codes else np.int32) for j in (1, 3))
+                more = [b.column(j)[i].values.to_numpy(zero_copy_only=False) for j in range(4, b.num_columns)]
+                half = len(more) // 2
+                key = keys_of(q_mat.reshape(len(q_ids), -1), mat.reshape(len(ids), -1), more[:half], more[half:])
+                kk = min(k, len(ids))
+                worst = np.partition(key, kk - 1, axis=1)[:, kk - 1]
+                row, col = np.nonzero((key <= worst[:, None]) & np.isfinite(key))
+                name = tuple(q_ids.to_pylist())
+                before = held.get(name, (q_ids, (np.zeros(0, np.int64), ids[:0], np.zeros(0))))[1]
+                best = _keep_best(k, *(np.concatenate(x) for x in zip(before, (row, ids[col], key[row, col]))))
+                size += len(best[0]) - len(before[0])
+                held[name] = (q_ids, best)
+                if size > HELD:
+                    yield from out()
+                    held, size = {}, 0
+        yield from out()
+    own_codes = getattr(keys_of, "codes", False)
+    return pairs.select(*cols).mapInArrow(run, f"query_id {query_type}, id {id_type}, key double")
+
+
+def _query_blocks(queries: DataFrame, query_id: str, vec: str, others: Sequence[str] = ()) -> DataFrame:
+    """Blocks of about QUERY_BYTES of queries; those without a vector have no neighbours."""
+    q = queries.where(F.col(vec).isNotNull()).select(query_id, F.col(vec).cast("array<double>").alias(vec), *others)
+    size = q.agg(F.sum(F.size(vec).cast("long") * 8)).first()[0] or 0
+    n = max(1, -(-size // QUERY_BYTES))
+    return _blocks(q.withColumn("qb", F.pmod(F.xxhash64(query_id), F.lit(n)).cast("int")), query_id, vec, others, True)
 
 
 # ------------------------------------------------------------ similarities
@@ -112,32 +166,24 @@ def centroids(df: DataFrame, key: str, vec: str, out: str = "centroid") -> DataF
 
 
 # -------------------------------------------------------------- exact top-k
-def _partial_topk(bq, k: int, metric: str, id_col: str, vec_col: str, label_col: str | None):
-    def run(batches):
-        q_ids, q_mat, label_filter = bq.value      # broadcast once per executor
-
-        def distances(pdf):
-            corpus = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            labels = pdf[label_col].to_numpy() if label_col else None
-
-            def keys_of(part: slice):
-                q = q_mat[part]
-                if metric == "cosine":
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        s = (q @ corpus.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(corpus, axis=1))
-                    key = np.where(np.isfinite(s), -s, np.inf)
-                elif metric == "dot":
-                    key = -(q @ corpus.T)
-                else:  # l2 via |q|^2 + |c|^2 - 2 q.c
-                    key = np.sqrt(np.maximum((q ** 2).sum(1)[:, None] + (corpus ** 2).sum(1)[None, :]
-                                             - 2.0 * (q @ corpus.T), 0.0))
-                return key if labels is None else np.where(label_filter[part, None] == labels[None, :], key, np.inf)
-            return keys_of
-        best = _running_topk(batches, k, len(q_ids), id_col, distances)
-        if best is not None:
-            q, ids, key = best
-            yield pd.DataFrame({"query_id": q_ids[q], "vec_id": ids, "score": key if metric == "l2" else -key})
-    return run
+def _distances(metric: str, filtered: bool):
+    def keys_of(q, corpus, q_others, others):
+        if metric == "cosine":
+            with np.errstate(divide="ignore", invalid="ignore"):
+                x = (q @ corpus.T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(corpus, axis=1))
+            key = np.where(np.isfinite(x), -x, np.inf)
+        elif metric == "dot":
+            key = -(q @ corpus.T)
+        else:  # l2 via |q|^2 + |c|^2 - 2 q.c
+            key = np.sqrt(np.maximum((q ** 2).sum(1)[:, None] + (corpus ** 2).sum(1)[None, :] - 2.0 * (q @ corpus.T), 0.0))
+        return np.where(q_others[0][:, None] == others[0][None, :], key, np.inf) if filtered else key
+    return keys_of
+
+
+def _ranked(part: DataFrame, k: int, query_id: str, id_col: str, score: Column, best_first: Column) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(best_first, "id")
+    return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+        .select(F.col("query_id").alias(query_id), F.col("id").alias(id_col), score.alias("score"), "rank")
 
 
 def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, metric: str = "cosine",
@@ -148,23 +194,11 @@ def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     metadata filter is applied before ranking).  Output: query_id, vec_id,
     score, rank (1 = best; ties by vec_id)."""
     others = [same_label] if same_label else []
-    qtype = queries.schema[query_id].dataType.simpleString()
-    itype = corpus.schema[id_col].dataType.simpleString()
-    schema = f"query_id {qtype}, vec_id {itype}, score double"
-    spark = corpus.sparkSession
-    rows = corpus.where(F.col(vec_col).isNotNull()).select(id_col, vec_col, *others)
-    parts = []
-    for qp in _query_slices(queries, query_id, query_vec, None, *others):
-        bq = spark.sparkContext.broadcast((
-            qp[query_id].to_numpy(), np.stack(qp[query_vec].to_numpy()).astype(np.float64),
-            qp[same_label].to_numpy() if same_label else None))
-        parts.append(rows.mapInPandas(_partial_topk(bq, k, metric, id_col, vec_col, same_label), schema))
-    part = _union(parts, spark.createDataFrame([], schema))
-    asc = metric == "l2"
-    w = Window.partitionBy("query_id").orderBy(F.col("score").asc() if asc else F.col("score").desc(),
-                                               F.col("vec_id"))
-    return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumnRenamed("query_id", query_id))
+    rows = corpus.where(F.col(vec_col).isNotNull()).withColumn(vec_col, F.col(vec_col).cast("array<double>"))
+    part = _topk(_blocks(rows, id_col, vec_col, others), _query_blocks(queries, query_id, query_vec, others), k,
+                 _distances(metric, bool(same_label)), corpus.schema[id_col].dataType.simpleString(),
+                 queries.schema[query_id].dataType.simpleString())
+    return _ranked(part, k, query_id, id_col, F.col("key") if metric == "l2" else -F.col("key"), F.col("key"))
 
 
 # --------------------------------------------------------------- IVF and PQ
@@ -176,35 +210,39 @@ def train_kmeans(df: DataFrame, vec_col: str, k: int, seed: int = 42, max_iter:
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
 
 
-def ivf_index(corpus: DataFrame, vec_col: str, nlist: int, seed: int = 42):
-    """VEC-06: coarse quantiser (nlist centroids) and the corpus with its
-    cell id.  Returns (cells DataFrame, centroids array)."""
+def ivf_index(corpus: DataFrame, vec_col: str, nlist: int, seed: int = 42, path: str | None = None):
+    """VEC-06: coarse quantiser (nlist centroids) and the corpus with its cell id,
+    stored by cell (a folder each, below ``path`` or the scratch folder).
+    Returns (cells DataFrame, centroids array)."""
     from pyspark.ml.functions import array_to_vector
     model = train_kmeans(corpus, vec_col, nlist, seed)
     cents = np.array([c for c in model.clusterCenters()])
-    cells = (model.transform(corpus.withColumn("features", array_to_vector(F.col(vec_col))))
-             .withColumnRenamed("prediction", "cell").drop("features"))
-    return cells, cents
+    path = path or scratch_path(corpus.sparkSession, "ivf")
+    (model.transform(corpus.withColumn("features", array_to_vector(F.col(vec_col))))
+     .withColumnRenamed("prediction", "cell").drop("features").hint("rebalance", F.col("cell")).write.partitionBy("cell").parquet(path))
+    return corpus.sparkSession.read.parquet(path), cents
 
 
 def ivf_search(cells: DataFrame, cents: np.ndarray, queries: DataFrame, k: int, nprobe: int,
                id_col: str = "vec_id", vec_col: str = "embedding", query_id: str = "query_id") -> DataFrame:
     """VEC-06: probe the ``nprobe`` cells nearest to each query, rank only
-    the vectors in those cells (an equi join on cell id), keep top-k."""
+    the vectors in those cells (an equi join on cell id), keep top-k.  Folders of
+    cells that no query probes are not read."""
     def nearest(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            q = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            d = np.stack([((q - c) ** 2).sum(1) for c in cents], axis=1)
-            probe = np.argsort(d, axis=1, kind="stable")[:, :nprobe]
-            yield pd.DataFrame({query_id: np.repeat(pdf[query_id].to_numpy(), probe.shape[1]),
-                                "cell": probe.reshape(-1).astype(np.int32),
-                                "__q": list(np.repeat(q, probe.shape[1], axis=0))})
+        for b in batches:
+            q = _matrix(b.column(1))
+            d = (q ** 2).sum(1)[:, None] + (cents ** 2).sum(1)[None, :] - 2 * (q @ cents.T) if len(q) else np.zeros((0, len(cents)))
+            probe = np.argsort(d, axis=1, kind="stable")[:, :nprobe].astype(np.int32)
+            at = pa.array(np.repeat(np.arange(len(q)), probe.shape[1]))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(probe.reshape(-1)), b.column(1).take(at)],
+                                             names=[query_id, "cell", "__q"])
     qtype = queries.schema[query_id].dataType.simpleString()
-    probes = queries.where(F.col(vec_col).isNotNull()).select(query_id, vec_col) \
-        .mapInPandas(nearest, f"{query_id} {qtype}, cell int, __q array<double>")
-    cand = cells.select(id_col, vec_col, "cell").join(probes, "cell")
+    probes = queries.where(F.col(vec_col).isNotNull()).select(query_id, F.col(vec_col).cast("array<double>").alias(vec_col)) \
+        .mapInArrow(nearest, f"{query_id} {qtype}, cell int, __q array<double>")
+    checkpoint_dir(probes.sparkSession)
+    probes = probes.checkpoint()
+    wanted = [r["cell"] for r in probes.select("cell").distinct().collect()]      # at most nlist numbers
+    cand = cells.where(F.col("cell").isin(wanted)).select(id_col, vec_col, "cell").join(probes, "cell")
     scored = cand.select(query_id, id_col, cosine(vec_col, "__q").alias("score"))
     w = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(id_col))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -232,55 +270,39 @@ def pq_train(corpus: DataFrame, vec_col: str, dim: int, m: int, ks: int, seed: i
 
 def pq_encode(corpus: DataFrame, books: list[np.ndarray], id_col: str = "vec_id",
               vec_col: str = "embedding") -> DataFrame:
-    """VEC-08: codes array (one centroid index per sub-space), per partition
-    with numpy against the broadcast codebooks."""
-    sc = corpus.sparkSession.sparkContext
-    bb = sc.broadcast(books)
+    """VEC-08: codes array (one centroid index per sub-space; ties: the first),
+    with numpy against the codebooks (their size is that of the model)."""
     itype = corpus.schema[id_col].dataType.simpleString()
 
     def enc(batches):
-        bk = bb.value
-        sub = bk[0].shape[1]
-        for pdf in batches:
-            x = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            codes = np.stack([((x[:, j * sub:(j + 1) * sub][:, None, :] - b[None, :, :]) ** 2).sum(-1).argmin(1)
-                              for j, b in enumerate(bk)], axis=1)
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "codes": list(codes.astype(np.int32))})
-    return corpus.select(id_col, vec_col).mapInPandas(enc, f"{id_col} {itype}, codes array<int>")
+        sub = books[0].shape[1]
+        for b in batches:
+            x = _matrix(b.column(1))
+            codes = np.stack([((x[:, j * sub:(j + 1) * sub][:, None, :] - book[None, :, :]) ** 2).sum(-1).argmin(1)
+                              for j, book in enumerate(books)], axis=1).astype(np.int32) if len(x) else np.zeros((0, len(books)), np.int32)
+            to = pa.array(np.arange(len(x) + 1) * len(books), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(to, pa.array(codes.reshape(-1)))], names=[id_col, "codes"])
+    src = corpus.where(F.col(vec_col).isNotNull()).select(id_col, F.col(vec_col).cast("array<double>"))
+    return src.mapInArrow(enc, f"{id_col} {itype}, codes array<int>")
 
 
 def pq_search(codes: DataFrame, books: list[np.ndarray], queries: DataFrame, k: int,
-              id_col: str = "vec_id", query_id: str = "query_id", vec_col: str = "embedding") -> DataFrame:
-    """VEC-08: asymmetric distance computation: per query a lookup table of
-    squared distances (sub-space x centroid), summed over the codes; partial
-    top-k per partition, merged per query."""
+              id_col: str = "vec_id", query_id: str = "query_id", vec_col: str = "embedding",
+              digits: int | None = None) -> DataFrame:
+    """VEC-08: asymmetric distance computation: per query block a table of squared
+    distances (sub-space x centroid), summed over the codes of a corpus block.
+    Vectors with the same codes tie (smallest id first); ``digits`` rounds
+    distances so that the order of summation can't part them."""
     sub = books[0].shape[1]
-    spark = codes.sparkSession
-
-    def search(bt):
-        def run(batches):
-            q_ids, tab = bt.value
-
-            def distances(pdf):
-                c = np.stack(pdf["codes"].to_numpy())  # (n, m)
-                return lambda part: sum(tab[part, j][:, c[:, j]] for j in range(c.shape[1]))
-            best = _running_topk(batches, k, len(q_ids), id_col, distances)
-            if best is not None:
-                yield pd.DataFrame({"query_id": q_ids[best[0]], id_col: best[1], "score": best[2]})
-        return run
-    qtype = queries.schema[query_id].dataType.simpleString()
-    itype = codes.schema[id_col].dataType.simpleString()
-    schema = f"query_id {qtype}, {id_col} {itype}, score double"
-    parts = []
-    for qp in _query_slices(queries, query_id, vec_col, 8 * sum(len(b) for b in books)):
-        qm = np.stack(qp[vec_col].to_numpy()).astype(np.float64)
-        tables = np.stack([((qm[:, j * sub:(j + 1) * sub][:, None, :] - b[None, :, :]) ** 2).sum(-1)
-                           for j, b in enumerate(books)], axis=1)  # (q, m, ks)
-        bt = spark.sparkContext.broadcast((qp[query_id].to_numpy(), tables))
-        parts.append(codes.mapInPandas(search(bt), schema))
-    part = _union(parts, spark.createDataFrame([], schema))
-    w = Window.partitionBy("query_id").orderBy("score", id_col)
-    return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    def keys_of(q, c, q_others, others):
+        tab = [((q[:, j * sub:(j + 1) * sub][:, None, :] - b[None, :, :]) ** 2).sum(-1) for j, b in enumerate(books)]
+        key = sum(t[:, c[:, j]] for j, t in enumerate(tab))
+        return key if digits is None else np.round(key, digits)
+    keys_of.codes = True
+    part = _topk(_blocks(codes, id_col, "codes", []), _query_blocks(queries, query_id, vec_col), k, keys_of,
+                 codes.schema[id_col].dataType.simpleString(), queries.schema[query_id].dataType.simpleString())
+    return _ranked(part, k, query_id, id_col, F.col("key"), F.col("key"))
 
 
 # ------------------------------------------------------------------- fusion

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from oreflow.functions.numeric import round_half_up as rh
@@ -69,6 +70,41 @@ def vec_topk_filtered(spark, d):
     return t.select("query_id", "vec_id", rh("score", 4).alias("score"), "rank")
 
 
+@query("vec_ivf_all_cells", ops=("VEC-06", "VEC-07"), sql=TOPK_SQL.format(where=""))
+def vec_ivf_all_cells(spark, d):
+    # with every cell probed the cell search is the exact one
+    q = label_centroids(spark, d).select(F.col("label").alias("query_id"), F.col("centroid").alias("embedding"))
+    cells, cents = vx.ivf_index(read(spark, d, "embeddings"), "embedding", nlist=8)
+    t = vx.ivf_search(cells, cents, q, k=5, nprobe=8)
+    return t.select("query_id", "vec_id", rh("score", 4).alias("score"), "rank")
+
+
+SUB = "list_slice({v}, 8 * j + 1, 8 * j + 8)"
+
+
+@query("vec_pq_label_books", ops=("VEC-08",), sql=f"""
+WITH {CENTROIDS_SQL},
+j AS (SELECT unnest(range(8)) AS j),
+book AS (SELECT j, label, {SUB.format(v="centroid")} AS b FROM c, j),
+near AS (SELECT e.vec_id, j.j, arg_min(book.label, {{'d': list_distance({SUB.format(v="CAST(e.embedding AS DOUBLE[])").replace("j ", "j.j ")}, book.b), 'l': book.label}}) AS code
+         FROM embeddings e, j JOIN book USING (j) GROUP BY ALL),
+tab AS (SELECT c.label AS query_id, book.j, book.label AS code, list_distance({SUB.format(v="c.centroid").replace("j ", "book.j ")}, book.b) ** 2 AS d
+        FROM c, book),
+s AS (SELECT query_id, vec_id, sum(d) AS score FROM near JOIN tab USING (j, code) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {rnd("score", 9)}, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, {rnd("score", 6)} AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5
+""")
+def vec_pq_label_books(spark, d):
+    """Product quantisation with codebooks that follow from the data (parts of the
+    labels' mean vectors, one row per label), so codes and distances are known."""
+    e, c = read(spark, d, "embeddings"), label_centroids(spark, d)
+    mat = np.array([r["centroid"] for r in c.orderBy("label").collect()])
+    books = [mat[:, 8 * j:8 * j + 8] for j in range(8)]
+    q = c.select(F.col("label").alias("query_id"), F.col("centroid").alias("embedding"))
+    t = vx.pq_search(vx.pq_encode(e, books), books, q, k=5, digits=9)
+    return t.select("query_id", "vec_id", rh("score", 6).alias("score"), "rank")
+
+
 @query("vec_ivf_recall", ops=("VEC-06", "VEC-07"))
 def vec_ivf_recall(spark, d):
     # approximate search over k-means cells: no SQL twin (iterative
