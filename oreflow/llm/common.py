@@ -82,6 +82,16 @@ class Tables:
         out.table = name
         return out
 
+    def rows(self, df: DataFrame) -> DataFrame:
+        """For long values: a checkpoint, row by row (Parquet is read and written
+        thousands of rows at a time), dropped like the others."""
+        checkpoint_dir(self.spark)
+        out = df.checkpoint()
+        self.made += 1
+        out.table = f"rows{self.made}"
+        self.paths[out.table] = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+        return out
+
     def drop(self, *names: str | DataFrame | None) -> None:
         """Delete tables, all without names."""
         jvm = self.spark.sparkContext._jvm

@@ -208,7 +208,7 @@ class NearDuplicates:
         w, some = self.words, build(need.select("id"))
         got = self.src.mapInArrow(lambda it: _sets(it, w, some), "id bigint, th bigint, full binary") \
             .groupBy("id", "th").agg(F.first("full").alias("full")).join(need, ["id", "th"]).select("node", "full")
-        got = self.cut(got)
+        got = self.cut.rows(got)
         self.cut.drop(need)
         self.full = got if self.full is None else self.full.union(got)
         return self.full
