@@ -71,6 +71,51 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, quantiles: Sequ
     return wide.select(stack.alias("s")).select("s.*")
 
 
+TRACKED = 10_000     # values that a heavy-hitter sketch tracks
+SKETCH_ERROR = 3.5   # a sketch's count is off by this share of rows / its size at most
+
+
+def top_values(df: DataFrame, columns: Sequence[str], k: int = 5, tracked: int = TRACKED) -> DataFrame:
+    """PR-01: type and the k most frequent values of each column, exact: column,
+    type, place, value (text), n; ties by value, NULL is no value.
+
+    A heavy-hitter sketch (partial per task, merged) names candidates; a second
+    pass counts them.  A value the sketch does not name occurs no more often than
+    its last candidate and its error bound say; only a column whose k-th count
+    is not above that is counted value by value."""
+    spark, parts = df.sparkSession, []
+    wide = 4 * k
+    sketch = df.agg(F.count(F.lit(1)).alias("rows"), *[F.call_function("approx_top_k", F.col(c).cast("string"), F.lit(wide), F.lit(tracked)).alias(f"s{i}")
+                                                       for i, c in enumerate(columns)]).first()
+    bound = SKETCH_ERROR * sketch["rows"] / tracked
+    for i, c in enumerate(columns):
+        found = [r["item"] for r in sketch[f"s{i}"] if r["item"] is not None]
+        text = F.col(c).cast("string")
+        # no more than ``wide`` values
+        exact = df.where(text.isin(found)).groupBy(text.alias("value")).agg(F.count(F.lit(1)).alias("n")).collect() if found else []
+        exact = sorted(((r["n"], r["value"]) for r in exact), key=lambda x: (-x[0], x[1]))
+        rest = (min(r["count"] for r in sketch[f"s{i}"]) if len(found) >= wide else 0) + bound
+        if len(exact) < k and len(found) >= wide or exact and len(found) >= wide and exact[min(k, len(exact)) - 1][0] <= rest \
+                or len(found) < wide and bound >= 1:
+            top = df.where(text.isNotNull()).groupBy(text.alias("value")).agg(F.count(F.lit(1)).alias("n")) \
+                .orderBy(F.col("n").desc(), "value").limit(k).collect()
+            exact = [(r["n"], r["value"]) for r in top]
+        kind = df.schema[c].dataType.simpleString()
+        parts += [(c, kind, p + 1, v, n) for p, (n, v) in enumerate(exact[:k])]
+    return spark.createDataFrame(parts, "column string, type string, place int, value string, n long")
+
+
+def correlation_alerts(df: DataFrame, columns: Sequence[str], threshold: float = 0.9) -> DataFrame:
+    """PR-05: pairs of numeric columns whose correlation is beyond ``threshold``,
+    all pairs in one aggregate: column, other, alert, value."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias("column"), F.lit(b).alias("other"), F.col(f"r{i}").alias("value"))
+                     for i, (a, b) in enumerate(pairs)])
+    return wide.select(F.explode(rows).alias("p")).select("p.column", "p.other", F.lit("high_correlation").alias("alert"), "p.value") \
+        .where(F.abs("value") > threshold)
+
+
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """PR-02: exact equal-width histogram between min and max (the maximum
     falls into the last bin)."""

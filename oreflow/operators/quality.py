@@ -10,6 +10,8 @@ split a batch into clean rows and a quarantine table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -167,103 +169,130 @@ def freshness(df: DataFrame, ts: str, now: Column, max_age_days: int) -> DataFra
 
 
 # ------------------------------------------------------------ schema rules
-def compile_json_schema(schema: dict, v: Column, prefix: str = "$") -> list[tuple[str, Column]]:
-    """DQ-17: compile a JSON-Schema subset into (rule, violated) column
-    pairs over a VARIANT column: required, type (string/integer/number/
-    boolean/array/object, with 'null' unions), enum, pattern, minimum,
-    maximum, additionalProperties=false, items (enum/type), uniqueItems.
-    Anything else is rejected loudly."""
-    supported = {"type", "properties", "required", "enum", "pattern", "minimum", "maximum",
-                 "additionalProperties", "items", "uniqueItems", "format", "$schema", "title",
-                 "description"}
-    unknown = set(schema) - supported
-    if unknown:
-        raise ValueError(f"unsupported JSON-Schema keywords: {sorted(unknown)}")
-    out: list[tuple[str, Column]] = []
-    props = schema.get("properties", {})
-    for req in schema.get("required", []):
-        p = f"{prefix}.{req}"
-        # key present (value may be JSON null)
-        present = F.try_variant_get(v, p, "variant").isNotNull()
-        out.append((f"{p}:required", ~present))
-    if schema.get("additionalProperties") is False and props:
-        keys = F.json_object_keys(F.to_json(F.try_variant_get(v, prefix, "variant")))
-        extra = F.exists(keys, lambda k: ~k.isin(list(props)))
-        out.append((f"{prefix}:additionalProperties", F.coalesce(extra, F.lit(False))))
-    for name, sub in props.items():
-        p = f"{prefix}.{name}"
-        out.extend(_compile_leaf(sub, v, p))
-    return out
+# keywords that say nothing about validity
+_NOTES = {"$schema", "$id", "$defs", "definitions", "$comment", "title", "description", "default", "examples"}
+_INTEGERS = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
 
-_TYPE_TO_SPARK = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
-
-
-def _compile_leaf(sub: dict, v: Column, p: str) -> list[tuple[str, Column]]:
-    out: list[tuple[str, Column]] = []
-    raw = F.try_variant_get(v, p, "variant")
-    present = raw.isNotNull() & ~F.is_variant_null(raw)
-    types = sub.get("type")
-    types = [types] if isinstance(types, str) else list(types or [])
-    kind = F.schema_of_variant(raw)
-    if types:
-        allowed = F.lit(False)
-        for t in types:
-            if t == "null":
-                allowed = allowed | F.is_variant_null(raw)
-            elif t == "integer":
-                allowed = allowed | kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | kind.startswith("DECIMAL(") & kind.endswith(",0)")
-            elif t == "number":
-                allowed = allowed | kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-            elif t == "string":
-                allowed = allowed | (kind == "STRING")
-            elif t == "boolean":
-                allowed = allowed | (kind == "BOOLEAN")
-            elif t == "array":
-                allowed = allowed | kind.startswith("ARRAY")
-            elif t == "object":
-                allowed = allowed | kind.startswith("OBJECT")
-        out.append((f"{p}:type", raw.isNotNull() & ~allowed))
-    if "properties" in sub or "required" in sub:
-        nested = {k: sub[k] for k in ("properties", "required", "additionalProperties") if k in sub}
-        out.extend((n, present & c) for n, c in compile_json_schema(nested, v, p))
-    if "enum" in sub:
-        vals = [x for x in sub["enum"] if x is not None]
-        s = F.try_variant_get(v, p, "string")
-        out.append((f"{p}:enum", present & ~F.coalesce(s.isin(vals), F.lit(False))))
-    if "pattern" in sub:
-        s = F.try_variant_get(v, p, "string")
-        out.append((f"{p}:pattern", present & ~F.coalesce(s.rlike(sub["pattern"]), F.lit(False))))
-    if "format" in sub and sub["format"] == "date-time":
-        s = F.try_variant_get(v, p, "string")
-        ok = F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX")).isNotNull()
-        out.append((f"{p}:format", present & ~ok))
-    num = F.try_variant_get(v, p, "double")
-    if "minimum" in sub:
-        out.append((f"{p}:minimum", present & F.coalesce(num < sub["minimum"], F.lit(False))))
-    if "maximum" in sub:
-        out.append((f"{p}:maximum", present & F.coalesce(num > sub["maximum"], F.lit(False))))
-    if "items" in sub:
-        it = sub["items"]
-        arr = F.try_variant_get(v, p, "array<string>")
-        if "enum" in it:
-            out.append((f"{p}[*]:enum", F.coalesce(F.exists(arr, lambda x: ~x.isin(list(it["enum"]))),
-                                                    F.lit(False))))
-    if sub.get("uniqueItems"):
-        arr = F.try_variant_get(v, p, "array<string>")
-        out.append((f"{p}:uniqueItems", F.coalesce(F.size(F.array_distinct(arr)) != F.size(arr),
-                                                   F.lit(False))))
+def compile_json_schema(schema: dict, v: Column, prefix: str = "$") -> list[tuple[str, Column]]:
+    """DQ-17: compile a JSON-Schema subset into (rule, violated) column pairs over
+    a VARIANT column: type (also several, 'null'), enum, const, required,
+    properties, additionalProperties=false, items, minItems, maxItems,
+    uniqueItems, minLength, maxLength, pattern, format (date-time, date),
+    minimum, maximum (and exclusive ones), oneOf, anyOf, allOf and $ref into the
+    document's own definitions.  Rules on array elements hold for every element
+    (``[*]`` in the name).  Any other keyword, and a $ref that leads back to
+    itself, is refused."""
+    return [(name, F.coalesce(broken(v), F.lit(False))) for name, broken in _compile(schema, prefix, schema, ())]
+
+
+def _get(v: Column, name: str) -> Column:
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(v, f"$['{quoted}']", "variant")
+
+
+def _is(v: Column, kind: str) -> Column:
+    """Whether the value is of a JSON type."""
+    k = F.schema_of_variant(v)
+    return {"null": lambda: F.is_variant_null(v), "string": lambda: k == "STRING", "boolean": lambda: k == "BOOLEAN",
+            "array": lambda: k.startswith("ARRAY"), "object": lambda: k.startswith("OBJECT"),
+            "integer": lambda: k.isin(*_INTEGERS) | (k.startswith("DECIMAL(") & k.endswith(",0)")),
+            "number": lambda: k.isin(*_INTEGERS, "DOUBLE", "FLOAT") | k.startswith("DECIMAL")}[kind]()
+
+
+def _equals(v: Column, value) -> Column:
+    if value is None:
+        return F.is_variant_null(v)
+    kind, cast = ("boolean", "boolean") if isinstance(value, bool) else ("number", "double") if isinstance(value, (int, float)) \
+        else ("string", "string")
+    return F.coalesce(_is(v, kind) & (F.try_variant_get(v, "$", cast) == F.lit(value)), F.lit(False))
+
+
+def _compile(schema: dict, path: str, root: dict, seen: tuple) -> list[tuple]:
+    """(rule, function of a present value to whether it breaks the rule)."""
+    text = lambda v: F.try_variant_get(v, "$", "string")
+    num = lambda v: F.try_variant_get(v, "$", "double")
+    elements = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    # a keyword about one type says nothing of values of others
+    on = lambda kind, test: lambda v: _is(v, kind) & test(v)
+    moment = {"date-time": "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX", "date": "yyyy-MM-dd"}
+    out: list[tuple] = []
+    for word, arg in schema.items():
+        rule = None
+        if word in _NOTES:
+            continue
+        if word == "$ref":
+            if arg in seen:
+                raise ValueError(f"$ref leads back to itself: {arg}")
+            target = root
+            for part in arg.removeprefix("#").strip("/").split("/"):
+                if not arg.startswith("#") or part and part not in target:
+                    raise ValueError(f"unknown $ref: {arg}")
+                target = target[part] if part else target
+            out += _compile(target, path, root, (*seen, arg))
+        elif word == "type":
+            kinds = [arg] if isinstance(arg, str) else list(arg)
+            rule = lambda v, kinds=kinds: ~reduce(or_, [_is(v, k) for k in kinds])
+        elif word == "enum":
+            rule = lambda v, arg=arg: ~reduce(or_, [_equals(v, x) for x in arg])
+        elif word == "const":
+            rule = lambda v, arg=arg: ~_equals(v, arg)
+        elif word == "required":
+            out += [(f"{path}.{name}:required", on("object", lambda v, name=name: _get(v, name).isNull())) for name in arg]
+        elif word == "properties":
+            for name, sub in arg.items():
+                out += [(n, lambda v, f=f, name=name: _get(v, name).isNotNull() & f(_get(v, name)))
+                        for n, f in _compile(sub, f"{path}.{name}", root, seen)]
+        elif word == "additionalProperties":
+            if arg not in (True, False):
+                raise ValueError("additionalProperties must be true or false")
+            names = list(schema.get("properties", {}))
+            if arg is False:
+                rule = on("object", lambda v: F.exists(F.json_object_keys(F.to_json(v)), lambda k: ~k.isin(names) if names else F.lit(True)))
+        elif word == "items":
+            out += [(n, on("array", lambda v, f=f: F.exists(elements(v), lambda x: F.coalesce(f(x), F.lit(False)))))
+                    for n, f in _compile(arg, f"{path}[*]", root, seen)]
+        elif word == "uniqueItems":
+            def twice(v):
+                plain = F.transform(elements(v), lambda x: F.to_json(x))
+                return F.size(F.array_distinct(plain)) != F.size(plain)
+            rule = on("array", twice) if arg else None
+        elif word in ("minItems", "maxItems"):
+            rule = on("array", lambda v, arg=arg, low=word[:3] == "min": F.size(elements(v)) < arg if low else F.size(elements(v)) > arg)
+        elif word in ("minLength", "maxLength"):
+            rule = on("string", lambda v, arg=arg, low=word[:3] == "min": F.length(text(v)) < arg if low else F.length(text(v)) > arg)
+        elif word == "pattern":
+            rule = on("string", lambda v, arg=arg: ~text(v).rlike(arg))
+        elif word == "format" and arg in moment:
+            rule = on("string", lambda v, arg=arg: F.try_to_timestamp(text(v), F.lit(moment[arg])).isNull())
+        elif word in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
+            test = {"minimum": lambda x, y: x < y, "maximum": lambda x, y: x > y,
+                    "exclusiveMinimum": lambda x, y: x <= y, "exclusiveMaximum": lambda x, y: x >= y}[word]
+            rule = on("number", lambda v, arg=arg, test=test: test(num(v), F.lit(float(arg))))
+        elif word in ("oneOf", "anyOf", "allOf"):
+            branches = [[f for _, f in _compile(sub, path, root, seen)] for sub in arg]
+
+            def matching(v, branches=branches):
+                fits = lambda fs: ~reduce(or_, [F.coalesce(f(v), F.lit(False)) for f in fs], F.lit(False))
+                return reduce(add, [fits(fs).cast("int") for fs in branches])
+            rule = {"oneOf": lambda v, m=matching: m(v) != 1, "anyOf": lambda v, m=matching: m(v) == 0,
+                    "allOf": lambda v, m=matching, n=len(branches): m(v) < n}[word]
+        else:
+            raise ValueError(f"unsupported JSON-Schema keyword at {path}: {word}" + (f" = {arg}" if word == "format" else ""))
+        if rule is not None:
+            out.append((f"{path}:{word}", rule))
     return out
 
 
 def schema_violations(df: DataFrame, schema: dict, doc_col: str, id_col: str) -> DataFrame:
     """DQ-17: one row per (document, violated rule); unparsable JSON is a
     violation of its own."""
-    v = F.try_parse_json(F.col(doc_col))
-    rules = compile_json_schema(schema, v)
+    # parsed once: the rules refer to the parsed column
+    df = df.select(id_col, F.try_parse_json(F.col(doc_col)).alias("__v"))
+    v = F.col("__v")
     # an unparsable document gets one violation, not one per rule
     arr = F.array(F.when(v.isNull(), F.lit("$:parse")),
-                  *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in rules])
+                  *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in compile_json_schema(schema, v)])
     return (df.select(id_col, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("violation")))
 
 
@@ -275,7 +304,8 @@ def validate_documents(df: DataFrame, schema: dict, doc_col: str, id_col: str,
     column, default all new).  action error rejects, warn accepts with the
     warning.  Output adds ``status`` accepted | rejected | warned and
     ``violations``."""
-    v = F.try_parse_json(F.col(doc_col))
+    df = df.withColumn("__v", F.try_parse_json(F.col(doc_col)))
+    v = F.col("__v")
     rules = compile_json_schema(schema, v)
     arr = F.filter(F.array(F.when(v.isNull(), F.lit("$:parse")),
                            *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in rules]),
@@ -284,13 +314,17 @@ def validate_documents(df: DataFrame, schema: dict, doc_col: str, id_col: str,
         if previously_valid is not None else F.lit(True)
     bad = checked & (F.size(arr) > 0)
     status = F.when(~bad, "accepted").when(F.lit(action == "error"), "rejected").otherwise("warned")
-    return df.withColumn("violations", arr).withColumn("status", status)
+    return df.withColumn("violations", arr).withColumn("status", status).drop("__v")
 
 
 def dimension_scores(df: DataFrame, source: str, key: str, required: Sequence[str], valid: Column,
                      fk: tuple[str, DataFrame, str] | None, ts: str | None, max_age_days: int,
-                     target: float = 0.95) -> DataFrame:
-    """DQ-15: quality dimensions of one source as shares in [0, 1]:
+                     target: float = 0.95,
+                     trusted: tuple[DataFrame, str, dict[str, tuple[Column, float]]] | None = None) -> DataFrame:
+    """DQ-15: quality dimensions of one source as shares in [0, 1]: accuracy
+    (agreement with a trusted table: ``trusted`` gives it, its key, and for each
+    field a condition over both tables' columns and a weight; the weighted mean
+    of the fields' shares among the rows that the trusted table knows),
     completeness (non-null required cells), uniqueness (distinct keys per
     row), validity (rows passing ``valid``), consistency (rows whose foreign
     key exists in the parent), timeliness (rows within ``max_age_days`` of
@@ -304,7 +338,15 @@ def dimension_scores(df: DataFrame, source: str, key: str, required: Sequence[st
         base = base.join(pk, base[col] == pk["__pk"], "left")
     newest = df.select(F.max(ts)).scalar() if ts else None
     n = F.count(F.lit(1))
-    scores = {
+    agreed = {}
+    if trusted is not None:
+        other, other_key, fields = trusted
+        base = base.join(other, base[key] == other[other_key], "left")
+        known = F.count_if(F.col(other_key).isNotNull())
+        weights = sum(w for _, w in fields.values())
+        shares = [F.count_if(F.col(other_key).isNotNull() & F.coalesce(same, F.lit(False))) * F.lit(w) for same, w in fields.values()]
+        agreed = {"accuracy": sum(shares) / (F.lit(float(weights)) * F.nullif(known, F.lit(0)))}
+    scores = agreed | {
         "completeness": sum(F.count(c) for c in required) / (F.lit(float(len(required))) * n),
         "uniqueness": F.count_distinct(key) / n,
         "validity": F.count_if(valid) / n,

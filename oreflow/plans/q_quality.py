@@ -151,12 +151,19 @@ def dq_freshness(spark, d):
 
 @query("dq_quality_dimensions", ops=("DQ-15",), sql=f"""
 WITH o AS (SELECT * FROM orders),
+t AS (SELECT l_orderkey AS k, count(*) AS lines, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS total,
+             CASE WHEN bool_and(l_linestatus = 'F') THEN 'F' WHEN bool_and(l_linestatus = 'O') THEN 'O' ELSE 'P' END AS status
+      FROM lineitem GROUP BY 1),
 mx AS (SELECT max(o_orderdate) AS t FROM orders),
 s AS (
  SELECT 'orders' AS source, 'completeness' AS dimension,
         (count(o_custkey) + count(o_orderdate)) / (2.0 * count(*)) AS score FROM o
  UNION ALL SELECT 'orders', 'uniqueness', count(DISTINCT o_orderkey) / count(*) FROM o
  UNION ALL SELECT 'orders', 'validity', count(*) FILTER (WHERE o_orderstatus IN ('F', 'O', 'P')) / count(*) FROM o
+ UNION ALL SELECT 'orders', 'accuracy',
+        (2.0 * count(*) FILTER (WHERE t.lines > 0 AND abs(o_totalprice - t.total) <= 0.01 * t.total)
+         + count(*) FILTER (WHERE t.lines > 0 AND o_orderstatus = t.status)) / (3.0 * count(t.lines))
+        FROM o LEFT JOIN t ON t.k = o.o_orderkey
  UNION ALL SELECT 'orders', 'consistency',
         count(*) FILTER (WHERE o_custkey IN (SELECT c_custkey FROM customer)) / count(*) FROM o
  UNION ALL SELECT 'orders', 'timeliness',
@@ -166,10 +173,17 @@ UNION ALL SELECT source, 'overall', {rnd("avg(score)", 4)}, avg(score) >= 0.95 F
 """)
 def dq_quality_dimensions(spark, d):
     o, c = read(spark, d, "orders"), read(spark, d, "customer")
+    # what the lines say is trusted: an order's value (to 1 %) and its status
+    is_all = lambda x: F.bool_and(F.col("l_linestatus") == x)
+    lines = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("total"),
+        F.when(is_all("F"), "F").when(is_all("O"), "O").otherwise("P").alias("status"))
+    agree = {"o_totalprice": (F.abs(F.col("o_totalprice") - F.col("total")) <= 0.01 * F.col("total"), 2.0),
+             "o_orderstatus": (F.col("o_orderstatus") == F.col("status"), 1.0)}
     return dq.dimension_scores(o, "orders", key="o_orderkey", required=["o_custkey", "o_orderdate"],
                             valid=F.col("o_orderstatus").isin("F", "O", "P"),
                             fk=("o_custkey", c, "c_custkey"), ts="o_orderdate", max_age_days=365,
-                            target=0.95)
+                            target=0.95, trusted=(lines, "k", agree))
 
 
 @query("dq_cross_source", ops=("DQ-16", "JN-06"), sql="""
@@ -220,21 +234,71 @@ def dq_json_schema(spark, d):
     return v.groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
 
 
+ORDER_DOC_SCHEMA = {
+    "type": "object",
+    "$defs": {
+        "Text": {"type": "string", "minLength": 1},
+        "Line": {"type": "object", "required": ["n", "part"], "additionalProperties": False,
+                 "properties": {"n": {"type": "integer", "minimum": 1, "maximum": 6}, "flag": {"enum": ["A", "N"]},
+                                "part": {"type": "string", "pattern": "^P-[0-9]{1,3}$"}, "qty": {"type": "number"}}},
+    },
+    "required": ["id", "clerk", "lines"],
+    "properties": {
+        "id": {"type": "string", "maxLength": 6}, "clerk": {"$ref": "#/$defs/Text"},
+        "lines": {"type": "array", "items": {"$ref": "#/$defs/Line"}, "uniqueItems": True},
+        "discount": {"oneOf": [{"type": "number"}, {"type": "null"}]},
+    },
+}
+
+
+@query("dq_json_schema_nested", ops=("DQ-17",), sql="""
+WITH d AS (SELECT o_orderkey AS k, bool_or(l_linenumber > 6) AS n, bool_or(l_returnflag = 'R') AS flag, bool_or(l_partkey > 999) AS part
+           FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
+v AS (
+  SELECT k, '$.id:maxLength' AS violation FROM d WHERE length('O-' || k) > 6
+  UNION ALL SELECT k, '$.clerk:minLength' FROM d WHERE k % 50 = 0
+  UNION ALL SELECT k, '$.lines[*].n:maximum' FROM d WHERE n
+  UNION ALL SELECT k, '$.lines[*].flag:enum' FROM d WHERE flag
+  UNION ALL SELECT k, '$.lines[*].part:pattern' FROM d WHERE part
+  UNION ALL SELECT k, '$.discount:oneOf' FROM d WHERE k % 7 = 2)
+SELECT violation, count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_keys FROM v GROUP BY violation
+""")
+def dq_json_schema_nested(spark, d):
+    """Orders as documents (lines nested; one order's lines are few) against a
+    schema with definitions, alternatives, lengths and element rules."""
+    k = F.col("o_orderkey")
+    line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag"),
+                    F.concat(F.lit("P-"), F.col("l_partkey").cast("string")).alias("part"), F.col("l_quantity").alias("qty"))
+    o = read(spark, d, "orders").join(read(spark, d, "lineitem"), F.col("l_orderkey") == k) \
+        .groupBy("o_orderkey").agg(F.collect_list(line).alias("lines"))
+    text = F.to_json(F.struct(F.concat(F.lit("O-"), k.cast("string")).alias("id"), F.when(k % 50 == 0, "").otherwise("clerk").alias("clerk"),
+                              "lines"))
+    discount = F.when(k % 7 == 2, '"n/a"').when(k % 7 == 3, "null").otherwise("0.5")
+    docs = o.select("o_orderkey", F.concat(F.left(text, F.length(text) - 1), F.lit(',"discount":'), discount, F.lit("}")).alias("doc"))
+    v = dq.schema_violations(docs, ORDER_DOC_SCHEMA, "doc", "o_orderkey")
+    return v.groupBy("violation").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("sum_keys"))
+
+
 @query("dq_document_validator", ops=("DQ-18",), sql="""
 WITH b AS (SELECT c_custkey > 999 OR c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')
-                  AS bad FROM customer)
+                  AS bad, c_nationkey % 2 = 0 AS even FROM customer)
 SELECT 'strict/error' AS mode, CASE WHEN bad THEN 'rejected' ELSE 'accepted' END AS status, count(*) AS n
 FROM b GROUP BY ALL
 UNION ALL
 SELECT 'strict/warn', CASE WHEN bad THEN 'warned' ELSE 'accepted' END, count(*) FROM b GROUP BY ALL
+UNION ALL
+SELECT 'moderate/error', CASE WHEN bad AND even THEN 'rejected' ELSE 'accepted' END, count(*) FROM b GROUP BY ALL
 """)
 def dq_document_validator(spark, d):
     docs = customer_docs(spark, d)
     a = dq.validate_documents(docs, CUSTOMER_DOC_SCHEMA, "doc", "c_custkey", "strict", "error")
     b = dq.validate_documents(docs, CUSTOMER_DOC_SCHEMA, "doc", "c_custkey", "strict", "warn")
-    return (a.groupBy(F.lit("strict/error").alias("mode"), "status").agg(F.count(F.lit(1)).alias("n"))
-            .unionByName(b.groupBy(F.lit("strict/warn").alias("mode"), "status")
-                         .agg(F.count(F.lit(1)).alias("n"))))
+    # moderate: documents that were not valid before are let through
+    c = dq.validate_documents(docs.join(read(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_custkey"),
+                              CUSTOMER_DOC_SCHEMA, "doc", "c_custkey", "moderate", "error", F.col("c_nationkey") % 2 == 0)
+    counts = [x.groupBy(F.lit(mode).alias("mode"), "status").agg(F.count(F.lit(1)).alias("n"))
+              for mode, x in (("strict/error", a), ("strict/warn", b), ("moderate/error", c))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 XML_RULES = [
@@ -333,21 +397,77 @@ def pr_correlations(spark, d):
                      rh(cv, 6).alias("cramers_v"))
 
 
-@query("pr_duplicates_and_nulls", ops=("PR-04",), sql="""
-SELECT 'dup' AS kind, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item, count(*) AS n
-FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
-UNION ALL
-SELECT 'nulls', (CASE WHEN l_shipdate IS NULL THEN '1' ELSE '0' END) || (CASE WHEN l_tax IS NULL THEN '1' ELSE '0' END),
-       count(*) FROM lineitem GROUP BY 2
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query("pr_duplicates_and_nulls", ops=("PR-04",), sql=f"""
+WITH d AS (SELECT count(*) AS n FROM lineitem GROUP BY {", ".join(LINE_COLUMNS)} HAVING count(*) > 1)
+SELECT 'rows' AS kind, 'distinct rows that repeat' AS item, count(*) AS n FROM d
+UNION ALL SELECT 'rows', 'copies of them', CAST(coalesce(sum(n), 0) AS BIGINT) FROM d
+UNION ALL SELECT 'event', 'user and type that repeat', count(*) FROM (SELECT 1 FROM events GROUP BY user_id, event_type HAVING count(*) > 1)
+UNION ALL SELECT 'nulls', {" || ".join(f"(CASE WHEN {c} IS NULL THEN '1' ELSE '0' END)" for c in LINE_COLUMNS)}, count(*) FROM lineitem GROUP BY 2
 """)
 def pr_duplicates_and_nulls(spark, d):
-    li = read(spark, d, "lineitem")
-    dup = pr.duplicate_rows(li, ["l_orderkey", "l_linenumber"]).select(
-        F.lit("dup").alias("kind"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item"),
-        F.col("n_copies").alias("n"))
-    nul = pr.null_patterns(li, ["l_shipdate", "l_tax"]).select(
-        F.lit("nulls").alias("kind"), F.col("null_mask").alias("item"), "n")
-    return dup.unionByName(nul)
+    """Repeated rows by all columns, and the patterns of missing values over all of them."""
+    li = read(spark, d, "lineitem").select(*LINE_COLUMNS)
+    dup = pr.duplicate_rows(li).agg(F.count(F.lit(1)).alias("a"), F.coalesce(F.sum("n_copies"), F.lit(0)).alias("b"))
+    rows = dup.select(F.explode(F.array(
+        F.struct(F.lit("rows").alias("kind"), F.lit("distinct rows that repeat").alias("item"), F.col("a").alias("n")),
+        F.struct(F.lit("rows").alias("kind"), F.lit("copies of them").alias("item"), F.col("b").alias("n")))).alias("x")).select("x.*")
+    ev = pr.duplicate_rows(read(spark, d, "events"), ["user_id", "event_type"]).agg(F.count(F.lit(1)).alias("n"))
+    nul = pr.null_patterns(li, LINE_COLUMNS).select(F.lit("nulls").alias("kind"), F.col("null_mask").alias("item"), "n")
+    return rows.unionByName(ev.select(F.lit("event").alias("kind"), F.lit("user and type that repeat").alias("item"), "n")).unionByName(nul)
+
+
+@query("pr_top_values", ops=("PR-01",), sql="""
+WITH v AS (
+  SELECT 'o_custkey' AS "column", 'bigint' AS type, CAST(o_custkey AS VARCHAR) AS value, count(*) AS n FROM orders GROUP BY ALL
+  UNION ALL SELECT 'o_orderpriority', 'string', o_orderpriority, count(*) FROM orders GROUP BY ALL
+  UNION ALL SELECT 'o_orderstatus', 'string', o_orderstatus, count(*) FROM orders GROUP BY ALL)
+SELECT "column", type, CAST(place AS INTEGER) AS place, value, n
+FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS place FROM v WHERE value IS NOT NULL) WHERE place <= 5
+""")
+def pr_top_values(spark, d):
+    return pr.top_values(read(spark, d, "orders"), ["o_custkey", "o_orderpriority", "o_orderstatus"])
+
+
+@query("pr_profile_estimates", ops=("PR-01",), sql="""
+SELECT c AS "column", TRUE AS distinct_within, TRUE AS median_within FROM (VALUES ('l_partkey'), ('l_extendedprice'), ('l_quantity')) t(c)
+""")
+def pr_profile_estimates(spark, d):
+    """The default profile (sketches) against exact values: distinct counts within
+    five times the sketch's relative deviation of 1 %, ranks of the median within
+    0.01 % of the rows and one."""
+    li, cols = read(spark, d, "lineitem"), ["l_partkey", "l_extendedprice", "l_quantity"]
+    p = pr.profile(li, cols, quantiles=[0.5])
+    est = p.where(F.col("metric").isin("distinct", "p50")).groupBy("column").pivot("metric", ["distinct", "p50"]).agg(F.first("value"))
+    out = None
+    for c in cols:
+        mid = est.where(F.col("column") == c).select("p50").scalar()
+        exact = li.agg(F.count_distinct(c).alias("d"), F.count(c).alias("n"), F.count_if(F.col(c) < mid).alias("below"),
+                       F.count_if(F.col(c) <= mid).alias("upto")).select(F.lit(c).alias("column"), "*")
+        out = exact if out is None else out.unionByName(exact)
+    slack = F.col("n") * 0.0001 + 1
+    return est.join(out, "column").select(
+        "column", (F.abs(F.col("distinct") - F.col("d")) <= 0.05 * F.col("d")).alias("distinct_within"),
+        ((F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)).alias("median_within"))
+
+
+@query("pr_high_correlation", ops=("PR-05", "PR-03"), sql=f"""
+WITH c AS (SELECT corr(l_quantity, l_extendedprice) AS a, corr(l_quantity, l_discount) AS b, corr(l_extendedprice, l_discount) AS c_,
+                  corr(l_quantity, 2 * l_quantity + l_tax) AS d, corr(l_extendedprice, 2 * l_quantity + l_tax) AS e,
+                  corr(l_discount, 2 * l_quantity + l_tax) AS f FROM lineitem),
+p AS (SELECT 'l_quantity' AS "column", 'l_extendedprice' AS other, a AS value FROM c
+      UNION ALL SELECT 'l_quantity', 'l_discount', b FROM c UNION ALL SELECT 'l_extendedprice', 'l_discount', c_ FROM c
+      UNION ALL SELECT 'l_quantity', 'twice', d FROM c UNION ALL SELECT 'l_extendedprice', 'twice', e FROM c
+      UNION ALL SELECT 'l_discount', 'twice', f FROM c)
+SELECT "column", other, 'high_correlation' AS alert, {rnd("value", 6)} AS value FROM p WHERE abs(value) > 0.9
+""")
+def pr_high_correlation(spark, d):
+    li = read(spark, d, "lineitem").withColumn("twice", 2 * F.col("l_quantity") + F.col("l_tax"))
+    a = pr.correlation_alerts(li, ["l_quantity", "l_extendedprice", "l_discount", "twice"])
+    return a.withColumn("value", rh("value", 6))
 
 
 @query("pr_alerts", ops=("PR-05",), sql="""

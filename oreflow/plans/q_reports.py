@@ -157,7 +157,7 @@ def pf_null_safe_change(spark, d):
 WITH v AS (SELECT r.r_name AS region, count(DISTINCT o.o_orderkey) AS orders_, count(*) AS lines_
            FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
            JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
-           JOIN region r ON r.r_regionkey = n.n_regionkey WHERE l.l_returnflag = 'R' GROUP BY 1),
+           JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY 1),
 grid AS (SELECT r_name AS region, m.metric FROM region CROSS JOIN (VALUES ('orders'), ('lines'), ('none')) m(metric))
 SELECT g.region, g.metric, CAST(coalesce(CASE g.metric WHEN 'orders' THEN v.orders_ WHEN 'lines' THEN v.lines_ END, 0) AS BIGINT) AS value
 FROM grid g LEFT JOIN v ON v.region = g.region
@@ -167,7 +167,7 @@ def jn_cross_values(spark, d):
     # literal: every region row is repeated per metric, no join
     r = read(spark, d, "region").select(F.col("r_name").alias("region"))
     grid = r.select("region", F.explode(F.array(F.lit("orders"), F.lit("lines"), F.lit("none"))).alias("metric"))
-    p = production(spark, d).where(F.col("l_returnflag") == "R")
+    p = production(spark, d)
     c = read(spark, d, "customer").select("c_custkey", "c_nationkey")
     n, rg = read(spark, d, "nation"), read(spark, d, "region")
     v = (p.join(c, p.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)

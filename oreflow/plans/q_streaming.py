@@ -17,6 +17,7 @@ from oreflow.plans.q_timeseries import KEYS, R
 from oreflow.plans.registry import query
 from oreflow.plans.sqlfmt import rnd
 from oreflow.session import scratch_path
+from oreflow.sinks.writers import table
 from oreflow.sources.tables import read, sensor_readings
 from oreflow.streaming import core as sc
 from oreflow.streaming import operators as so
@@ -349,3 +350,12 @@ def st_chained_windows(spark, d):
     h = sc.to_ntz(so.chained_rollup(partial, ["sensor_type"], "1 hour"))
     return h.select(F.col("window.start").alias("hour"), "sensor_type", "n", rh("avg_value", 6).alias("avg_value"),
                     "min_value", "max_value")
+
+
+@query("doc_running_totals", ops=("DOC-14", "SNK-04"), sql=f"""
+SELECT equipment_id, sensor_type, count(*) AS n, {rnd("sum(value)", 2)} AS total, max(value) AS largest FROM {R} GROUP BY ALL
+""")
+def doc_running_totals(spark, d):
+    # three deliveries out of order, the second added twice
+    path = sc.run_totals(_stream(spark, d), "totals", KEYS, "value", again=[1])
+    return table(spark, path).select(*KEYS, "n", rh("total", 2).alias("total"), "largest")

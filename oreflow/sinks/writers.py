@@ -256,6 +256,27 @@ def refresh_window_rollup(source: DataFrame, ts: str, keys: Sequence[str], value
             .withColumn("day", F.to_date("bucket")))
 
 
+BUCKETS = 16     # parts of a table of running totals
+
+
+def add_totals(df: DataFrame, path: str, keys: Sequence[str], value: str, batch: str, buckets: int = BUCKETS) -> bool:
+    """DOC-14 (computed pattern: increment and maximum upserts): add a batch of
+    rows to a table of running totals per key: n, total, largest.  The batch is
+    summed by key first; only the parts of the table that hold one of its keys
+    are written again.  False if ``batch`` has been added before."""
+    spark, keys = df.sparkSession, _keys(keys)
+    state = _state(spark, path)
+    if state and batch in state["batches"]:
+        return False
+    part = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.max(value).alias("largest")) \
+        .withColumn("part", part)
+    if state:
+        new = new.unionByName(table(spark, path).join(new.select("part").distinct(), "part", "left_semi"))
+    merged = new.groupBy(*keys, "part").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("largest").alias("largest"))
+    return commit(merged, path, ["part"], "partitions" if state else "all", batch=batch)
+
+
 def retention(spark: SparkSession, path: str, partition_col: str, keep_from) -> None:
     """SNK-09: drop the partitions older than ``keep_from``: the pointer leaves
     their folders out, no row is read or written."""

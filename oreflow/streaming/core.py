@@ -79,6 +79,23 @@ def run_changelog(stream: DataFrame, name: str, output_mode: str = "update",
     return Changelog(out, stream.schema, late)
 
 
+def run_totals(stream: DataFrame, name: str, keys: Sequence[str], value: str, again: Sequence[int] = ()) -> str:
+    """DOC-14 on a stream: every micro-batch is added to a table of running totals
+    (``writers.add_totals``) under its number, so one that is repeated after a
+    failure counts once; ``again`` repeats batches to show it.  Returns the
+    table's path."""
+    from oreflow.sinks.writers import add_totals
+    spark = stream.sparkSession
+    out, ckpt = scratch_path(spark, f"{name}-totals"), scratch_path(spark, f"{name}-ckpt")
+
+    def write_batch(df: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id in again else 1):
+            add_totals(df, out, keys, value, f"{name}-{batch_id}")
+
+    run_stream(stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(write_batch), spark)
+    return out
+
+
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 

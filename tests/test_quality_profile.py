@@ -170,3 +170,57 @@ def test_exact_quantiles_per_group(spark):
     for g in ("a", "b", None):
         v = sorted(x for h, x in rows if h == g and x is not None)
         assert all(got[(g, q)] == v[max(1, math.ceil(round(q * len(v), 6))) - 1] for q in (0.0, 0.25, 0.7, 1.0))
+
+
+def test_json_schema_references_alternatives_and_elements(spark):
+    import json
+
+    import pytest
+
+    from oreflow.operators import quality as dq
+    schema = {
+        "type": "array", "items": {"$ref": "#/$defs/Thing"},
+        "$defs": {
+            "Name": {"type": "string", "minLength": 1, "maxLength": 4},
+            "Thing": {"type": "object", "required": ["id"], "additionalProperties": False, "properties": {
+                "id": {"$ref": "#/$defs/Name"}, "n": {"type": "integer", "exclusiveMinimum": 0},
+                "past": {"oneOf": [{"type": "array", "items": {"$ref": "#/$defs/Name"}}, {"type": "null"}]},
+                "kind": {"anyOf": [{"const": 1}, {"enum": ["a", True]}]}, "on": {"format": "date", "type": "string"},
+                "both": {"allOf": [{"minimum": 2}, {"maximum": 5}]}}}}}
+    cases = [
+        ([], []), ({}, ["$:type"]), (None, ["$:type"]),
+        ([{"id": "ab", "n": 3, "past": None, "kind": True, "on": "2024-02-29", "both": 5}], []),
+        ([{"id": "ab", "past": ["x", "y"], "kind": 1}], []),
+        ([{"id": "x"}, {"id": ""}], ["$[*].id:minLength"]), ([{"id": "abcde"}], ["$[*].id:maxLength"]),
+        ([{"n": 1}], ["$[*].id:required"]), ([{"id": "a", "more": 1}], ["$[*]:additionalProperties"]),
+        ([{"id": "a", "n": 0}], ["$[*].n:exclusiveMinimum"]), ([{"id": "a", "n": 1.5}], ["$[*].n:type"]),
+        ([{"id": "a", "past": ["x", ""]}], ["$[*].past:oneOf"]), ([{"id": "a", "past": 5}], ["$[*].past:oneOf"]),
+        ([{"id": "a", "kind": "b"}], ["$[*].kind:anyOf"]), ([{"id": "a", "kind": False}], ["$[*].kind:anyOf"]),
+        ([{"id": "a", "on": "2024-02-30"}], ["$[*].on:format"]), ([{"id": "a", "both": 6}], ["$[*].both:allOf"]),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, (d, _) in enumerate(cases)] + [(99, "not json")], "i int, d string")
+    got = {}
+    for r in dq.schema_violations(df, schema, "d", "i").collect():
+        got.setdefault(r.i, []).append(r.violation)
+    assert got.pop(99) == ["$:parse"]
+    assert got == {i: want for i, (_, want) in enumerate(cases) if want}
+    for bad in ({"multipleOf": 2}, {"properties": {"a": {"if": {}}}}, {"format": "uri"}, {"$ref": "#/$defs/none"},
+                {"$defs": {"A": {"items": {"$ref": "#/$defs/A"}}}, "$ref": "#/$defs/A"}):
+        with pytest.raises(ValueError):
+            dq.compile_json_schema(bad, F.col("d"))
+
+
+def test_top_values_are_exact_where_the_sketch_is_not(spark):
+    from collections import Counter
+
+    from oreflow.operators import profile as pr
+    import random
+    rnd = random.Random(1)
+    rows = [(rnd.choice(["hot", None, str(rnd.randrange(3000))]), i % 50) for i in range(6000)]
+    df = spark.createDataFrame(rows, "a string, b int").repartition(4)
+    for tracked in (16, 10_000):
+        got = {(r.column, r.place): (r.type, r.value, r.n) for r in pr.top_values(df, ["a", "b"], 4, tracked).collect()}
+        for c, kind, values in (("a", "string", [r[0] for r in rows if r[0] is not None]), ("b", "int", [str(r[1]) for r in rows])):
+            want = sorted(Counter(values).items(), key=lambda x: (-x[1], x[0]))[:4]
+            assert [got[(c, p + 1)] for p in range(4)] == [(kind, v, n) for v, n in want]
+    assert pr.top_values(df.limit(0), ["a"]).count() == 0
