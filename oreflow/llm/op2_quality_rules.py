@@ -7,7 +7,9 @@ languages merge by adding counts, and equal inputs give equal thresholds.  A
 group's limits are its quartiles spread by ``FENCE`` quartile distances (one unit
 of the measure at least).  Of repetition most texts have none and ordinary ones
 some, so its quartiles say nothing: there the limit is no lower than the group's
-upper quantile.  Groups with few documents use the merged sketch of their
+upper quantile.  Symbols are none in most prose and many in junk, and some in a
+source of tables or code: there the limit lies in the widest gap of the group's
+sketch above the body of its documents, and at its end where it has no gap.  Groups with few documents use the merged sketch of their
 language, or of all.  The limits join back to the documents, and a document
 outside any of them goes.
 """
@@ -27,8 +29,10 @@ from .textvec import _U, SPACE, Flat, mix, pieces, unique_per_text, windows
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 FENCE = 3
 MIN_GROUP = 200
+KNEE = 8        # a gap's far end is so many times its near end, counted from one, at least
 UNIT = 1        # least width of a fence, in the measure's own unit
 # measure -> (whether it has a lower limit; percent of a group's documents that the upper one spares at least)
+GAPPED = ("symbol_pm",)        # measures whose upper limit lies in a gap
 MEASURES = {
     "symbol_pm": (False, 75),      # symbols per 1000 characters of words
     "dup_line_pm": (False, 99),    # repeated lines per 1000 lines with a word
@@ -38,7 +42,7 @@ MEASURES = {
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
-QUANTILES = ("q1", "q3", "top")
+QUANTILES = ("q1", "q3", "top", "knee")
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -135,15 +139,23 @@ def sketch(df: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
 
 
 def quartiles(sk: DataFrame, by: list[str]) -> DataFrame:
-    """Per group and measure: count, lower and upper quartile (bin edges), and the
-    last number of the bin that holds the measure's upper quantile.
+    """Per group and measure: count, lower and upper quartile (bin edges), the last
+    number of the bin that holds the measure's upper quantile, and the knee: the
+    middle (geometric, counted from one) of the widest gap between bins that lies
+    above the spared share, else the last number of the last bin.
 
     A sketch has a few hundred bins at most, so a group's window is small."""
     w = Window.partitionBy(*by, "measure")
     run = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = sk.withColumns({"cum": F.sum("n").over(run), "total": F.sum("n").over(w)})
     spared = F.coalesce(*[F.when(F.col("measure") == m, F.lit(top)) for m, (_, top) in MEASURES.items()])
+    last = F.col("bin") + _width(F.col("bin")) - 1
+    c = c.withColumn("last", F.lag(last).over(w.orderBy("bin")))
+    ratio = (F.col("bin") + 1) / (F.col("last") + 1)
+    gap = (ratio >= KNEE) & ((F.col("cum") - F.col("n")) * 100 >= F.col("total") * spared)
+    middle = (F.floor(F.sqrt((F.col("last") + 1.0) * (F.col("bin") + 1.0))) - 1).cast("long")
     return c.groupBy(*by, "measure").agg(
+        F.coalesce(F.max(F.when(gap, F.struct(ratio.alias("r"), (-F.col("bin")).alias("b"), middle.alias("m"))))["m"], F.max(last)).alias("knee"),
         F.max("total").alias("total"),
         F.min(F.when(F.col("cum") * 4 >= F.col("total"), F.col("bin"))).alias("q1"),
         F.min(F.when(F.col("cum") * 4 >= F.col("total") * 3, F.col("bin"))).alias("q3"),
@@ -176,7 +188,7 @@ def thresholds(sk: DataFrame) -> DataFrame:
         spread = F.greatest(FENCE * (F.col("q3") - F.col("q1")), F.lit(UNIT))
         if lo:
             out.append(F.max(F.when(mine, F.col("q1") - spread)).alias(f"{m}_lo"))
-        out.append(F.max(F.when(mine, F.greatest(F.col("q3") + spread, F.col("top")))).alias(f"{m}_hi"))
+        out.append(F.max(F.when(mine, F.greatest(F.col("q3") + spread, F.col("knee" if m in GAPPED else "top")))).alias(f"{m}_hi"))
     return j.groupBy("lang", "source").agg(*out)
 
 
