@@ -342,14 +342,8 @@ class NearDuplicates:
 
     def _stars(self, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
         """(a, b, o, n): a class, the pivot of o of its long lists, the class's size;
-        (node, lists, n): pivots, their lists and size.
-
-        A class meets the pivots of its FEW longest lists: in a group of copies
-        these are the lists that most of the group hold.  A set that its sketch (or
-        that of a linked set) holds whole meets those of all its long lists."""
-        whole = F.col("n") * self.percent <= K * 100
-        lists = F.when(whole, F.col("lists")).otherwise(F.slice("lists", 1, FEW))
-        h = per.select("node", "n", "weight", F.explode(lists).alias("x")).select("node", "n", "weight", F.col("x.v").alias("v"))
+        (node, lists, n): pivots, their lists and size."""
+        h = per.select("node", "n", "weight", F.explode("lists").alias("x")).select("node", "n", "weight", F.col("x.v").alias("v"))
         top = self.cut(h.groupBy("v").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("p"))
                        .select("v", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb")))
         star = h.join(top, "v").where((F.col("node") != F.col("b")) & self._near(F.col("n"), F.col("nb"), far)) \
