@@ -8,7 +8,9 @@ never writes its 'completed' event leaves the watermark untouched.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,30 @@ def log_event(spark: SparkSession, load_id: int, table: str, load_type: str, sta
         [(load_id, table, load_type, status, extracted, loaded, rejected, error, at)], LOAD_LOG_SCHEMA)
 
 
+def logged_load(spark: SparkSession, log_path: str, load_id: int, name: str, source: Callable[[], DataFrame], path: str,
+                valid: Column | None = None, load_type: str = "full", batch: str | None = None) -> bool:
+    """ETL-02 / UD-01: load a table and write the log around it: 'started' before,
+    'completed' with the rows extracted, loaded and rejected (``valid`` not true)
+    after, or 'failed' with the error.  Log and table are tables of
+    ``sinks.writers``; a ``batch`` that the table has already is not loaded (nor
+    logged) again.  True if the load was completed."""
+    from oreflow.sinks import writers
+    if batch is not None and writers.committed(spark, path, batch):
+        return False
+    event = lambda *a, **b: writers.append(log_event(spark, load_id, name, load_type, *a, **b), log_path)
+    event("started")
+    try:
+        df = source()
+        ok = F.coalesce(valid, F.lit(False)) if valid is not None else F.lit(True)
+        writers.commit(df.where(ok), path, batch=batch)
+        n, good = df.agg(F.count(F.lit(1)), F.count_if(ok)).first()
+    except Exception as e:  # noqa: BLE001 - whatever it was, the log has it
+        event("failed", error=str(e)[:500])
+        return False
+    event("completed", extracted=n, loaded=good, rejected=n - good)
+    return True
+
+
 def load_state(log: DataFrame) -> DataFrame:
     """ETL-02: the latest state of every load (latest event wins)."""
     cols = [c for c in log.columns if c != "load_id"]
@@ -103,7 +129,11 @@ def change_detection(previous: DataFrame, current: DataFrame, keys: Sequence[str
     keys = _keys(keys)
     p = previous.select(*keys, row_hash(*compare).alias("__hp"))
     c = current.select(*keys, row_hash(*compare).alias("__hc"))
-    j = p.join(c, keys, "full_outer")
+    # NULL keys match each other
+    c = c.withColumnsRenamed({k: f"__c_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys])
+    j = p.join(c, same, "full_outer")
+    keys = [F.when(F.col("__hp").isNull(), F.col(f"__c_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
     t = (F.when(F.col("__hp").isNull(), "new").when(F.col("__hc").isNull(), "deleted")
          .when(F.col("__hp") == F.col("__hc"), "unchanged").otherwise("changed"))
     return j.select(*keys, t.alias("change_type"))

@@ -176,11 +176,11 @@ def rule_join(events: DataFrame, rules: DataFrame, key: str, value: str,
               hi: str = "threshold_high", active: str | None = "is_active") -> DataFrame:
     """Theta join of events with threshold rules (JN-09): rules of the same
     type whose condition holds — 'gt': value > hi; 'lt': value < lo;
-    'range': value outside [lo, hi].  Rule tables are small and bounded by
-    the number of (type, level) pairs, so the rule side is broadcast."""
+    'range': value outside [lo, hi].  Spark broadcasts the rules if their size
+    allows it, else joins by type."""
     r = rules.where(F.col(active)) if active else rules
     v = F.col(value)
     hit = (((F.col(cond_col) == "gt") & (v > F.col(hi)))
            | ((F.col(cond_col) == "lt") & (v < F.col(lo)))
            | ((F.col(cond_col) == "range") & ((v < F.col(lo)) | (v > F.col(hi)))))
-    return events.join(F.broadcast(r), key, "inner").where(hit)
+    return events.join(r, key, "inner").where(hit)

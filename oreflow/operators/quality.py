@@ -155,9 +155,9 @@ def critical_failures(result: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def range_flags(df: DataFrame, ranges: DataFrame, type_col: str, value: str) -> DataFrame:
     """DQ-10: per-type physical range (type, min, max) -> ``is_suspect``.
-    The range table is one row per sensor type (bounded), broadcast."""
+    Spark broadcasts the ranges if their size allows it."""
     r = ranges.select(F.col(type_col).alias("__t"), F.col("min").alias("__lo"), F.col("max").alias("__hi"))
-    j = df.join(F.broadcast(r), df[type_col] == r["__t"], "left")
+    j = df.join(r, df[type_col] == r["__t"], "left")
     bad = (F.col(value) < F.col("__lo")) | (F.col(value) > F.col("__hi"))
     return j.withColumn("is_suspect", F.coalesce(bad, F.lit(False))).drop("__t", "__lo", "__hi")
 

@@ -11,3 +11,4 @@ from oreflow.plans import q_graph  # noqa: F401
 from oreflow.plans import q_vectors_text  # noqa: F401
 from oreflow.plans import q_streaming  # noqa: F401
 from oreflow.plans import q_reports  # noqa: F401
+from oreflow.plans import q_roundtrip  # noqa: F401

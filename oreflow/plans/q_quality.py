@@ -21,7 +21,7 @@ ORDER_RULES = [
     Rule("status_in_set", "in_set", "o_orderstatus", {"values": ["F", "O", "P"]}),
     Rule("price_range", "between", "o_totalprice", {"min": 1000.0, "max": 400000.0}),
     Rule("priority_format", "regex", "o_orderpriority", {"pattern": "^[1-5]-[A-Z ]+$"}),
-    Rule("row_count", "row_count", None, {"min": 1, "max": 1_000_000_000}),
+    Rule("row_count", "row_count", None, {"min": 1}),
     Rule("customer_fk", "fk", "o_custkey", {"parent": "customer", "parent_key": "c_custkey"}),
     Rule("date_not_before_1995", "expr", None,
          {"predicate": "o_orderdate >= TIMESTAMP_NTZ '1995-01-01 00:00:00'"}),

@@ -183,14 +183,17 @@ WITH s AS (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text)
            FROM documents),
 c AS (SELECT doc_id, start, substring(text, start + 1, 512) AS chunk FROM s)
 SELECT doc_id, count(*) AS n_chunks, CAST(sum(length(chunk)) AS BIGINT) AS chunk_chars,
-       CAST(arg_max(length(chunk), start) AS INTEGER) AS last_len
+       CAST(arg_max(length(chunk), start) AS INTEGER) AS last_len, md5(string_agg(chunk, '|' ORDER BY start)) AS chunks_md5
 FROM c GROUP BY doc_id
 """)
 def tx_fixed_chunks(spark, d):
     c = tx.fixed_chunks(read(spark, d, "documents"), "doc_id", "text", 512, 50)
     return c.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"),
                                    F.sum(F.length("text")).cast("bigint").alias("chunk_chars"),
-                                   F.max_by(F.length("text"), "start").alias("last_len"))
+                                   F.max_by(F.length("text"), "start").alias("last_len"),
+                                   # a text's chunks are bounded by the text
+                                   F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))),
+                                                                  lambda x: x["text"]), "|")).alias("chunks_md5"))
 
 
 @query("tx_recursive_chunks", ops=("TX-01",))
@@ -246,28 +249,34 @@ def tx_quality_filter(spark, d):
 
 @query("tx_language_balance", ops=("TX-05", "AG-12"), sql=f"""
 SELECT lang, count(*) AS n_docs, {rnd("100.0 * count(*) / sum(count(*)) OVER ()", 3)} AS share_pct,
-       count(DISTINCT source) AS n_sources, {rnd("avg(n_chars)", 2)} AS avg_chars
+       count(DISTINCT source) AS n_sources, {rnd("avg(n_chars)", 2)} AS avg_chars,
+       {rnd("100.0 * count(DISTINCT source) / (SELECT count(DISTINCT source) FROM documents)", 3)} AS domain_coverage_pct
 FROM documents GROUP BY lang
 """)
 def tx_language_balance(spark, d):
     from pyspark.sql import Window
-    g = read(spark, d, "documents").groupBy("lang").agg(
+    docs = read(spark, d, "documents")
+    domains = docs.select(F.count_distinct("source")).scalar()
+    g = docs.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_docs"), F.count_distinct("source").alias("n_sources"),
         rh(F.avg("n_chars"), 2).alias("avg_chars"))
+    g = g.withColumn("domain_coverage_pct", rh(F.col("n_sources") * 100.0 / domains, 3))
     return g.withColumn("share_pct", rh(F.col("n_docs") * 100.0 / F.sum("n_docs").over(Window.partitionBy()), 3))
 
 
 @query("tx_sft_records", ops=("TX-06",), sql="""
 WITH m AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations),
 g AS (SELECT conv_id, count(*) AS n_messages, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role,
-             bool_or(prev IS NOT NULL AND prev = role) AS bad FROM m GROUP BY conv_id)
-SELECT conv_id, CAST(n_messages AS INTEGER) AS n_messages, first_role,
+             bool_or(prev IS NOT NULL AND prev = role) AS bad, md5(string_agg(role || ':' || text, chr(10) ORDER BY turn)) AS messages_md5
+      FROM m GROUP BY conv_id)
+SELECT conv_id, CAST(n_messages AS INTEGER) AS n_messages, first_role, messages_md5,
        first_role IN ('user', 'system') AND last_role = 'assistant' AND NOT bad AS valid
 FROM g
 """)
 def tx_sft_records(spark, d):
     r = tx.sft_records(read(spark, d, "conversations"))
-    return r.select("conv_id", "n_messages", "first_role", "valid")
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    return r.select("conv_id", "n_messages", "first_role", F.md5(said).alias("messages_md5"), "valid")
 
 
 @query("tx_preference_pairs", ops=("TX-07",), sql="""
@@ -291,10 +300,10 @@ WITH ch AS (SELECT doc_id, start, substring(text, start + 1, 512) AS chunk FROM
               (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 50 - 1, 0), 462)) AS start
                FROM documents)),
 {bm25_sql("SELECT CAST(doc_id AS VARCHAR) || ':' || CAST(start AS VARCHAR) AS doc, chunk AS text FROM ch", 8)},
-t AS (SELECT bm.qid, bm.doc, bm.rank, len(list_filter(string_split_regex(ch.chunk, '\\s+'), lambda x: x <> '')) AS ntok
+t AS (SELECT bm.qid, bm.doc, bm.rank, ch.chunk, len(list_filter(string_split_regex(ch.chunk, '\\s+'), lambda x: x <> '')) AS ntok
       FROM bm JOIN ch ON CAST(ch.doc_id AS VARCHAR) || ':' || CAST(ch.start AS VARCHAR) = bm.doc),
 run AS (SELECT *, sum(ntok) OVER (PARTITION BY qid ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tot FROM t)
-SELECT qid AS item_id, count(*) AS n_chunks, sum(ntok) AS tokens_used FROM run WHERE tot <= 300 GROUP BY qid
+SELECT qid AS item_id, count(*) AS n_chunks, sum(ntok) AS tokens_used, md5(string_agg(chunk, chr(10) || chr(10) ORDER BY rank)) AS context_md5 FROM run WHERE tot <= 300 GROUP BY qid
 """)
 def tx_rag_context(spark, d):
     ch = tx.fixed_chunks(read(spark, d, "documents"), "doc_id", "text", 512, 50).select(
@@ -302,7 +311,7 @@ def tx_rag_context(spark, d):
     top = tx.bm25(ch, read(spark, d, "benchmark"), "chunk_id", "text", "item_id", "text", k=8)
     ranked = top.join(ch.select("chunk_id", "text", tx.token_count("text").alias("ntok")), "chunk_id")
     ctx = tx.context_under_budget(ranked, "item_id", "rank", "ntok", "text", budget=300)
-    return ctx.select("item_id", "n_chunks", F.col("tokens_used").cast("bigint").alias("tokens_used"))
+    return ctx.select("item_id", "n_chunks", F.col("tokens_used").cast("bigint").alias("tokens_used"), F.md5("context").alias("context_md5"))
 
 
 # Price per 1000 tokens by message role (parameters of the cost report).

@@ -72,6 +72,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, os.path.join(path, POINTER))
 
 
+def committed(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether the table has the batch already."""
+    return batch in (_state(spark, path) or {"batches": []})["batches"]
+
+
 def table(spark: SparkSession, path: str) -> DataFrame:
     """The table as it is now; a change made later does not reach this frame."""
     state = _state(spark, path)

@@ -23,7 +23,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, delimiter
              keep_corrupt: bool = True) -> DataFrame:
     """SRC-01: CSV with header and declared types (no inference).  Rows that
     do not fit the schema are kept with their raw text in
-    ``_corrupt_record`` (PERMISSIVE) so they can be quarantined."""
+    ``_corrupt_record`` (PERMISSIVE) so they can be quarantined.  Spark parses
+    only the columns that are asked for: read all of them to see every fault."""
     r = (spark.read.option("header", True).option("delimiter", delimiter).option("encoding", "UTF-8")
          .option("mode", "PERMISSIVE"))
     if keep_corrupt:
