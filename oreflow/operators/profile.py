@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import NumericType, StringType
 
+from oreflow.operators.numbering import running_totals
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
@@ -128,34 +130,15 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("bin_min"), F.max(column).alias("bin_max")))
 
 
-def global_average_rank(df: DataFrame, column: str, out: str, buckets: int = 64) -> DataFrame:
+def global_average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     """Average rank (1-based, ties share the mean rank) of ``column`` over the
-    whole table, computed distributedly.
-
-    ``buckets - 1`` approximate quantiles of the column are fetched once (a
-    bounded list of numbers); a row's bucket is the number of boundaries
-    below its value, so equal values share a bucket and buckets are ordered
-    ranges.  Ranks are taken inside each bucket and shifted by the row
-    counts of all lower buckets (a table with one row per bucket).  No
-    window ever spans the whole table."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(column, probs, 10000).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
-    b = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda x: x < F.col(column))) \
-        if bounds else F.lit(0)
-    d = df.withColumn("__b", b)
-    # everything below works on distinct (bucket, value) counts, so a value
-    # held by a third of all rows is one row here, not one task's worth
-    vc = d.groupBy("__b", column).agg(F.count(F.lit(1)).alias("__t"))
-    sizes = vc.groupBy("__b").agg(F.sum("__t").alias("__n"))
-    offs = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    within = F.coalesce(F.sum("__t").over(Window.partitionBy("__b").orderBy(column)
-                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # one row per bucket: broadcast bounded by ``buckets``
-    ranks = (vc.withColumn("__before", within).join(F.broadcast(offs), "__b")
-             .select("__b", column, (F.col("__off") + F.col("__before") + (F.col("__t") + 1) / 2.0).alias(out)))
-    return d.join(ranks, ["__b", column]).drop("__b")
+    whole table: rows per distinct value, running totals over ranges of values
+    (``numbering.running_totals``: as many ranges as shuffle partitions), joined
+    back.  A value held by a third of all rows is one row of the counts."""
+    counts = df.groupBy(F.col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__t"))
+    ranks = running_totals(counts, ["__v"], "__t", "__upto") \
+        .select("__v", (F.col("__upto") - F.col("__t") + (F.col("__t") + 1) / 2.0).alias(out))
+    return df.join(ranks, F.col(column).eqNullSafe(F.col("__v"))).drop("__v")
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], keys: Sequence[str] = (),

@@ -257,31 +257,39 @@ def gaps(df: DataFrame, keys: Sequence[str], ts: str, max_gap_s: float,
             .select(*_keys(keys), "gap_start", F.col(ts).alias("gap_end"), "gap_s"))
 
 
-def gap_fill(df: DataFrame, keys: Sequence[str], ts: str, value: str, width: str) -> DataFrame:
+def gap_fill(df: DataFrame, keys: Sequence[str], ts: str, value: str, width: str, bucket_s: int = 30 * 86400) -> DataFrame:
     """TS-16 (fill): a regular spine of buckets per key between its first and
     last bucket; buckets without readings get the linear interpolation of
-    the neighbouring known bucket averages (``interpolated`` = true)."""
+    the neighbouring known bucket averages (``interpolated`` = true).
+
+    Each known bucket brings the ones missing up to the next known one, which
+    comes from (key, ``bucket_s``) parts and their edges: no spine of a key is
+    made or joined, and no window spans one."""
+    from oreflow.operators.windows import bucketed_neighbour
     keys = _keys(keys)
     step = F.expr(f"INTERVAL {width}")
-    b = df.groupBy(*keys, time_bucket(ts, width).alias("bucket")).agg(
-        F.avg(value).alias("avg_value"))
-    rng = b.groupBy(*keys).agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    spine = rng.select(*keys, F.explode(F.sequence("lo", "hi", step)).alias("bucket"))
-    s = spine.join(b, keys + ["bucket"], "left")
-    wp = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    wn = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(0, Window.unboundedFollowing)
-    known_t = F.when(F.col("avg_value").isNotNull(), F.col("bucket"))
-    s = (s.withColumn("p_v", F.last("avg_value", True).over(wp))
-         .withColumn("p_t", F.last(known_t, True).over(wp))
-         .withColumn("n_v", F.first("avg_value", True).over(wn))
-         .withColumn("n_t", F.first(known_t, True).over(wn)))
-    span = F.timestamp_diff("SECOND", F.col("p_t"), F.col("n_t"))
-    frac = F.try_divide(F.timestamp_diff("SECOND", F.col("p_t"), F.col("bucket")).cast("double"),
-                        span.cast("double"))
-    interp = F.col("p_v") + (F.col("n_v") - F.col("p_v")) * F.coalesce(frac, F.lit(0.0))
-    return (s.withColumn("interpolated", F.col("avg_value").isNull())
-            .withColumn("value_filled", F.coalesce(F.col("avg_value"), interp))
-            .drop("p_v", "p_t", "n_v", "n_t"))
+    b = df.groupBy(*keys, time_bucket(ts, width).alias("bucket")).agg(F.avg(value).alias("avg_value"))
+    b = b.withColumn("__own", F.struct("bucket", "avg_value"))
+    # buckets whose readings have no value: a start or an end of the spine, else like missing ones
+    b = b.withColumn("__any", F.when(F.col("avg_value").isNotNull(), F.col("__own")))
+    known = bucketed_neighbour(b.where(F.col("avg_value").isNotNull()), keys, "bucket", "avg_value", bucket_s, "__own", "__next", following=True)
+    last = F.coalesce(F.col("__next.bucket") - step, F.col("bucket"))
+    known = known.withColumn("__at", F.explode(F.sequence("bucket", last, step)))
+    span = F.timestamp_diff("SECOND", F.col("bucket"), F.col("__next.bucket")).cast("double")
+    frac = F.timestamp_diff("SECOND", F.col("bucket"), F.col("__at")).cast("double") / span
+    here = F.col("__at") == F.col("bucket")
+    filled = known.select(*keys, F.col("__at").alias("bucket"), F.when(here, F.col("avg_value")).alias("avg_value"), (~here).alias("interpolated"),
+                          F.when(here, F.col("avg_value")).otherwise(F.col("avg_value") + (F.col("__next.avg_value") - F.col("avg_value")) * frac)
+                          .alias("value_filled"))
+    ends = b.groupBy(*keys).agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"), F.min("__any").alias("__f"), F.max("__any").alias("__l"))
+    before = F.when(F.col("__f").isNull(), F.sequence("lo", "hi", step)) \
+        .when(F.col("lo") < F.col("__f.bucket"), F.sequence("lo", F.col("__f.bucket") - step, step))
+    after = F.when(F.col("hi") > F.col("__l.bucket"), F.sequence(F.col("__l.bucket") + step, "hi", step))
+    none = F.array().cast("array<timestamp_ntz>") if dict(b.dtypes)["bucket"] == "timestamp_ntz" else F.array().cast("array<timestamp>")
+    outside = ends.select(*keys, F.explode(F.concat(F.coalesce(before, none), F.coalesce(after, none))).alias("bucket"),
+                          F.lit(None).cast("double").alias("avg_value"), F.lit(True).alias("interpolated"),
+                          F.lit(None).cast("double").alias("value_filled"))
+    return filled.unionByName(outside)
 
 
 def dedup_readings(df: DataFrame, keys: Sequence[str], ts: str, keep_min: str) -> DataFrame:

@@ -8,11 +8,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from oreflow.functions.hashing import hash_key, row_hash
+from oreflow.operators.windows import bucketed_neighbour
 
 END_OF_TIME = "9999-12-31 00:00:00"
+BUCKET_S = 90 * 86400
 
 
 def _keys(keys) -> list[str]:
@@ -67,12 +68,11 @@ def satellite_load(sat: DataFrame | None, candidates: DataFrame, hk: str) -> Dat
     cand = candidates
     if sat is not None:
         cand = cand.unionByName(sat.drop("load_end_dts"))
-    w = Window.partitionBy(hk).orderBy("load_dts", "hash_diff")
-    kept = (cand.withColumn("__prev", F.lag("hash_diff").over(w))
-            .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("hash_diff")))
-            .drop("__prev"))
-    return kept.withColumn("load_end_dts", F.coalesce(F.lead("load_dts").over(w),
-                                                      F.lit(END_OF_TIME).cast("timestamp_ntz")))
+    # neighbours come from time buckets and their edges: no window spans a key's history
+    kept = bucketed_neighbour(cand, [hk], "load_dts", "hash_diff", BUCKET_S, "hash_diff", "__prev")
+    kept = kept.where(F.col("__prev").isNull() | (F.col("__prev") != F.col("hash_diff"))).drop("__prev")
+    kept = bucketed_neighbour(kept, [hk], "load_dts", "hash_diff", BUCKET_S, "load_dts", "load_end_dts", following=True)
+    return kept.withColumn("load_end_dts", F.coalesce("load_end_dts", F.lit(END_OF_TIME).cast("timestamp_ntz")))
 
 
 def current_satellite(sat: DataFrame) -> DataFrame:

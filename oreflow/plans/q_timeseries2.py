@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from oreflow.functions.classify import quality_flag
 from oreflow.functions.numeric import round_half_up as rh
 from oreflow.functions.timefn import minutes_between, time_bucket
 from oreflow.operators import timeseries as ts
+from oreflow.operators.numbering import running_totals
 from oreflow.operators.windows import bucketed_neighbour
 from oreflow.plans.q_timeseries import KEYS, QF, R
 from oreflow.plans.registry import query
@@ -331,11 +331,13 @@ def ts_downtime_ranking(spark, d):
     dt = r.where(F.col("sensor_type") == "error").groupBy("equipment_id").agg(
         F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("minutes"))
     j = eq.join(dt, "equipment_id", "left")
-    # a global rank over one row per equipment (bounded by the fleet size)
-    w = Window.orderBy(F.col("minutes").desc_nulls_last())
+    # rank: rows with more minutes, from running totals of the rows per value
+    counts = j.groupBy(F.coalesce(-F.col("minutes"), F.lit(float("inf"))).alias("__down")).agg(F.count(F.lit(1)).alias("__n"))
+    ranks = running_totals(counts, ["__down"], "__n", "__upto").withColumn("downtime_rank", (F.col("__upto") - F.col("__n") + 1).cast("int"))
+    j = j.withColumn("__down", F.coalesce(-F.col("minutes"), F.lit(float("inf")))).join(ranks, "__down")
     return j.select("equipment_id", F.coalesce("n_events", F.lit(0)).cast("long").alias("n_events"),
                     rh("minutes").alias("downtime_min"), rh(F.col("minutes") / 60.0).alias("downtime_h"),
-                    F.rank().over(w).alias("downtime_rank"))
+                    "downtime_rank")
 
 
 @query("ts_alarm_kpis", ops=("TS-24", "WN-02", "SF-08"), sql=f"""
