@@ -49,17 +49,34 @@ def test_exact_topk_slices_blocks_ties_and_nulls(spark, monkeypatch):
     assert vx.exact_topk(c, q.limit(0), 2).count() == 0
 
 
-def test_running_topk_over_batches_equals_sorting():
-    import numpy as np
-    import pandas as pd
+def test_topk_over_many_blocks_equals_sorting(spark, monkeypatch):
     rng = np.random.default_rng(1)
     n, nq, k = 500, 7, 5
     x, ids, qs = rng.integers(0, 9, n).astype(float), rng.permutation(n), rng.integers(0, 9, nq).astype(float)
-    frames = [pd.DataFrame({"id": ids[i:i + 60], "x": x[i:i + 60]}) for i in range(0, n, 60)]
-    q, got, key = vx._running_topk(frames, k, nq, "id", lambda f: lambda p: np.abs(qs[p, None] - f["x"].to_numpy()[None, :]))
-    for j in range(nq):
-        d = np.abs(qs[j] - x)
-        assert list(got[q == j]) == list(ids[np.lexsort((ids, d))[:k]])
+    c = spark.createDataFrame([(int(i), [float(v)]) for i, v in zip(ids, x)], "vec_id long, embedding array<double>").repartition(3)
+    q = spark.createDataFrame([(i, [float(v)]) for i, v in enumerate(qs)], "query_id long, embedding array<double>")
+    monkeypatch.setattr(vx, "QUERY_BYTES", 16)
+    got = {}
+    for r in vx.exact_topk(c, q, k, "l2").orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {j: ids[np.lexsort((ids, np.abs(qs[j] - x)))[:k]].tolist() for j in range(nq)}
+
+
+def test_cells_and_codes_equal_the_exact_search_where_they_must(spark):
+    rng = np.random.default_rng(2)
+    vec = rng.normal(size=(120, 4))
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vec)], "vec_id long, embedding array<double>")
+    q = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(6)] + [(9, None)], "query_id long, embedding array<double>")
+    rows = lambda d: {(r.query_id, r["rank"], r.vec_id) for r in d.collect()}
+    cells, cents = vx.ivf_index(c, "embedding", nlist=4)
+    assert rows(vx.ivf_search(cells, cents, q, 3, nprobe=4)) == rows(vx.exact_topk(c, q, 3, "cosine"))
+    plan = vx.ivf_search(cells, cents, q.limit(1), 3, nprobe=1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    # a codebook that holds every sub-vector codes without loss
+    books = [vec[:, :2], vec[:, 2:]]
+    codes = vx.pq_encode(c, books)
+    assert {r.vec_id: r.codes for r in codes.collect()} == {i: [i, i] for i in range(120)}
+    assert rows(vx.pq_search(codes, books, q, 3)) == rows(vx.exact_topk(c, q, 3, "l2"))
 
 
 def test_rrf_item_in_one_list(spark):
