@@ -8,12 +8,14 @@ of Arrow's batches.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 19
+LONG = 64        # bytes that range_hashes takes in blocks
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
@@ -76,9 +78,19 @@ class Flat:
         """Hashes of byte ranges, eight bytes at a time: each block goes through the
         finaliser together with what came before, in two lanes of their own
         constants.  Ranges of up to eight bytes that are equally long never
-        collide; no sum or polynomial is there to be met by a pattern of bytes."""
+        collide; no sum or polynomial is there to be met by a pattern of bytes.
+        Ranges of more than LONG bytes get their BLAKE2b digest, one by one."""
         n = (ends - starts).astype(np.int64)
         buf = _LOWER[self.buf] if lower else self.buf
+        long = np.flatnonzero(n > LONG)
+        if len(long):
+            out = np.empty(len(n), np.uint64)
+            view = memoryview(buf.tobytes())
+            out[long] = np.frombuffer(b"".join(
+                hashlib.blake2b(view[a:b], digest_size=8).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist())), "<u8")
+            rest = np.flatnonzero(n <= LONG)
+            out[rest] = self.range_hashes(starts[rest], ends[rest], lower)
+            return out
         padded = np.concatenate([buf, np.zeros(8, np.uint8)])
         eight = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
         a = mix(n.astype(np.uint64) * _U(0x9FB21C651E98DF25) + _U(0x1F83D9ABFB41BD6B))
