@@ -97,6 +97,20 @@ def xpath_text(xml, xp: str) -> Column:
     return F.xpath_string(_c(xml), F.lit(xp))
 
 
+def title_text(html) -> Column:
+    """DOC-09: text of an HTML title's content.  Titles may be cut off in an
+    entity or hold bare ``&`` and ``<``, which no XML document may: all but
+    ``&amp;`` stands for itself.  A title with a character that XML has no way to
+    write (control characters) is decoded as plain text."""
+    t = _c(html)
+    own = F.regexp_replace(t, "&(?!amp;)", "&amp;")
+    for mark, name in (("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        own = F.replace(own, F.lit(mark), F.lit(name))
+    xml = F.concat(F.lit("<title>"), own, F.lit("</title>"))
+    return F.when(t.rlike("[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\uFFFE\\uFFFF]"), F.replace(t, F.lit("&amp;"), F.lit("&"))) \
+        .otherwise(xpath_text(xml, "/title"))
+
+
 def xpath_number(xml, xp: str) -> Column:
     return F.xpath_double(_c(xml), F.lit(xp))
 

@@ -172,10 +172,9 @@ FROM pages
 """)
 def doc_page_titles(spark, d):
     p = read(spark, d, "pages")
-    # the pages are HTML, not XML: cut the well-formed <title> element out
-    # first, then let the XML reader decode entities
-    t = F.regexp_extract("html", "(<title>.*?</title>)", 1)
-    return p.select("page_id", F.coalesce(doc.xpath_text(t, "/title"), F.lit("")).alias("title"))
+    # the pages are HTML, not XML: cut the title out first, then let the XML
+    # reader decode it
+    return p.select("page_id", F.coalesce(doc.title_text(F.regexp_extract("html", r"<title>([^\n]*?)</title>", 1)), F.lit("")).alias("title"))
 
 
 @query("doc_polymorphic_read", ops=("DOC-10", "PF-02"), sql="""

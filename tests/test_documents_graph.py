@@ -28,6 +28,18 @@ def test_xpath_ignores_default_namespace(spark):
     assert (r.n, r.i, r.v) == ("N & M", "7", 3.5)
 
 
+def test_titles_cut_in_an_entity_are_read(spark, scratch):
+    import os
+
+    from oreflow.plans.q_documents import doc_page_titles
+    titles = ["a &amp; b", "cut &quo", "a & b <i>c</i> ]]>", "&quot;x&quot; &amp;amp;", "", "bell \x07 &amp;", "cr\r", "ü \u2028 ñ"]
+    rows = [(i, f"<html><head><title>{t}</title></head></html>") for i, t in enumerate(titles)]
+    rows += [(100, "<html>none</html>"), (101, None)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(os.path.join(scratch, "pages.parquet"))
+    got = {r.page_id: r.title for r in doc_page_titles(spark, scratch).collect()}
+    assert got == {**{i: t.replace("&amp;", "&") for i, t in enumerate(titles)}, 100: "", 101: ""}
+
+
 def test_schema_versions_axis_order(spark):
     df = spark.createDataFrame([('{"schema_version":1,"latitude":67.5,"longitude":33.1,"level":"-400"}',),
                                 ('{"schema_version":2,"location":{"coordinates":[33.1,67.5]},"level":"-400"}',)],
