@@ -9,13 +9,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.streaming.stateful import AckTimer, Bursts, MovingStats, Sessions, Transitions, run_processor
+from oreflow.streaming.stateful import NOT_KNOWN, AckTimer, Bursts, MovingStats, Sessions, Transitions, run_processor
 
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _id(id_col: str):
+    # a NULL among the ids would make them floats in pandas
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NOT_KNOWN))
+
+
 # ------------------------------------------------------------------ windows
 def window_aggregates(df: DataFrame, keys: Sequence[str], ts: str, value: str, width: str,
                       slide: str | None = None, watermark: str | None = "30 minutes") -> DataFrame:
@@ -67,7 +72,7 @@ def escalate_bursts(alerts: DataFrame, keys: Sequence[str], ts: str, id_col: str
     (inclusive).  Update rows by ``id_col``: an alert that arrives later but
     happened earlier raises the counts of those after it."""
     src = alerts.where(F.col("alert_level") == level)
-    d = run_processor(src, _keys(keys), ts, watermark, {"id": F.col(id_col), "x": F.lit(0.0)},
+    d = run_processor(src, _keys(keys), ts, watermark, {"id": _id(id_col)},
                       Bursts(window_s * 1_000_000, min_count), "us bigint, id bigint, n_in_window int")
     return d.select(*_keys(keys), F.timestamp_micros("us").alias(ts), F.col("id").alias(id_col), "n_in_window")
 
@@ -91,7 +96,7 @@ def ack_timer(alerts_and_acks: DataFrame, keys: Sequence[str], ts: str, kind: st
     one that arrived before the alarm), a fired timer emits an emergency, once.
     Timers fire when the watermark has passed their time."""
     src = alerts_and_acks.where(F.col(kind).isin("critical", "ack"))
-    d = run_processor(src, _keys(keys), ts, watermark, {"alarm": F.col(kind) == "critical"},
+    d = run_processor(src, _keys(keys), ts, watermark, {"ack": F.col(kind) != "critical"},
                       AckTimer(timeout_s * 1_000_000), "alert_us bigint, deadline_us bigint")
     return d.select(*_keys(keys), F.timestamp_micros("alert_us").alias("alert_time"),
                     F.timestamp_micros("deadline_us").alias("deadline"))
@@ -104,7 +109,7 @@ def moving_stats(df: DataFrame, keys: Sequence[str], ts: str, id_col: str, value
     the order of event time (analytic row frames are not allowed on streams).
     Update rows by ``id_col``: a reading that arrives late moves the windows of
     those after it.  NULL values count for nothing."""
-    d = run_processor(df, _keys(keys), ts, watermark, {"id": F.col(id_col), "x": F.col(value).cast("double")},
+    d = run_processor(df, _keys(keys), ts, watermark, {"id": _id(id_col), "x": F.col(value).cast("double")},
                       MovingStats(n), "id bigint, us bigint, value double, ma double, mstd double")
     return d.select(*_keys(keys), F.col("id").alias(id_col), F.timestamp_micros("us").alias(ts),
                     F.col("value").alias(value), "ma", "mstd")
@@ -117,7 +122,7 @@ def state_transitions(df: DataFrame, keys: Sequence[str], ts: str, id_col: str,
     Update rows by ``id_col``; a change undone by a row that arrived later comes
     again with ``deleted``.  Rows without a state are left out."""
     src = df.where(F.col(state_col).isNotNull())
-    d = run_processor(src, _keys(keys), ts, watermark, {"id": F.col(id_col), "x": F.col(state_col).cast("string")},
+    d = run_processor(src, _keys(keys), ts, watermark, {"id": _id(id_col), "x": F.col(state_col).cast("string")},
                       Transitions(), "id bigint, us bigint, previous_state string, new_state string, "
                                      "seconds_in_previous bigint, deleted boolean")
     return d.select(*_keys(keys), F.col("id").alias(id_col), F.timestamp_micros("us").alias(ts), "previous_state",

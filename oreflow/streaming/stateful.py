@@ -1,15 +1,19 @@
 """Stateful operators whose result does not depend on the order of arrival.
 
-Rows of a key wait in list state until the watermark has passed them.  Each
+Rows of a key wait in the state until the watermark has passed them.  Each
 micro-batch puts its rows in their places by event time and gives out every
 result that they change; a changelog reader takes the latest row per key
 (``deleted`` rows take one back).  So results are complete after any batch,
-without an end-of-input marker, and the watermark only bounds the state: rows
-behind it are folded into a short summary, rows that arrive later still are
-late (dropped by the engine, which counts them: ``core.Changelog.late_rows``).
-
-All work on a batch's rows of one key is in numpy arrays; the state of a key is
-its rows of the last watermark delay.
+without an end-of-input marker, and the watermark only bounds the state: of the
+rows behind it only those stay that later results need, rows that arrive later
+still are late (dropped by the engine, which counts them:
+``core.Changelog.late_rows``).
+
+A call into Python and its state reads cost the same for one row as for
+thousands, and most keys have few rows.  So the state store's key is one of
+BUCKETS buckets of keys, and all work on the rows of a bucket's keys is in numpy
+arrays.  The state of a bucket is one Arrow table: its keys' rows of the last
+watermark delay.
 """
 
 from __future__ import annotations
@@ -18,10 +22,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, StringType, StructType
+from pyspark.sql.types import BinaryType, DataType, StringType, StructField, StructType
+
+BUCKETS = 512
+NOT_KNOWN = -(1 << 63)
 
 
 def _state(**fields: DataType) -> StructType:
@@ -33,258 +41,238 @@ def _state(**fields: DataType) -> StructType:
 
 
 def run_processor(df: DataFrame, keys: Sequence[str], ts: str, watermark: str, columns: dict[str, Column],
-                  processor: StatefulProcessor, out: str) -> DataFrame:
+                  processor: _Bucketed, out: str) -> DataFrame:
     """``processor`` on the rows of each key, given the event time ``us`` (whole
     microseconds) and ``columns``; rows without an event time are left out.
     ``out`` (DDL) follows the keys."""
     keys = list(keys)
+    # keys travel as text: a NULL among whole numbers would make them floats in pandas
     d = df.where(F.col(ts).isNotNull()).withWatermark(ts, watermark) \
-        .select(*keys, ts, F.unix_micros(ts).alias("us"), *[c.alias(n) for n, c in columns.items()])
-    schema = StructType([f for f in d.schema.fields if f.name in keys])
-    schema = StructType([*(schema[k] for k in keys), *StructType.fromDDL(out).fields])
-    processor.keys, processor.out = keys, schema.names
-    return d.groupBy(*keys).transformWithStateInPandas(processor, schema, "Update", "EventTime")
+        .select(F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket"),
+                *[F.col(k).cast("string").alias(f"key{i}") for i, k in enumerate(keys)],
+                ts, F.unix_micros(ts).alias("us"), *[c.alias(n) for n, c in columns.items()])
+    processor.keys = [f"key{i}" for i in range(len(keys))]
+    schema = StructType([*(StructField(k, StringType()) for k in processor.keys), *StructType.fromDDL(out).fields])
+    processor.out = schema.names
+    r = d.groupBy("bucket").transformWithStateInPandas(processor, schema, "Update", "EventTime")
+    return r.select(*[F.col(f"key{i}").cast(df.schema[k].dataType).alias(k) for i, k in enumerate(keys)],
+                    *schema.names[len(keys):])
 
 
-class _Keyed(StatefulProcessor):
-    keys: list[str] = []
-    out: list[str] = []
+def _codes(columns: Sequence[np.ndarray], n: int) -> np.ndarray:
+    """Small numbers of the keys of ``n`` rows: equal for equal keys, NULL like a value."""
+    code = np.zeros(n, np.int64)
+    for c in columns:
+        own, values = pd.factorize(c)
+        code = pd.factorize(code * (len(values) + 1) + own + 1)[0].astype(np.int64)
+    return code
 
-    def frame(self, key: tuple, **columns) -> Iterator[pd.DataFrame]:
-        n = len(next(iter(columns.values())))
-        if n:
-            own = {k: [v] * n for k, v in zip(self.keys, key)}
-            yield pd.DataFrame({**own, **columns})[self.out]
 
-    @staticmethod
-    def arrays(rows: Iterator[pd.DataFrame], columns: Sequence[str]) -> list[np.ndarray]:
-        parts = [[p[c].to_numpy() for c in columns] for p in rows]
-        return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0) for _ in columns]
+def _starts(code: np.ndarray) -> np.ndarray:
+    """Marks the first row of each key (rows are sorted by key)."""
+    return np.append(True, code[1:] != code[:-1])
 
-    @staticmethod
-    def watermark_us(timer_values) -> int:
-        return timer_values.getCurrentWatermarkInMs() * 1000
 
-    def close(self) -> None:
-        pass
+def _last_marked(mark: np.ndarray) -> np.ndarray:
+    """For each place the nearest marked place at or before it (the first is marked)."""
+    return np.maximum.accumulate(np.where(mark, np.arange(len(mark)), 0))
+
 
+def _since_new(code: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Marks each key's rows from its first new one on."""
+    n = np.cumsum(new)
+    return n > (n - new)[_last_marked(_starts(code))]
 
-class Buffered(_Keyed):
-    """Base of operators over a key's rows in the order of (event time, id).
 
-    A subclass gives ``row`` (type of the value kept), ``past`` (schema of the
-    summary of rows behind the watermark), ``results`` and ``fold``."""
+class _Bucketed(StatefulProcessor):
+    """Base of operators over the rows of all keys of a bucket.
 
-    row: DataType = DoubleType()
-    past: StructType
+    A subclass gives ``columns`` (their types, and the value in a new row of
+    those that only the state has), the ``order`` of a key's rows and ``step``:
+    from the rows sorted by key, the marks of new ones and the watermark it makes
+    the results with their rows' places, the places to keep with what changes in
+    them, and the event time after which it wants to be called (or None)."""
+
+    keys: list[str] = []
+    out: list[str] = []
+    columns: dict[str, tuple] = {}
+    order: tuple[str, ...] = ("us",)
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", _state(us=LongType(), id=LongType(), x=self.row))
-        self.summary = handle.getValueState("summary", self.past)
-
-    def _held(self) -> list[np.ndarray]:
-        rows = list(self.rows.get()) if self.rows.exists() else []
-        cols = list(zip(*rows)) or [(), (), ()]
-        x = np.array(cols[2], object if isinstance(self.row, StringType) else float)
-        return [np.array(cols[0], np.int64), np.array(cols[1], np.int64), x]
-
-    def _settle(self, us: np.ndarray, ids: np.ndarray, x: np.ndarray, now: int) -> None:
-        """Fold what the watermark has passed; keep the rest."""
-        k = int(np.searchsorted(us, now))
-        if k:
-            past = self.fold(self.summary.get() if self.summary.exists() else None, us[:k], ids[:k], x[:k])
-            self.summary.update(past)
-        if k < len(us):
-            self.rows.put([(int(a), int(b), c if isinstance(self.row, StringType) else None if c != c else float(c))
-                           for a, b, c in zip(us[k:], ids[k:], x[k:])])
-            self.handle.registerTimer(int(us[-1]) // 1000 + 1)
-        else:
-            self.rows.clear()
-            if self.forget(now):
-                self.summary.clear()
-
-    def forget(self, now: int) -> bool:
-        """Whether the summary of a key without waiting rows has no use any more."""
-        return False
+        self.state = handle.getValueState("rows", _state(rows=BinaryType()))
+
+    def _held(self) -> dict[str, np.ndarray] | None:
+        held = self.state.get() if self.state.exists() else None
+        if held is None:
+            return None
+        t = pa.ipc.open_stream(bytes(held[0])).read_all()
+        return {c: t.column(c).to_numpy() for c in t.column_names}
+
+    def _keep(self, rows: dict[str, np.ndarray]) -> None:
+        if not len(rows["us"]):
+            self.state.clear()
+            return
+        t = pa.table({c: pa.array(v, pa.string()) if v.dtype == object else pa.array(v) for c, v in rows.items()})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, t.schema) as w:
+            w.write_table(t)
+        self.state.update((sink.getvalue().to_pybytes(),))
+
+    def _run(self, frames: list[pd.DataFrame], now: int) -> Iterator[pd.DataFrame]:
+        held = self._held()
+        n_held, n_new = len(held["us"]) if held else 0, sum(len(f) for f in frames)
+        if not n_held + n_new:
+            return
+        rows = {}
+        for c, (kind, own) in {**{k: (object, None) for k in self.keys}, **self.columns}.items():
+            parts = [held[c]] if held else []
+            parts += [f[c].to_numpy() for f in frames] if own is None else [np.full(n_new, own, kind)]
+            rows[c] = np.concatenate([p.astype(kind) for p in parts])
+        code, new = _codes([rows[k] for k in self.keys], n_held + n_new), np.arange(n_held + n_new) >= n_held
+        # the sort is stable: what was held comes first among equals
+        order = np.lexsort((*(rows[c] for c in reversed(self.order)), code))
+        rows, code, new = {c: v[order] for c, v in rows.items()}, code[order], new[order]
+        at, results, keep, changed, call = self.step(rows, code, new, now)
+        if len(at):
+            yield pd.DataFrame({**{k: rows[k][at] for k in self.keys}, **results})[self.out]
+        self._keep({c: changed.get(c, v)[keep] for c, v in rows.items()})
+        if call is not None:
+            self.handle.registerTimer(int(call) // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues):
-        us, ids, x = self.arrays(rows, ["us", "id", "x"])
-        held = self._held()
-        new = np.concatenate([np.zeros(len(held[0]), bool), np.ones(len(us), bool)])
-        us, ids = (np.concatenate([h, v]).astype(np.int64) for h, v in zip(held, (us, ids)))
-        x = np.concatenate([held[2], x.astype(held[2].dtype)])
-        order = np.lexsort((ids, us))
-        us, ids, x, new = us[order], ids[order], x[order], new[order]
-        past = self.summary.get() if self.summary.exists() else None
-        yield from self.frame(key, **self.results(past, us, ids, x, new, int(np.argmax(new)) if new.any() else len(new)))
-        self._settle(us, ids, x, self.watermark_us(timerValues))
+        yield from self._run(list(rows), timerValues.getCurrentWatermarkInMs() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self._settle(*self._held(), self.watermark_us(timerValues))
-        return iter([])
+        yield from self._run([], timerValues.getCurrentWatermarkInMs() * 1000)
 
+    def close(self) -> None:
+        pass
 
-class MovingStats(Buffered):
+
+class MovingStats(_Bucketed):
     """Mean and sample deviation of each reading and the ``n`` - 1 before it."""
 
-    past = _state(last=ArrayType(DoubleType()))
+    columns = {"us": (np.int64, None), "id": (np.int64, None), "x": (float, None)}
+    order = ("us", "id")
 
     def __init__(self, n: int):
         self.n = n
 
-    def results(self, past, us, ids, x, new, first):
-        before = np.array([np.nan if v is None else v for v in past[0]] if past else [], float)
-        pad = np.full(max(self.n - 1 - len(before), 0), np.nan)
-        whole = np.concatenate([pad, before, x])[-(len(x) + self.n - 1):] if self.n > 1 else x
-        w = np.lib.stride_tricks.sliding_window_view(whole, self.n)[first:]
+    def step(self, rows, code, new, now):
+        us, x, first = rows["us"], rows["x"], _last_marked(_starts(code))
+        at = np.flatnonzero(_since_new(code, new))
+        # the window of a key's first rows is filled up with values that count for nothing
+        back = at[:, None] - np.arange(self.n - 1, -1, -1)
+        w = np.where(back >= first[at, None], x[np.maximum(back, 0)], np.nan)
         count = (~np.isnan(w)).sum(axis=1)
-        total = np.nansum(w, axis=1)
-        mean = np.divide(total, count, out=np.full(len(w), np.nan), where=count > 0)
+        mean = np.divide(np.nansum(w, axis=1), count, out=np.full(len(w), np.nan), where=count > 0)
         away = np.nansum((w - mean[:, None]) ** 2, axis=1)
         std = np.sqrt(np.divide(away, count - 1, out=np.full(len(w), np.nan), where=count > 1))
-        none = lambda a: [None if v != v else float(v) for v in a]
-        return {"id": ids[first:], "us": us[first:], "value": none(x[first:]), "ma": none(mean), "mstd": none(std)}
-
-    def fold(self, past, us, ids, x):
-        before = list(past[0]) if past else []
-        own = [None if v != v else float(v) for v in x[-(self.n - 1):]] if self.n > 1 else []
-        return ([*before, *own][-(self.n - 1):] if self.n > 1 else [],)
+        # a key's last n - 1 rows behind the watermark are in windows to come
+        passed = np.add.reduceat(us < now, np.flatnonzero(_starts(code)), dtype=np.int64)[np.cumsum(_starts(code)) - 1]
+        keep = (us >= now) | (np.arange(len(us)) - first > passed - self.n)
+        return (at, {"id": rows["id"][at], "us": us[at], "value": x[at], "ma": mean, "mstd": std}, keep, {},
+                us.max() if us.max() >= now else None)
 
 
-class Bursts(Buffered):
+class Bursts(_Bucketed):
     """Rows that are at least the ``least``-th of their key within ``span`` us."""
 
-    past = _state(times=ArrayType(LongType()))
+    columns = {"us": (np.int64, None), "id": (np.int64, None)}
+    order = ("us", "id")
 
     def __init__(self, span: int, least: int):
         self.span, self.least = span, least
 
-    def results(self, past, us, ids, x, new, first):
-        times = np.concatenate([np.array(past[0] if past else [], np.int64), us])
-        at = us[first:]
-        n = np.searchsorted(times, at, "right") - np.searchsorted(times, at - self.span, "left")
-        hit = n >= self.least
-        return {"us": at[hit], "id": ids[first:][hit], "n_in_window": n[hit].astype(np.int32)}
-
-    def fold(self, past, us, ids, x):
-        times = np.concatenate([np.array(past[0] if past else [], np.int64), us])
-        return (times[np.searchsorted(times, times[-1] - self.span):].tolist(),)
-
-    def forget(self, now):
-        times = self.summary.get()[0] if self.summary.exists() else []
-        return not len(times) or int(times[-1]) + self.span < now
-
-
-class Transitions(Buffered):
-    """Changes of a state: previous and new one, and the time in the previous."""
-
-    row = StringType()
-    past = _state(state=StringType(), since=LongType())
-
-    @staticmethod
-    def _since(past, us, state):
-        """For each row the state before it, whether it changes it, and since when
-        that state held; then since when the last row's state holds."""
-        before = np.array([past[0] if past else None, *state[:-1]], object)
-        change = np.array([a is not None and a != b for a, b in zip(before, state)], bool)
-        start = np.where(change, us, 0)
-        if len(us) and not past:
-            start[0] = us[0]
-        since = np.maximum.accumulate(np.concatenate([[past[1] if past else 0], start]).astype(np.int64))
-        return before, change, since[:-1], int(since[-1])
-
-    def results(self, past, us, ids, x, new, first):
-        before, change, begun, _ = self._since(past, us, x)
+    def step(self, rows, code, new, now):
+        us = rows["us"]
+        # places of (key, time) and of (key, time - span) among the rows' own, both by rank of the time
+        times = np.unique(np.concatenate([us, us - self.span]))
+        line, low = (code * len(times) + np.searchsorted(times, t) for t in (us, us - self.span))
+        n = np.searchsorted(line, line, "right") - np.searchsorted(line, low, "left")
+        at = np.flatnonzero(_since_new(code, new) & (n >= self.least))
+        keep = us >= now - self.span
+        return (at, {"us": us[at], "id": rows["id"][at], "n_in_window": n[at].astype(np.int32)}, keep, {},
+                us.max() + self.span if keep.any() else None)
+
+
+class Transitions(_Bucketed):
+    """Changes of a state: previous and new one, and the time in the previous.
+
+    Of the rows behind the watermark each key's last one stays, with the time
+    ``since`` when its state holds."""
+
+    columns = {"us": (np.int64, None), "id": (np.int64, None), "x": (object, None), "since": (np.int64, NOT_KNOWN)}
+    order = ("us", "id")
+
+    def step(self, rows, code, new, now):
+        us, x, first = rows["us"], rows["x"], _starts(code)
+        before = np.append(np.array([None], object), x[:-1])
+        before[first] = None
+        change = ~first & (before != x)
+        begun = np.where(first & (rows["since"] != NOT_KNOWN), rows["since"], us)
+        since = begun[_last_marked(first | change)]
         # a row that was given out before may be no change any more
-        out = np.flatnonzero(change | ~new)
-        out = out[out >= first]
-        return {"id": ids[out], "us": us[out], "previous_state": before[out], "new_state": x[out],
-                "seconds_in_previous": (us[out] - begun[out]) // 1_000_000, "deleted": ~change[out]}
+        at = np.flatnonzero(_since_new(code, new) & ~first & (change | ~new))
+        held = {"id": rows["id"][at], "us": us[at], "previous_state": before[at], "new_state": x[at],
+                "seconds_in_previous": (us[at] - since[at - 1]) // 1_000_000, "deleted": ~change[at]}
+        waits = us >= now
+        last_passed = ~waits & np.append(waits[1:] | first[1:], True)
+        return (at, held, waits | last_passed, {"since": np.where(last_passed, since, NOT_KNOWN)},
+                us.max() if waits.any() else None)
 
-    def fold(self, past, us, ids, x):
-        return (x[-1], self._since(past, us, x)[3])
 
-
-class Sessions(_Keyed):
+class Sessions(_Bucketed):
     """Sessions of a key: rows no more than ``gap`` us apart.  State: open
     sessions only; a session is known by its start."""
 
+    columns = {"us": (np.int64, None), "length": (np.int64, 0), "n": (np.int64, 1)}
+
     def __init__(self, gap: int):
         self.gap = gap
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", _state(start=LongType(), last=LongType(), n=LongType()))
-
-    def _held(self) -> np.ndarray:
-        return np.array(list(self.open.get()) if self.open.exists() else [], np.int64).reshape(-1, 3)
-
-    def _settle(self, rows: np.ndarray, now: int) -> None:
-        rows = rows[rows[:, 1] + self.gap >= now]
-        if len(rows):
-            self.open.put([tuple(int(v) for v in r) for r in rows])
-            self.handle.registerTimer(int(rows[:, 1].max() + self.gap) // 1000 + 1)
-        else:
-            self.open.clear()
-
-    def handleInputRows(self, key, rows, timerValues):
-        us = self.arrays(rows, ["us"])[0].astype(np.int64)
-        held = self._held()
-        every = np.concatenate([held, np.stack([us, us, np.ones(len(us), np.int64)], axis=1)])
-        new = np.arange(len(every)) >= len(held)
-        order = np.argsort(every[:, 0], kind="stable")
-        every, new = every[order], new[order]
-        reach = np.maximum.accumulate(every[:, 1])
-        at = np.flatnonzero(np.append(True, every[1:, 0] - reach[:-1] > self.gap))
-        now = np.stack([every[at, 0], np.maximum.reduceat(every[:, 1], at), np.add.reduceat(every[:, 2], at)], axis=1)
-        changed = now[np.logical_or.reduceat(new, at)]
-        gone = held[~np.isin(held[:, 0], now[:, 0])]
-        out = np.concatenate([gone, changed])
-        yield from self.frame(key, start=out[:, 0], last=out[:, 1], n_events=out[:, 2],
-                              deleted=np.arange(len(out)) < len(gone))
-        self._settle(now, self.watermark_us(timerValues))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self._settle(self._held(), self.watermark_us(timerValues))
-        return iter([])
-
-
-class AckTimer(_Keyed):
+    def step(self, rows, code, new, now):
+        start, n = rows["us"], rows["n"]
+        last = start + rows["length"]
+        # how far a key's rows up to each place reach: a running maximum of (key, rank of the end)
+        ends, rank = np.unique(last, return_inverse=True)
+        reach = ends[np.maximum.accumulate(code * len(ends) + rank) - code * len(ends)]
+        opens = _starts(code)
+        opens[1:] |= start[1:] - reach[:-1] > self.gap
+        at = np.flatnonzero(opens)
+        # by the places of their starts
+        end, total, touched = last.copy(), n.copy(), new.copy()
+        end[at], total[at] = np.maximum.reduceat(last, at), np.add.reduceat(n, at)
+        touched[at] = np.logical_or.reduceat(new, at)
+        gone = ~new & ~opens
+        out = np.flatnonzero(gone | opens & touched)
+        keep = opens & (end + self.gap >= now)
+        return (out, {"start": start[out], "last": end[out], "n_events": total[out], "deleted": gone[out]},
+                keep, {"length": end - start, "n": total}, end[keep].max() + self.gap if keep.any() else None)
+
+
+class AckTimer(_Bucketed):
     """Alarms without an answer within ``wait`` us, once the watermark has passed
     that time.  Answers that arrive before their alarm wait for it."""
 
+    columns = {"us": (np.int64, None), "ack": (bool, None)}
+    order = ("us", "ack")
+
     def __init__(self, wait: int):
         self.wait = wait
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", _state(us=LongType(), alarm=BooleanType()))
-
-    def _fire(self, key, us: np.ndarray, alarm: np.ndarray, now: int):
-        rows = list(self.rows.get()) if self.rows.exists() else []
-        us = np.concatenate([np.array([r[0] for r in rows], np.int64), us])
-        alarm = np.concatenate([np.array([r[1] for r in rows], bool), alarm])
-        alarms, acks = np.sort(us[alarm]), np.sort(us[~alarm])
-        answer = np.searchsorted(acks, alarms)
-        answered = np.zeros(len(alarms), bool)
-        some = answer < len(acks)
-        answered[some] = acks[answer[some]] <= alarms[some] + self.wait
-        alarms = alarms[~answered]
-        due = alarms[alarms + self.wait < now]
-        alarms, acks = alarms[alarms + self.wait >= now], acks[acks >= now]
-        keep = [(int(t), True) for t in alarms] + [(int(t), False) for t in acks]
-        if keep:
-            self.rows.put(keep)
-            soon = [*(int(t) + self.wait for t in alarms[:1]), *(int(t) for t in acks[-1:])]
-            self.handle.registerTimer(min(soon) // 1000 + 1)
-        else:
-            self.rows.clear()
-        yield from self.frame(key, alert_us=due, deadline_us=due + self.wait)
-
-    def handleInputRows(self, key, rows, timerValues):
-        us, alarm = self.arrays(rows, ["us", "alarm"])
-        return self._fire(key, us.astype(np.int64), alarm.astype(bool), self.watermark_us(timerValues))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return self._fire(key, np.zeros(0, np.int64), np.zeros(0, bool), self.watermark_us(timerValues))
+    def step(self, rows, code, new, now):
+        us, ack = rows["us"], rows["ack"]
+        # the next answer at or after each row (alarms stand before answers of the same time)
+        n = len(us)
+        after = np.minimum.accumulate(np.where(ack, np.arange(n), n)[::-1])[::-1]
+        some = np.minimum(after, n - 1)
+        answered = (after < n) & (code[some] == code) & (us[some] <= us + self.wait)
+        waiting = ~ack & ~answered
+        at = np.flatnonzero(waiting & (us + self.wait < now))
+        waiting &= us + self.wait >= now
+        keep = waiting | ack & (us >= now)
+        # the first deadline, or when the last answer has no use any more
+        calls = [f(v) for f, v in ((np.min, us[waiting] + self.wait), (np.max, us[ack & keep])) if len(v)]
+        return at, {"alert_us": us[at], "deadline_us": us[at] + self.wait}, keep, {}, min(calls, default=None)

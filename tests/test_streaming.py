@@ -239,3 +239,19 @@ def test_a_changelog_of_no_batch_is_empty_and_other_failures_are_errors(spark, s
     assert sc.read_changelog(spark, scratch, schema="a int").count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         sc.read_changelog(spark, scratch)
+
+
+def test_state_does_not_grow_with_the_number_of_keys(spark, scratch):
+    landing, base = os.path.join(scratch, "landing"), T("2024-01-01 10:00:00")
+    rows = [(2 * k + i, base + dt.timedelta(minutes=k % 50 + 10 * i), k or None, "click" if k % 3 else None, float(k + i), "{}")
+            for k in range(3000) for i in range(2)]
+    _land(spark, landing, "b1", rows)
+    m = so.moving_stats(_stream(spark, landing), ["equipment_id", "sensor_type"], "ts", "reading_id", "value", 2, "1 hour")
+    out = sc.scratch_path(spark, "t-keys-out")
+    q = (m.writeStream.option("checkpointLocation", sc.scratch_path(spark, "t-keys-ckpt")).outputMode("update")
+         .foreachBatch(lambda df, i: df.write.mode("append").parquet(out)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    # one state and its timer for a bucket of keys, not for each key
+    assert 0 < max(o.numRowsTotal for p in q.recentProgress for o in p.stateOperators) < 3000
+    got = {r.reading_id: (r.equipment_id, r.sensor_type, r.ma) for r in spark.read.parquet(out).collect()}
+    assert got == {r[0]: (r[2], r[3], r[4] - r[0] % 2 / 2) for r in rows}
