@@ -41,7 +41,7 @@ def _limbs(totals: list[int]) -> list[list[int]]:
             own.append(sign * (t & (1 << LIMB) - 1))
             t >>= LIMB
         out.append([*own, sign * t])
-    return [list(x) for x in zip(*out)]
+    return [list(x) for x in zip(*out)] or [[] for _ in range(LIMBS)]
 
 
 _SUMS = "dim int, k int, " + ", ".join(f"l{i} bigint" for i in range(LIMBS))
