@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import add, and_, or_
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -183,40 +183,117 @@ def compile_json_schema(schema: dict, v: Column, prefix: str = "$") -> list[tupl
     document's own definitions.  Rules on array elements hold for every element
     (``[*]`` in the name).  Any other keyword, and a $ref that leads back to
     itself, is refused."""
-    return [(name, F.coalesce(broken(v), F.lit(False))) for name, broken in _compile(schema, prefix, schema, ())]
+    names, broken = _broken(schema, v, prefix)
+    return [(name, broken[i // _BITS].bitwiseAND(F.lit(1 << i % _BITS)) != 0) for i, name in enumerate(names)]
 
 
-def _get(v: Column, name: str) -> Column:
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(v, f"$['{quoted}']", "variant")
+_BITS = 63      # rules that go through a document together
 
 
-def _is(v: Column, kind: str) -> Column:
-    """Whether the value is of a JSON type."""
-    k = F.schema_of_variant(v)
-    return {"null": lambda: F.is_variant_null(v), "string": lambda: k == "STRING", "boolean": lambda: k == "BOOLEAN",
-            "array": lambda: k.startswith("ARRAY"), "object": lambda: k.startswith("OBJECT"),
-            "integer": lambda: k.isin(*_INTEGERS) | (k.startswith("DECIMAL(") & k.endswith(",0)")),
-            "number": lambda: k.isin(*_INTEGERS, "DOUBLE", "FLOAT") | k.startswith("DECIMAL")}[kind]()
+def _broken(schema: dict, v: Column, prefix: str = "$") -> tuple[list[str], list[Column]]:
+    """The names of the rules, and a column of bits for each ``_BITS`` of them: which
+    ones a parsed document breaks (none for NULL)."""
+    names: list[str] = []
+    node = _compile(schema, prefix, schema, (), names)
+    return names, [_present(v, node, at) for at in range(0, len(names), _BITS)]
 
 
-def _equals(v: Column, value) -> Column:
-    if value is None:
-        return F.is_variant_null(v)
-    kind, cast = ("boolean", "boolean") if isinstance(value, bool) else ("number", "double") if isinstance(value, (int, float)) \
-        else ("string", "string")
-    return F.coalesce(_is(v, kind) & (F.try_variant_get(v, "$", cast) == F.lit(value)), F.lit(False))
+def _violations(schema: dict, v: Column) -> Column:
+    """The names of the rules that a parsed document breaks, in the schema's order;
+    an unparsable document has one violation, not one per rule."""
+    names, broken = _broken(schema, v)
+    out = F.when(v.isNull(), F.array(F.lit("$:parse"))).otherwise(F.array().cast("array<string>"))
+    for c, bits in enumerate(broken):
+        some = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(1 << i).alias("bit")) for i, n in enumerate(names[c * _BITS:(c + 1) * _BITS])])
+        out = F.concat(out, _let(bits, lambda m: F.when(m != 0, F.transform(F.filter(some, lambda x: m.bitwiseAND(x["bit"]) != 0),
+                                                                            lambda x: x["n"])).otherwise(F.array().cast("array<string>")), "array<string>"))
+    return out
+
+
+def _let(value: Column, body, kind: str = "long") -> Column:
+    """``body(value)`` of type ``kind``, with the value worked out once.  (The element
+    of a transformed array would ask the whole expression for its type on every row.)"""
+    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: body(x))
+
+
+def _any(bits: list[Column]) -> Column:
+    return reduce(lambda x, y: x.bitwiseOR(y), bits) if bits else F.lit(0).cast("long")
+
 
+def _is(kind: Column, name: str) -> Column:
+    """Whether a value of this ``kind`` is of a JSON type."""
+    return {"null": lambda: kind == "VOID", "string": lambda: kind == "STRING", "boolean": lambda: kind == "BOOLEAN",
+            "array": lambda: kind.startswith("ARRAY"), "object": lambda: kind.startswith("OBJECT"),
+            "integer": lambda: kind.isin(*_INTEGERS) | (kind.startswith("DECIMAL(") & kind.endswith(",0)")),
+            "number": lambda: kind.isin(*_INTEGERS, "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")}[name]()
 
-def _compile(schema: dict, path: str, root: dict, seen: tuple) -> list[tuple]:
-    """(rule, function of a present value to whether it breaks the rule)."""
-    text = lambda v: F.try_variant_get(v, "$", "string")
-    num = lambda v: F.try_variant_get(v, "$", "double")
-    elements = lambda v: F.try_variant_get(v, "$", "array<variant>")
+
+def _equals(x: Column, value) -> Column:
+    if value is None:
+        return _is(x["k"], "null")
+    name, cast = ("boolean", "boolean") if isinstance(value, bool) else ("number", "double") if isinstance(value, (int, float)) \
+        else ("string", "string")
+    return F.coalesce(_is(x["k"], name) & (F.try_variant_get(x["v"], "$", cast) == F.lit(value)), F.lit(False))
+
+
+@dataclass
+class _Node:
+    """A compiled schema: rules about a value itself and about what it holds."""
+    takes: set = field(default_factory=set)     # what of an array or object the rules look at
+    rules: list = field(default_factory=list)   # (number, function of a value's parts to whether the rule is broken)
+    same: list = field(default_factory=list)    # nodes about the same value
+    fields: list = field(default_factory=list)  # (name, node)
+    items: list = field(default_factory=list)   # nodes about every element
+
+    def holds(self, at: int) -> bool:
+        """Whether a rule with a number in [at, at + _BITS) lies here or below."""
+        return any(at <= i < at + _BITS for i, _ in self.rules) or any(
+            n.holds(at) for n in (*self.same, *self.items, *(n for _, n in self.fields)))
+
+    def bits(self, x: Column, at: int) -> Column:
+        """The broken ones of the rules [at, at + _BITS), of a value's parts."""
+        out = [F.when(rule(x), F.lit(1 << i - at).cast("long")).otherwise(F.lit(0).cast("long")) for i, rule in self.rules if at <= i < at + _BITS]
+        out += [n.bits(x, at) for n in self.same if n.holds(at)]
+        out += [_present(x["m"][name], n, at) for name, n in self.fields if n.holds(at)]
+        none = F.lit(0).cast("long")
+        out += [F.when(x["e"].isNotNull(), F.aggregate(x["e"], none, lambda s, y: s.bitwiseOR(_any(
+            [_present(y, n, at) for n in self.items if n.holds(at)])))).otherwise(none)] if any(n.holds(at) for n in self.items) else []
+        return _any(out)
+
+
+def _present(v: Column, node: _Node, at: int) -> Column:
+    """Bits of a value, 0 if there is none.  It is taken apart once: elements (e),
+    fields (m), kind (k); only where the rules expect neither is the kind that of its
+    whole content."""
+    def of(x: Column) -> Column:
+        kind = F.schema_of_variant(x["v"])
+        if "m" in node.takes:
+            kind = F.when(x["m"].isNotNull(), "OBJECT").otherwise(kind)
+        if "e" in node.takes:
+            kind = F.when(x["e"].isNotNull(), "ARRAY").otherwise(kind)
+        return _let(F.struct(x["v"].alias("v"), kind.alias("k"), *[x[c].alias(c) for c in sorted(node.takes)]), lambda y: node.bits(y, at))
+
+    types = {"e": "array<variant>", "m": "map<string,variant>"}
+    parts = [F.try_variant_get(v, "$", types[c]).alias(c) for c in sorted(node.takes)]
+    if not parts:
+        return F.when(v.isNotNull(), _let(F.struct(v.alias("v"), F.schema_of_variant(v).alias("k")), lambda y: node.bits(y, at))) \
+            .otherwise(F.lit(0).cast("long"))
+    return F.when(v.isNotNull(), _let(F.struct(v.alias("v"), *parts), of)).otherwise(F.lit(0).cast("long"))
+
+
+def _compile(schema: dict, path: str, root: dict, seen: tuple, names: list[str]) -> _Node:
+    """Rules of a schema; their names are added to ``names``, in the schema's order."""
+    text = lambda x: F.try_variant_get(x["v"], "$", "string")
+    num = lambda x: F.try_variant_get(x["v"], "$", "double")
     # a keyword about one type says nothing of values of others
-    on = lambda kind, test: lambda v: _is(v, kind) & test(v)
+    on = lambda kind, test: lambda x: _is(x["k"], kind) & test(x)
     moment = {"date-time": "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX", "date": "yyyy-MM-dd"}
-    out: list[tuple] = []
+    node = _Node()
+
+    def add_rule(name: str, rule) -> None:
+        node.rules.append((len(names), rule))
+        names.append(name)
+
     for word, arg in schema.items():
         rule = None
         if word in _NOTES:
@@ -229,59 +306,70 @@ def _compile(schema: dict, path: str, root: dict, seen: tuple) -> list[tuple]:
                 if not arg.startswith("#") or part and part not in target:
                     raise ValueError(f"unknown $ref: {arg}")
                 target = target[part] if part else target
-            out += _compile(target, path, root, (*seen, arg))
+            node.same.append(_compile(target, path, root, (*seen, arg), names))
         elif word == "type":
             kinds = [arg] if isinstance(arg, str) else list(arg)
-            rule = lambda v, kinds=kinds: ~reduce(or_, [_is(v, k) for k in kinds])
+            node.takes |= {p for p, kind in (("e", "array"), ("m", "object")) if kind in kinds}
+            rule = lambda x, kinds=kinds: ~reduce(or_, [_is(x["k"], k) for k in kinds])
         elif word == "enum":
-            rule = lambda v, arg=arg: ~reduce(or_, [_equals(v, x) for x in arg])
+            rule = lambda x, arg=arg: ~reduce(or_, [_equals(x, y) for y in arg])
         elif word == "const":
-            rule = lambda v, arg=arg: ~_equals(v, arg)
+            rule = lambda x, arg=arg: ~_equals(x, arg)
         elif word == "required":
-            out += [(f"{path}.{name}:required", on("object", lambda v, name=name: _get(v, name).isNull())) for name in arg]
+            node.takes.add("m")
+            for name in arg:
+                add_rule(f"{path}.{name}:required", on("object", lambda x, name=name: x["m"][name].isNull()))
         elif word == "properties":
+            node.takes.add("m")
             for name, sub in arg.items():
-                out += [(n, lambda v, f=f, name=name: _get(v, name).isNotNull() & f(_get(v, name)))
-                        for n, f in _compile(sub, f"{path}.{name}", root, seen)]
+                node.fields.append((name, _compile(sub, f"{path}.{name}", root, seen, names)))
         elif word == "additionalProperties":
             if arg not in (True, False):
                 raise ValueError("additionalProperties must be true or false")
-            names = list(schema.get("properties", {}))
+            known = list(schema.get("properties", {}))
             if arg is False:
-                rule = on("object", lambda v: F.exists(F.json_object_keys(F.to_json(v)), lambda k: ~k.isin(names) if names else F.lit(True)))
+                node.takes.add("m")
+                rule = on("object", lambda x: F.exists(F.map_keys(x["m"]), lambda k: ~k.isin(known) if known else F.lit(True)))
         elif word == "items":
-            out += [(n, on("array", lambda v, f=f: F.exists(elements(v), lambda x: F.coalesce(f(x), F.lit(False)))))
-                    for n, f in _compile(arg, f"{path}[*]", root, seen)]
+            node.takes.add("e")
+            node.items.append(_compile(arg, f"{path}[*]", root, seen, names))
         elif word == "uniqueItems":
-            def twice(v):
-                plain = F.transform(elements(v), lambda x: F.to_json(x))
-                return F.size(F.array_distinct(plain)) != F.size(plain)
-            rule = on("array", twice) if arg else None
+            node.takes.add("e")
+            twice = lambda x: _let(F.transform(x["e"], lambda y: F.to_json(y)), lambda p: F.size(F.array_distinct(p)) != F.size(p), "boolean")
+            rule = on("array", lambda x: (F.size(x["e"]) > 1) & twice(x)) if arg else None
         elif word in ("minItems", "maxItems"):
-            rule = on("array", lambda v, arg=arg, low=word[:3] == "min": F.size(elements(v)) < arg if low else F.size(elements(v)) > arg)
+            node.takes.add("e")
+            rule = on("array", lambda x, arg=arg, low=word[:3] == "min": F.size(x["e"]) < arg if low else F.size(x["e"]) > arg)
         elif word in ("minLength", "maxLength"):
-            rule = on("string", lambda v, arg=arg, low=word[:3] == "min": F.length(text(v)) < arg if low else F.length(text(v)) > arg)
+            rule = on("string", lambda x, arg=arg, low=word[:3] == "min": F.length(text(x)) < arg if low else F.length(text(x)) > arg)
         elif word == "pattern":
-            rule = on("string", lambda v, arg=arg: ~text(v).rlike(arg))
+            rule = on("string", lambda x, arg=arg: ~text(x).rlike(arg))
         elif word == "format" and arg in moment:
-            rule = on("string", lambda v, arg=arg: F.try_to_timestamp(text(v), F.lit(moment[arg])).isNull())
+            rule = on("string", lambda x, arg=arg: F.try_to_timestamp(text(x), F.lit(moment[arg])).isNull())
         elif word in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
             test = {"minimum": lambda x, y: x < y, "maximum": lambda x, y: x > y,
                     "exclusiveMinimum": lambda x, y: x <= y, "exclusiveMaximum": lambda x, y: x >= y}[word]
-            rule = on("number", lambda v, arg=arg, test=test: test(num(v), F.lit(float(arg))))
+            rule = on("number", lambda x, arg=arg, test=test: test(num(x), F.lit(float(arg))))
         elif word in ("oneOf", "anyOf", "allOf"):
-            branches = [[f for _, f in _compile(sub, path, root, seen)] for sub in arg]
-
-            def matching(v, branches=branches):
-                fits = lambda fs: ~reduce(or_, [F.coalesce(f(v), F.lit(False)) for f in fs], F.lit(False))
-                return reduce(add, [fits(fs).cast("int") for fs in branches])
-            rule = {"oneOf": lambda v, m=matching: m(v) != 1, "anyOf": lambda v, m=matching: m(v) == 0,
-                    "allOf": lambda v, m=matching, n=len(branches): m(v) < n}[word]
+            branches = []
+            for sub in arg:
+                own: list[str] = []
+                branch = _compile(sub, path, root, seen, own)
+                node.takes |= branch.takes
+                branches.append((branch, range(0, len(own), _BITS)))
+
+            def matching(x, branches=branches):
+                fits = lambda b, ats: reduce(and_, [b.bits(x, at) == 0 for at in ats], F.lit(True))
+                return reduce(add, [fits(b, ats).cast("int") for b, ats in branches])
+            rule = {"oneOf": lambda x, m=matching: m(x) != 1, "anyOf": lambda x, m=matching: m(x) == 0,
+                    "allOf": lambda x, m=matching, n=len(branches): m(x) < n}[word]
         else:
             raise ValueError(f"unsupported JSON-Schema keyword at {path}: {word}" + (f" = {arg}" if word == "format" else ""))
         if rule is not None:
-            out.append((f"{path}:{word}", rule))
-    return out
+            add_rule(f"{path}:{word}", rule)
+    for n in node.same:
+        node.takes |= n.takes
+    return node
 
 
 def schema_violations(df: DataFrame, schema: dict, doc_col: str, id_col: str) -> DataFrame:
@@ -289,11 +377,7 @@ def schema_violations(df: DataFrame, schema: dict, doc_col: str, id_col: str) ->
     violation of its own."""
     # parsed once: the rules refer to the parsed column
     df = df.select(id_col, F.try_parse_json(F.col(doc_col)).alias("__v"))
-    v = F.col("__v")
-    # an unparsable document gets one violation, not one per rule
-    arr = F.array(F.when(v.isNull(), F.lit("$:parse")),
-                  *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in compile_json_schema(schema, v)])
-    return (df.select(id_col, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("violation")))
+    return df.select(id_col, F.explode(_violations(schema, F.col("__v"))).alias("violation"))
 
 
 def validate_documents(df: DataFrame, schema: dict, doc_col: str, id_col: str,
@@ -305,11 +389,7 @@ def validate_documents(df: DataFrame, schema: dict, doc_col: str, id_col: str,
     warning.  Output adds ``status`` accepted | rejected | warned and
     ``violations``."""
     df = df.withColumn("__v", F.try_parse_json(F.col(doc_col)))
-    v = F.col("__v")
-    rules = compile_json_schema(schema, v)
-    arr = F.filter(F.array(F.when(v.isNull(), F.lit("$:parse")),
-                           *[F.when(v.isNotNull() & c, F.lit(n)) for n, c in rules]),
-                   lambda x: x.isNotNull())
+    arr = _violations(schema, F.col("__v"))
     checked = F.lit(True) if level == "strict" else F.coalesce(previously_valid, F.lit(True)) \
         if previously_valid is not None else F.lit(True)
     bad = checked & (F.size(arr) > 0)

@@ -210,6 +210,29 @@ def test_json_schema_references_alternatives_and_elements(spark):
             dq.compile_json_schema(bad, F.col("d"))
 
 
+def test_json_schema_takes_a_value_apart_once(spark):
+    from oreflow.plans.q_quality import ORDER_DOC_SCHEMA
+    docs = spark.range(1).selectExpr("id", "'{}' AS doc")
+    plan = dq.schema_violations(docs, ORDER_DOC_SCHEMA, "doc", "id")._jdf.queryExecution().optimizedPlan().toString()
+    # one extraction of the array, not one for each rule about its elements
+    assert plan.count("ArrayType(VariantType") == 1
+    # a value's kind is found once, not once for each rule
+    assert plan.count("schemaOfVariant") <= 11
+
+
+def test_json_schema_with_many_rules_and_repeated_names(spark):
+    import json
+    names = [f"f{i:03d}" for i in range(150)]
+    schema = {"$defs": {"T": {"type": "integer"}}, "required": names,
+              "properties": {n: {"$ref": "#/$defs/T", "type": "integer"} for n in names}}
+    full = {n: 1 for n in names}
+    cases = [full, {**full, "f100": [1, {"a": 2}]}, {n: 1 for n in names if n not in ("f002", "f149")}, [1]]
+    df = spark.createDataFrame([(i, json.dumps(c)) for i, c in enumerate(cases)] + [(9, None)], "i int, d string")
+    got = {r.i: r.violations for r in dq.validate_documents(df, schema, "d", "i").collect()}
+    # two rules of one name are two violations; rules come in the schema's order
+    assert got == {0: [], 1: ["$.f100:type"] * 2, 2: ["$.f002:required", "$.f149:required"], 3: [], 9: ["$:parse"]}
+
+
 def test_top_values_are_exact_where_the_sketch_is_not(spark):
     from collections import Counter
 
