@@ -133,11 +133,14 @@ def bucketed_last(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[s
     buckets before it carried (from a table of one row per bucket)."""
     keys, order = list(keys), list(order)
     d = df.withColumn("__b", time_bucket(ts, bucket_s)).withColumn("__v", value)
-    place = F.when(F.col("__v").isNotNull(), F.struct(ts, *order))
-    per = d.groupBy(*keys, "__b").agg(F.max_by("__v", place).alias("__e"))
+    # only rows with a value are sorted for their bucket's last one; of the others their
+    # buckets are enough, and a bucket of values alone needs no edge
+    ends = d.where(F.col("__v").isNotNull()).groupBy(*keys, "__b").agg(F.max_by("__v", F.struct(ts, *order)).alias("__e"))
+    asked = d.where(F.col("__v").isNull()).select(*keys, "__b").distinct()
+    per = asked.withColumn("__n", F.lit(0)).unionByName(ends.withColumn("__n", F.lit(1)), allowMissingColumns=True)
     per = per.withColumn("__v", F.last("__e", ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))) \
-        .where(F.col("__v").isNotNull()).select(*keys, "__b", "__v")
+        Window.partitionBy(*keys).orderBy("__b", "__n").rowsBetween(Window.unboundedPreceding, -1))) \
+        .where((F.col("__n") == 0) & F.col("__v").isNotNull()).select(*keys, "__b", "__v")
     rows, side = _with_edges(d, per, True)
     got = F.last("__v", ignorenulls=True).over(Window.partitionBy(*keys, "__b").orderBy(side, ts, *order)
                                                .rowsBetween(Window.unboundedPreceding, 0))

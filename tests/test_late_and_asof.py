@@ -139,3 +139,19 @@ def test_half_paths_meet_to_all_simple_paths(spark):
         level = {a for a, b, _ in edges if b in level and a != "8"}
         want_set |= {(a, n) for a in level}
     assert {(r.node, r.length) for r in g.impact_set(e, "8", 4).collect()} == want_set
+
+
+def test_only_versions_are_sorted_for_the_edges_of_buckets(spark):
+    f = spark.range(4).selectExpr("id % 2 AS k", "timestamp_ntz'2024-01-01' AS ts")
+    v = spark.range(3).selectExpr("id AS k", "timestamp_ntz'2023-01-01' AS a", "timestamp_ntz'2025-01-01' AS b", "id AS name")
+    j = joins.point_in_time_join(f, v, ["k"], "ts", "a", "b")
+    assert sorted((r.k, r.name) for r in j.collect()) == [(0, 0), (0, 0), (1, 1), (1, 1)]
+    lines = j._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    for at, line in enumerate(lines):
+        if "max_by" in line and "Aggregate" in line:
+            below = lines[at + 1:next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(line)), len(lines))]
+            assert below and not any("Union" in x for x in below)
+            break
+    else:
+        raise AssertionError("no table of edges")
