@@ -21,9 +21,10 @@ Jaccard similarity reaches the threshold.
    cutoffs are so low that a linked pair is lost with a chance below 1e-6.
 5. The full sets of what is left give the exact similarity.
 
-Nothing is capped: when rounds stop shrinking, or few are left, the members of
-the remaining classes' shortest lists are compared with each other, by size and
-block by block.
+Nothing is capped: when rounds stop shrinking, or what is left costs no more than
+some passes over all sets, the members of the remaining classes' shortest lists are
+compared with each other, by size and block by block.  A further round would carry
+on each class that has no near copy at all, only because its words are frequent.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
 BLOCK = 100_000  # shingles on one side of a block
 LIST_COST = 4    # pairs per class that comparing whole lists one by one may cost
+PASSES = 100     # times the shingles of all classes that comparing them block by block may cost
 SIGN = _U(1 << 63)
 
 _SKETCH = "id bigint, th bigint, n bigint, fp1 bigint, fp2 bigint, sketch array<bigint>, brief array<int>"
@@ -250,7 +252,8 @@ class NearDuplicates:
         surely = F.when(small, need).otherwise(SAFE)
         found: list[DataFrame] = []
         stars: list[DataFrame] = []
-        size, nodes, forest = None, self.r.count(), None
+        size, forest = None, None
+        nodes, whole = self.r.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         cut = self.cut
         while True:
             df = todo.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
@@ -259,18 +262,19 @@ class NearDuplicates:
             n = post.select("node").distinct().count()
             if not n:
                 break
-            # all pairs of the few that are left, when that costs less than the lists so far or nothing else helps
-            short = self._shortest(post)
-            cost = short.groupBy("v").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") * F.col("c") / 2)).first()[0]
-            cheap = size is not None and cost <= LIST_COST * nodes
-            stuck = size is not None and n > 0.7 * size
+            if size is not None:
+                # all pairs of what is left, when that costs less than the lists so far, or (by blocks)
+                # than a round may, or when nothing else helps
+                short = self._shortest(post)
+                cost, work = short.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("c"), F.sum("n").alias("s")) \
+                    .agg(F.sum(F.col("c") * F.col("c") / 2), F.sum(F.col("c") * F.col("s") / 2)).first()
+                if cost <= LIST_COST * nodes:
+                    found.append(cut(self.estimated(self._pairs(short), link_cut)))
+                    break
+                if work <= PASSES * whole or n > 0.7 * size:
+                    forest = self._all_pairs(short)
+                    break
             size = n
-            if cheap:
-                found.append(cut(self.estimated(self._pairs(short), link_cut)))
-                break
-            if stuck:
-                forest = self._all_pairs(short)
-                break
             # a row per class: its long lists, the longest first, and what they weigh together
             per = post.where(F.col("df") > HOT).groupBy("node").agg(
                 F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "v")), asc=False).alias("lists")) \
@@ -278,7 +282,8 @@ class NearDuplicates:
                 .withColumn("weight", F.aggregate("lists", F.lit(0.0), lambda s, x: s + F.log2(x["df"])))
             per = cut(per)
             found.append(cut(self.estimated(self._pairs(post.where(F.col("df") <= HOT), per), link_cut)))
-            star, pivots = self._stars(per, far)
+            star, top = self._stars(per, far)
+            pivots = top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"), F.first("nb").alias("n"))
             near = self.exact(self.estimated(star.select("a", "b"), far_cut), far)
             tested = cut(star.join(near, ["a", "b"]))
             stars.append(tested)
@@ -287,7 +292,7 @@ class NearDuplicates:
             rest = per.where(F.when(small, F.col("n") - F.col("hots") < need).otherwise(F.col("hots") >= FEW)) \
                 .select("node").join(safe, "node", "left_anti")
             todo = cut(post.select("node", "n", "v").join(rest, "node", "left_semi"))
-            cut.drop(post, per, star, near, pivots)
+            cut.drop(post, per, star, near, top)
             cut.sweep()
         cut.drop(post)
         if not found:
@@ -342,16 +347,13 @@ class NearDuplicates:
 
     def _stars(self, per: DataFrame, far: int) -> tuple[DataFrame, DataFrame]:
         """(a, b, o, n): a class, the pivot of o of its long lists, the class's size;
-        (node, lists, n): pivots, their lists and size."""
+        (v, b, nb): a long list, its pivot, the pivot's size."""
         h = per.select("node", "n", "weight", F.explode("lists").alias("x")).select("node", "n", "weight", F.col("x.v").alias("v"))
         top = self.cut(h.groupBy("v").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("p"))
                        .select("v", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("nb")))
         star = h.join(top, "v").where((F.col("node") != F.col("b")) & self._near(F.col("n"), F.col("nb"), far)) \
             .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"), F.first("n").alias("n"))
-        star = self.cut(star)
-        pivots = self.cut(top.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("lists"), F.first("nb").alias("n")))
-        self.cut.drop(top)
-        return star, pivots
+        return self.cut(star), top
 
     def _all_pairs(self, lists: DataFrame) -> DataFrame:
         """Links that join what is linked within each list, found block by block.
@@ -394,8 +396,9 @@ class NearDuplicates:
         n = self.r.select("node", "n")
         edge = star.where(~F.col("linked")).join(root("a"), "a", "left").join(root("b"), "b", "left") \
             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(F.col("a").alias("node"), F.col("b").alias("p"))
+        edge = self.cut(edge.join(n, "node"))
         circle = star.where("linked").select(F.col("a").alias("node"), F.col("b").alias("p")).join(edge.select("p").distinct(), "p")
-        edge, circle = (self.cut(x.join(n, "node")) for x in (edge, circle))
+        circle = self.cut(circle.join(n, "node"))
         sets = self._full_sets(edge.select("node").union(circle.select("node")).distinct())
         # a pivot's border and circle meet block by block: each block holds about BLOCK shingles
         blocks = lambda x, name: x.groupBy("p").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias(name))

@@ -237,6 +237,34 @@ def test_near_duplicates_of_short_texts_match_brute_force(spark, seed, vocabular
     assert got == want
 
 
+def test_texts_of_frequent_words_without_near_copies_wait_for_no_further_round(spark, monkeypatch):
+    """What a round leaves is compared at once when that costs a few passes over all sets."""
+    from oreflow.llm import op4_minhash_dedup as op4
+    rounds, stars = [], op4.NearDuplicates._stars
+    monkeypatch.setattr(op4.NearDuplicates, "_stars", lambda self, *a: rounds.append(1) or stars(self, *a))
+    common = [f"c{k}" for k in range(20)]
+    rows = [(i, " ".join([f"b{i % 300}n{k}" for k in range(8)] + [f"w{i}n{k}" for k in range(32)]), "en", "s0")
+            for i in range(600)]
+    rows += [(i, " ".join(common + [f"w{i}n{k}" for k in range(20)]), "en", "s0") for i in range(600, 750)]
+    rows += [(i, " ".join([*rows[i - 150][1].split()[:-1], f"x{i}"]), "en", "s0") for i in range(750, 760)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(make(spark, rows), words=1).collect()}
+    assert got == brute_components(rows, 1)
+    assert got[755] == (40, 605) and len(rounds) == 1
+
+
+def test_components_of_paths_cycles_and_stars(spark):
+    from oreflow.llm.components import components
+    path = [(i, i + 1) for i in range(1, 12)]
+    cycle = [(20, 23), (23, 21), (21, 22), (22, 20)]
+    shared_leaf = [(30, 39), (31, 39), (30, 38), (31, 37)]
+    star = [(40, 41), (42, 40), (40, 42), (43, 43)]
+    want = {i: 1 for i in range(1, 13)} | {i: 20 for i in range(20, 24)} | {i: 30 for i in (30, 31, 37, 38, 39)} | {
+        i: 40 for i in (40, 41, 42)}
+    of = lambda e: components(spark.createDataFrame(e, "u bigint, v bigint"))
+    assert sorted(map(tuple, of(path + cycle + shared_leaf + star).collect())) == sorted(want.items())
+    assert sorted(map(tuple, of(star).collect())) == [(40, 40), (41, 40), (42, 40)] and of([(1, 1)]).count() == 0
+
+
 def test_all_pairs_of_one_list_meet_across_sizes(spark, monkeypatch):
     """The last resort alone, in many small blocks."""
     from oreflow.llm import op4_minhash_dedup as op4
