@@ -23,8 +23,9 @@ Jaccard similarity reaches the threshold.
 
 Nothing is capped: when rounds stop shrinking, or what is left costs no more than
 some passes over all sets, the members of the remaining classes' shortest lists are
-compared with each other, by size and block by block.  A further round would carry
-on each class that has no near copy at all, only because its words are frequent.
+compared with each other, by size and block by block: their sketches first, then the
+full sets of those that any sketch of their list comes near to.  A further round would
+carry on each class that has no near copy at all, only because its words are frequent.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ HOT = 24
 SAFE = 8        # shared long lists that make a pivot's circle reliable
 FEW = 12        # long lists among K from which short ones alone don't suffice
 BLOCK = 100_000  # shingles on one side of a block
+SIDE = 8192      # sketches on one side of a block of sketches
+TILE = 1024      # of them compared at once
+PARTNERS = 12    # near sketches among a tile's up to which a class gives pairs
 LIST_COST = 4    # pairs per class that comparing whole lists one by one may cost
 PASSES = 100     # times the shingles of all classes that comparing them block by block may cost
 SIGN = _U(1 << 63)
@@ -169,6 +173,115 @@ def _join_all(xs: pa.Table, ys: pa.Table, percent: int) -> pa.Table:
     return _links_table(out)
 
 
+def _shared_counts(row: np.ndarray, value: np.ndarray, nx: int, n: int) -> np.ndarray:
+    """How many values each of the first ``nx`` of ``n`` sets shares with each other
+    one of all ``n``; ``row`` and ``value`` give each set's values."""
+    order = np.argsort(value, kind="stable")
+    row, value = row[order], value[order]
+    new = np.ones(len(value), bool)
+    new[1:] = value[1:] != value[:-1]
+    at = np.flatnonzero(new)
+    times = np.diff(np.append(at, len(value)))
+    # values of many sets by one matrix product, of few sets pair by pair
+    many = times > max(4, n // 16)
+    m = np.zeros((n, int(many.sum())), np.float32)
+    number = np.repeat(np.cumsum(many) - 1, times)
+    often = np.repeat(many, times)
+    m[row[often], number[often]] = 1
+    out = (m[:nx] @ m.T).astype(np.int32)
+    few = (times > 1) & ~many
+    each = times[few]
+    a = np.repeat(at[few], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    b = np.repeat(at[few], each)
+    each = np.repeat(each, each)
+    x = row[np.repeat(a, each)]
+    y = row[np.repeat(b, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)]
+    inside = x < nx
+    return out + np.bincount(x[inside] * n + y[inside], minlength=nx * n).reshape(nx, n)
+
+
+def _near_ones(size: np.ndarray, off: np.ndarray, value: np.ndarray, x: np.ndarray, y: np.ndarray,
+               least: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which sets in ``x`` may be linked with which in ``y`` (``x`` itself if both are the
+    same): sizes allow it, and the sketches share at least ``least`` of their union, as far
+    as it is kept.  Two arrays of pairs, and the sets of all pairs that are in no array
+    because both sets have more than PARTNERS others in a tile."""
+    many = np.zeros(len(size), bool)
+    pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i in range(0, len(x), TILE):
+        for j in range(i if y is x else 0, len(y), TILE):
+            p, q = x[i:i + TILE], y[j:j + TILE]
+            own = y is x and i == j
+            sets = p if own else np.concatenate([p, q])
+            k = np.diff(off)[sets]
+            row = np.repeat(np.arange(len(sets)), k)
+            at = np.repeat(off[sets] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+            shared = _shared_counts(row, value[at], len(p), len(sets))[:, 0 if own else len(p):]
+            kx, ky, sx, sy = np.diff(off)[p][:, None], np.diff(off)[q][None, :], size[p][:, None], size[q][None, :]
+            near = (shared >= least * np.minimum(K, kx + ky - shared)) \
+                & (np.minimum(sx, sy) * 100 >= np.maximum(sx, sy) * percent)
+            if own:
+                np.fill_diagonal(near, False)
+            full = (near.sum(axis=1) > PARTNERS)[:, None] & (near.sum(axis=0) > PARTNERS)[None, :] & near
+            many[p[full.any(axis=1)]] = True
+            many[q[full.any(axis=0)]] = True
+            a, b = np.nonzero(near & ~full)
+            if own:
+                a, b = a[a < b], b[a < b]
+            pairs.append((p[a], q[b]))
+    return *(np.concatenate(c) for c in zip(*pairs)), np.flatnonzero(many)
+
+
+def _likely(batches: Iterator[pa.RecordBatch], least: float, percent: int) -> Iterator[pa.RecordBatch]:
+    """(v, a, b) of what ``_near_ones`` finds in each cell (v, i, j), a < b for a pair, b = -1
+    for one of the sets that give none; a cell's rows lie together."""
+    held: list[pa.RecordBatch] = []
+
+    def cells(t: pa.Table) -> pa.RecordBatch:
+        v, i, j, own, node, size = (t.column(c).to_numpy() for c in range(6))
+        brief = t.column(6).combine_chunks()
+        if isinstance(brief, pa.ChunkedArray):
+            brief = brief.chunk(0)
+        off, value = brief.offsets.to_numpy().astype(np.int64), brief.values.to_numpy()
+        new = _starts(v, i, j)
+        out = [(v[:0], node[:0], node[:0])]
+        for a, b in zip(new, np.append(new[1:], len(v))):
+            if b - a > 1:
+                x = np.flatnonzero(own[a:b] == i[a])
+                y = x if i[a] == j[a] else np.flatnonzero(own[a:b] == j[a])
+                p, q, many = _near_ones(size[a:b], off[a:b + 1], value, x, y, least, percent)
+                p, q = node[a + p], node[a + q]
+                n = len(p) + len(many)
+                out.append((np.full(n, v[a]), np.append(np.minimum(p, q), node[a + many]),
+                            np.append(np.maximum(p, q), np.full(len(many), -1))))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["v", "a", "b"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        # the last cell may go on in the next batch
+        key = [np.concatenate([h.column(c).to_numpy()[-1:] for h in held[-1:]] + [b.column(c).to_numpy()]) for c in range(3)]
+        last = int(_starts(*key)[-1]) - (len(key[0]) - b.num_rows)
+        if last >= 0:
+            done = held + [b.slice(0, last)]
+            held = [b.slice(last)]
+            if sum(d.num_rows for d in done):
+                yield cells(pa.Table.from_batches(done))
+        else:
+            held.append(b)
+    if held:
+        yield cells(pa.Table.from_batches(held))
+
+
+def _starts(*key: np.ndarray) -> np.ndarray:
+    """Where the key changes, the first row included."""
+    new = np.ones(len(key[0]), bool)
+    new[1:] = False
+    for k in key:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
 class NearDuplicates:
     """One run over a table; ``r`` holds the classes: node, id, th, n, sketch."""
 
@@ -272,7 +385,10 @@ class NearDuplicates:
                     found.append(cut(self.estimated(self._pairs(short), link_cut)))
                     break
                 if work <= PASSES * whole or n > 0.7 * size:
-                    forest = self._all_pairs(short)
+                    pairs, many = self._likely(short, link_cut)
+                    found.append(pairs)
+                    forest = self._all_pairs(many)
+                    cut.drop(many)
                     break
             size = n
             # a row per class: its long lists, the longest first, and what they weigh together
@@ -355,6 +471,29 @@ class NearDuplicates:
             .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("o"), F.first("n").alias("n"))
         return self.cut(star), top
 
+    def _likely(self, lists: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+        """Pairs (a, b) of classes of one list whose sketches come near, and those rows of
+        ``lists`` whose classes have too many such others for pairs (see ``_near_ones``).
+        Of all other classes the full sets are not needed.
+
+        A list is dealt into blocks by class, and each block meets itself and each other."""
+        lists = self.cut(lists.select("v", "node", "n"))
+        count = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1) \
+            .select("v", F.ceil(F.col("c") / SIDE).cast("int").alias("blocks"))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        x = lists.join(count, "v").withColumn("own", own) \
+            .join(self.r.select("node", "brief"), "node") \
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+            .select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "brief")
+        percent = self.percent
+        near = self.cut(x.repartition("v", "i", "j").sortWithinPartitions("v", "i", "j")
+                        .mapInArrow(lambda it: _likely(it, least, percent), "v bigint, a bigint, b bigint"))
+        many = near.where(F.col("b") < 0).select("v", F.col("a").alias("node")).distinct()
+        many = self.cut(lists.join(many, ["v", "node"], "left_semi"))
+        pairs = self.cut(self.estimated(near.where(F.col("b") >= 0).select("a", "b").distinct(), least))
+        self.cut.drop(lists, near)
+        return pairs, many
+
     def _all_pairs(self, lists: DataFrame) -> DataFrame:
         """Links that join what is linked within each list, found block by block.
 

@@ -252,6 +252,55 @@ def test_texts_of_frequent_words_without_near_copies_wait_for_no_further_round(s
     assert got[755] == (40, 605) and len(rounds) == 1
 
 
+def test_full_sets_are_made_of_near_sketches_only(spark, monkeypatch):
+    """What a round leaves meets by sketches first: texts without a near copy send no full sets."""
+    from oreflow.llm import op4_minhash_dedup as op4
+    asked, pairs = [], op4.NearDuplicates._all_pairs
+    monkeypatch.setattr(op4.NearDuplicates, "_all_pairs", lambda self, lists: asked.append(
+        lists.select("node").distinct().count()) or pairs(self, lists))
+    for name, value in (("LIST_COST", 0), ("SIDE", 30), ("TILE", 16)):
+        monkeypatch.setattr(op4, name, value)
+    rnd = random.Random(3)
+    common = [f"c{k}" for k in range(16)]
+    rows = [(i, " ".join([f"b{i % 300}n{k}" for k in range(8)] + [f"w{i}n{k}" for k in range(32)]), "en", "s0")
+            for i in range(600)]
+    rows += [(i, " ".join(common + [f"w{i}n{k}" for k in range(26)]), "en", "s0") for i in range(600, 750)]
+    for i in range(750, 790):                     # copies of few texts, changed at few places
+        w = rows[600 + i % 4][1].split()
+        for _ in range(rnd.randint(1, 3)):
+            w[rnd.randrange(len(w))] = f"x{i}"
+        rows.append((i, " ".join(w), "en", "s0"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(make(spark, rows), words=1).collect()}
+    assert got == brute_components(rows, 1)
+    assert len(asked) == 1 and asked[0] <= 10
+
+
+def test_near_ones_match_brute_force(monkeypatch):
+    import numpy as np
+
+    from oreflow.llm import op4_minhash_dedup as op4
+    monkeypatch.setattr(op4, "TILE", 16)
+    monkeypatch.setattr(op4, "PARTNERS", 3)
+    rnd = random.Random(8)
+    sets = [rnd.sample(range(30 if k % 2 else 3000), rnd.randint(0, 20)) for k in range(90)]
+    sets += [sets[k % 3 + 20][:-1] + [5000 + k] if sets[k % 3 + 20] else [k] for k in range(30)]
+    size = np.array([len(x) for x in sets])
+    off = np.append(0, np.cumsum(size))
+    value = np.array([v for x in sets for v in x], np.int32)
+    for x, y in ((np.arange(120),) * 2, (np.arange(0, 120, 2), np.arange(1, 120, 2))):
+        y = x if len(x) == 120 else y
+        a, b, many = op4._near_ones(size, off, value, x, y, 0.4, 80)
+        got, many = {frozenset(p) for p in zip(a.tolist(), b.tolist())}, set(many.tolist())
+        for i in x.tolist():
+            for j in y.tolist():
+                s = len(set(sets[i]) & set(sets[j]))
+                near = i != j and s >= 0.4 * min(op4.K, len(sets[i]) + len(sets[j]) - s) \
+                    and 100 * min(size[i], size[j]) >= 80 * max(size[i], size[j])
+                pair = frozenset((i, j))
+                assert (pair in got or {i, j} <= many) if near else pair not in got
+        assert got and many
+
+
 def test_components_of_paths_cycles_and_stars(spark):
     from oreflow.llm.components import components
     path = [(i, i + 1) for i in range(1, 12)]
