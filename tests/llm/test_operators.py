@@ -181,6 +181,47 @@ def test_lm_grows_with_the_vocabulary(v, own, classes, vectors):
     assert len(set(ctx.tolist())) == vectors + 2 and units.contexts(ctx, np.arange(7001)).max() == vectors + classes
 
 
+def test_lm_words_of_a_class_follow_their_context(spark):
+    """Two words of one class and count, each always after a word of its own."""
+    import zlib as z
+    teach = [i for i in range(4000) if z.crc32(str(i).encode()) % 5 != 1][:600]
+    held = [i for i in range(9000) if z.crc32(str(i).encode()) % 5 == 1][:2]
+    filler = [f"f{k}" for k in range(70)]                       # more frequent: the units of their own
+    line = lambda a, b: " ".join([f"{a} {b}ending"] * 20)
+    rows = [(i, " ".join([line("left", "aa"), line("right", "bb"), *(filler * 25)]), "en", "s0") for i in teach]
+    rows += [(held[0], line("left", "aa"), "en", "s0"), (held[1], line("left", "bb"), "en", "s0")]
+    got = {r.doc_id: r for r in lm_scores(make(spark, rows).repartition(2)).collect()}
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 1e-9
+    assert got[held[0]].score > got[held[1]].score + 1
+
+
+@pytest.mark.parametrize("known", [0, 5, 3000])
+def test_lm_probabilities_of_a_class_add_up_to_one(known):
+    import numpy as np
+
+    from oreflow.llm.op3_lm_scoring import DIM, ENDINGS, Members, Units, Vocabulary
+    h = np.arange(1, known + 1, dtype=np.uint64) << np.uint64(40)
+    counts = np.sort(np.random.default_rng(1).integers(1, 500, known))[::-1]
+    endings = np.arange(known) % 50
+    vocab = Vocabulary(h, counts, endings, int(counts.sum()) + 40, known + 9)
+    units = Units(vocab, np.arange(ENDINGS) % 32)
+    mass = np.full(units.classes, 3.0)
+    inner = units.own(vocab.known) < 0
+    np.add.at(mass, units.class_of[endings[inner]], counts[inner] + 0.5)
+    m = Members(vocab, units, mass)
+    q = np.zeros((1, DIM), np.float32)
+    for trained in (False, True):
+        if trained:
+            m.v[...] = np.random.default_rng(2).standard_normal(m.v.shape)
+            q += 1
+        for c in range(units.classes):
+            leaf = np.append(np.flatnonzero(inner & (units.class_of[endings] == c)), known + c)
+            p = np.exp(m.log_probs(np.repeat(q, len(leaf), axis=0), leaf))
+            assert abs(p.sum() - 1) < 1e-5
+            if not trained:
+                assert np.allclose(p, np.append(counts[leaf[:-1]] + 0.5, 3.0) / mass[c], rtol=1e-4)
+
+
 def brute_components(texts, n):
     sets = {}
     for i, t, _, _ in texts:
